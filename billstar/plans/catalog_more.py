@@ -1,3 +1,109 @@
 """Further registered queries (quality, constraints, sources, anomaly, streaming)."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from billstar.operators import constraints as K
+from billstar.operators import quality
+from billstar.plans.catalog import present, query
+from billstar.plans.model import from_driver_tables, two_batches
+
+
+# ------------------------------------------------------------------ quality
+def _report(spark, sf):
+    m = from_driver_tables(spark, sf)
+    return quality.quality_report(m.silver, m.opts.timestamp)
+
+
+@query("qc_report")
+def q_qc_report(spark, sf):
+    return _report(spark, sf)
+
+
+@query("qc_report_long")
+def q_qc_report_long(spark, sf):
+    return quality.report_long(_report(spark, sf))
+
+
+@query("qc_missing")
+def q_qc_missing(spark, sf):
+    return _report(spark, sf).select(*[f"missing_{c}" for c in quality.CRITICAL_FIELDS])
+
+
+for _name in ("negative_amounts", "future_dates", "duplicates", "incoherent_amounts", "incoherent_dates"):
+    _key = {"negative_amounts": "qc_negative", "future_dates": "qc_future"}.get(_name, f"qc_{_name}")
+
+    def _make(col):
+        def fn(spark, sf):
+            return _report(spark, sf).select("total_rows", col)
+        return fn
+
+    query(_key)(_make(_name))
+
+
+@query("qc_gate")
+def q_qc_gate(spark, sf):
+    return quality.gate(_report(spark, sf)).select("total_rows", "critical", "verdict")
+
+
+# -------------------------------------------------------------- constraints
+@query("chk_not_null")
+def q_chk_not_null(spark, sf):
+    m = from_driver_tables(spark, sf)
+    return K.violations(m.silver, K.not_null_rules(K.STAGING_NOT_NULL), "staging_id")
+
+
+@query("chk_amounts")
+def q_chk_amounts(spark, sf):
+    m = from_driver_tables(spark, sf)
+    return K.violations(m.silver, K.amount_rules(), "staging_id")
+
+
+@query("chk_dates")
+def q_chk_dates(spark, sf):
+    m = from_driver_tables(spark, sf)
+    return K.violations(m.silver, K.date_rules(), "staging_id")
+
+
+@query("chk_lengths")
+def q_chk_lengths(spark, sf):
+    m = from_driver_tables(spark, sf)
+    return K.violations(m.silver, K.length_rules(), "staging_id")
+
+
+@query("chk_row_rules")
+def q_chk_row_rules(spark, sf):
+    m = from_driver_tables(spark, sf)
+    rules = {**K.not_null_rules(K.STAGING_NOT_NULL), **K.amount_rules(), **K.date_rules(), **K.length_rules()}
+    return K.violations(m.silver, rules, "staging_id")
+
+
+@query("chk_balance")
+def q_chk_balance(spark, sf):
+    m = from_driver_tables(spark, sf)
+    rules = {**K.not_null_rules(K.FACT_NOT_NULL), **K.amount_rules(), **K.balance_rules()}
+    return K.violations(m.fact, rules, "fact_id")
+
+
+@query("chk_unique")
+def q_chk_unique(spark, sf):
+    m = from_driver_tables(spark, sf)
+    d = m.dims
+    parts = [K.duplicate_keys(d.patient, "patient_id_naturel", "dim_patient"),
+             K.duplicate_keys(d.patient, "patient_key", "dim_patient"),
+             K.duplicate_keys(d.etablissement, "etablissement_id_naturel", "dim_etablissement"),
+             K.duplicate_keys(d.date, "date_complete", "dim_date"),
+             K.duplicate_keys(d.service, "service_code", "dim_service"),
+             K.duplicate_keys(m.fact, "fact_id", "fact_facturation")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("chk_fk_orphans")
+def q_chk_fk_orphans(spark, sf):
+    tb = two_batches(from_driver_tables(spark, sf))
+    fact = tb.fact_a.unionByName(tb.new_fact_b)
+    return K.fk_orphans(fact, tb.dims_a)

@@ -1,3 +1,108 @@
 """Oracle SQL for the queries of :mod:`billstar.plans.catalog_more`."""
 
 from __future__ import annotations
+
+from billstar.config import STAGING_LENGTHS
+from billstar.plans.oracle import ORACLE, RUN_TS, TWO_BATCH, q
+
+REPORT = f"""
+report AS (
+  SELECT CAST(sum(n) AS BIGINT) AS total_rows,
+         CAST(sum(m_pid) AS BIGINT) AS missing_patient_id,
+         CAST(sum(m_amt) AS BIGINT) AS missing_montant_facture,
+         CAST(sum(m_date) AS BIGINT) AS missing_date_facturation,
+         CAST(sum(m_etab) AS BIGINT) AS missing_etablissement_id,
+         CAST(sum(neg) AS BIGINT) AS negative_amounts,
+         CAST(sum(fut) AS BIGINT) AS future_dates,
+         CAST(sum(n - 1) AS BIGINT) AS duplicates,
+         CAST(sum(inc_amt) AS BIGINT) AS incoherent_amounts,
+         CAST(sum(inc_dates) AS BIGINT) AS incoherent_dates
+  FROM (
+    SELECT count(*) AS n,
+           count(*) FILTER (WHERE patient_id IS NULL) AS m_pid,
+           count(*) FILTER (WHERE montant_facture IS NULL) AS m_amt,
+           count(*) FILTER (WHERE date_facturation IS NULL) AS m_date,
+           count(*) FILTER (WHERE etablissement_id IS NULL) AS m_etab,
+           count(*) FILTER (WHERE montant_facture < 0) AS neg,
+           count(*) FILTER (WHERE date_facturation > TIMESTAMP '{RUN_TS}') AS fut,
+           count(*) FILTER (WHERE montant_paye > montant_facture) AS inc_amt,
+           count(*) FILTER (WHERE date_paiement IS NOT NULL AND date_paiement < date_facturation) AS inc_dates
+    FROM silver GROUP BY patient_id, date_facturation, montant_facture
+  ) g
+)"""
+
+
+def qr(body: str) -> str:
+    return q("").rstrip() + "," + REPORT + "\n" + body
+
+
+ORACLE["qc_report"] = qr("SELECT * FROM report")
+ORACLE["qc_report_long"] = qr("""
+SELECT check_name, value FROM report
+UNPIVOT (value FOR check_name IN (total_rows, missing_patient_id, missing_montant_facture,
+         missing_date_facturation, missing_etablissement_id, negative_amounts, future_dates,
+         duplicates, incoherent_amounts, incoherent_dates))""")
+ORACLE["qc_missing"] = qr("""
+SELECT missing_patient_id, missing_montant_facture, missing_date_facturation, missing_etablissement_id FROM report""")
+for _col, _key in (("negative_amounts", "qc_negative"), ("future_dates", "qc_future"),
+                   ("duplicates", "qc_duplicates"), ("incoherent_amounts", "qc_incoherent_amounts"),
+                   ("incoherent_dates", "qc_incoherent_dates")):
+    ORACLE[_key] = qr(f"SELECT total_rows, {_col} FROM report")
+ORACLE["qc_gate"] = qr("""
+SELECT total_rows,
+       (missing_patient_id > 0 OR missing_montant_facture > 0 OR negative_amounts > 0) AS critical,
+       CASE WHEN (missing_patient_id > 0 OR missing_montant_facture > 0 OR negative_amounts > 0)
+            THEN 'FAIL' ELSE 'PASS' END AS verdict
+FROM report""")
+
+
+def _violations(rules: list[tuple[str, str]], table: str, key: str) -> str:
+    parts = [f"SELECT '{name}' AS rule, {key} FROM {table} WHERE coalesce({cond}, FALSE)" for name, cond in rules]
+    return "\nUNION ALL\n".join(parts)
+
+
+NOT_NULL = [(f"not_null_{c}", f"{c} IS NULL") for c in
+            ("patient_id", "etablissement_id", "date_facturation", "montant_facture")]
+AMOUNTS = [("check_montant_facture_positive", "montant_facture < 0"),
+           ("check_montant_paye_positive", "montant_paye < 0")]
+DATES = [("check_dates_coherentes", "date_paiement IS NOT NULL AND date_paiement < date_facturation")]
+LENGTHS = [(f"length_{c}", f"length({c}) > {n}") for c, n in STAGING_LENGTHS.items()]
+FACT_NOT_NULL = [(f"not_null_{c}", f"{c} IS NULL") for c in
+                 ("patient_key", "etablissement_key", "date_key", "montant_facture", "montant_paye", "montant_impaye")]
+BALANCE = [("check_coherence_montants", "montant_impaye <> montant_facture - montant_paye")]
+
+ORACLE["chk_not_null"] = q(_violations(NOT_NULL, "silver", "staging_id"))
+ORACLE["chk_amounts"] = q(_violations(AMOUNTS, "silver", "staging_id"))
+ORACLE["chk_dates"] = q(_violations(DATES, "silver", "staging_id"))
+ORACLE["chk_lengths"] = q(_violations(LENGTHS, "silver", "staging_id"))
+ORACLE["chk_row_rules"] = q(_violations(NOT_NULL + AMOUNTS + DATES + LENGTHS, "silver", "staging_id"))
+ORACLE["chk_balance"] = q(_violations(FACT_NOT_NULL + AMOUNTS + BALANCE, "fact", "fact_id"))
+
+
+def _dups(table: str, key: str, name: str) -> str:
+    return (f"SELECT '{name}' AS table_name, '{key}' AS key_column, CAST({key} AS VARCHAR) AS key_value, "
+            f"CAST(count(*) AS BIGINT) AS occurrences FROM {table} GROUP BY {key} HAVING count(*) > 1")
+
+
+ORACLE["chk_unique"] = q("\nUNION ALL\n".join([
+    _dups("dim_patient", "patient_id_naturel", "dim_patient"),
+    _dups("dim_patient", "patient_key", "dim_patient"),
+    _dups("dim_etab", "etablissement_id_naturel", "dim_etablissement"),
+    _dups("dim_date", "date_complete", "dim_date"),
+    _dups("dim_service", "service_code", "dim_service"),
+    _dups("fact", "fact_id", "fact_facturation"),
+]))
+
+ORACLE["chk_fk_orphans"] = TWO_BATCH + """,
+ff AS (SELECT * FROM fact_a UNION ALL SELECT * FROM fact_b)
+SELECT 'fk_fact_patient_key' AS constraint_name, fact_id, patient_key AS missing_key FROM ff f
+WHERE NOT EXISTS (SELECT 1 FROM dim_patient_a d WHERE d.patient_key = f.patient_key)
+UNION ALL
+SELECT 'fk_fact_etablissement_key', fact_id, etablissement_key FROM ff f
+WHERE NOT EXISTS (SELECT 1 FROM dim_etab_a d WHERE d.etablissement_key = f.etablissement_key)
+UNION ALL
+SELECT 'fk_fact_date_key', fact_id, date_key FROM ff f
+WHERE NOT EXISTS (SELECT 1 FROM dim_date_a d WHERE d.date_key = f.date_key)
+UNION ALL
+SELECT 'fk_fact_service_key', fact_id, service_key FROM ff f
+WHERE service_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_service_a d WHERE d.service_key = f.service_key)"""
