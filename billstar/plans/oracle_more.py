@@ -106,3 +106,43 @@ WHERE NOT EXISTS (SELECT 1 FROM dim_date_a d WHERE d.date_key = f.date_key)
 UNION ALL
 SELECT 'fk_fact_service_key', fact_id, service_key FROM ff f
 WHERE service_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_service_a d WHERE d.service_key = f.service_key)"""
+
+# ------------------------------------------------------------------ anomaly
+FEATURES = """
+feat AS (
+  SELECT fact_id, CAST(montant_impaye AS DOUBLE) AS montant_impaye,
+         CAST(coalesce(delai_paiement_jours, 0) AS DOUBLE) AS delai_paiement_jours,
+         CAST(coalesce(nombre_lignes, 0) AS DOUBLE) AS nombre_lignes
+  FROM fact WHERE montant_impaye > 0
+),
+stats AS (
+  SELECT avg(montant_impaye) AS mean_montant_impaye,
+         CASE WHEN coalesce(stddev_pop(montant_impaye), 0) = 0 THEN 1.0 ELSE stddev_pop(montant_impaye) END AS std_montant_impaye,
+         avg(delai_paiement_jours) AS mean_delai_paiement_jours,
+         CASE WHEN coalesce(stddev_pop(delai_paiement_jours), 0) = 0 THEN 1.0 ELSE stddev_pop(delai_paiement_jours) END AS std_delai_paiement_jours,
+         avg(nombre_lignes) AS mean_nombre_lignes,
+         CASE WHEN coalesce(stddev_pop(nombre_lignes), 0) = 0 THEN 1.0 ELSE stddev_pop(nombre_lignes) END AS std_nombre_lignes
+  FROM feat
+)"""
+
+
+def qf(body: str) -> str:
+    return q("").rstrip() + "," + FEATURES + "\n" + body
+
+
+ORACLE["ml_features"] = qf("SELECT * FROM feat")
+ORACLE["scan_unpaid_features"] = q("""
+SELECT fact_id, CAST(montant_impaye AS DOUBLE) AS montant_impaye, delai_paiement_jours, nombre_lignes
+FROM fact WHERE montant_impaye > 0""")
+ORACLE["ml_scaler_stats"] = qf("""
+SELECT round(mean_montant_impaye, 6) AS mean_montant_impaye, round(std_montant_impaye, 6) AS std_montant_impaye,
+       round(mean_delai_paiement_jours, 6) AS mean_delai_paiement_jours,
+       round(std_delai_paiement_jours, 6) AS std_delai_paiement_jours,
+       round(mean_nombre_lignes, 6) AS mean_nombre_lignes, round(std_nombre_lignes, 6) AS std_nombre_lignes
+FROM stats""")
+ORACLE["ml_scaled"] = qf("""
+SELECT f.fact_id,
+       round((f.montant_impaye - s.mean_montant_impaye) / s.std_montant_impaye, 6) AS z_montant_impaye,
+       round((f.delai_paiement_jours - s.mean_delai_paiement_jours) / s.std_delai_paiement_jours, 6) AS z_delai_paiement_jours,
+       round((f.nombre_lignes - s.mean_nombre_lignes) / s.std_nombre_lignes, 6) AS z_nombre_lignes
+FROM feat f, stats s""")
