@@ -232,5 +232,5 @@ def q_drv_delai(spark, sf):
 
 def queries() -> dict[str, QueryFn]:
     # Import side-effect modules that register further queries.
-    from billstar.plans import catalog_ml, catalog_more, catalog_sources  # noqa: F401
+    from billstar.plans import catalog_ml, catalog_more, catalog_runs, catalog_sources  # noqa: F401
     return dict(REGISTRY)

@@ -146,3 +146,20 @@ SELECT f.fact_id,
        round((f.delai_paiement_jours - s.mean_delai_paiement_jours) / s.std_delai_paiement_jours, 6) AS z_delai_paiement_jours,
        round((f.nombre_lignes - s.mean_nombre_lignes) / s.std_nombre_lignes, 6) AS z_nombre_lignes
 FROM feat f, stats s""")
+
+# ------------------------------------------------------------ runs, stream
+ORACLE["run_batch_warehouse"] = ORACLE["view_ca_mensuel"]
+ORACLE["run_batch_replay"] = q("""
+SELECT CAST(2 * (SELECT count(*) FROM stg) AS BIGINT) AS staging_rows,
+       CAST((SELECT count(*) FROM fact) AS BIGINT) AS fact_rows,
+       CAST(0 AS BIGINT) AS second_insert, TRUE AS replay_skipped""")
+ORACLE["stream_incremental"] = q("""
+SELECT p.patient_id_naturel, e.nom_etablissement, d.date_complete AS date_facturation, s.service_nom,
+       CAST(f.montant_facture AS DOUBLE) AS montant_facture, CAST(f.montant_paye AS DOUBLE) AS montant_paye,
+       CAST(f.montant_impaye AS DOUBLE) AS montant_impaye, f.delai_paiement_jours, f.nombre_lignes,
+       f.statut_paiement
+FROM fact f
+JOIN dim_patient p ON f.patient_key = p.patient_key
+JOIN dim_etab e ON f.etablissement_key = e.etablissement_key
+JOIN dim_date d ON f.date_key = d.date_key
+LEFT JOIN dim_service s ON f.service_key = s.service_key""")
