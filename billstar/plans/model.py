@@ -1,13 +1,16 @@
-"""Lazy warehouse over the driver tables (one DataFrame plan per output).
+"""Warehouse over the driver tables, shared by the registered queries.
 
-Nothing here is collected or materialised: each query composes the same
-operator functions the persistent runner uses, and Catalyst plans the
-whole chain (scan -> standardise -> load filters -> dims -> fact -> view).
+Silver is a lazy plan over the driver tables; staging, the dimensions and
+the fact are written once as Parquet tables in the shared checkpoint
+folder (as the warehouse stores them) and every view, mart and report
+query reads those tables. Operators are the same functions the persistent
+runner uses.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +20,7 @@ from billstar.config import RunOptions
 from billstar.operators.dimensions import Dims, build_dims
 from billstar.operators.fact import build_fact
 from billstar.operators.loading import split_rejects, to_staging
+from billstar.session import scratch_dir
 from billstar.sources.driver_tables import driver_silver
 
 DEFAULT_OPTIONS = RunOptions()
@@ -36,13 +40,44 @@ class Model:
     opts: RunOptions
 
 
-def from_driver_tables(spark: SparkSession, sf_dir: str, opts: RunOptions = DEFAULT_OPTIONS) -> Model:
-    silver = driver_silver(spark, sf_dir, opts.timestamp)
+_MODELS: dict[tuple, Model] = {}
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write once as Parquet in the shared folder and read back: cuts the
+    lineage (a lost executor re-reads files instead of recomputing the
+    joins) and gives later plans file statistics and column pruning."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def from_driver_tables(spark: SparkSession, sf_dir: str, opts: RunOptions = DEFAULT_OPTIONS,
+                       materialize: bool = True) -> Model:
+    """Silver stays a lazy plan over the driver tables; staging, the
+    dimensions and the fact are materialised tables, as in the warehouse.
+    Built once per (application, table folder) and shared by queries."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), opts.as_of, opts.run_ts)
+    if materialize and key in _MODELS:
+        return _MODELS[key]
+    ts = opts.timestamp
+    silver = driver_silver(spark, sf_dir, ts)
     valid, rejects = split_rejects(silver)
     staging = to_staging(valid)
-    dims, _ = build_dims(staging, opts.timestamp)
-    fact = build_fact(staging, dims, opts.timestamp)
-    return Model(silver, valid, rejects, staging, dims, fact, opts)
+    if materialize:
+        root = scratch_dir(spark, "model")
+        staging = written(staging, f"{root}/staging_facturation")
+    dims, _ = build_dims(staging, ts)
+    if materialize:
+        dims = Dims(*(written(d, f"{root}/{n}") for n, d in (
+            ("dim_patient", dims.patient), ("dim_etablissement", dims.etablissement),
+            ("dim_date", dims.date), ("dim_service", dims.service))))
+    fact = build_fact(staging, dims, ts)
+    if materialize:
+        fact = written(fact, f"{root}/fact_facturation")
+    model = Model(silver, valid, rejects, staging, dims, fact, opts)
+    if materialize:
+        _MODELS[key] = model
+    return model
 
 
 @dataclass
