@@ -40,7 +40,10 @@ def not_already_loaded(candidates: DataFrame, fact_snapshot: DataFrame | None) -
     all pass, a later batch is suppressed against them."""
     if fact_snapshot is None:
         return candidates
-    seen = fact_snapshot.select(*FACT_DEDUP_KEYS)
+    # distinct keys: a key repeated many times in the fact is reduced
+    # map-side, and the aggregate's hash partitioning on the three keys is
+    # reused by the join (no extra shuffle)
+    seen = fact_snapshot.select(*FACT_DEDUP_KEYS).distinct()
     return candidates.join(seen, FACT_DEDUP_KEYS, "left_anti")
 
 
