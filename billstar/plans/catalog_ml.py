@@ -14,12 +14,19 @@ from billstar.plans.catalog import present, query
 from billstar.plans.model import from_driver_tables
 
 
+_FORESTS: dict[int, tuple] = {}
+
+
 def _scored(spark, sf):
+    """One forest per materialised model, shared by every query that reads
+    its labels (the labels are then identical across those queries)."""
     m = from_driver_tables(spark, sf)
-    o = m.opts
-    res = anomaly.score_anomalies(m.fact, o.iforest_trees, o.iforest_psi, o.contamination, o.seed,
-                                  o.min_rows_for_scoring)
-    return m, res, apply_scores(m.fact, res.scores)
+    if id(m) not in _FORESTS:
+        o = m.opts
+        res = anomaly.score_anomalies(m.fact, o.iforest_trees, o.iforest_psi, o.contamination, o.seed,
+                                      o.min_rows_for_scoring)
+        _FORESTS[id(m)] = (m, res, apply_scores(m.fact, res.scores))
+    return _FORESTS[id(m)]
 
 
 @query("ml_features")

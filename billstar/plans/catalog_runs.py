@@ -62,7 +62,7 @@ def q_run_batch_replay(spark, sf):
 def q_stream_incremental(spark, sf):
     """Two drops into a watched folder, one availableNow run after each:
     each run picks up only the new files."""
-    d, m = fixture_dir(spark, sf)
+    d, m = fixture_dir(spark, sf, shared=False)
     drop = scratch_dir(spark, "drop")
     fs.mkdirs(spark, drop)
     root = scratch_dir(spark, "warehouse")

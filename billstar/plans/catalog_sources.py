@@ -24,16 +24,26 @@ TEXT_COLS = ["patient_id", "patient_nom", "patient_prenom", "etablissement_id",
              "statut_paiement"]
 
 
-def fixture_dir(spark, sf, key: str | None = None):
+_FIXTURES: dict[tuple, str] = {}
+
+
+def fixture_dir(spark, sf, key: str | None = None, shared: bool = True):
     """Write the silver rows as raw files; one dialect, or all five
-    spread by facility region. Returns (folder, model)."""
+    spread by facility region. Returns (folder, model). Read-only callers
+    share one folder per (model, dialect); callers that move files out of
+    it (the stream) ask for a private one."""
     m = from_driver_tables(spark, sf)
+    cache_key = (id(m), key)
+    if shared and cache_key in _FIXTURES:
+        return _FIXTURES[cache_key], m
     out = scratch_dir(spark, "raw")
     rows = m.silver.drop("staging_id")
     if key:
         dialects.export(spark, rows, key, out)
     else:
         dialects.export_by_region(spark, rows, region_of_facility(spark, sf), out)
+    if shared:
+        _FIXTURES[cache_key] = out
     return out, m
 
 

@@ -1,9 +1,9 @@
 """Warehouse over the driver tables, shared by the registered queries.
 
-Silver is a lazy plan over the driver tables; staging, the dimensions and
-the fact are written once as Parquet tables in the shared checkpoint
-folder (as the warehouse stores them) and every view, mart and report
-query reads those tables. Operators are the same functions the persistent
+Silver is derived from the driver tables in one plan; silver, staging,
+the dimensions and the fact are written once as Parquet tables in the
+shared checkpoint folder (as the warehouse stores them) and every query
+reads those tables. Operators are the same functions the persistent
 runner uses.
 """
 
@@ -38,6 +38,7 @@ class Model:
     dims: Dims
     fact: DataFrame
     opts: RunOptions
+    root: str | None = None
 
 
 _MODELS: dict[tuple, Model] = {}
@@ -53,18 +54,20 @@ def written(df: DataFrame, path: str) -> DataFrame:
 
 def from_driver_tables(spark: SparkSession, sf_dir: str, opts: RunOptions = DEFAULT_OPTIONS,
                        materialize: bool = True) -> Model:
-    """Silver stays a lazy plan over the driver tables; staging, the
-    dimensions and the fact are materialised tables, as in the warehouse.
-    Built once per (application, table folder) and shared by queries."""
+    """Silver, staging, the dimensions and the fact are materialised
+    tables, as in the warehouse. Built once per (application, table
+    folder) and shared by queries."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), opts.as_of, opts.run_ts)
     if materialize and key in _MODELS:
         return _MODELS[key]
     ts = opts.timestamp
     silver = driver_silver(spark, sf_dir, ts)
+    if materialize:
+        root = scratch_dir(spark, "model")
+        silver = written(silver, f"{root}/silver_facturation")
     valid, rejects = split_rejects(silver)
     staging = to_staging(valid)
     if materialize:
-        root = scratch_dir(spark, "model")
         staging = written(staging, f"{root}/staging_facturation")
     dims, _ = build_dims(staging, ts)
     if materialize:
@@ -74,7 +77,7 @@ def from_driver_tables(spark: SparkSession, sf_dir: str, opts: RunOptions = DEFA
     fact = build_fact(staging, dims, ts)
     if materialize:
         fact = written(fact, f"{root}/fact_facturation")
-    model = Model(silver, valid, rejects, staging, dims, fact, opts)
+    model = Model(silver, valid, rejects, staging, dims, fact, opts, root if materialize else None)
     if materialize:
         _MODELS[key] = model
     return model
@@ -92,11 +95,31 @@ class TwoBatches:
     new_fact_b: DataFrame
 
 
+_BATCHES: dict[int, TwoBatches] = {}
+
+
 def two_batches(m: Model) -> TwoBatches:
+    """Batch A then batch B, each step written as the warehouse would
+    write it (when the model is materialised); built once per model."""
+    if id(m) in _BATCHES:
+        return _BATCHES[id(m)]
     ts = m.opts.timestamp
+    keep = (lambda df, name: written(df, f"{m.root}/two_batches/{name}")) if m.root else (lambda df, name: df)
+
+    def keep_dims(d: Dims, tag: str) -> Dims:
+        return Dims(keep(d.patient, f"dim_patient_{tag}"), keep(d.etablissement, f"dim_etablissement_{tag}"),
+                    keep(d.date, f"dim_date_{tag}"), keep(d.service, f"dim_service_{tag}"))
+
     batch_a = m.staging.where(F.col("date_facturation") < F.lit(SECOND_BATCH_FROM))
-    dims_a, _ = build_dims(batch_a, ts)
-    fact_a = build_fact(batch_a, dims_a, ts)
-    dims_b, new_b = build_dims(m.staging, ts, existing=dims_a)
-    new_fact_b = build_fact(m.staging, dims_b, ts, fact_snapshot=fact_a)
-    return TwoBatches(dims_a, fact_a, dims_b, new_b, new_fact_b)
+    dims_a = keep_dims(build_dims(batch_a, ts)[0], "a")
+    fact_a = keep(build_fact(batch_a, dims_a, ts), "fact_a")
+    _, new_b = build_dims(m.staging, ts, existing=dims_a)
+    new_b = keep_dims(new_b, "new_b")
+    dims_b = Dims(dims_a.patient.unionByName(new_b.patient),
+                  dims_a.etablissement.unionByName(new_b.etablissement),
+                  dims_a.date.unionByName(new_b.date), dims_a.service.unionByName(new_b.service))
+    new_fact_b = keep(build_fact(m.staging, dims_b, ts, fact_snapshot=fact_a), "new_fact_b")
+    tb = TwoBatches(dims_a, fact_a, dims_b, new_b, new_fact_b)
+    if m.root:
+        _BATCHES[id(m)] = tb
+    return tb

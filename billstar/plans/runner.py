@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from billstar.config import RunOptions
@@ -30,6 +30,17 @@ from billstar.sources import files, fs
 BROADCAST_MAX_ROWS = {"dim_etablissement": 1_000_000, "dim_date": 1_000_000, "dim_service": 1_000_000}
 
 
+def ensure_adaptive(spark: SparkSession) -> None:
+    """Runtime re-planning the joins rely on: AQE, partition coalescing and
+    skew-join splitting (a patient or facility holding a third of all rows
+    is split across tasks instead of landing in one). Only switched on when
+    the session has not set them explicitly."""
+    for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled",
+                "spark.sql.adaptive.skewJoin.enabled"):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, "true")
+
+
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast only behind a measured bound: counting at most
     ``max_rows + 1`` rows of a committed table is cheap."""
@@ -75,6 +86,7 @@ def run_batch(spark: SparkSession, paths: DataFrame, root: str, opts: RunOptions
     """Files of one batch (DataFrame with a ``path`` column) -> warehouse."""
     if fs.exists(spark, _marker(root, batch_id)):
         return BatchResult(batch_id, skipped=True)
+    ensure_adaptive(spark)
     ts = opts.timestamp
     ingest_date = opts.as_of.strftime("%Y%m%d")
 
@@ -92,13 +104,16 @@ def run_batch(spark: SparkSession, paths: DataFrame, root: str, opts: RunOptions
     if opts.strict and report["critical"]:
         raise quality.QualityGateError(f"quality gate failed for batch {batch_id}: {report}")
     valid, rejects = split_rejects(silver)
-    rejects.write.mode("append").parquet(f"{root.rstrip('/')}/rejects/batch={batch_id}")
+    rej_obs = Observation(f"rejects_{batch_id}")
+    rejects.observe(rej_obs, F.count(F.lit(1)).alias("rows")) \
+        .write.mode("append").parquet(f"{root.rstrip('/')}/rejects/batch={batch_id}")
 
     # staging: ids continue after the largest committed id; written once,
     # read back, so later steps see fixed ids
     base = W.max_staging_id(spark, root) + 1
     staged = to_staging(valid).withColumn("staging_id", F.lit(base) + F.monotonically_increasing_id())
-    W.append_staging(staged, root)
+    stg_obs = Observation(f"staging_{batch_id}")
+    W.append_staging(staged.observe(stg_obs, F.count(F.lit(1)).alias("rows")), root)
     batch = W.read_staging(spark, root).where(F.col("staging_id") >= base)
 
     # dimensions: new members only (insert if absent)
@@ -108,16 +123,18 @@ def run_batch(spark: SparkSession, paths: DataFrame, root: str, opts: RunOptions
                             ("dim_date", new_dates, "date"), ("dim_service", new_services, "service")):
         W.append_version(fn(batch, ts, getattr(existing, attr) if existing else None), spark, root, table)
 
-    # fact: anti-join against the fact as it was before this insert
+    # fact: anti-join against the fact as it was before this insert; the
+    # inserted row count is observed during the write (no second pass)
     dims = read_dims(spark, root, broadcast_small=True)
     snapshot = W.read_parts(spark, root, "fact_facturation")
-    part = W.append_version(build_fact(batch, dims, ts, snapshot), spark, root, "fact_facturation")
-    inserted = spark.read.parquet(part).count()
+    fact_obs = Observation(f"fact_{batch_id}")
+    new_rows = build_fact(batch, dims, ts, snapshot).observe(fact_obs, F.count(F.lit(1)).alias("rows"))
+    W.append_version(new_rows, spark, root, "fact_facturation")
 
     fs.write_text(spark, _marker(root, batch_id), dt.datetime.now(dt.timezone.utc).isoformat())
     return BatchResult(batch_id, False, silver_rows=int(report["total_rows"]),
-                       rejected_rows=rejects.count(), staged_rows=batch.count(), inserted_facts=inserted,
-                       report=report)
+                       rejected_rows=int(rej_obs.get["rows"]), staged_rows=int(stg_obs.get["rows"]),
+                       inserted_facts=int(fact_obs.get["rows"]), report=report)
 
 
 def _copy_to_bronze(spark: SparkSession, paths: DataFrame, target: str) -> DataFrame:
