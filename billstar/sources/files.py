@@ -123,15 +123,16 @@ def read_xlsx(spark: SparkSession, paths: list[str], spec: SourceSpec) -> DataFr
     def parse(batches):
         from billstar.sources.xlsx import read_rows
         for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                header, rows = read_rows(bytes(content), dates)
+            for path in pdf["path"]:
+                header, rows = read_rows(fs.read_bytes(path), dates)
                 pos = {h: i for i, h in enumerate(header)}
                 cols = {f: [(r[pos[f]] if f in pos and pos[f] < len(r) else None) for r in rows] for f in fields}
                 cols["source_file"] = [path.rsplit("/", 1)[-1]] * len(rows)
                 yield pd.DataFrame(cols, columns=fields + ["source_file"])
 
-    raw = spark.read.format("binaryFile").load(paths).select("path", "content")
-    # one file per partition: spreadsheets are parsed whole
+    # Only the paths are shuffled (one file per partition); each task
+    # reads its workbook itself, so file bodies never cross the network.
+    raw = spark.createDataFrame([(p,) for p in paths], "path string")
     raw = raw.repartition(max(1, len(paths)), "path")
     return raw.mapInPandas(parse, schema)
 
