@@ -8,49 +8,46 @@ from pyspark.sql import functions as F
 
 from billstar.config import CANONICAL, SourceSpec
 from billstar.functions.derived import payment_delay_days, unpaid_amount
-from billstar.functions.parse import lenient_count, lenient_decimal, lenient_timestamp, null_tokens_to_null
+from billstar.functions.parse import (ident, lenient_count_sql, lenient_decimal_sql, lenient_timestamp_sql,
+                                      null_tokens_to_null_sql)
 from billstar.schema import SILVER
 
 
+TEXT = ("patient_id", "patient_nom", "patient_prenom", "etablissement_id", "etablissement_nom", "service",
+        "statut_paiement")
+
+
 def rename(raw: DataFrame, spec: SourceSpec) -> DataFrame:
     """Source names -> canonical names by name (column order does not
     matter); canonical columns the file lacks are NULL."""
-    present = {c for c in raw.columns}
-    cols = []
-    for canon in CANONICAL:
-        src = next((s for s, c in spec.column_map.items() if c == canon), None)
-        if src is not None and src in present:
-            cols.append(F.col(f"`{src}`").alias(canon))
-        else:
-            cols.append(F.lit(None).cast("string").alias(canon))
-    extra = ["source_file"] if "source_file" in present else []
-    return raw.select(*cols, *extra)
+    present = set(raw.columns)
+    source_of = {c: s for s, c in spec.column_map.items()}
+    exprs = [f"{ident(source_of[canon])} AS {canon}" if source_of.get(canon) in present
+             else f"CAST(NULL AS STRING) AS {canon}" for canon in CANONICAL]
+    if "source_file" in present:
+        exprs.append("source_file")
+    return raw.selectExpr(*exprs)
 
 
 def coerce(renamed: DataFrame, spec: SourceSpec, run_ts) -> DataFrame:
-    """Lenient typing plus derived and provenance columns."""
-    billed_at = lenient_timestamp(F.col("date_facturation"), spec.date_formats)
-    paid_at = lenient_timestamp(F.col("date_paiement"), spec.date_formats)
-    billed = lenient_decimal(F.col("montant_facture"))
-    paid = lenient_decimal(F.col("montant_paye"))
-    text = {c: null_tokens_to_null(F.col(c)) for c in
-            ("patient_id", "patient_nom", "patient_prenom", "etablissement_id", "etablissement_nom",
-             "service", "statut_paiement")}
-    out = renamed.select(
-        *[text[c].alias(c) for c in ("patient_id", "patient_nom", "patient_prenom",
-                                      "etablissement_id", "etablissement_nom", "service")],
-        billed_at.alias("date_facturation"),
-        billed.alias("montant_facture"),
-        text["statut_paiement"].alias("statut_paiement"),
-        paid.alias("montant_paye"),
-        paid_at.alias("date_paiement"),
-        lenient_count(F.col("nombre_lignes")).alias("nombre_lignes"),
-        (F.col("source_file") if "source_file" in renamed.columns else F.lit(None).cast("string")).alias("source_file"),
-    )
-    out = (out.withColumn("montant_impaye", unpaid_amount(F.col("montant_facture"), F.col("montant_paye")))
-              .withColumn("delai_paiement_jours", payment_delay_days(F.col("date_paiement"), F.col("date_facturation")))
-              .withColumn("load_timestamp", F.lit(run_ts).cast("timestamp")))
-    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SILVER.fields])
+    """Lenient typing plus derived and provenance columns. The typing is
+    one SQL projection (parsed JVM-side in a single call)."""
+    c = {name: ident(name) for name in CANONICAL}
+    typed = [
+        *[f"{null_tokens_to_null_sql(c[n])} AS {n}" for n in TEXT],
+        f"{lenient_timestamp_sql(c['date_facturation'], spec.date_formats)} AS date_facturation",
+        f"{lenient_timestamp_sql(c['date_paiement'], spec.date_formats)} AS date_paiement",
+        f"{lenient_decimal_sql(c['montant_facture'])} AS montant_facture",
+        f"{lenient_decimal_sql(c['montant_paye'])} AS montant_paye",
+        f"{lenient_count_sql(c['nombre_lignes'])} AS nombre_lignes",
+        "source_file" if "source_file" in renamed.columns else "CAST(NULL AS STRING) AS source_file",
+    ]
+    out = (renamed.selectExpr(*typed)
+           .withColumn("montant_impaye", unpaid_amount(F.col("montant_facture"), F.col("montant_paye")))
+           .withColumn("delai_paiement_jours", payment_delay_days(F.col("date_paiement"), F.col("date_facturation")))
+           .withColumn("load_timestamp", F.lit(run_ts).cast("timestamp")))
+    return out.selectExpr(*[f"CAST({ident(f.name)} AS {f.dataType.simpleString()}) AS {ident(f.name)}"
+                            for f in SILVER.fields])
 
 
 def standardize(raw: DataFrame, spec: SourceSpec, run_ts) -> DataFrame:
