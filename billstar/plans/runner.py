@@ -106,15 +106,14 @@ def run_batch(spark: SparkSession, paths: DataFrame, root: str, opts: RunOptions
     valid, rejects = split_rejects(silver)
     rej_obs = Observation(f"rejects_{batch_id}")
     rejects.observe(rej_obs, F.count(F.lit(1)).alias("rows")) \
-        .write.mode("append").parquet(f"{root.rstrip('/')}/rejects/batch={batch_id}")
+        .write.mode("overwrite").parquet(f"{root.rstrip('/')}/rejects/batch={batch_id}")
 
     # staging: ids continue after the largest committed id; written once,
     # read back, so later steps see fixed ids
-    base = W.max_staging_id(spark, root) + 1
+    base = W.max_staging_id(spark, root, exclude_batch=batch_id) + 1
     staged = to_staging(valid).withColumn("staging_id", F.lit(base) + F.monotonically_increasing_id())
-    stg_obs = Observation(f"staging_{batch_id}")
-    W.append_staging(staged.observe(stg_obs, F.count(F.lit(1)).alias("rows")), root)
-    batch = W.read_staging(spark, root).where(F.col("staging_id") >= base)
+    staged_rows = W.write_staging_batch(staged, spark, root, batch_id)
+    batch = W.read_staging(spark, root, batch_id)
 
     # dimensions: new members only (insert if absent)
     existing = read_dims(spark, root)
@@ -133,7 +132,7 @@ def run_batch(spark: SparkSession, paths: DataFrame, root: str, opts: RunOptions
 
     fs.write_text(spark, _marker(root, batch_id), dt.datetime.now(dt.timezone.utc).isoformat())
     return BatchResult(batch_id, False, silver_rows=int(report["total_rows"]),
-                       rejected_rows=int(rej_obs.get["rows"]), staged_rows=int(stg_obs.get["rows"]),
+                       rejected_rows=int(rej_obs.get["rows"]), staged_rows=staged_rows,
                        inserted_facts=int(fact_obs.get["rows"]), report=report)
 
 

@@ -2,7 +2,7 @@
 
 * silver: Parquet partitioned by ``ingest_date`` / ``run_id`` (A8, A9);
   date partitions prune at scan time.
-* staging: append-only Parquet (A10); appends commit per job.
+* staging: append-only Parquet, one folder per batch (A10).
 * dimensions, fact, scores, mart: versioned snapshots
   ``<root>/<table>/v=<n>/``; a version is visible once its ``_SUCCESS``
   marker exists, so readers never see a half-written table and a writer
@@ -33,8 +33,11 @@ SCHEMAS = {
 # ------------------------------------------------------------------- silver
 def write_silver(df: DataFrame, root: str, ingest_date: str, run_id: str) -> str:
     out = root.rstrip("/")
+    # dynamic overwrite replaces only this (ingest date, run) partition:
+    # a rerun of the same batch rewrites its rows instead of adding them
     (df.withColumn("ingest_date", F.lit(ingest_date)).withColumn("run_id", F.lit(run_id))
-     .write.mode("append").partitionBy("ingest_date", "run_id").parquet(out))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("ingest_date", "run_id").parquet(out))
     return out
 
 
@@ -48,23 +51,61 @@ def read_silver(spark: SparkSession, root: str, ingest_date: str | None = None)
 
 
 # ------------------------------------------------------------------ staging
-def append_staging(df: DataFrame, root: str) -> None:
-    df.write.mode("append").parquet(f"{root.rstrip('/')}/staging_facturation")
-
-
-def read_staging(spark: SparkSession, root: str) -> DataFrame | None:
-    path = f"{root.rstrip('/')}/staging_facturation"
-    if not fs.exists(spark, path) or not fs.list_files(spark, path, ".parquet"):
+# Staging is append-only, one immutable folder per batch
+# (``staging_facturation/batch=<id>``), overwritten only by a rerun of the
+# same batch, so a retried batch never duplicates rows. The largest id a
+# batch used is recorded next to it (observed during the write), so the
+# next batch's first id needs no scan of the staging history.
+def _staging(root: str) -> str:
+    return f"{root.rstrip('/')}/staging_facturation"
+
+
+def _staging_ids(root: str) -> str:
+    return f"{root.rstrip('/')}/_staging_max_id"
+
+
+def write_staging_batch(df: DataFrame, spark: SparkSession, root: str, batch_id: str) -> int:
+    """Write one batch's staging rows; returns the number of rows. The row
+    count and the largest id are observed while the rows are written."""
+    from pyspark.sql import Observation
+    obs = Observation(f"staging_{batch_id}")
+    (df.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("staging_id").alias("max_id"))
+     .write.mode("overwrite").parquet(f"{_staging(root)}/batch={batch_id}"))
+    got = obs.get
+    if got["max_id"] is not None:
+        fs.write_text(spark, f"{_staging_ids(root)}/{batch_id}", str(int(got["max_id"])))
+    return int(got["rows"])
+
+
+def _staging_batches(spark: SparkSession, root: str) -> list[str]:
+    return [d for d in fs.list_dirs(spark, _staging(root))
+            if d.rstrip("/").rsplit("/", 1)[-1].startswith("batch=") and fs.exists(spark, f"{d}/_SUCCESS")]
+
+
+def read_staging(spark: SparkSession, root: str, batch_id: str | None = None) -> DataFrame | None:
+    """Committed staging rows: one batch's folder, or all of them."""
+    if batch_id is not None:
+        d = f"{_staging(root)}/batch={batch_id}"
+        dirs = [d] if fs.exists(spark, f"{d}/_SUCCESS") else []
+    else:
+        dirs = _staging_batches(spark, root)
+    if not dirs:
         return None
-    return spark.read.schema(STAGING).parquet(path)
-
-
-def max_staging_id(spark: SparkSession, root: str) -> int:
-    st = read_staging(spark, root)
-    if st is None:
-        return 0
-    v = st.agg(F.max("staging_id")).first()[0]
-    return int(v or 0)
+    return spark.read.schema(STAGING).parquet(*dirs)
+
+
+def max_staging_id(spark: SparkSession, root: str, exclude_batch: str | None = None) -> int:
+    """Largest staging id of the committed batches other than
+    ``exclude_batch`` (a rerun of a batch reuses its own id range)."""
+    best = 0
+    for d in _staging_batches(spark, root):
+        b = d.rstrip("/").rsplit("/", 1)[-1][len("batch="):]
+        if b == exclude_batch:
+            continue
+        v = fs.read_text(spark, f"{_staging_ids(root)}/{b}")
+        if v:
+            best = max(best, int(v))
+    return best
 
 
 # --------------------------------------------------------------- snapshots
