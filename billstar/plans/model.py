@@ -52,6 +52,16 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def concurrently(calls: list[tuple]) -> list:
+    """Run independent Spark actions as concurrent jobs (one driver thread
+    each), so small outputs share the cluster instead of queueing; results
+    in call order, the first error is raised."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, len(calls))) as pool:
+        futures = [pool.submit(fn, *args) for fn, args in calls]
+        return [f.result() for f in futures]
+
+
 def from_driver_tables(spark: SparkSession, sf_dir: str, opts: RunOptions = DEFAULT_OPTIONS,
                        materialize: bool = True) -> Model:
     """Silver, staging, the dimensions and the fact are materialised
@@ -71,9 +81,9 @@ def from_driver_tables(spark: SparkSession, sf_dir: str, opts: RunOptions = DEFA
         staging = written(staging, f"{root}/staging_facturation")
     dims, _ = build_dims(staging, ts)
     if materialize:
-        dims = Dims(*(written(d, f"{root}/{n}") for n, d in (
+        dims = Dims(*concurrently([(written, (d, f"{root}/{n}")) for n, d in (
             ("dim_patient", dims.patient), ("dim_etablissement", dims.etablissement),
-            ("dim_date", dims.date), ("dim_service", dims.service))))
+            ("dim_date", dims.date), ("dim_service", dims.service))]))
     fact = build_fact(staging, dims, ts)
     if materialize:
         fact = written(fact, f"{root}/fact_facturation")
@@ -107,8 +117,9 @@ def two_batches(m: Model) -> TwoBatches:
     keep = (lambda df, name: written(df, f"{m.root}/two_batches/{name}")) if m.root else (lambda df, name: df)
 
     def keep_dims(d: Dims, tag: str) -> Dims:
-        return Dims(keep(d.patient, f"dim_patient_{tag}"), keep(d.etablissement, f"dim_etablissement_{tag}"),
-                    keep(d.date, f"dim_date_{tag}"), keep(d.service, f"dim_service_{tag}"))
+        return Dims(*concurrently([(keep, (df, f"{name}_{tag}")) for name, df in (
+            ("dim_patient", d.patient), ("dim_etablissement", d.etablissement),
+            ("dim_date", d.date), ("dim_service", d.service))]))
 
     batch_a = m.staging.where(F.col("date_facturation") < F.lit(SECOND_BATCH_FROM))
     dims_a = keep_dims(build_dims(batch_a, ts)[0], "a")

@@ -23,6 +23,7 @@ from billstar.operators.fact import apply_scores, build_fact
 from billstar.operators.loading import split_rejects, to_staging
 from billstar.operators.standardize import build_silver
 from billstar.plans import warehouse as W
+from billstar.plans.model import concurrently
 from billstar.sources import files, fs
 
 # Upper bounds (rows) under which a dimension is broadcast to the fact
@@ -116,11 +117,13 @@ def run_batch(spark: SparkSession, paths: DataFrame, root: str, opts: RunOptions
     batch = W.read_staging(spark, root, batch_id)
 
     # dimensions: new members only (insert if absent)
+    # (the four are independent jobs, submitted together)
     existing = read_dims(spark, root)
-    for table, fn, attr in (("dim_patient", new_patients, "patient"),
-                            ("dim_etablissement", new_etablissements, "etablissement"),
-                            ("dim_date", new_dates, "date"), ("dim_service", new_services, "service")):
-        W.append_version(fn(batch, ts, getattr(existing, attr) if existing else None), spark, root, table)
+    concurrently([(W.append_version, (fn(batch, ts, getattr(existing, attr) if existing else None), spark, root,
+                                      table))
+                  for table, fn, attr in (("dim_patient", new_patients, "patient"),
+                                          ("dim_etablissement", new_etablissements, "etablissement"),
+                                          ("dim_date", new_dates, "date"), ("dim_service", new_services, "service"))])
 
     # fact: anti-join against the fact as it was before this insert; the
     # inserted row count is observed during the write (no second pass)
