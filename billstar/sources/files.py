@@ -55,20 +55,22 @@ def file_format(file_name: Column) -> Column:
 def _sniff(batches):
     for pdf in batches:
         heads = []
-        for p in pdf["path"]:
-            if p.lower().endswith(".csv"):
+        for p, fmt in zip(pdf["path"], pdf["fmt"]):
+            if fmt == "csv":
                 raw = fs.read_head(p)
-                text = raw.decode("utf-8", errors="replace").lstrip("﻿")
+                text = raw.decode("utf-8", errors="replace").lstrip("\ufeff")
                 heads.append(text.splitlines()[0] if text else "")
             else:
                 heads.append(None)
-        yield pd.DataFrame({"path": pdf["path"], "header": heads})
+        yield pdf.assign(header=heads)
 
 
 def sniff_headers(files: DataFrame) -> DataFrame:
-    """First line of every delimited file, read by tasks (first 64 KiB of
-    each file only)."""
-    return files.select("path").mapInPandas(_sniff, "path string, header string")
+    """Adds the first line of every delimited file (NULL for other
+    formats), read by tasks from the first 64 KiB of each file only; the
+    file rows pass through, so no join is needed."""
+    schema = T.StructType(files.schema.fields + [T.StructField("header", T.StringType())])
+    return files.mapInPandas(_sniff, schema)
 
 
 def choose_delimiter(header: str, expected: set[str]) -> str:
@@ -90,8 +92,7 @@ def plan_files(spark: SparkSession, paths_df: DataFrame) -> list[dict]:
     files = paths_df.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"))
     files = files.withColumn("source_key", resolve_source(F.col("file_name"))) \
                  .withColumn("fmt", file_format(F.col("file_name")))
-    heads = sniff_headers(files.where(F.col("fmt") == "csv"))
-    info = files.join(heads, "path", "left").collect()
+    info = sniff_headers(files).collect()  # one row per file
     out = []
     for r in info:
         spec_cols = set(COLUMN_MAPS[r.source_key])
