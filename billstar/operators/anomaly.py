@@ -12,7 +12,7 @@ Isolation forest (Liu, Ting, Zhou 2008) on Spark:
 4. fitting (L3): ``groupBy("tree").applyInPandas`` grows one tree per
    group with numpy (random feature, random split in [min, max], height
    limit ceil(log2 psi)). Output <= trees * (2 psi - 1) node rows.
-5. scoring (L4): the node table (bounded) is collected and shipped to a
+5. scoring (L4): the node table (bounded) is collected and broadcast to a
    vectorised ``mapInPandas`` that walks all trees for a whole Arrow
    batch at once; s = 2^(-E[h] / c(psi)), score = -s.
 6. threshold (G26): exact ``contamination`` quantile of the scores,
@@ -160,8 +160,11 @@ def score(scaled: DataFrame, nodes: pd.DataFrame) -> DataFrame:
     psi = int(nodes["psi"].max())
     c_psi = float(avg_path(np.array([psi]))[0]) or 1.0
     zcols = [f"z_{c}" for c in FEATURES]
+    # the forest (<= trees * (2 psi - 1) nodes) goes to each executor once
+    forest = scaled.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches):
+        trees = forest.value
         for pdf in batches:
             x = pdf[zcols].to_numpy(dtype=float)
             m = len(x)
