@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from billstar.functions.calendar import calendar_columns
-from billstar.schema import DIM_DATE, DIM_ETABLISSEMENT, DIM_PATIENT, DIM_SERVICE
+from billstar.schema import DIM_DATE, DIM_ETABLISSEMENT, DIM_PATIENT, DIM_SERVICE, conform
 
 VALID_TO_OPEN = dt.datetime(9999, 12, 31)
 
@@ -33,7 +33,7 @@ class Dims:
 
 
 def _conform(df: DataFrame, schema) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return conform(df, schema)
 
 
 def _first_wins(staging: DataFrame, natural: str, attrs: list[str], key: str) -> DataFrame:

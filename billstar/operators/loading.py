@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billstar.schema import STAGING
+from billstar.schema import STAGING, conform
 
 REASON_NULL_DATE = "date_facturation_null"
 REASON_PAID_BEFORE_BILLED = "date_paiement_avant_facturation"
@@ -46,10 +46,4 @@ def split_rejects(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def to_staging(valid: DataFrame) -> DataFrame:
     """Cast to the staging contract: timestamps truncate to dates."""
-    out = []
-    for f in STAGING.fields:
-        if f.name in valid.columns:
-            out.append(F.col(f.name).cast(f.dataType).alias(f.name))
-        else:
-            out.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return valid.select(*out)
+    return conform(valid, STAGING, fill_missing=True)

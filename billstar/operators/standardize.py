@@ -10,7 +10,7 @@ from billstar.config import CANONICAL, SourceSpec
 from billstar.functions.derived import payment_delay_days, unpaid_amount
 from billstar.functions.parse import (ident, lenient_count_sql, lenient_decimal_sql, lenient_timestamp_sql,
                                       null_tokens_to_null_sql)
-from billstar.schema import SILVER
+from billstar.schema import SILVER, conform
 
 
 TEXT = ("patient_id", "patient_nom", "patient_prenom", "etablissement_id", "etablissement_nom", "service",
@@ -46,8 +46,7 @@ def coerce(renamed: DataFrame, spec: SourceSpec, run_ts) -> DataFrame:
            .withColumn("montant_impaye", unpaid_amount(F.col("montant_facture"), F.col("montant_paye")))
            .withColumn("delai_paiement_jours", payment_delay_days(F.col("date_paiement"), F.col("date_facturation")))
            .withColumn("load_timestamp", F.lit(run_ts).cast("timestamp")))
-    return out.selectExpr(*[f"CAST({ident(f.name)} AS {f.dataType.simpleString()}) AS {ident(f.name)}"
-                            for f in SILVER.fields])
+    return conform(out, SILVER)
 
 
 def standardize(raw: DataFrame, spec: SourceSpec, run_ts) -> DataFrame:

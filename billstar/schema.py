@@ -124,3 +124,25 @@ SCORES = T.StructType([
 def all_string(columns) -> T.StructType:
     """Schema that reads every raw field as text (keeps leading zeros)."""
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def conform(df, schema: T.StructType, fill_missing: bool = False):
+    """``df`` projected onto ``schema``: columns in schema order, each cast
+    to its type; with ``fill_missing``, absent columns become typed NULLs.
+    One ``selectExpr`` (a single driver call) instead of one cast per
+    column."""
+    have = set(df.columns)
+    exprs = []
+    for f in schema.fields:
+        t = f.dataType.simpleString()
+        if f.name in have:
+            exprs.append(f"CAST({_ident(f.name)} AS {t}) AS {_ident(f.name)}")
+        elif fill_missing:
+            exprs.append(f"CAST(NULL AS {t}) AS {_ident(f.name)}")
+        else:
+            raise ValueError(f"column {f.name} missing")
+    return df.selectExpr(*exprs)
