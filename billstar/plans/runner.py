@@ -113,7 +113,7 @@ def run_batch(spark: SparkSession, paths: DataFrame, root: str, opts: RunOptions
     # read back, so later steps see fixed ids
     base = W.max_staging_id(spark, root, exclude_batch=batch_id) + 1
     staged = to_staging(valid).withColumn("staging_id", F.lit(base) + F.monotonically_increasing_id())
-    staged_rows = W.write_staging_batch(staged, spark, root, batch_id)
+    staged_rows = W.append_staging(staged, spark, root, batch_id)
     batch = W.read_staging(spark, root, batch_id)
 
     # dimensions: new members only (insert if absent)

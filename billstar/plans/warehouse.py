@@ -64,7 +64,7 @@ def _staging_ids(root: str) -> str:
     return f"{root.rstrip('/')}/_staging_max_id"
 
 
-def write_staging_batch(df: DataFrame, spark: SparkSession, root: str, batch_id: str) -> int:
+def append_staging(df: DataFrame, spark: SparkSession, root: str, batch_id: str) -> int:
     """Write one batch's staging rows; returns the number of rows. The row
     count and the largest id are observed while the rows are written."""
     from pyspark.sql import Observation

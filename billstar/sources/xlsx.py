@@ -23,12 +23,21 @@ EXCEL_EPOCH = dt.datetime(1899, 12, 30)
 _REF = re.compile(r"([A-Z]+)(\d+)")
 
 
+_COLS: dict[str, int] = {}
+
+
 def col_index(ref: str) -> int:
-    letters = _REF.match(ref).group(1)
-    n = 0
-    for ch in letters:
-        n = n * 26 + (ord(ch) - 64)
-    return n - 1
+    """0-based column of a cell reference such as ``AB12`` (cached by
+    column letters: a sheet has few distinct columns)."""
+    letters = ref.rstrip("0123456789")
+    i = _COLS.get(letters)
+    if i is None:
+        letters = _REF.match(ref).group(1)
+        n = 0
+        for ch in letters:
+            n = n * 26 + (ord(ch) - 64)
+        i = _COLS[letters] = n - 1
+    return i
 
 
 def col_letters(i: int) -> str:
