@@ -156,7 +156,8 @@ def _copy_to_bronze(spark: SparkSession, paths: DataFrame, target: str) -> DataF
 def score_and_publish(spark: SparkSession, root: str, opts: RunOptions):
     """Anomaly step: score the unpaid invoices of the whole fact and
     publish the labels as a new version laid over older ones."""
-    fact = read_fact(spark, root)
+    # features need no earlier labels: the raw parts, without the overlay join
+    fact = W.read_parts(spark, root, "fact_facturation")
     if fact is None:
         return None
     res = anomaly.score_anomalies(fact, opts.iforest_trees, opts.iforest_psi, opts.contamination, opts.seed,
@@ -190,10 +191,12 @@ def read_mart(spark: SparkSession, root: str, opts: RunOptions) -> DataFrame:
 def register_views(spark: SparkSession, root: str, opts: RunOptions) -> None:
     dims = read_dims(spark, root)
     fact = read_fact(spark, root)
+    # the monthly view uses no label: it skips the overlay join
+    unlabelled = W.read_parts(spark, root, "fact_facturation")
     W.register_views(spark, {
         "v_facturation_complete": views.facturation_complete(fact, dims),
         "v_stats_etablissement": views.stats_etablissement(fact, dims),
-        "v_ca_mensuel": views.ca_mensuel(fact, dims),
+        "v_ca_mensuel": views.ca_mensuel(unlabelled, dims),
     })
 
 

@@ -70,3 +70,19 @@ def test_rerun_after_failure_is_idempotent(spark, workdir, monkeypatch):
 
     # a committed batch id is skipped
     assert runner.run_batch(spark, _paths(spark, inputs), root, OPTS, "b2").skipped
+
+
+def test_run_publishes_views_and_mart(spark, workdir):
+    inputs = os.path.join(workdir, "in")
+    os.makedirs(inputs)
+    make_inputs(inputs)
+    root = os.path.join(workdir, "wh")
+    summary = runner.run(spark, inputs, root, OPTS, batch_id="d1")
+    fact = runner.read_fact(spark, root)
+    # the view registered over the unlabelled parts and the one over the
+    # labelled fact agree on the totals
+    monthly = spark.table("v_ca_mensuel").agg(F.sum("nombre_factures").alias("n")).first()["n"]
+    stats = spark.table("v_stats_etablissement").agg(F.sum("nombre_factures").alias("n")).first()["n"]
+    assert monthly == stats == fact.count()
+    assert summary["mart_rows"] == runner.read_mart(spark, root, OPTS).count()
+    assert summary["scored"] < OPTS.min_rows_for_scoring          # too few unpaid rows: scoring skipped
