@@ -43,11 +43,27 @@ def length_rules(limits: dict[str, int] = STAGING_LENGTHS) -> dict[str, Column]:
     return {f"length_{c}": F.length(F.col(c)) > n for c, n in limits.items()}
 
 
-def violations(df: DataFrame, rules: dict[str, Column], key: str) -> DataFrame:
-    """(rule, key) for every row and rule it breaks; one pass."""
-    flagged = F.filter(
+def fact_rules() -> dict[str, Column]:
+    """Every constraint of the fact table: NOT NULL, the two CHECKs on
+    amounts and the balance CHECK (its foreign keys hold by construction:
+    the fact is built with inner lookups)."""
+    return {**not_null_rules(FACT_NOT_NULL), **amount_rules(), **balance_rules()}
+
+
+def broken_rules(rules: dict[str, Column]) -> Column:
+    """Array of the names of the rules a row breaks (empty when none)."""
+    return F.filter(
         F.array(*[F.when(F.coalesce(cond, F.lit(False)), F.lit(name)) for name, cond in rules.items()]),
         lambda x: x.isNotNull())
+
+
+class ConstraintError(ValueError):
+    """Rows of a batch break a table constraint (strict mode)."""
+
+
+def violations(df: DataFrame, rules: dict[str, Column], key: str) -> DataFrame:
+    """(rule, key) for every row and rule it breaks; one pass."""
+    flagged = broken_rules(rules)
     return (df.select(F.col(key).alias(key), flagged.alias("_rules"))
             .where(F.size("_rules") > 0)
             .select(F.explode("_rules").alias("rule"), key))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from billstar.config import RunOptions
 from billstar.operators import anomaly, marts, quality, views
+from billstar.operators import constraints as K
 from billstar.operators.dimensions import Dims, new_dates, new_etablissements, new_patients, new_services
 from billstar.operators.fact import apply_scores, build_fact
 from billstar.operators.loading import split_rejects, to_staging
@@ -57,6 +58,7 @@ class BatchResult:
     rejected_rows: int = 0
     staged_rows: int = 0
     inserted_facts: int = 0
+    quarantined_facts: int = 0
     report: dict | None = None
 
 
@@ -125,18 +127,34 @@ def run_batch(spark: SparkSession, paths: DataFrame, root: str, opts: RunOptions
                                           ("dim_etablissement", new_etablissements, "etablissement"),
                                           ("dim_date", new_dates, "date"), ("dim_service", new_services, "service"))])
 
-    # fact: anti-join against the fact as it was before this insert; the
-    # inserted row count is observed during the write (no second pass)
+    # fact: anti-join against the fact as it was before this insert. The
+    # fact's constraints (T8) are checked in the same pass that writes the
+    # rows: only conforming rows are written, the others are counted.
+    # Nothing is visible until the part is committed; strict mode raises
+    # instead (like the rejected INSERT), lenient mode quarantines them.
     dims = read_dims(spark, root, broadcast_small=True)
     snapshot = W.read_parts(spark, root, "fact_facturation")
+    checked = build_fact(batch, dims, ts, snapshot).withColumn("_broken", K.broken_rules(K.fact_rules()))
     fact_obs = Observation(f"fact_{batch_id}")
-    new_rows = build_fact(batch, dims, ts, snapshot).observe(fact_obs, F.count(F.lit(1)).alias("rows"))
-    W.append_version(new_rows, spark, root, "fact_facturation")
+    observed = checked.observe(fact_obs, F.count(F.lit(1)).alias("rows"),
+                               F.count_if(F.size("_broken") > 0).alias("broken"))
+    staged_part = W.stage_part(observed.where(F.size("_broken") == 0).drop("_broken"), root, "fact_facturation",
+                               batch_id)
+    broken = int(fact_obs.get["broken"])
+    if broken and opts.strict:
+        raise K.ConstraintError(f"batch {batch_id}: {broken} fact rows break the fact constraints "
+                                f"(see {K.__name__}.fact_rules)")
+    W.commit_part(spark, staged_part, root, "fact_facturation")
+    if broken:
+        # rare path: the offending rows (with the rules they break) are kept
+        (checked.where(F.size("_broken") > 0)
+         .write.mode("overwrite").parquet(f"{root.rstrip('/')}/quarantine/fact_facturation/batch={batch_id}"))
 
     fs.write_text(spark, _marker(root, batch_id), dt.datetime.now(dt.timezone.utc).isoformat())
     return BatchResult(batch_id, False, silver_rows=int(report["total_rows"]),
                        rejected_rows=int(rej_obs.get["rows"]), staged_rows=staged_rows,
-                       inserted_facts=int(fact_obs.get["rows"]), report=report)
+                       inserted_facts=int(fact_obs.get["rows"]) - broken, quarantined_facts=broken,
+                       report=report)
 
 
 def _copy_to_bronze(spark: SparkSession, paths: DataFrame, target: str) -> DataFrame:

@@ -152,6 +152,25 @@ def append_version(df: DataFrame, spark: SparkSession, root: str, table: str) ->
     return path
 
 
+def stage_part(df: DataFrame, root: str, table: str, batch_id: str) -> str:
+    """Write a batch's rows for an append-only table outside the committed
+    parts (readers never see them); a rerun overwrites them."""
+    path = f"{root.rstrip('/')}/{table}/_incoming/batch={batch_id}"
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def commit_part(spark: SparkSession, staged: str, root: str, table: str) -> str:
+    """Make a staged part visible as the next committed part (a directory
+    rename, no data copy on HDFS-like file systems)."""
+    base = f"{root.rstrip('/')}/{table}/parts"
+    fs.mkdirs(spark, base)
+    existing = [d for d in fs.list_dirs(spark, base) if fs.exists(spark, f"{d}/_SUCCESS")]
+    path = f"{base}/p={len(existing) + 1:06d}"
+    fs.rename(spark, staged, path)
+    return path
+
+
 def read_parts(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     base = f"{root.rstrip('/')}/{table}/parts"
     parts = [d for d in fs.list_dirs(spark, base) if fs.exists(spark, f"{d}/_SUCCESS")]

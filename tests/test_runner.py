@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from billstar.config import RunOptions
 from billstar.plans import runner
 from billstar.plans import warehouse as W
 from billstar.sources import files, fs
+from billstar.operators import constraints as K
+from tests.conftest import write_text
 from tests.test_sources import make_inputs
 
 # the inputs hold deliberately bad rows; the gate itself is tested elsewhere
@@ -50,28 +53,55 @@ def test_rerun_after_failure_is_idempotent(spark, workdir, monkeypatch):
     fact = runner.read_fact(spark, root)
     assert staged.count() == first.staged_rows
     assert silver.count() == first.silver_rows
-    # one fact per staging row, once. A NULL amount never matches in NOT
-    # EXISTS, so such a row (possible only with strict=False) is inserted
-    # again by every load, as in SQL; keyed rows are not.
+    # one fact per conforming staging row, once; the row with a NULL amount
+    # breaks the fact's NOT NULL (T8) and is quarantined by every load
     keyed = F.col("montant_facture").isNotNull()
     n_keyed = staged.where(keyed).count()
-    assert fact.where(keyed).count() == n_keyed
-    assert first.inserted_facts == staged.count() - n_keyed      # the crashed run inserted the rest
+    n_null = staged.count() - n_keyed
+    assert n_null == 1
+    assert fact.count() == n_keyed
+    assert first.inserted_facts == 0                             # the crashed run already inserted them
+    assert first.quarantined_facts == n_null
     assert staged.select("staging_id").distinct().count() == staged.count()
 
     # the same files as a new batch: staging grows, ids continue, the fact does not
     second = runner.run_batch(spark, _paths(spark, inputs), root, OPTS, "b2")
-    assert second.inserted_facts == staged.count() - n_keyed
+    assert second.inserted_facts == 0 and second.quarantined_facts == n_null
     ids_b1 = [r[0] for r in W.read_staging(spark, root, "b1").select("staging_id").collect()]
     ids_b2 = [r[0] for r in W.read_staging(spark, root, "b2").select("staging_id").collect()]
     assert min(ids_b2) > max(ids_b1)
     assert W.max_staging_id(spark, root) == max(ids_b2)
-    assert runner.read_fact(spark, root).where(keyed).count() == n_keyed
+    assert runner.read_fact(spark, root).count() == n_keyed
 
     # a committed batch id is skipped
     assert runner.run_batch(spark, _paths(spark, inputs), root, OPTS, "b2").skipped
 
 
+PAID_MISSING = ("NumPatient,NomPatient,PrenomPatient,CodeEtablissement,NomEtablissement,ServiceMedical,"
+                "DateFacture,Montant,StatutPaiement,MontantPaye,DatePaiement,NombreLignes\n"
+                "A1,Dupont,Jean,ETAB001,Clinique ETAB001,URGENCES,05/01/2025,100.00,PAYE,100.00,25/01/2025,3\n"
+                "A2,Martin,Anne,ETAB001,Clinique ETAB001,URGENCES,06/01/2025,200.00,IMPAYE,,,1\n")
+
+
+def test_fact_constraints_strict_raises_lenient_quarantines(spark, workdir):
+    """A NULL paid amount passes the gate and staging but breaks the fact's
+    NOT NULL (T8): strict mode makes no fact row visible, lenient mode
+    inserts the conforming rows and quarantines the other."""
+    inputs = os.path.join(workdir, "in")
+    os.makedirs(inputs)
+    write_text(os.path.join(inputs, "etablissement1_facturation.csv"), PAID_MISSING)
+    root = os.path.join(workdir, "wh")
+    strict = RunOptions(as_of=OPTS.as_of, run_ts=OPTS.run_ts, strict=True)
+    with pytest.raises(K.ConstraintError):
+        runner.run_batch(spark, _paths(spark, inputs), root, strict, "b1")
+    assert runner.read_fact(spark, root) is None                 # nothing committed
+    res = runner.run_batch(spark, _paths(spark, inputs), root, OPTS, "b1")
+    assert (res.inserted_facts, res.quarantined_facts) == (1, 1)
+    assert [r.montant_facture for r in runner.read_fact(spark, root).collect()] == [Decimal("100.00")]
+    q = spark.read.parquet(f"{root}/quarantine/fact_facturation/batch=b1").collect()
+    assert len(q) == 1 and q[0].montant_paye is None and "not_null_montant_paye" in q[0]["_broken"]
+
+
 def test_run_publishes_views_and_mart(spark, workdir):
     inputs = os.path.join(workdir, "in")
     os.makedirs(inputs)
