@@ -32,9 +32,10 @@ def query(name: str):
 
 def present(df: DataFrame) -> DataFrame:
     """DECIMAL -> DOUBLE for engine-neutral comparison; others unchanged."""
-    return df.select(*[
-        F.col(f"`{f.name}`").cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
-        else F.col(f"`{f.name}`")
+    def q(name: str) -> str:
+        return "`" + name.replace("`", "``") + "`"
+    return df.selectExpr(*[
+        f"CAST({q(f.name)} AS DOUBLE) AS {q(f.name)}" if isinstance(f.dataType, T.DecimalType) else q(f.name)
         for f in df.schema.fields
     ])
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from billstar.operators import constraints as K
 from billstar.operators import quality
-from billstar.plans.catalog import present, query
+from billstar.plans.catalog import query
 from billstar.plans.model import from_driver_tables, two_batches
 
 
