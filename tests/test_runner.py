@@ -116,3 +116,17 @@ def test_run_publishes_views_and_mart(spark, workdir):
     assert monthly == stats == fact.count()
     assert summary["mart_rows"] == runner.read_mart(spark, root, OPTS).count()
     assert summary["scored"] < OPTS.min_rows_for_scoring          # too few unpaid rows: scoring skipped
+
+
+def test_rejects_written_with_reasons(spark, workdir):
+    """Rejected rows (F1, F2) are data with a reason; their count is the
+    report's two counters."""
+    inputs = os.path.join(workdir, "in")
+    os.makedirs(inputs)
+    make_inputs(inputs)
+    root = os.path.join(workdir, "wh")
+    res = runner.run_batch(spark, _paths(spark, inputs), root, OPTS, "b1")
+    rej = spark.read.parquet(f"{root}/rejects/batch=b1")
+    assert rej.count() == res.rejected_rows == res.silver_rows - res.staged_rows > 0
+    assert {r.reject_reason for r in rej.select("reject_reason").distinct().collect()} <= {
+        "date_facturation_null", "date_paiement_avant_facturation"}
