@@ -123,9 +123,15 @@ def two_batches(m: Model) -> TwoBatches:
 
     batch_a = m.staging.where(F.col("date_facturation") < F.lit(SECOND_BATCH_FROM))
     dims_a = keep_dims(build_dims(batch_a, ts)[0], "a")
-    fact_a = keep(build_fact(batch_a, dims_a, ts), "fact_a")
+    # batch A's fact and batch B's new members both depend on dims_a only:
+    # written as concurrent jobs
     _, new_b = build_dims(m.staging, ts, existing=dims_a)
-    new_b = keep_dims(new_b, "new_b")
+    fact_a, *new_b_parts = concurrently(
+        [(keep, (build_fact(batch_a, dims_a, ts), "fact_a"))]
+        + [(keep, (df, f"{name}_new_b")) for name, df in (
+            ("dim_patient", new_b.patient), ("dim_etablissement", new_b.etablissement),
+            ("dim_date", new_b.date), ("dim_service", new_b.service))])
+    new_b = Dims(*new_b_parts)
     dims_b = Dims(dims_a.patient.unionByName(new_b.patient),
                   dims_a.etablissement.unionByName(new_b.etablissement),
                   dims_a.date.unionByName(new_b.date), dims_a.service.unionByName(new_b.service))
