@@ -71,9 +71,11 @@ def read_dims(spark: SparkSession, root: str, broadcast_small: bool = False) ->
     if parts["dim_patient"] is None:
         return None
     if broadcast_small:
-        for t, bound in BROADCAST_MAX_ROWS.items():
-            if parts[t] is not None:
-                parts[t] = checked_broadcast(parts[t], bound)
+        small = [t for t in BROADCAST_MAX_ROWS if parts[t] is not None]
+        # the bounded size checks are independent small jobs: run together
+        for t, df in zip(small, concurrently([(checked_broadcast, (parts[t], BROADCAST_MAX_ROWS[t]))
+                                              for t in small])):
+            parts[t] = df
     return Dims(parts["dim_patient"], parts["dim_etablissement"], parts["dim_date"], parts["dim_service"])
 
 
