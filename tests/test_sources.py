@@ -114,3 +114,12 @@ def test_bronze_copy_is_verbatim(spark, workdir):
         assert a == b
     again = build_silver(spark, files.bronze_files(spark, bronze, "20250601"), RUN_TS)
     assert again.count() == 8
+
+
+def test_xlsx_column_refs_multi_letter_and_cached():
+    from billstar.sources.xlsx import col_index, col_letters
+    for i in (0, 25, 26, 27, 51, 52, 701, 702, 16383):
+        ref = f"{col_letters(i)}{i + 7}"
+        assert col_index(ref) == i
+        assert col_index(ref) == i          # second lookup served by the cache
+    assert [col_index(r) for r in ("A1", "Z9", "AA10", "AB3")] == [0, 25, 26, 27]
