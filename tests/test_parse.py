@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -56,3 +57,18 @@ def test_unpaid_is_exact_decimal(spark):
     got = [r[0] for r in df.select(unpaid_amount(F.col("b").cast("decimal(12,2)"),
                                                  F.col("p").cast("decimal(12,2)"))).collect()]
     assert [None if g is None else str(g) for g in got] == ["99.90", "20.00", None]
+
+
+def test_conform_orders_casts_and_fills(spark):
+    import pytest
+    from pyspark.sql import types as T
+
+    from billstar.schema import conform
+    schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("amt", T.DecimalType(12, 2)),
+                           T.StructField("odd name", T.StringType())])
+    df = spark.createDataFrame([("12.50", "3")], "amt string, n string")
+    out = conform(df, schema, fill_missing=True)
+    assert out.schema == schema
+    assert [tuple(r) for r in out.collect()] == [(3, Decimal("12.50"), None)]
+    with pytest.raises(ValueError):
+        conform(df, schema)
