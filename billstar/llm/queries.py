@@ -18,6 +18,12 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from billstar.llm import minhash
+
+    return minhash.link(spark, table(spark, sf_dir, "documents"), minhash.Params(words=3, percent=85))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from billstar.llm import toxicity
 
@@ -28,6 +34,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
+        "op5_minhash_dedup": op5_minhash_dedup,
         "op10_toxicity": op10_toxicity,
     }
 
