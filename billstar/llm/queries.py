@@ -18,12 +18,29 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from billstar.llm import decontaminate
+
+    found = decontaminate.contaminated(
+        spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.where("doc_id is not null").selectExpr(
+        "doc_id", "item_id", "cast(matched as bigint) as matched",
+        "cast(item_tokens as bigint) as item_tokens", "cast(at as bigint) as at", "coverage")
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from billstar.llm import minhash
 
     return minhash.link(spark, table(spark, sf_dir, "documents"), minhash.Params(words=3, percent=85))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from billstar.llm import mixing
+
+    return mixing.plan(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from billstar.llm import toxicity
 
@@ -34,10 +51,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
+        "op3_decontamination": op3_decontamination,
         "op5_minhash_dedup": op5_minhash_dedup,
+        "op9_mixing": op9_mixing,
         "op10_toxicity": op10_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from billstar.llm import decontaminate, mixing
+
+    return {
+        "op3_decontamination": decontaminate.oracle(),
+        "op9_mixing": mixing.oracle(),
+    }
