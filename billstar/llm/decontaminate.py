@@ -42,20 +42,17 @@ def tokens(text: str) -> Column:
 
 
 def windows(df: DataFrame, keys: list[str], seeds: Seeds) -> DataFrame:
-    """(keys, at, h): a row for each mask and window of the token array
-    ``w``. One generator over (window, mask) feeds a CASE that hashes under
-    that mask only, all inside one generated stage."""
-    m = len(seeds.masks)
+    """(keys, at, h): a row for each window of the token array ``w`` and
+    each mask. The second generator keeps the hash expressions to one copy
+    (a filter on them would make another), so that the generated method
+    stays small enough for the JIT."""
     count = f"size(w) - {seeds.span - 1}"
-    spread = df.where(f"{count} > 0").select(
-        *keys, "w", F.explode(F.expr(f"sequence(0, {m} * ({count}) - 1)")).alias("step"))
+    spread = df.where(f"{count} > 0").select(*keys, "w", F.explode(F.expr(f"sequence(0, {count} - 1)")).alias("at"))
     under = [
-        f"when {k} then xxhash64({k}L, " + ", ".join(
-            f"w[step div {m} + {i}]" for i, bit in enumerate(mask) if bit == "1") + ")"
+        f"xxhash64({k}L, " + ", ".join(f"w[at + {i}]" for i, bit in enumerate(mask) if bit == "1") + ")"
         for k, mask in enumerate(seeds.masks)
     ]
-    return spread.selectExpr(
-        *keys, f"cast(step div {m} as int) as at", f"case step % {m} {' '.join(under)} end as h")
+    return spread.select(*keys, "at", F.explode(F.expr(f"array({', '.join(under)})")).alias("h"))
 
 
 def contaminated(
