@@ -66,7 +66,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHash(dict):
     """word -> 64-bit hash, worked out once per distinct word."""
 
-    LIMIT = 500_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         from xxhash import xxh64_intdigest

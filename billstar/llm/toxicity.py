@@ -56,6 +56,10 @@ STEMS = (4, 5)
 MIN_CONTEXTS, MIN_LOG_ODDS, MIN_LLR = 4, 3.0, 10.0
 
 
+#: Sample documents whose contexts are held in a task at a time.
+FIT_ROWS = 16
+
+
 # ------------------------------------------------------------ transducers
 @dataclass(frozen=True)
 class Transducer:
@@ -143,7 +147,7 @@ def terms(word: str) -> list[str]:
 class Reader(dict):
     """word -> (symbol, weight), worked out once per distinct word."""
 
-    LIMIT = 500_000
+    LIMIT = 100_000
 
     def __init__(self, lexicon: dict):
         super().__init__()
@@ -230,10 +234,9 @@ def fit(documents: DataFrame, labels: DataFrame, toxic: int = 3000, clean: int =
 
     def spread(batches: Iterator) -> Iterator:
         for pdf in batches:
-            seen = set()
-            for text in pdf.text:
-                seen |= contexts(text)
-            yield pd.DataFrame(list(seen), columns=["term", "around"])
+            for i in range(0, len(pdf), FIT_ROWS):
+                seen = set().union(*map(contexts, pdf.text[i:i + FIT_ROWS]))
+                yield pd.DataFrame(list(seen), columns=["term", "around"])
 
     seen = (
         sample.where("label = 1").select("text").mapInPandas(spread, "term string, around long").distinct()
