@@ -48,6 +48,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
@@ -55,6 +61,7 @@ def queries() -> dict[str, QueryFn]:
         "op5_minhash_dedup": op5_minhash_dedup,
         "op9_mixing": op9_mixing,
         "op10_toxicity": op10_toxicity,
+        "pipeline": pipeline,
     }
 
 
