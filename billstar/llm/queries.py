@@ -10,6 +10,10 @@ from billstar.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+#: Vocabulary of the token counts; a parameter of the operator.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from billstar.llm import quality
@@ -34,6 +38,20 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.link(spark, table(spark, sf_dir, "documents"), minhash.Params(words=3, percent=85))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from billstar.llm import lengths
+
+    docs = table(spark, sf_dir, "documents")
+    counted = docs.select(lengths.encoded_length(spark, docs.text, VOCABULARY).alias("n_tokens"))
+    return lengths.histogram(counted)
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from billstar.llm import urlrules
+
+    return urlrules.judge(spark, table(spark, sf_dir, "pages"), urlrules.rule_table(spark, URL_RULES))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from billstar.llm import mixing
 
@@ -59,6 +77,8 @@ def queries() -> dict[str, QueryFn]:
         "op1_quality_classifier": op1_quality_classifier,
         "op3_decontamination": op3_decontamination,
         "op5_minhash_dedup": op5_minhash_dedup,
+        "op7_token_counts": op7_token_counts,
+        "op8_url_filters": op8_url_filters,
         "op9_mixing": op9_mixing,
         "op10_toxicity": op10_toxicity,
         "pipeline": pipeline,
@@ -66,9 +86,10 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from billstar.llm import decontaminate, mixing
+    from billstar.llm import decontaminate, mixing, urlrules
 
     return {
         "op3_decontamination": decontaminate.oracle(),
+        "op8_url_filters": urlrules.oracle(URL_RULES),
         "op9_mixing": mixing.oracle(),
     }
