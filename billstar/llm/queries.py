@@ -22,6 +22,12 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from billstar.llm import embedding
+
+    return embedding.link(spark, table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from billstar.llm import decontaminate
 
@@ -38,6 +44,13 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.link(spark, table(spark, sf_dir, "documents"), minhash.Params(words=3, percent=85))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from billstar.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from billstar.llm import lengths
 
@@ -75,8 +88,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
+        "op2_embedding_dedup": op2_embedding_dedup,
         "op3_decontamination": op3_decontamination,
         "op5_minhash_dedup": op5_minhash_dedup,
+        "op6_language_id": op6_language_id,
         "op7_token_counts": op7_token_counts,
         "op8_url_filters": op8_url_filters,
         "op9_mixing": op9_mixing,
