@@ -12,6 +12,8 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 #: Vocabulary of the token counts; a parameter of the operator.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: The capture date of the pages, which the table does not have.
+WARC_DATE = "2024-01-01T00:00:00Z"
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
 
@@ -38,6 +40,17 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(item_tokens as bigint) as item_tokens", "cast(at as bigint) as at", "coverage")
 
 
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from billstar.llm import warc
+
+    made = warc.derive(warc.responses(table(spark, sf_dir, "pages"), WARC_DATE), keep=["page_id"])
+    return made.selectExpr(
+        "page_id", "record_type", "record_id", "headers['WARC-Refers-To'] as refers_to",
+        "headers['WARC-Target-URI'] as target_uri", "headers['WARC-Date'] as warc_date",
+        "headers['Content-Type'] as content_type", "cast(headers['Content-Length'] as bigint) as content_length",
+        "headers['WARC-Block-Digest'] as block_digest", "block")
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from billstar.llm import minhash
 
@@ -90,6 +103,7 @@ def queries() -> dict[str, QueryFn]:
         "op1_quality_classifier": op1_quality_classifier,
         "op2_embedding_dedup": op2_embedding_dedup,
         "op3_decontamination": op3_decontamination,
+        "op4_warc_derivatives": op4_warc_derivatives,
         "op5_minhash_dedup": op5_minhash_dedup,
         "op6_language_id": op6_language_id,
         "op7_token_counts": op7_token_counts,
