@@ -11,9 +11,10 @@ Groups of any size stay cheap without dropping a pair:
 1. equal sets collapse to one representative;
 2. every bucket compares its members with one centre only (a star);
 3. only members that the stars left in different components are compared
-   further. Set sizes, a bit sketch of the signature, and, around centres
-   with many leaves, the count of shingles that no other leaf has rule out
-   most of those pairs before any set is read.
+   further. Set sizes and a bit sketch of the signature rule out most of
+   those pairs. Around centres with many leaves the star has also noted
+   how each leaf differs from the centre, and these differences give the
+   exact intersection of any two leaves inside the join, without a text.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from billstar.llm.common import components, written
 
 SKETCH_BITS = 128
 #: Words that one block of a star compares, and the number of leaves from
-#: which a star also reports the shingles its leaves do not share with it.
-BLOCK_WORDS, MANY_LEAVES = 200_000, 32
+#: which a star also reports how its leaves differ from it.
+BLOCK_WORDS, MANY_LEAVES = 200_000, 8
 
 
 @dataclass(frozen=True)
@@ -164,13 +165,15 @@ def signatures(documents: DataFrame, p: Params) -> DataFrame:
 # ------------------------------------------------------------ verification
 def verify(spark: SparkSession, documents: DataFrame, pairs: DataFrame, p: Params) -> DataFrame:
     """Compare the full sets of ``pairs(c, x, n, many)`` and return
-    (c, x, shared, extra): the size of the intersection and, where
-    ``many``, the hashes of x's shingles that c lacks.
+    (c, x, linked, shared, size, delta): the size of the intersection and
+    of c's set and, where ``many`` and no longer than x's set, the hashes
+    that only one of the two sets has.
 
     The texts are shuffled to their centre c. A centre with many words to
     compare has its leaves dealt over several blocks, each with a copy of
     the centre; in a block the centre comes first and the leaves stream
-    past it, so a task holds two sets at a time.
+    past it, so a task holds two sets at a time. The plan grows with the
+    data, so it is merged with the texts, never broadcast.
     """
     blocks = pairs.groupBy("c").agg(
         F.ceil(F.sum("n") / BLOCK_WORDS).cast("int").alias("blocks"))
@@ -182,7 +185,7 @@ def verify(spark: SparkSession, documents: DataFrame, pairs: DataFrame, p: Param
         F.lit(0).alias("role"), F.lit(False).alias("many"))
     plan = written(spark, leaves.union(centres), "stars")
     texts = documents.select(F.col("doc_id").cast("long").alias("doc"), "text").where("doc is not null")
-    dealt = texts.join(plan, "doc")
+    dealt = texts.join(plan.hint("merge"), "doc")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(parts, "c", "block").sortWithinPartitions("c", "block", "role", "doc")
 
@@ -202,10 +205,15 @@ def verify(spark: SparkSession, documents: DataFrame, pairs: DataFrame, p: Param
                     found = np.isin(s, own, assume_unique=True)
                     shared = int(found.sum())
                     linked = 100 * shared >= p.percent * (len(s) + len(own) - shared) and shared > 0
-                    rows.append((c, doc, linked, shared, s[~found].view(np.int64) if many else None))
-            yield pd.DataFrame(rows, columns=["c", "x", "linked", "shared", "extra"])
+                    delta = None
+                    if many and len(s) + len(own) - 2 * shared <= len(s):
+                        lacks = own[~np.isin(own, s, assume_unique=True)]
+                        delta = np.concatenate([s[~found], lacks]).view(np.int64)
+                    rows.append((c, doc, linked, shared, len(own), delta))
+            yield pd.DataFrame(rows, columns=["c", "x", "linked", "shared", "size", "delta"])
 
-    return dealt.mapInPandas(compare, "c long, x long, linked boolean, shared long, extra array<long>")
+    return dealt.mapInPandas(
+        compare, "c long, x long, linked boolean, shared long, size long, delta array<long>")
 
 
 def _possible(p: Params, a: str, b: str) -> str:
@@ -250,15 +258,17 @@ def link(spark: SparkSession, documents: DataFrame, p: Params = Params()) -> Dat
     links = star.where("linked").select(F.col("c").alias("u"), F.col("x").alias("v"))
     joined = components(spark, links)
 
-    # leaves of large stars: shingles that no other leaf has can't be shared
-    lone = (
-        star.where("extra is not null").select("c", "x", F.explode("extra").alias("h"))
+    # how leaves differ from the centre of a large star, and how much of
+    # that any other leaf can share
+    deltas = star.where("delta is not null").select("c", "x", "shared", F.col("size").alias("nc"), "delta")
+    common = (
+        deltas.select("c", "x", F.explode("delta").alias("h"))
         .groupBy("c", "h").agg(F.count("*").alias("leaves"), F.min("x").alias("x"))
         .where("leaves = 1").groupBy("c", "x").agg(F.count("*").alias("lone"))
     )
-    bound = star.where("extra is not null").join(lone, ["c", "x"], "left").select(
-        "c", F.col("x").alias("rid"),
-        (F.col("shared") + F.size("extra") - F.coalesce("lone", F.lit(0))).alias("most"))
+    deltas = deltas.join(common, ["c", "x"], "left").select(
+        "c", F.col("x").alias("rid"), "shared", "nc", "delta",
+        (F.size("delta") - F.coalesce("lone", F.lit(0))).alias("most"))
 
     rest = (
         rows.drop("t", "size").join(joined.withColumnRenamed("node", "rid"), "rid", "left")
@@ -266,18 +276,22 @@ def link(spark: SparkSession, documents: DataFrame, p: Params = Params()) -> Dat
     )
     split = rest.groupBy("bk").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bk")
-    rest = rest.join(split, "bk").join(bound, ["c", "rid"], "left")
-    rest = written(spark, rest, "rest")
+    rest = written(spark, rest.join(split, "bk").join(deltas, ["c", "rid"], "left"), "rest")
+    met = "a.bk = b.bk and a.rid < b.rid and a.component <> b.component and " + _possible(p, "a", "b")
+    # |x & y| = |x & c| + |y & c| - |c| + |delta x & delta y|
+    shared = "(a.shared + b.shared - a.nc + {})"
+    enough = f"100 * {shared} >= {p.percent} * (a.n + b.n - {shared})"
+    exact = " and ".join(
+        [enough.format(d, d) for d in ("least(a.most, b.most)", "size(array_intersect(a.delta, b.delta))")])
     a, b = rest.alias("a"), rest.alias("b")
-    fits = f"100 * least(a.most, b.most) >= {p.percent} * (a.n + b.n - least(a.most, b.most))"
-    more = a.join(b, F.expr(
-        f"a.bk = b.bk and a.rid < b.rid and a.component <> b.component and {_possible(p, 'a', 'b')}"
-        f" and (a.most is null or b.most is null or {fits})"
-    )).selectExpr("a.rid as c", "b.rid as x", "b.n as n").distinct()
+    more = a.join(b, F.expr(f"{met} and (a.delta is null or b.delta is null or ({exact}))")).selectExpr(
+        "a.rid as c", "b.rid as x", "b.n as n", "a.delta is not null and b.delta is not null as known")
+    more = more.groupBy("c", "x", "n").agg(F.max("known").alias("known"))
     done = pairs.select("c", "x").union(pairs.selectExpr("x", "c"))
     more = written(spark, more.join(done, ["c", "x"], "left_anti").withColumn("many", F.lit(False)), "more")
-    late = verify(spark, documents, more, p).where("linked")
-    links = links.union(late.select(F.col("c").alias("u"), F.col("x").alias("v")))
+    late = verify(spark, documents, more.where("not known"), p).where("linked")
+    links = links.unionByName(more.where("known").selectExpr("c as u", "x as v")).unionByName(
+        late.select(F.col("c").alias("u"), F.col("x").alias("v")))
     joined = components(spark, links).withColumnRenamed("node", "rid")
 
     found = reps.select(*key, "rid").join(joined, "rid", "left").select(
