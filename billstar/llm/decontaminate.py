@@ -89,24 +89,27 @@ def contaminated(
         hits, docs.doc_id.eqNullSafe(hits.doc_id) & docs.alt.eqNullSafe(hits.alt)
     ).select(hits.doc_id, hits.alt, "item_id", "diagonals", tokens("text").alias("a"))
     met = met.join(items.withColumnRenamed("w", "b"), "item_id")
-    met = met.select(
-        "doc_id", "alt", "item_id", F.size("b").alias("item_tokens"), "a", "b",
-        F.explode("diagonals").alias("diagonal"),
-    ).selectExpr(
-        "doc_id", "alt", "item_id", "item_tokens", "diagonal",
-        """transform(
-             sequence(greatest(diagonal, 0), least(size(a), size(b) + diagonal) - 1),
-             i -> if(a[i] = b[i - diagonal], 1, 0)) as same""",
-        f"least(item_tokens, {seeds.check}) as stretch",
-    ).selectExpr(
-        "*", f"cast(ceil(stretch * (1 - {seeds.tolerance}D)) as int) as need",
-        "aggregate(same, 0, (x, y) -> x + y) as matched",
-    ).where("size(same) >= stretch and matched >= need").where(
-        """exists(sequence(1, size(same) - stretch + 1),
-                  i -> aggregate(slice(same, i, stretch), 0, (x, y) -> x + y) >= need)""")
+    # one diagonal after another inside the row, so that a long text with
+    # many of them is held once
+    aligned = """transform(diagonals, d -> struct(
+        greatest(d, 0) as at,
+        transform(sequence(greatest(d, 0), least(size(a), size(b) + d) - 1),
+                  i -> if(a[i] = b[i - d], 1, 0)) as same))"""
+    total = "aggregate({}, 0, (x, y) -> x + y)"
+    passes = f"""size(m.same) >= stretch and {total.format("m.same")} >= need and exists(
+        sequence(1, size(m.same) - stretch + 1), i -> {total.format("slice(m.same, i, stretch)")} >= need)"""
+    met = met.selectExpr(
+        "doc_id", "alt", "item_id", "size(b) as item_tokens", f"{aligned} as met",
+        f"least(size(b), {seeds.check}) as stretch",
+    ).withColumn(
+        "need", F.expr(f"cast(ceil(stretch * (1 - {seeds.tolerance}D)) as int)")
+    ).withColumn("met", F.expr(f"filter(met, m -> {passes})")).where("size(met) > 0")
+    met = met.selectExpr(
+        "doc_id", "alt", "item_id", "item_tokens",
+        f"array_max(transform(met, m -> {total.format('m.same')})) as matched",
+        "array_min(transform(met, m -> m.at)) as at")
     return met.groupBy("doc_id", "alt", "item_id").agg(
-        F.max("matched").alias("matched"), F.max("item_tokens").alias("item_tokens"),
-        F.min(F.greatest("diagonal", F.lit(0))).alias("at"),
+        F.max("matched").alias("matched"), F.max("item_tokens").alias("item_tokens"), F.min("at").alias("at"),
     ).withColumn("coverage", F.col("matched") / F.col("item_tokens"))
 
 
