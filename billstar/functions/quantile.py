@@ -5,7 +5,8 @@ which does not survive billions of rows. Here the rank window that holds
 the wanted order statistics is narrowed with ``percentile_approx`` and
 verified with exact counts (two aggregates per step); once the window has
 at most ``max_collect`` rows (or one distinct value), its distinct
-(value, count) pairs are brought to the driver and walked. The result is
+(value, count) pairs, never more than that, are brought to the driver and
+walked; larger windows are narrowed further, so the answer does not depend on it. The result is
 the exact linear-interpolation quantile, identical to ``percentile``.
 """
 
@@ -39,7 +40,7 @@ def _resolve(window: DataFrame, ranks: list[int], below: int) -> dict[int, float
     return {r: got[r - below] for r in ranks}
 
 
-def select_ranks(values: DataFrame, n: int, ranks: list[int], max_collect: int = 200_000,
+def select_ranks(values: DataFrame, n: int, ranks: list[int], max_collect: int = 10_000,
                  accuracy: int = 10_000) -> dict[int, float]:
     """Values at 0-based ascending ranks of column ``v``."""
     v = F.col("v")

@@ -218,6 +218,24 @@ def score_anomalies(fact: DataFrame, trees: int = 100, psi: int = 256, contamina
     return ForestResult(labelled, thr, n, stats, nodes)
 
 
+def rule_scores(fact: DataFrame, contamination: float = 0.05) -> tuple[DataFrame, float | None]:
+    """Labels by a stated rule instead of the forest: the score is minus
+    the largest absolute scaled feature (6 decimals), the threshold its
+    exact ``contamination`` quantile. Same columns as the forest's labels;
+    (None, None) without unpaid invoices."""
+    feat = features(fact)
+    stats = scaler_stats(feat).first().asDict()
+    if stats[f"mean_{FEATURES[0]}"] is None:
+        return None, None
+    raw = scale(feat, stats).select(
+        "fact_id", F.round(-F.greatest(*[F.abs(f"z_{c}") for c in FEATURES]), 6).alias("score"))
+    thr = exact_quantile(raw, "score", contamination)
+    return raw.select(
+        "fact_id",
+        F.when(F.col("score") < F.lit(thr), F.lit(-1)).otherwise(F.lit(1)).cast("int").alias("anomaly_score"),
+        F.round(F.col("score") - F.lit(thr), 6).alias("anomaly_decision")), thr
+
+
 def anomaly_rate(scores: DataFrame) -> DataFrame:
     """Number and share of anomalies among scored rows."""
     return scores.agg(F.count(F.lit(1)).alias("n_scored"),

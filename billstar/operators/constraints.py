@@ -78,15 +78,19 @@ def duplicate_keys(df: DataFrame, key: str, table: str) -> DataFrame:
 
 
 def fk_orphans(fact: DataFrame, dims) -> DataFrame:
-    """Fact rows whose foreign key has no dimension row (NULL service key
-    is allowed)."""
+    """(constraint_name, fact_id, missing_key) of fact rows whose foreign
+    key has no dimension row (a NULL service key is allowed). One pass over
+    the fact: key-only dimensions are left-joined, the broken keys of a row
+    gathered in an array and exploded."""
     pairs = [("patient_key", dims.patient), ("etablissement_key", dims.etablissement),
              ("date_key", dims.date), ("service_key", dims.service)]
-    out = None
+    rows = fact.select("fact_id", *[k for k, _ in pairs])
     for k, dim in pairs:
-        rows = (fact.where(F.col(k).isNotNull()).select("fact_id", k)
-                .join(dim.select(k), k, "left_anti")
-                .select(F.lit(f"fk_fact_{k}").alias("constraint_name"), "fact_id",
-                        F.col(k).alias("missing_key")))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+        rows = rows.join(dim.select(k, F.lit(True).alias(f"_has_{k}")), k, "left")
+    broken = F.filter(
+        F.array(*[F.when(F.col(k).isNotNull() & F.col(f"_has_{k}").isNull(),
+                         F.struct(F.lit(f"fk_fact_{k}").alias("constraint_name"), F.col(k).alias("missing_key")))
+                  for k, _ in pairs]),
+        lambda x: x.isNotNull())
+    return (rows.select("fact_id", F.explode(broken).alias("b"))
+            .select("b.constraint_name", "fact_id", "b.missing_key"))

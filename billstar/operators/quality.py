@@ -1,10 +1,9 @@
 """Data-quality report (G2-G8) and blocking gate.
 
-The whole report is one scan: the duplicate check needs a grouping on
-(patient_id, date_facturation, montant_facture), so every other check is
-counted inside the same grouping and summed in a second, tiny stage.
-Both stages are hash aggregates with map-side combine, so a key holding
-a third of the rows costs one partial row per task.
+The row checks are one aggregate without a shuffle of the data: each task
+sends one partial row. Only the duplicate check groups, on its three keys
+and with nothing but a count beside them, combined map-side, so a key
+holding a third of the rows costs one partial row per task.
 """
 
 from __future__ import annotations
@@ -25,21 +24,31 @@ def _checks(now_ts) -> dict[str, Column]:
     return c
 
 
+def counters(silver: DataFrame, now_ts, names=None) -> DataFrame:
+    """One row: total_rows and the named row checks (all by default). A
+    NULL comparison counts as false."""
+    checks = _checks(now_ts)
+    return silver.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        *[F.count_if(checks[n]).alias(n) for n in (checks if names is None else names)])
+
+
+def duplicates(silver: DataFrame) -> DataFrame:
+    """One row: total_rows and the rows after the first of each duplicate
+    key (NULLs equal)."""
+    per_key = silver.groupBy(*DUPLICATE_KEYS).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_rows"),
+                       F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
+
+
 def quality_report(silver: DataFrame, now_ts) -> DataFrame:
     """One row: total_rows, four missing counts, negative, future,
-    duplicates (rows after the first of each key, NULLs equal),
-    incoherent amounts and dates. A NULL comparison counts as false."""
-    checks = _checks(now_ts)
-    per_key = silver.groupBy(*DUPLICATE_KEYS).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(cond).alias(name) for name, cond in checks.items()])
-    return per_key.agg(
-        F.sum("_n").cast("bigint").alias("total_rows"),
-        *[F.sum(name).cast("bigint").alias(name) for name in checks],
-        F.sum(F.col("_n") - 1).cast("bigint").alias("duplicates"),
-    ).select(  # stable column order
-        "total_rows", *[f"missing_{f}" for f in CRITICAL_FIELDS], "negative_amounts", "future_dates",
-        "duplicates", "incoherent_amounts", "incoherent_dates")
+    duplicates, incoherent amounts and dates."""
+    both = counters(silver, now_ts).unionByName(
+        duplicates(silver).select("duplicates"), allowMissingColumns=True)
+    order = ["total_rows", *[f"missing_{f}" for f in CRITICAL_FIELDS], "negative_amounts", "future_dates",
+             "duplicates", "incoherent_amounts", "incoherent_dates"]
+    return both.agg(*[F.max(c).cast("bigint").alias(c) for c in order])
 
 
 def critical(report: DataFrame) -> Column:

@@ -1,8 +1,10 @@
 """Ad-hoc billing reports.
 
 Top-k reports sort on a total order (a unique id breaks ties), so the k
-rows are the same on every engine; Spark runs them as one
-TakeOrderedAndProject (per-task top k, then a merge of k rows per task).
+rows are the same on every engine. The k rows are taken from the fact
+first (TakeOrderedAndProject: per-task top k, then a merge of k rows per
+task); the dimensions are joined to them afterwards, as the fact's foreign
+keys hold by construction.
 """
 
 from __future__ import annotations
@@ -41,14 +43,22 @@ def taux_service(fact: DataFrame, dims: Dims) -> DataFrame:
             .orderBy(F.col("taux_paiement_pct").asc_nulls_last()))
 
 
+def _described(top: DataFrame, dims: Dims) -> DataFrame:
+    """A few fact rows with patient, facility and date; the rows are the
+    small side of every join."""
+    top = F.broadcast(top)
+    return (dims.patient.select("patient_key", "nom", "prenom").join(top, "patient_key")
+            .join(dims.etablissement.select("etablissement_key", "nom_etablissement"), "etablissement_key")
+            .join(dims.date.select("date_key", "date_complete"), "date_key"))
+
+
 def top_delays(fact: DataFrame, dims: Dims, k: int = 10) -> DataFrame:
     """Longest payment delays; payment date = billing date + delay."""
-    f = (fact.where(F.col("delai_paiement_jours").isNotNull())
-         .join(dims.patient.select("patient_key", "nom", "prenom"), "patient_key")
-         .join(dims.etablissement.select("etablissement_key", "nom_etablissement"), "etablissement_key")
-         .join(dims.date.select("date_key", "date_complete"), "date_key"))
-    return (f.orderBy(F.col("delai_paiement_jours").desc(), F.col("fact_id"))
-            .limit(k)
+    order = [F.col("delai_paiement_jours").desc(), F.col("fact_id")]
+    top = (fact.where(F.col("delai_paiement_jours").isNotNull())
+           .select("fact_id", "patient_key", "etablissement_key", "date_key", "delai_paiement_jours", "montant_impaye")
+           .orderBy(*order).limit(k))
+    return (_described(top, dims).orderBy(*order)
             .select(F.concat(F.col("nom"), F.lit(" "), F.col("prenom")).alias("patient"),
                     "nom_etablissement",
                     F.col("date_complete").alias("date_facturation"),
@@ -68,12 +78,12 @@ def tendance_mensuelle(fact: DataFrame, dims: Dims) -> DataFrame:
 
 def anomaly_clients(fact: DataFrame, dims: Dims, k: int = 20, threshold: float = -0.1) -> DataFrame:
     """Most anomalous invoices by decision value (score minus threshold)."""
-    f = (fact.where(F.col("anomaly_decision") < threshold)
-         .join(dims.patient.select("patient_key", "nom", "prenom"), "patient_key")
-         .join(dims.etablissement.select("etablissement_key", "nom_etablissement"), "etablissement_key")
-         .join(dims.date.select("date_key", "date_complete"), "date_key"))
-    return (f.orderBy(F.col("anomaly_decision").asc(), F.col("fact_id"))
-            .limit(k)
+    order = [F.col("anomaly_decision").asc(), F.col("fact_id")]
+    top = (fact.where(F.col("anomaly_decision") < threshold)
+           .select("fact_id", "patient_key", "etablissement_key", "date_key", "montant_impaye", "anomaly_score",
+                   "anomaly_decision")
+           .orderBy(*order).limit(k))
+    return (_described(top, dims).orderBy(*order)
             .select("nom", "prenom", "montant_impaye", "anomaly_score", "anomaly_decision",
                     F.col("date_complete").alias("date_facturation"), "nom_etablissement"))
 

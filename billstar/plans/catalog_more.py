@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from billstar.operators import constraints as K
 from billstar.operators import quality
+from billstar.operators.dimensions import build_dims
+from billstar.operators.fact import build_fact, lookup_keys
+from billstar.operators.loading import drop_null_billing_date, split_rejects, to_staging
 from billstar.plans.catalog import query
 from billstar.plans.model import from_driver_tables, two_batches
+from billstar.sources.driver_tables import spoiled_silver
 
 
 # ------------------------------------------------------------------ quality
@@ -28,15 +30,23 @@ def q_qc_report_long(spark, sf):
 
 @query("qc_missing")
 def q_qc_missing(spark, sf):
-    return _report(spark, sf).select(*[f"missing_{c}" for c in quality.CRITICAL_FIELDS])
+    m = from_driver_tables(spark, sf)
+    names = [f"missing_{c}" for c in quality.CRITICAL_FIELDS]
+    return quality.counters(m.silver, m.opts.timestamp, names).select(*names)
+
 
+@query("qc_duplicates")
+def q_qc_duplicates(spark, sf):
+    return quality.duplicates(from_driver_tables(spark, sf).silver)
 
-for _name in ("negative_amounts", "future_dates", "duplicates", "incoherent_amounts", "incoherent_dates"):
+
+for _name in ("negative_amounts", "future_dates", "incoherent_amounts", "incoherent_dates"):
     _key = {"negative_amounts": "qc_negative", "future_dates": "qc_future"}.get(_name, f"qc_{_name}")
 
     def _make(col):
         def fn(spark, sf):
-            return _report(spark, sf).select("total_rows", col)
+            m = from_driver_tables(spark, sf)
+            return quality.counters(m.silver, m.opts.timestamp, [col])
         return fn
 
     query(_key)(_make(_name))
@@ -107,3 +117,83 @@ def q_chk_fk_orphans(spark, sf):
     tb = two_batches(from_driver_tables(spark, sf))
     fact = tb.fact_a.unionByName(tb.new_fact_b)
     return K.fk_orphans(fact, tb.dims_a)
+
+
+# ------------------------------------------------- the same on spoiled rows
+def _spoiled(spark, sf):
+    """(silver, valid, rejects, staging, fact) over the spoiled rows."""
+    m = from_driver_tables(spark, sf)
+    silver = spoiled_silver(m.silver, m.opts.as_of)
+    valid, rejects = split_rejects(silver)
+    staging = to_staging(valid)
+    dims, _ = build_dims(staging, m.opts.timestamp)
+    return m, silver, valid, rejects, staging, dims
+
+
+@query("bad_qc_report")
+def q_bad_qc_report(spark, sf):
+    m, silver, *_ = _spoiled(spark, sf)
+    return quality.quality_report(silver, m.opts.timestamp)
+
+
+@query("bad_qc_gate")
+def q_bad_qc_gate(spark, sf):
+    m, silver, *_ = _spoiled(spark, sf)
+    return quality.gate(quality.quality_report(silver, m.opts.timestamp)).select("total_rows", "critical", "verdict")
+
+
+@query("bad_qc_duplicates")
+def q_bad_qc_duplicates(spark, sf):
+    return quality.duplicates(_spoiled(spark, sf)[1])
+
+
+@query("bad_flt_null_date")
+def q_bad_flt_null_date(spark, sf):
+    return drop_null_billing_date(_spoiled(spark, sf)[1]).select("staging_id", "date_facturation")
+
+
+@query("bad_flt_rejects")
+def q_bad_flt_rejects(spark, sf):
+    return _spoiled(spark, sf)[3].select("staging_id", "reject_reason")
+
+
+@query("bad_chk_row_rules")
+def q_bad_chk_row_rules(spark, sf):
+    rules = {**K.not_null_rules(K.STAGING_NOT_NULL), **K.amount_rules(), **K.date_rules(), **K.length_rules()}
+    return K.violations(_spoiled(spark, sf)[1], rules, "staging_id")
+
+
+for _name, _rules in (("not_null", lambda: K.not_null_rules(K.STAGING_NOT_NULL)), ("amounts", K.amount_rules),
+                      ("lengths", K.length_rules)):
+    def _bad(rules):
+        def fn(spark, sf):
+            return K.violations(_spoiled(spark, sf)[1], rules(), "staging_id")
+        return fn
+
+    query(f"bad_chk_{_name}")(_bad(_rules))
+
+
+@query("bad_dim_patient")
+def q_bad_dim_patient(spark, sf):
+    return _spoiled(spark, sf)[5].patient.select("patient_key", "patient_id_naturel", "nom", "prenom")
+
+
+@query("bad_fact_key_lookup")
+def q_bad_fact_key_lookup(spark, sf):
+    *_, staging, dims = _spoiled(spark, sf)
+    return lookup_keys(staging, dims).select(
+        "staging_id", "patient_key", "etablissement_key", "date_key", "service_key")
+
+
+@query("bad_chk_balance")
+def q_bad_chk_balance(spark, sf):
+    m, *_, staging, dims = _spoiled(spark, sf)
+    return K.violations(build_fact(staging, dims, m.opts.timestamp), K.fact_rules(), "fact_id")
+
+
+@query("bad_chk_unique")
+def q_bad_chk_unique(spark, sf):
+    """UNIQUE over the natural keys of the staging rows, which repeat."""
+    staging = _spoiled(spark, sf)[4]
+    return K.duplicate_keys(staging, "service", "staging_facturation").where("key_value is not null").unionByName(
+        K.duplicate_keys(staging, "staging_id", "staging_facturation"))

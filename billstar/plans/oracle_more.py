@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from billstar.config import STAGING_LENGTHS
-from billstar.plans.oracle import ORACLE, RUN_TS, TWO_BATCH, q
+from billstar.plans.oracle import AS_OF, ORACLE, RUN_TS, SILVER, TWO_BATCH, dims_sql, fact_sql, q
+
+# Stated here, not imported, so that the statements stay independent.
+STAGING_LENGTHS = {
+    "patient_id": 50, "patient_nom": 100, "patient_prenom": 100, "etablissement_id": 50, "etablissement_nom": 200,
+    "service": 100, "statut_paiement": 50, "source_file": 255,
+}
 
 REPORT = f"""
 report AS (
@@ -163,3 +168,119 @@ JOIN dim_patient p ON f.patient_key = p.patient_key
 JOIN dim_etab e ON f.etablissement_key = e.etablissement_key
 JOIN dim_date d ON f.date_key = d.date_key
 LEFT JOIN dim_service s ON f.service_key = s.service_key""")
+
+
+# ------------------------------------------------------------- spoiled rows
+_CLEAN, _STG = SILVER.replace("\nsilver AS (", "\nclean AS (", 1).split("\nstg AS (", 1)
+SPOILED = _CLEAN + f"""
+wrong AS (
+  SELECT * REPLACE (
+    CASE WHEN staging_id % 23 <> 4 THEN patient_id END AS patient_id,
+    CASE WHEN staging_id % 17 = 7 THEN repeat(patient_nom, 12) ELSE patient_nom END AS patient_nom,
+    CASE WHEN staging_id % 19 <> 2 THEN service END AS service,
+    CASE WHEN staging_id % 11 = 3 THEN NULL
+         WHEN staging_id % 31 = 8 THEN TIMESTAMP '{AS_OF}' + INTERVAL 100 DAY ELSE date_facturation END AS date_facturation,
+    CAST(CASE WHEN staging_id % 13 = 5 THEN -montant_facture ELSE montant_facture END AS DECIMAL(12,2)) AS montant_facture,
+    CAST(CASE WHEN staging_id % 29 = 6 THEN montant_facture * 2 ELSE montant_paye END AS DECIMAL(12,2)) AS montant_paye,
+    CAST(CASE WHEN staging_id % 41 = 10 THEN montant_impaye + 1
+              ELSE (CASE WHEN staging_id % 13 = 5 THEN -montant_facture ELSE montant_facture END)
+                 - (CASE WHEN staging_id % 29 = 6 THEN montant_facture * 2 ELSE montant_paye END)
+         END AS DECIMAL(12,2)) AS montant_impaye)
+  FROM clean
+),
+silver AS (
+  SELECT * FROM wrong UNION ALL SELECT * REPLACE (-staging_id AS staging_id) FROM wrong WHERE staging_id % 37 = 9
+),
+stg AS (""" + _STG
+BAD = "WITH" + SPOILED + "," + dims_sql("stg") + "," + fact_sql("stg")
+
+
+def bad(body: str) -> str:
+    return BAD + "\n" + body
+
+
+ORACLE["bad_qc_report"] = BAD + "," + REPORT + "\nSELECT * FROM report"
+ORACLE["bad_qc_duplicates"] = BAD + "," + REPORT + "\nSELECT total_rows, duplicates FROM report"
+ORACLE["bad_qc_gate"] = BAD + "," + REPORT + """
+SELECT total_rows, missing_patient_id > 0 OR missing_montant_facture > 0 OR negative_amounts > 0 AS critical,
+       CASE WHEN missing_patient_id > 0 OR missing_montant_facture > 0 OR negative_amounts > 0
+            THEN 'FAIL' ELSE 'PASS' END AS verdict
+FROM report"""
+ORACLE["bad_flt_null_date"] = bad("SELECT staging_id, date_facturation FROM silver WHERE date_facturation IS NOT NULL")
+ORACLE["bad_flt_rejects"] = bad("""
+SELECT staging_id, CASE WHEN date_facturation IS NULL THEN 'date_facturation_null'
+                        ELSE 'date_paiement_avant_facturation' END AS reject_reason
+FROM silver WHERE date_facturation IS NULL OR date_paiement < date_facturation""")
+ORACLE["bad_chk_not_null"] = bad(_violations(NOT_NULL, "silver", "staging_id"))
+ORACLE["bad_chk_amounts"] = bad(_violations(AMOUNTS, "silver", "staging_id"))
+ORACLE["bad_chk_lengths"] = bad(_violations(LENGTHS, "silver", "staging_id"))
+ORACLE["bad_chk_row_rules"] = bad(_violations(NOT_NULL + AMOUNTS + DATES + LENGTHS, "silver", "staging_id"))
+ORACLE["bad_dim_patient"] = bad("SELECT patient_key, patient_id_naturel, nom, prenom FROM dim_patient")
+ORACLE["bad_fact_key_lookup"] = bad(
+    "SELECT staging_id, patient_key, etablissement_key, date_key, service_key FROM fact_keys")
+ORACLE["bad_chk_balance"] = bad(_violations(FACT_NOT_NULL + AMOUNTS + BALANCE, "fact", "fact_id"))
+ORACLE["bad_chk_unique"] = bad(
+    _dups("stg", "service", "staging_facturation") + " AND service IS NOT NULL\nUNION ALL\n"
+    + _dups("stg", "staging_id", "staging_facturation"))
+
+# ------------------------------------------------------- rule-based labels
+RULED = FEATURES + """,
+scored AS (
+  SELECT fact_id, round(-greatest(
+           abs((f.montant_impaye - s.mean_montant_impaye) / s.std_montant_impaye),
+           abs((f.delai_paiement_jours - s.mean_delai_paiement_jours) / s.std_delai_paiement_jours),
+           abs((f.nombre_lignes - s.mean_nombre_lignes) / s.std_nombre_lignes)), 6) AS score
+  FROM feat f, stats s
+),
+cut AS (SELECT quantile_cont(score, 0.05) AS thr FROM scored),
+labels AS (
+  SELECT fact_id, CASE WHEN score < thr THEN -1 ELSE 1 END AS anomaly_score, round(score - thr, 6) AS anomaly_decision
+  FROM scored, cut
+),
+lfact AS (SELECT f.* EXCLUDE (anomaly_score), l.anomaly_score, l.anomaly_decision FROM fact f LEFT JOIN labels l USING (fact_id))"""
+
+
+def ruled(body: str) -> str:
+    return q("").rstrip() + "," + RULED + "\n" + body
+
+
+def _on_labels(sql: str) -> str:
+    """A statement over the fact, reading the labelled fact instead."""
+    head, body = sql[:len(q(""))], sql[len(q("")):]
+    return head.rstrip() + "," + RULED + "\n" + body.replace("FROM fact f", "FROM lfact f")
+
+
+ORACLE["rule_threshold"] = ruled("""
+SELECT round((SELECT thr FROM cut), 6) AS threshold, count(*) AS n_scored, count(*) FILTER (anomaly_score = -1) AS n_below
+FROM labels""")
+ORACLE["rule_quantile_feature"] = ruled("""
+SELECT round(quantile_cont(montant_impaye, 0.05), 6) AS q05_montant_impaye,
+       round(quantile_cont(delai_paiement_jours, 0.05), 6) AS q05_delai_paiement_jours,
+       round(quantile_cont(nombre_lignes, 0.05), 6) AS q05_nombre_lignes, count(*) AS n
+FROM feat""")
+ORACLE["rule_labels"] = ruled("SELECT * FROM labels")
+ORACLE["rule_anomaly_rate"] = ruled("""
+SELECT count(*) AS n_scored, count(*) FILTER (anomaly_score = -1) AS n_anomalies,
+       round(count(*) FILTER (anomaly_score = -1) * 100.0 / count(*), 1) AS anomaly_pct
+FROM labels""")
+ORACLE["rule_apply_scores"] = ruled("""
+SELECT fact_id, CAST(montant_impaye AS DOUBLE) AS montant_impaye, anomaly_score, anomaly_decision FROM lfact""")
+ORACLE["rule_mart_relance"] = _on_labels(ORACLE["mart_relance"])
+ORACLE["rule_relance_urgent"] = _on_labels(ORACLE["mart_relance"]).replace(") m\nORDER", ") m WHERE priorite = 'URGENT'\nORDER")
+ORACLE["rule_stats_etablissement"] = _on_labels(ORACLE["view_stats_etablissement"])
+ORACLE["rule_anomaly_clients"] = ruled("""
+SELECT p.nom, p.prenom, CAST(f.montant_impaye AS DOUBLE) AS montant_impaye, f.anomaly_score, f.anomaly_decision,
+       d.date_complete AS date_facturation, e.nom_etablissement
+FROM (SELECT * FROM lfact WHERE anomaly_decision < -0.1 ORDER BY anomaly_decision, fact_id LIMIT 20) f
+JOIN dim_patient p USING (patient_key) JOIN dim_etab e USING (etablissement_key) JOIN dim_date d USING (date_key)""")
+ORACLE["rule_anomaly_count"] = ruled("SELECT count(*) FILTER (anomaly_score = -1) AS nb_anomalies FROM lfact")
+ORACLE["rule_bandes_anomalie"] = ruled("""
+SELECT CASE WHEN anomaly_decision < -0.2 THEN 'Anomalie forte' WHEN anomaly_decision < -0.1 THEN 'Anomalie modérée'
+            WHEN anomaly_decision < 0 THEN 'Anomalie faible' ELSE 'Normal' END AS categorie_anomalie,
+       count(*) AS nb_factures, round(CAST(avg(montant_impaye) AS DOUBLE), 4) AS montant_impaye_moyen
+FROM lfact WHERE montant_impaye > 0 GROUP BY ALL""")
+ORACLE["rule_features_top"] = ruled("""
+SELECT fact_id, CAST(montant_impaye AS DOUBLE) AS montant_impaye, delai_paiement_jours,
+       CAST(montant_facture AS DOUBLE) AS montant_facture, anomaly_score, anomaly_decision,
+       CASE WHEN anomaly_decision < -0.1 THEN 'ANOMALIE' ELSE 'NORMAL' END AS statut
+FROM lfact WHERE montant_impaye > 0 ORDER BY anomaly_decision NULLS LAST, fact_id LIMIT 50""")

@@ -45,12 +45,10 @@ def driver_silver(spark: SparkSession, sf_dir: str, run_ts: dt.datetime,
             .otherwise(F.lit(0).cast("decimal(12,2)")))
     paid_at = F.when(status.isin("F", "P"), F.col("last_ship"))
 
-    # The per-order line aggregate grows with the data: join it by shuffle
-    # on the order key (its aggregation already hash-partitions it there),
-    # never by broadcast. Customer and nation are left to the planner
-    # (broadcast only under the measured size threshold).
+    # All three joins are left to the planner: a side is broadcast only
+    # under the measured size threshold.
     joined = (orders
-              .join(lines.hint("merge"), orders.o_orderkey == lines.l_orderkey, "left")
+              .join(lines, orders.o_orderkey == lines.l_orderkey, "left")
               .join(customer, F.col("o_custkey") == customer.c_custkey, "inner")
               .join(nation, F.col("c_nationkey") == nation.n_nationkey, "inner"))
     cols = []
@@ -77,6 +75,32 @@ def driver_silver(spark: SparkSession, sf_dir: str, run_ts: dt.datetime,
     return joined.select(*cols)
 
 
+def spoiled_silver(silver: DataFrame, as_of: dt.date) -> DataFrame:
+    """The silver rows with faults planted by the remainder of staging_id,
+    over the whole table: NULL dates, ids and services, negative amounts,
+    overlong names, overpayments, future dates, wrong balances and
+    duplicates (under a negative staging_id)."""
+    sid = F.col("staging_id")
+
+    def at(mod: int, rest: int):
+        return sid % mod == rest
+
+    billed = F.when(at(13, 5), -F.col("montant_facture")).otherwise(F.col("montant_facture"))
+    paid = F.when(at(29, 6), F.col("montant_facture") * 2).otherwise(F.col("montant_paye"))
+    unpaid = F.when(at(41, 10), F.col("montant_impaye") + 1).otherwise(billed - paid)
+    date = F.when(at(11, 3), None).when(at(31, 8), F.lit(as_of).cast("timestamp") + F.expr("INTERVAL 100 DAYS"))
+    out = silver.withColumns({
+        "patient_id": F.when(~at(23, 4), F.col("patient_id")),
+        "patient_nom": F.when(at(17, 7), F.repeat(F.col("patient_nom"), F.lit(12))).otherwise(F.col("patient_nom")),
+        "service": F.when(~at(19, 2), F.col("service")),
+        "date_facturation": F.when(at(11, 3) | at(31, 8), date).otherwise(F.col("date_facturation")),
+        "montant_facture": billed.cast("decimal(12,2)"),
+        "montant_paye": paid.cast("decimal(12,2)"),
+        "montant_impaye": unpaid.cast("decimal(12,2)"),
+    })
+    return out.unionByName(out.where(at(37, 9)).withColumn("staging_id", -sid))
+
+
 def region_of_facility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """facility id -> region key (0..4); used to spread rows over the five
     producer dialects without dropping any."""
