@@ -7,7 +7,8 @@ A source is recognised from its file name, renamed to the canonical
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+import re
+from dataclasses import dataclass
 
 # Canonical silver columns (order of the data contract).
 CANONICAL = (
@@ -181,10 +182,10 @@ def source_specs() -> list[SourceSpec]:
 
 
 def resolve_source_key(file_name: str) -> str:
-    """File stem -> source key; the longest matching key wins, so a key
-    never captures a longer one (``etablissement1`` vs ``etablissement10``)."""
+    """File stem -> source key. No digit may follow the key, so that
+    ``etablissement10`` is not taken for ``etablissement1``."""
     stem = file_name.rsplit("/", 1)[-1].rsplit(".", 1)[0].lower()
-    hits = [k for k in COLUMN_MAPS if k in stem]
+    hits = [k for k in COLUMN_MAPS if re.search(re.escape(k) + r"(?![0-9])", stem)]
     if not hits:
         raise ValueError(f"no source matches file {file_name!r}")
     return max(hits, key=len)
@@ -192,9 +193,10 @@ def resolve_source_key(file_name: str) -> str:
 
 @dataclass(frozen=True)
 class RunOptions:
-    """Every time-dependent operator takes ``as_of`` explicitly."""
+    """Every time-dependent operator takes ``as_of`` explicitly; there is
+    no default date (``RunOptions.today()`` for a nightly run)."""
 
-    as_of: dt.date = dt.date(2001, 8, 2)
+    as_of: dt.date
     run_ts: dt.datetime | None = None
     strict: bool = True
     overdue_days: int = 30
@@ -205,7 +207,10 @@ class RunOptions:
     contamination: float = 0.05
     seed: int = 42
     min_rows_for_scoring: int = 10
-    extra: dict = field(default_factory=dict)
+
+    @classmethod
+    def today(cls, **options) -> RunOptions:
+        return cls(as_of=dt.datetime.now(dt.timezone.utc).date(), **options)
 
     @property
     def timestamp(self) -> dt.datetime:

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from billstar.operators.dimensions import Dims
-from billstar.schema import FACT
 
 FACT_DEDUP_KEYS = ["patient_key", "date_key", "montant_facture"]
 
@@ -67,19 +66,21 @@ def build_fact(staging: DataFrame, dims: Dims, run_ts, fact_snapshot: DataFrame
     )
 
 
-def apply_scores(fact: DataFrame, scores: DataFrame | None) -> DataFrame:
+def apply_scores(fact: DataFrame, scores: DataFrame | None, also: list[str] | None = None) -> DataFrame:
     """Overlay labels by fact_id: new score where one exists, else the old
-    value (a skipped scoring run leaves earlier labels in place)."""
+    value (a skipped scoring run leaves earlier labels in place). ``also``
+    names columns that both sides agree on, such as their partition."""
+    also = also or []
     if scores is None:
         return fact
-    s = scores.select("fact_id",
+    s = scores.select("fact_id", *also,
                       F.col("anomaly_score").alias("_new_score"),
                       F.col("anomaly_decision").alias("_new_decision"))
-    out = fact.join(s, "fact_id", "left")
+    out = fact.join(s, ["fact_id", *also], "left")
     return out.select(*[
         F.coalesce(F.col("_new_score"), F.col("anomaly_score")).cast("int").alias("anomaly_score")
         if f.name == "anomaly_score" else
         F.coalesce(F.col("_new_decision"), F.col("anomaly_decision")).alias("anomaly_decision")
         if f.name == "anomaly_decision" else F.col(f.name)
-        for f in FACT.fields
+        for f in fact.schema.fields
     ])

@@ -45,5 +45,6 @@ def split_rejects(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def to_staging(valid: DataFrame) -> DataFrame:
-    """Cast to the staging contract: timestamps truncate to dates."""
-    return conform(valid, STAGING, fill_missing=True)
+    """Cast to the staging contract: timestamps truncate to dates; an
+    absent paid amount defaults to 0, other absent columns to NULL."""
+    return conform(valid, STAGING, fill_missing=True, defaults={"montant_paye": "0"})

@@ -62,10 +62,20 @@ def union_sources(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def read_and_standardize(spark, paths_df: DataFrame, run_ts, strict: bool = True) -> tuple[DataFrame, DataFrame | None]:
+    """(silver, malformed records) of the discovered raw files; None when
+    no file is delimited text."""
+    from billstar.sources.files import read_sources, split_malformed
+    good, bad = [], []
+    for spec, raw in read_sources(spark, paths_df, strict):
+        rows, malformed = split_malformed(raw)
+        good.append(standardize(rows, spec, run_ts))
+        if malformed is not None:
+            bad.append(malformed)
+    silver = union_sources(good) if good else spark.createDataFrame([], SILVER)
+    return silver, union_sources(bad) if bad else None
+
+
 def build_silver(spark, paths_df: DataFrame, run_ts, strict: bool = True) -> DataFrame:
     """Discovered raw files -> one consolidated silver DataFrame."""
-    from billstar.sources.files import read_sources
-    frames = [standardize(raw, spec, run_ts) for spec, raw in read_sources(spark, paths_df, strict)]
-    if not frames:
-        return spark.createDataFrame([], SILVER)
-    return union_sources(frames)
+    return read_and_standardize(spark, paths_df, run_ts, strict)[0]

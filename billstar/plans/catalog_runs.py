@@ -58,6 +58,29 @@ def q_run_batch_replay(spark, sf):
         "staging_rows long, fact_rows long, second_insert long, replay_skipped boolean")
 
 
+@query("run_nightly")
+def q_run_nightly(spark, sf):
+    """The whole nightly chain: files, warehouse, labels, mart and views;
+    what is returned is read back from the registered view."""
+    d, m = fixture_dir(spark, sf)
+    root = scratch_dir(spark, "warehouse")
+    summary = runner.run(spark, d, root, m.opts)
+    if summary["skipped"] or not summary["scored"]:
+        raise RuntimeError(f"the nightly run did not load and score: {summary}")
+    return present(spark.table("v_ca_mensuel"))
+
+
+@query("run_nightly_mart")
+def q_run_nightly_mart(spark, sf):
+    """The persistent mart after a run, without the columns that the
+    forest decides."""
+    d, m = fixture_dir(spark, sf)
+    root = scratch_dir(spark, "warehouse")
+    runner.run(spark, d, root, m.opts)
+    return present(runner.read_mart(spark, root, m.opts).select(
+        "patient_nom", "nom_etablissement", "service_nom", "montant_impaye", "delai_jours", "date_facturation"))
+
+
 @query("stream_incremental")
 def q_stream_incremental(spark, sf):
     """Two drops into a watched folder, one availableNow run after each:

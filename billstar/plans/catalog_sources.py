@@ -8,13 +8,14 @@ silver table itself.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
-from billstar.operators.standardize import build_silver, coerce, rename
+from billstar.operators.standardize import build_silver, rename
 from billstar.plans.catalog import present, query
 from billstar.plans.model import from_driver_tables
 from billstar.session import scratch_dir
-from billstar.sources import dialects, files
+from billstar.sources import dialects, files, fs
 from billstar.sources.driver_tables import region_of_facility
 
 STD_COLS = ["patient_id", "patient_nom", "patient_prenom", "etablissement_id", "etablissement_nom", "service",
@@ -63,6 +64,54 @@ for _key, _name in (("etablissement1", "src_csv_comma"), ("etablissement2", "src
     query(_name)(_make(_key))
 
 
+@query("src_csv_quoted")
+def q_src_csv_quoted(spark, sf):
+    """Names that hold quotes, delimiters and line breaks, written by the
+    comma producer and read back."""
+    m = from_driver_tables(spark, sf)
+    rows = m.silver.withColumns({
+        "patient_nom": F.expr("""CASE staging_id % 5 WHEN 1 THEN concat('Du "', patient_nom, '"')
+            WHEN 2 THEN concat(patient_nom, ', dit\n"', patient_prenom, '"')
+            WHEN 3 THEN concat(patient_nom, '; ', patient_prenom) ELSE patient_nom END"""),
+        "service": F.expr("if(staging_id % 7 = 1, concat('\"', service, '\"'), service)")})
+    out = scratch_dir(spark, "raw-quoted")
+    dialects.export(spark, rows.drop("staging_id"), "etablissement1", out)
+    s = build_silver(spark, files.manifest(spark, out), m.opts.timestamp)
+    return present(s.select(*STD_COLS))
+
+
+@query("src_csv_malformed")
+def q_src_csv_malformed(spark, sf):
+    """Records with a field too many or too few go to the malformed rows;
+    the others are read."""
+    from billstar.operators.standardize import read_and_standardize
+    m = from_driver_tables(spark, sf)
+    d = scratch_dir(spark, "raw-malformed")
+    rows = m.silver.selectExpr(
+        "concat_ws(';', patient_id, patient_nom, patient_prenom, etablissement_id, etablissement_nom, service,"
+        " date_format(date_facturation, 'yyyy-MM-dd'), cast(montant_facture as string), statut_paiement,"
+        " cast(montant_paye as string), if(staging_id % 6 = 1, null, '2001-01-01'), '1',"
+        " if(staging_id % 6 = 2, 'extra', null)) as value")
+    header = spark.createDataFrame([(";".join(dialects.source_columns("etablissement2")),)], "value string")
+    tmp = f"{d}/_w"
+    # the header has to lead every file
+    rows.mapInPandas(_headed(header.first().value), "value string").write.text(tmp)
+    for i, part in enumerate(fs.list_files(spark, tmp, ".txt")):
+        fs.rename(spark, part, f"{d}/etablissement2_billing-{i:05d}.csv")
+    good, bad = read_and_standardize(spark, files.manifest(spark, d), m.opts.timestamp)
+    return good.select("patient_id", F.lit(None).cast("string").alias("reject_reason")).unionByName(
+        bad.select(F.col("first_field").alias("patient_id"), "reject_reason"))
+
+
+def _headed(header: str):
+    def add(batches):
+        first = True
+        for pdf in batches:
+            yield pd.concat([pd.DataFrame({"value": [header]}), pdf]) if first and len(pdf) else pdf
+            first = first and not len(pdf)
+    return add
+
+
 @query("std_end_to_end")
 def q_std_end_to_end(spark, sf):
     s, _, _ = standardized(spark, sf)
@@ -72,14 +121,12 @@ def q_std_end_to_end(spark, sf):
 @query("std_rename")
 def q_std_rename(spark, sf):
     """Rename only (B1, B2): canonical names, raw text values."""
-    from billstar.config import source_specs
     d, _ = fixture_dir(spark, sf)
-    frames = [rename(raw, spec).select(*TEXT_COLS)
+    frames = [rename(files.split_malformed(raw)[0], spec).select(*TEXT_COLS)
               for spec, raw in files.read_sources(spark, files.manifest(spark, d))]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
-    _ = source_specs
     return out
 
 
@@ -169,6 +216,3 @@ def q_scan_silver(spark, sf):
     write_silver(s, root, ingest_date="20010802", run_id="r1")
     return present(read_silver(spark, root).where(F.col("montant_impaye") > 0)
                    .select("patient_id", "montant_impaye", "delai_paiement_jours"))
-
-
-_ = coerce

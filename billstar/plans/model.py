@@ -23,7 +23,9 @@ from billstar.operators.loading import split_rejects, to_staging
 from billstar.session import scratch_dir
 from billstar.sources.driver_tables import driver_silver
 
-DEFAULT_OPTIONS = RunOptions()
+# Fixed value: the date the registered queries run as of, the day after
+# the driver tables end.
+DEFAULT_OPTIONS = RunOptions(as_of=dt.date(2001, 8, 2))
 
 # Fixed value: the split date of the two-batch (incremental) scenario.
 SECOND_BATCH_FROM = dt.date(1998, 7, 1)

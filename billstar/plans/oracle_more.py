@@ -154,6 +154,14 @@ FROM feat f, stats s""")
 
 # ------------------------------------------------------------ runs, stream
 ORACLE["run_batch_warehouse"] = ORACLE["view_ca_mensuel"]
+ORACLE["run_nightly"] = ORACLE["view_ca_mensuel"]
+ORACLE["run_nightly_mart"] = q(f"""
+SELECT p.nom AS patient_nom, e.nom_etablissement, s.service_nom, CAST(f.montant_impaye AS DOUBLE) AS montant_impaye,
+       CAST(DATE '{AS_OF}' - d.date_complete AS INTEGER) AS delai_jours, d.date_complete AS date_facturation
+FROM (SELECT * FROM fact WHERE montant_impaye > 0) f
+JOIN (SELECT * FROM dim_date WHERE DATE '{AS_OF}' - date_complete > 30) d USING (date_key)
+JOIN dim_patient p USING (patient_key) JOIN dim_etab e USING (etablissement_key)
+LEFT JOIN dim_service s USING (service_key)""")
 ORACLE["run_batch_replay"] = q("""
 SELECT CAST(2 * (SELECT count(*) FROM stg) AS BIGINT) AS staging_rows,
        CAST((SELECT count(*) FROM fact) AS BIGINT) AS fact_rows,

@@ -55,3 +55,10 @@ ORACLE["src_manifest"] = qr(f"""
 SELECT CASE source_key {_fmts} END AS fmt, CAST(count(DISTINCT source_key) AS BIGINT) AS n_sources,
        TRUE AS has_bytes
 FROM silver_r GROUP BY 1""")
+ORACLE["src_csv_quoted"] = q(f"SELECT {STD} FROM " + """(SELECT * REPLACE (
+    CASE staging_id % 5 WHEN 1 THEN 'Du "' || patient_nom || '"'
+         WHEN 2 THEN patient_nom || ', dit' || chr(10) || '"' || patient_prenom || '"'
+         WHEN 3 THEN patient_nom || '; ' || patient_prenom ELSE patient_nom END AS patient_nom,
+    CASE WHEN staging_id % 7 = 1 THEN '"' || service || '"' ELSE service END AS service) FROM silver)""")
+ORACLE["src_csv_malformed"] = q("""
+SELECT patient_id, CASE WHEN staging_id % 6 IN (1, 2) THEN 'field_count' END AS reject_reason FROM silver""")

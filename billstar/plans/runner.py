@@ -1,19 +1,19 @@
 """The nightly batch as one Spark application (``run``) and its per-batch
 core (``run_batch``), also used by the incremental stream.
 
-Every step reads committed tables and writes new immutable files:
-staging and fact rows are appended as parts, dimensions grow by new
-members only, scores and the mart are published as new versions. A batch
-that fails leaves no visible partial state; a batch id already committed
-is skipped, so a replayed batch (stream retry, rerun) is a no-op.
+Every step reads committed tables and writes new immutable files. A
+batch's staging, dimension and fact parts become visible together, by one
+commit at its end; a batch that fails leaves them as they were (its bronze and
+silver folders, rejects and quarantine are its own work area). A batch
+id already committed is skipped, so a replayed batch (stream retry, rerun)
+is a no-op, and says so in its result.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from billstar.config import RunOptions
@@ -22,15 +22,10 @@ from billstar.operators import constraints as K
 from billstar.operators.dimensions import Dims, new_dates, new_etablissements, new_patients, new_services
 from billstar.operators.fact import apply_scores, build_fact
 from billstar.operators.loading import split_rejects, to_staging
-from billstar.operators.standardize import build_silver
+from billstar.operators.standardize import read_and_standardize
 from billstar.plans import warehouse as W
 from billstar.plans.model import concurrently
-from billstar.sources import files, fs
-
-# Upper bounds (rows) under which a dimension is broadcast to the fact
-# join; above them the join stays a shuffle join. Checked on every batch.
-BROADCAST_MAX_ROWS = {"dim_etablissement": 1_000_000, "dim_date": 1_000_000, "dim_service": 1_000_000}
-
+from billstar.sources import files
 
 def ensure_adaptive(spark: SparkSession) -> None:
     """Runtime re-planning the joins rely on: AQE, partition coalescing and
@@ -43,66 +38,76 @@ def ensure_adaptive(spark: SparkSession) -> None:
             spark.conf.set(key, "true")
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast only behind a measured bound: counting at most
-    ``max_rows + 1`` rows of a committed table is cheap."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 @dataclass
 class BatchResult:
     batch_id: str
     skipped: bool
     silver_rows: int = 0
     rejected_rows: int = 0
+    malformed_rows: int = 0
     staged_rows: int = 0
     inserted_facts: int = 0
     quarantined_facts: int = 0
     report: dict | None = None
 
 
-def _marker(root: str, batch_id: str) -> str:
-    return f"{root.rstrip('/')}/_batches/{batch_id}"
+DIMENSIONS = (("dim_patient", new_patients, "patient"), ("dim_etablissement", new_etablissements, "etablissement"),
+              ("dim_date", new_dates, "date"), ("dim_service", new_services, "service"))
+
 
+def billing_month(date_key: Column) -> Column:
+    """yyyymmdd key -> yyyymm, the partition of the fact."""
+    return F.floor(date_key / 100).cast("int").alias(W.MONTH.name)
 
-def read_dims(spark: SparkSession, root: str, broadcast_small: bool = False) -> Dims | None:
-    parts = {t: W.read_parts(spark, root, t) for t in ("dim_patient", "dim_etablissement", "dim_date", "dim_service")}
-    if parts["dim_patient"] is None:
+
+def read_dims(spark: SparkSession, root: str, at: W.State | None = None, extra: dict | None = None) -> Dims | None:
+    """The dimensions as committed, plus parts a batch has not committed
+    yet (``extra``: table -> path). They carry no hint: the planner
+    broadcasts one only under the session's threshold, by measured bytes."""
+    at = at or W.state(spark, root)
+    tables = [W.read_paths(spark, root, t, (*at.parts.get(t, ()), *([extra[t]] if extra else [])))
+              for t, _, _ in DIMENSIONS]
+    if tables[0] is None:
         return None
-    if broadcast_small:
-        small = [t for t in BROADCAST_MAX_ROWS if parts[t] is not None]
-        # the bounded size checks are independent small jobs: run together
-        for t, df in zip(small, concurrently([(checked_broadcast, (parts[t], BROADCAST_MAX_ROWS[t]))
-                                              for t in small])):
-            parts[t] = df
-    return Dims(parts["dim_patient"], parts["dim_etablissement"], parts["dim_date"], parts["dim_service"])
+    patient, etablissement, date, service = tables
+    return Dims(patient, etablissement, date, service)
 
 
 def read_fact(spark: SparkSession, root: str) -> DataFrame | None:
-    """Fact rows with the current anomaly labels laid over them."""
-    fact = W.read_parts(spark, root, "fact_facturation")
+    """Fact rows with the current anomaly labels laid over them. Fact and
+    labels are stored by billing month and joined on it too, so a filter on months
+    prunes both."""
+    at = W.state(spark, root)
+    fact = W.read_table(spark, root, "fact_facturation", at)
     if fact is None:
         return None
-    return apply_scores(fact, W.read_table(spark, root, "anomaly_scores"))
+    return apply_scores(fact, W.read_table(spark, root, "anomaly_scores", at), [W.MONTH.name])
 
 
 def run_batch(spark: SparkSession, paths: DataFrame, root: str, opts: RunOptions, batch_id: str) -> BatchResult:
-    """Files of one batch (DataFrame with a ``path`` column) -> warehouse."""
-    if fs.exists(spark, _marker(root, batch_id)):
+    """Files of one batch (a manifest, or any DataFrame with ``path``) -> warehouse."""
+    base = W.state(spark, root)
+    if batch_id in base.batches:
         return BatchResult(batch_id, skipped=True)
     ensure_adaptive(spark)
+    root = root.rstrip("/")
     ts = opts.timestamp
     ingest_date = opts.as_of.strftime("%Y%m%d")
 
     # bronze: verbatim copies of this batch's files
-    bronze = f"{root.rstrip('/')}/bronze/ingest_date={ingest_date}/batch={batch_id}"
-    copies = _copy_to_bronze(spark, paths, bronze)
+    copies = files.copy_raw(paths, f"{root}/bronze/ingest_date={ingest_date}/batch={batch_id}")
 
     # silver: standardised, one partition per (ingest date, batch)
-    silver_root = f"{root.rstrip('/')}/silver"
-    W.write_silver(build_silver(spark, copies, ts, opts.strict), silver_root, ingest_date, batch_id)
+    silver_root = f"{root}/silver"
+    rows, malformed = read_and_standardize(spark, copies.select(F.col("bronze_path").alias("path")), ts, opts.strict)
+    W.write_silver(rows, silver_root, ingest_date, batch_id)
     silver = W.read_silver(spark, silver_root, ingest_date).where(F.col("run_id") == batch_id)
+    n_malformed = 0
+    if malformed is not None:
+        obs = Observation(f"malformed_{batch_id}")
+        malformed.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
+            f"{root}/malformed/batch={batch_id}")
+        n_malformed = int(obs.get["n"])
 
     # quality gate (one pass), then load filters
     report = quality.gate(quality.quality_report(silver, ts)).first().asDict()
@@ -114,89 +119,102 @@ def run_batch(spark: SparkSession, paths: DataFrame, root: str, opts: RunOptions
     # extra scan of silver for its rejects
     rejected = int(report["missing_date_facturation"]) + int(report["incoherent_dates"])
     if rejected:
-        rejects.write.mode("overwrite").parquet(f"{root.rstrip('/')}/rejects/batch={batch_id}")
+        rejects.write.mode("overwrite").parquet(f"{root}/rejects/batch={batch_id}")
 
     # staging: ids continue after the largest committed id; written once,
     # read back, so later steps see fixed ids
-    base = W.max_staging_id(spark, root, exclude_batch=batch_id) + 1
-    staged = to_staging(valid).withColumn("staging_id", F.lit(base) + F.monotonically_increasing_id())
-    staged_rows = W.append_staging(staged, spark, root, batch_id)
-    batch = W.read_staging(spark, root, batch_id)
-
-    # dimensions: new members only (insert if absent)
-    # (the four are independent jobs, submitted together)
-    existing = read_dims(spark, root)
-    concurrently([(W.append_version, (fn(batch, ts, getattr(existing, attr) if existing else None), spark, root,
-                                      table))
-                  for table, fn, attr in (("dim_patient", new_patients, "patient"),
-                                          ("dim_etablissement", new_etablissements, "etablissement"),
-                                          ("dim_date", new_dates, "date"), ("dim_service", new_services, "service"))])
-
-    # fact: anti-join against the fact as it was before this insert. The
-    # fact's constraints (T8) are checked in the same pass that writes the
-    # rows: only conforming rows are written, the others are counted.
-    # Nothing is visible until the part is committed; strict mode raises
-    # instead (like the rejected INSERT), lenient mode quarantines them.
-    dims = read_dims(spark, root, broadcast_small=True)
-    snapshot = W.read_parts(spark, root, "fact_facturation")
+    add = {"staging_facturation": W.new_path(root, "staging_facturation", batch_id)}
+    staged = to_staging(valid).withColumn(
+        "staging_id", F.lit(base.max_staging_id + 1) + F.monotonically_increasing_id())
+    seen = Observation(f"staging_{batch_id}")
+    W.write_part(staged.observe(seen, F.count(F.lit(1)).alias("rows"), F.max("staging_id").alias("top")),
+                 root, add["staging_facturation"])
+    batch = W.read_paths(spark, root, "staging_facturation", [add["staging_facturation"]])
+
+    # dimensions: new members only (insert if absent); independent jobs
+    existing = read_dims(spark, root, base)
+    add |= {table: W.new_path(root, table, batch_id) for table, _, _ in DIMENSIONS}
+    concurrently([(W.write_part, (fn(batch, ts, getattr(existing, attr) if existing else None), root, add[table]))
+                  for table, fn, attr in DIMENSIONS])
+    dims = read_dims(spark, root, base, add)
+
+    # fact: anti-join against the fact as it was before this insert, in the
+    # batch's billing months only (the month is part of the compared key).
+    # The fact's constraints (T8) are checked in the pass that writes the rows: only conforming rows are
+    # written, the others are counted; strict mode then raises (like the
+    # rejected INSERT) before the commit, lenient mode quarantines them.
+    snapshot = W.read_table(spark, root, "fact_facturation", base)
+    if snapshot is not None:
+        months = [r[0] for r in batch.select(F.expr("cast(date_format(date_facturation, 'yyyyMM') as int)")).distinct()
+                  .collect()]
+        snapshot = snapshot.where(F.col(W.MONTH.name).isin(months))
     checked = build_fact(batch, dims, ts, snapshot).withColumn("_broken", K.broken_rules(K.fact_rules()))
     fact_obs = Observation(f"fact_{batch_id}")
     observed = checked.observe(fact_obs, F.count(F.lit(1)).alias("rows"),
                                F.count_if(F.size("_broken") > 0).alias("broken"))
-    staged_part = W.stage_part(observed.where(F.size("_broken") == 0).drop("_broken"), root, "fact_facturation",
-                               batch_id)
+    add["fact_facturation"] = W.new_path(root, "fact_facturation", batch_id)
+    W.write_part(observed.where(F.size("_broken") == 0).drop("_broken").select("*", billing_month(F.col("date_key"))),
+                 root, add["fact_facturation"], by_month=True)
     broken = int(fact_obs.get["broken"])
     if broken and opts.strict:
         raise K.ConstraintError(f"batch {batch_id}: {broken} fact rows break the fact constraints "
                                 f"(see {K.__name__}.fact_rules)")
-    W.commit_part(spark, staged_part, root, "fact_facturation")
     if broken:
         # rare path: the offending rows (with the rules they break) are kept
         (checked.where(F.size("_broken") > 0)
-         .write.mode("overwrite").parquet(f"{root.rstrip('/')}/quarantine/fact_facturation/batch={batch_id}"))
+         .write.mode("overwrite").parquet(f"{root}/quarantine/fact_facturation/batch={batch_id}"))
 
-    fs.write_text(spark, _marker(root, batch_id), dt.datetime.now(dt.timezone.utc).isoformat())
+    if "length" in paths.columns:
+        add["loaded_files"] = W.write_part(paths.select(*FILE_KEY), root, W.new_path(root, "loaded_files", batch_id))
+    top = seen.get["top"]
+    W.commit(spark, root, base, batch=batch_id, add=add, max_staging_id=None if top is None else int(top))
     return BatchResult(batch_id, False, silver_rows=int(report["total_rows"]),
-                       rejected_rows=rejected, staged_rows=staged_rows,
+                       rejected_rows=rejected, malformed_rows=n_malformed, staged_rows=int(seen.get["rows"]),
                        inserted_facts=int(fact_obs.get["rows"]) - broken, quarantined_facts=broken,
                        report=report)
 
 
-def _copy_to_bronze(spark: SparkSession, paths: DataFrame, target: str) -> DataFrame:
-    def copy(batches):
-        for pdf in batches:
-            dst = []
-            for p in pdf["path"]:
-                d = f"{target}/{p.rsplit('/', 1)[-1]}"
-                fs.copy_file(p, d)
-                dst.append(d)
-            yield pdf.assign(path=dst)
+FILE_KEY = ("path", "length", "modificationTime")
+
+
+def new_files(spark: SparkSession, input_dir: str, root: str) -> DataFrame:
+    """The manifest's files that no committed batch has loaded; a file that
+    changed (length or time) counts as new."""
+    found = files.manifest(spark, input_dir)
+    loaded = W.read_table(spark, root, "loaded_files")
+    return found if loaded is None else found.join(loaded.select(*FILE_KEY), list(FILE_KEY), "left_anti")
 
-    copied = paths.select("path").mapInPandas(copy, "path string").collect()  # one row per file
-    return spark.createDataFrame(copied, "path string")
+
+def delivery_id(delivery: DataFrame) -> str | None:
+    """A batch id from the set of (path, length, time) of a delivery, the
+    same on a rerun; None for an empty one."""
+    row = delivery.agg(F.count(F.lit(1)).alias("n"),
+                       F.sum(F.xxhash64(*FILE_KEY).cast("decimal(38,0)")).alias("h")).first()
+    return f"d{row.n}-{int(row.h) % (1 << 64):016x}" if row.n else None
 
 
 def score_and_publish(spark: SparkSession, root: str, opts: RunOptions):
     """Anomaly step: score the unpaid invoices of the whole fact and
     publish the labels as a new version laid over older ones."""
     # features need no earlier labels: the raw parts, without the overlay join
-    fact = W.read_parts(spark, root, "fact_facturation")
+    fact = W.read_table(spark, root, "fact_facturation")
     if fact is None:
         return None
     res = anomaly.score_anomalies(fact, opts.iforest_trees, opts.iforest_psi, opts.contamination, opts.seed,
                                   opts.min_rows_for_scoring)
     if res.scores is None:
         return res  # too few rows: earlier labels stay
+    scores = res.scores.join(fact.select("fact_id", W.MONTH.name), "fact_id")
     old = W.read_table(spark, root, "anomaly_scores")
-    merged = res.scores if old is None else old.join(res.scores.select("fact_id"), "fact_id", "left_anti") \
-        .unionByName(res.scores)
-    W.publish(merged, spark, root, "anomaly_scores")
+    merged = scores if old is None else old.join(res.scores.select("fact_id"), "fact_id", "left_anti") \
+        .unionByName(scores)
+    W.publish(merged, spark, root, "anomaly_scores", by_month=True)
     return res
 
 
 def publish_mart(spark: SparkSession, root: str, opts: RunOptions) -> DataFrame:
     """Rebuild the collection mart as a new snapshot version."""
-    dims = read_dims(spark, root, broadcast_small=True)
+    dims = read_dims(spark, root)
     mart = marts.relance(read_fact(spark, root), dims, opts.as_of, opts.overdue_days, opts.priority_amount,
                          opts.important_days, sort=False)
     W.publish(mart, spark, root, "relance")
@@ -215,7 +233,7 @@ def register_views(spark: SparkSession, root: str, opts: RunOptions) -> None:
     dims = read_dims(spark, root)
     fact = read_fact(spark, root)
     # the monthly view uses no label: it skips the overlay join
-    unlabelled = W.read_parts(spark, root, "fact_facturation")
+    unlabelled = W.read_table(spark, root, "fact_facturation")
     W.register_views(spark, {
         "v_facturation_complete": views.facturation_complete(fact, dims),
         "v_stats_etablissement": views.stats_etablissement(fact, dims),
@@ -223,13 +241,19 @@ def register_views(spark: SparkSession, root: str, opts: RunOptions) -> None:
     })
 
 
-def run(spark: SparkSession, input_dir: str, warehouse_dir: str, opts: RunOptions = RunOptions(),
+def run(spark: SparkSession, input_dir: str, warehouse_dir: str, opts: RunOptions | None = None,
         batch_id: str | None = None) -> dict:
-    """The whole nightly chain over every file in ``input_dir``."""
-    batch_id = batch_id or opts.as_of.strftime("%Y%m%d")
-    res = run_batch(spark, files.manifest(spark, input_dir).select("path"), warehouse_dir, opts, batch_id)
+    """The whole nightly chain over the files of ``input_dir`` that are not
+    loaded yet, as of today unless ``opts`` says otherwise. The summary
+    tells a skipped batch and a delivery without new files."""
+    opts = opts or RunOptions.today()
+    delivery = new_files(spark, input_dir, warehouse_dir)
+    batch_id = batch_id or delivery_id(delivery)
+    res = run_batch(spark, delivery, warehouse_dir, opts, batch_id) if batch_id else None
+    if W.read_table(spark, warehouse_dir, "fact_facturation") is None:
+        return {"batch": res, "skipped": True, "scored": None, "threshold": None, "mart_rows": 0}
     forest = score_and_publish(spark, warehouse_dir, opts)
     mart = publish_mart(spark, warehouse_dir, opts)
     register_views(spark, warehouse_dir, opts)
-    return {"batch": res, "scored": None if forest is None else forest.n,
+    return {"batch": res, "skipped": res is None or res.skipped, "scored": None if forest is None else forest.n,
             "threshold": None if forest is None else forest.threshold, "mart_rows": mart.count()}

@@ -1,16 +1,24 @@
 """Persistent tables on any Hadoop-compatible file system.
 
 * silver: Parquet partitioned by ``ingest_date`` / ``run_id`` (A8, A9);
-  date partitions prune at scan time.
-* staging: append-only Parquet, one folder per batch (A10).
-* dimensions, fact, scores, mart: versioned snapshots
-  ``<root>/<table>/v=<n>/``; a version is visible once its ``_SUCCESS``
-  marker exists, so readers never see a half-written table and a writer
-  never overwrites the path it reads (A12, A14).
+  date partitions prune at scan time. A work area of its batch.
+* staging, dimensions, fact: immutable parts, one per batch (A10).
+* labels, mart: snapshots (A12).
+
+What readers see of these tables is what the commit log names. A batch
+writes its parts under paths of its own and then adds one numbered file
+to ``<root>/_commits`` that lists them all. Adding it is the commit: all
+tables of the batch become visible at once, a failed batch leaves nothing
+visible, and of two writers that started from the same commit the second
+fails. No directory is renamed and no success marker is needed.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,13 +27,16 @@ from billstar.schema import (DIM_DATE, DIM_ETABLISSEMENT, DIM_PATIENT, DIM_SERVI
                              STAGING)
 from billstar.sources import fs
 
+MONTH = T.StructField("mois_facturation", T.IntegerType())
+
 SCHEMAS = {
     "dim_patient": DIM_PATIENT,
     "dim_etablissement": DIM_ETABLISSEMENT,
     "dim_date": DIM_DATE,
     "dim_service": DIM_SERVICE,
-    "fact_facturation": FACT,
-    "anomaly_scores": SCORES,
+    # stored by billing month, so that a batch reads only its months
+    "fact_facturation": T.StructType(FACT.fields + [MONTH]),
+    "anomaly_scores": T.StructType(SCORES.fields + [MONTH]),
     "staging_facturation": STAGING,
 }
 
@@ -50,135 +61,113 @@ def read_silver(spark: SparkSession, root: str, ingest_date: str | None = None)
     return df
 
 
-# ------------------------------------------------------------------ staging
-# Staging is append-only, one immutable folder per batch
-# (``staging_facturation/batch=<id>``), overwritten only by a rerun of the
-# same batch, so a retried batch never duplicates rows. The largest id a
-# batch used is recorded next to it (observed during the write), so the
-# next batch's first id needs no scan of the staging history.
-def _staging(root: str) -> str:
-    return f"{root.rstrip('/')}/staging_facturation"
+# ---------------------------------------------------------------- commits
+class ConflictError(RuntimeError):
+    """Another writer committed first; rerun against the new state."""
 
 
-def _staging_ids(root: str) -> str:
-    return f"{root.rstrip('/')}/_staging_max_id"
+@dataclass(frozen=True)
+class State:
+    """What a commit log says: the last commit's number, the batches, the
+    parts of each table in order, and the largest staging id."""
 
+    number: int = 0
+    batches: tuple[str, ...] = ()
+    parts: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    max_staging_id: int = 0
 
-def append_staging(df: DataFrame, spark: SparkSession, root: str, batch_id: str) -> int:
-    """Write one batch's staging rows; returns the number of rows. The row
-    count and the largest id are observed while the rows are written."""
-    from pyspark.sql import Observation
-    obs = Observation(f"staging_{batch_id}")
-    (df.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("staging_id").alias("max_id"))
-     .write.mode("overwrite").parquet(f"{_staging(root)}/batch={batch_id}"))
-    got = obs.get
-    if got["max_id"] is not None:
-        fs.write_text(spark, f"{_staging_ids(root)}/{batch_id}", str(int(got["max_id"])))
-    return int(got["rows"])
 
+def _commits(root: str) -> str:
+    return f"{root.rstrip('/')}/_commits"
 
-def _staging_batches(spark: SparkSession, root: str) -> list[str]:
-    return [d for d in fs.list_dirs(spark, _staging(root))
-            if d.rstrip("/").rsplit("/", 1)[-1].startswith("batch=") and fs.exists(spark, f"{d}/_SUCCESS")]
 
+def state(spark: SparkSession, root: str) -> State:
+    """Replay the log: a commit adds parts to tables, or replaces them."""
+    number, batches, parts, top = 0, [], {}, 0
+    for path in fs.list_files(spark, _commits(root), ".json"):
+        c = json.loads(fs.read_text(spark, path))
+        number = int(path.rsplit("/", 1)[-1].split(".")[0])
+        if c.get("reset"):
+            batches, parts = [], {}
+        if c.get("batch"):
+            batches.append(c["batch"])
+        for table, path_ in c.get("add", {}).items():
+            parts[table] = (*parts.get(table, ()), path_)
+        for table, path_ in c.get("replace", {}).items():
+            parts[table] = (path_,)
+        top = max(top, c.get("max_staging_id") or 0)
+    return State(number, tuple(batches), parts, top)
 
-def read_staging(spark: SparkSession, root: str, batch_id: str | None = None) -> DataFrame | None:
-    """Committed staging rows: one batch's folder, or all of them."""
-    if batch_id is not None:
-        d = f"{_staging(root)}/batch={batch_id}"
-        dirs = [d] if fs.exists(spark, f"{d}/_SUCCESS") else []
-    else:
-        dirs = _staging_batches(spark, root)
-    if not dirs:
-        return None
-    return spark.read.schema(STAGING).parquet(*dirs)
-
-
-def max_staging_id(spark: SparkSession, root: str, exclude_batch: str | None = None) -> int:
-    """Largest staging id of the committed batches other than
-    ``exclude_batch`` (a rerun of a batch reuses its own id range)."""
-    best = 0
-    for d in _staging_batches(spark, root):
-        b = d.rstrip("/").rsplit("/", 1)[-1][len("batch="):]
-        if b == exclude_batch:
-            continue
-        v = fs.read_text(spark, f"{_staging_ids(root)}/{b}")
-        if v:
-            best = max(best, int(v))
-    return best
-
-
-# --------------------------------------------------------------- snapshots
-def _versions(spark: SparkSession, root: str, table: str) -> list[int]:
-    base = f"{root.rstrip('/')}/{table}"
-    out = []
-    for d in fs.list_dirs(spark, base):
-        name = d.rstrip("/").rsplit("/", 1)[-1]
-        if name.startswith("v=") and fs.exists(spark, f"{d}/_SUCCESS"):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
-    vs = _versions(spark, root, table)
-    if not vs:
+
+def commit(spark: SparkSession, root: str, base: State, **entry) -> None:
+    """Add the commit that follows ``base``; ConflictError if it is taken."""
+    fs.mkdirs(spark, _commits(root))
+    path = f"{_commits(root)}/{base.number + 1:08d}.json"
+    if not fs.create_once(spark, path, json.dumps(entry)):
+        raise ConflictError(f"commit {base.number + 1} of {root} was made by another writer")
+
+
+def create(spark: SparkSession, root: str) -> None:
+    """Create an empty warehouse (A14); an existing one stays as it is."""
+    fs.mkdirs(spark, _commits(root))
+
+
+def reset(spark: SparkSession, root: str) -> None:
+    """Empty all tables in one commit (A14: drop and create). Staging ids
+    go on after the largest ever used, and files stay for older readers."""
+    commit(spark, root, state(spark, root), reset=True)
+
+
+def new_path(root: str, table: str, batch_id: str) -> str:
+    """A path no other attempt writes to, relative to the root."""
+    return f"{table}/batch={batch_id}/attempt={uuid.uuid4().hex[:12]}"
+
+
+def read_paths(spark: SparkSession, root: str, table: str, paths) -> DataFrame | None:
+    """The parts at ``paths`` (relative to the root) as one table."""
+    if not paths:
         return None
-    path = f"{root.rstrip('/')}/{table}/v={vs[-1]}"
     schema = SCHEMAS.get(table)
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
-
-
-def publish(df: DataFrame, spark: SparkSession, root: str, table: str, partition_by: list[str] | None = None) -> str:
-    """Write a new version; it becomes current when the job commits."""
-    vs = _versions(spark, root, table)
-    n = (vs[-1] + 1) if vs else 1
-    path = f"{root.rstrip('/')}/{table}/v={n}"
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
+    root = root.rstrip("/")
+    df = reader.option("basePath", f"{root}/{table}").parquet(*[f"{root}/{p}" for p in paths])
+    return df.select(schema.fieldNames()) if schema is not None else df.drop("batch", "attempt")
 
 
-def append_version(df: DataFrame, spark: SparkSession, root: str, table: str) -> str:
-    """Append-only tables kept as a list of immutable parts (fact rows):
-    each batch adds a part, readers union the committed parts."""
-    base = f"{root.rstrip('/')}/{table}/parts"
-    existing = [d for d in fs.list_dirs(spark, base) if fs.exists(spark, f"{d}/_SUCCESS")]
-    n = len(existing) + 1
-    path = f"{base}/p={n:06d}"
-    df.write.mode("overwrite").parquet(path)
-    return path
+def read_table(spark: SparkSession, root: str, table: str, at: State | None = None) -> DataFrame | None:
+    """The committed rows of a table, now or as of a state; None before
+    its first commit."""
+    at = at or state(spark, root)
+    return read_paths(spark, root, table, at.parts.get(table))
 
 
-def stage_part(df: DataFrame, root: str, table: str, batch_id: str) -> str:
-    """Write a batch's rows for an append-only table outside the committed
-    parts (readers never see them); a rerun overwrites them."""
-    path = f"{root.rstrip('/')}/{table}/_incoming/batch={batch_id}"
-    df.write.mode("overwrite").parquet(path)
+def write_part(df: DataFrame, root: str, path: str, by_month: bool = False) -> str:
+    """Write a part that no commit names yet."""
+    w = df.write
+    if by_month:
+        w = w.partitionBy(MONTH.name)
+    w.parquet(f"{root.rstrip('/')}/{path}")
     return path
 
 
-def commit_part(spark: SparkSession, staged: str, root: str, table: str) -> str:
-    """Make a staged part visible as the next committed part (a directory
-    rename, no data copy on HDFS-like file systems)."""
-    base = f"{root.rstrip('/')}/{table}/parts"
-    fs.mkdirs(spark, base)
-    existing = [d for d in fs.list_dirs(spark, base) if fs.exists(spark, f"{d}/_SUCCESS")]
-    path = f"{base}/p={len(existing) + 1:06d}"
-    fs.rename(spark, staged, path)
-    return path
+def read_staging(spark: SparkSession, root: str, batch_id: str | None = None) -> DataFrame | None:
+    """Committed staging rows: one batch's, or all."""
+    paths = state(spark, root).parts.get("staging_facturation", ())
+    if batch_id is not None:
+        paths = [p for p in paths if f"/batch={batch_id}/" in p]
+    return read_paths(spark, root, "staging_facturation", paths)
 
 
-def read_parts(spark: SparkSession, root: str, table: str) -> DataFrame | None:
-    base = f"{root.rstrip('/')}/{table}/parts"
-    parts = [d for d in fs.list_dirs(spark, base) if fs.exists(spark, f"{d}/_SUCCESS")]
-    if not parts:
-        return None
-    schema = SCHEMAS.get(table)
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(*parts)
+def max_staging_id(spark: SparkSession, root: str) -> int:
+    return state(spark, root).max_staging_id
+
+
+def publish(df: DataFrame, spark: SparkSession, root: str, table: str, by_month: bool = False) -> str:
+    """Write a table's next snapshot and make it the current one."""
+    base = state(spark, root)
+    path = write_part(df, root, new_path(root, table, f"v{base.number + 1}"), by_month)
+    commit(spark, root, base, replace={table: path})
+    return path
 
 
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:

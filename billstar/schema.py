@@ -130,9 +130,10 @@ def _ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def conform(df, schema: T.StructType, fill_missing: bool = False):
+def conform(df, schema: T.StructType, fill_missing: bool = False, defaults: dict | None = None):
     """``df`` projected onto ``schema``: columns in schema order, each cast
-    to its type; with ``fill_missing``, absent columns become typed NULLs.
+    to its type; with ``fill_missing``, absent columns get their default
+    (SQL text) or become typed NULLs.
     One ``selectExpr`` (a single driver call) instead of one cast per
     column."""
     have = set(df.columns)
@@ -142,7 +143,7 @@ def conform(df, schema: T.StructType, fill_missing: bool = False):
         if f.name in have:
             exprs.append(f"CAST({_ident(f.name)} AS {t}) AS {_ident(f.name)}")
         elif fill_missing:
-            exprs.append(f"CAST(NULL AS {t}) AS {_ident(f.name)}")
+            exprs.append(f"CAST({(defaults or {}).get(f.name, 'NULL')} AS {t}) AS {_ident(f.name)}")
         else:
             raise ValueError(f"column {f.name} missing")
     return df.selectExpr(*exprs)

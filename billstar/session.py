@@ -42,8 +42,8 @@ def get_session(
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (local runs, tests)
-    create one."""
+    ``spark.checkpoint.dir``. Only a local session, whose executors share
+    the driver's disk, may do without: a temporary one is made there."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -52,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="billstar-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()

@@ -46,7 +46,7 @@ def export_csv(spark: SparkSession, rows: DataFrame, key: str, out_dir: str) ->
     stem = name.rsplit(".", 1)[0]
     tmp = f"{out_dir.rstrip('/')}/_w_{stem}"
     (_formatted(rows, key).write.mode("overwrite")
-     .option("header", True).option("sep", sep).option("encoding", "UTF-8")
+     .option("header", True).option("sep", sep).option("encoding", "UTF-8").option("escape", '"')
      .csv(tmp))
     out = []
     for i, part in enumerate(fs.list_files(spark, tmp, ".csv")):

@@ -11,18 +11,23 @@ task in ``mapInPandas``.
 
 from __future__ import annotations
 
+import csv
+import re
 from collections import defaultdict
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from billstar.config import COLUMN_MAPS, DELIMITERS, SourceSpec, resolve_source_key, source_specs
+from billstar.config import COLUMN_MAPS, DELIMITERS, SourceSpec, source_specs
 from billstar.schema import all_string
 from billstar.sources import fs
 
 GLOB = "*.{csv,xlsx}"
+#: Spreadsheet rows handed to Spark at a time.
+SHEET_CHUNK = 10_000
 
 
 # ---------------------------------------------------------------- discovery
@@ -37,12 +42,13 @@ def manifest(spark: SparkSession, input_dir: str) -> DataFrame:
 
 
 def resolve_source(file_name: Column) -> Column:
-    """File name -> source key; longest key first so ``etablissement10``
-    never resolves to ``etablissement1``; unmatched names raise."""
+    """File name -> source key; no digit may follow the key, so that
+    ``etablissement10`` never resolves to ``etablissement1``; unmatched
+    names raise."""
     stem = F.lower(F.regexp_extract(file_name, r"^(.*?)(\.[^.]*)?$", 1))
     expr = None
     for key in sorted(COLUMN_MAPS, key=len, reverse=True):
-        cond = stem.contains(key)
+        cond = stem.rlike(key + "(?![0-9])")
         expr = F.when(cond, F.lit(key)) if expr is None else expr.when(cond, F.lit(key))
     return expr.otherwise(F.raise_error(F.concat(F.lit("no source matches file "), file_name)))
 
@@ -57,28 +63,31 @@ def _sniff(batches):
         heads = []
         for p, fmt in zip(pdf["path"], pdf["fmt"]):
             if fmt == "csv":
-                raw = fs.read_head(p)
-                text = raw.decode("utf-8", errors="replace").lstrip("\ufeff")
-                heads.append(text.splitlines()[0] if text else "")
+                heads.append(fs.read_record(p).decode("utf-8", errors="replace").lstrip("\ufeff"))
             else:
                 heads.append(None)
         yield pdf.assign(header=heads)
 
 
 def sniff_headers(files: DataFrame) -> DataFrame:
-    """Adds the first line of every delimited file (NULL for other
-    formats), read by tasks from the first 64 KiB of each file only; the
-    file rows pass through, so no join is needed."""
+    """Adds the first record of every delimited file (NULL for other
+    formats), read by tasks up to the end of that record; the file rows
+    pass through, so no join is needed."""
     schema = T.StructType(files.schema.fields + [T.StructField("header", T.StringType())])
     return files.mapInPandas(_sniff, schema)
 
 
+def header_fields(header: str, sep: str) -> list[str]:
+    """Field names of a header record; quoted names may hold the delimiter."""
+    return [h.strip() for h in next(csv.reader([header], delimiter=sep), [])]
+
+
 def choose_delimiter(header: str, expected: set[str]) -> str:
     """The first delimiter whose header fields cover the source's columns;
     otherwise the one giving the most fields."""
     best, best_n = DELIMITERS[0], -1
     for d in DELIMITERS:
-        fields = [h.strip().strip('"') for h in header.split(d)]
+        fields = header_fields(header, d)
         if expected <= set(fields):
             return d
         if len(fields) > best_n:
@@ -97,23 +106,61 @@ def plan_files(spark: SparkSession, paths_df: DataFrame) -> list[dict]:
     for r in info:
         spec_cols = set(COLUMN_MAPS[r.source_key])
         d = choose_delimiter(r.header, spec_cols) if r.fmt == "csv" and r.header is not None else None
-        fields = [h.strip().strip('"') for h in r.header.split(d)] if d else None
+        fields = header_fields(r.header, d) if d else None
         out.append({"path": r.path, "file_name": r.file_name, "source_key": r.source_key,
                     "fmt": r.fmt, "sep": d, "fields": fields})
     return out
 
 
 # -------------------------------------------------------------------- scans
-def read_delimited(spark: SparkSession, paths: list[str], sep: str, fields: list[str]) -> DataFrame:
+CORRUPT = "_corrupt_record"
+
+
+def _local(path: str) -> str:
+    """One spelling of a path: metadata columns percent-encode it."""
+    return re.sub(r"^file:/+", "/", unquote(path))
+
+
+def spanning_paths(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Files in which some line has an odd number of quotes: a quoted field
+    goes over a line end there, so the file can't be split by lines. One
+    distributed scan with one flag per file."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
+        ((F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2).alias("odd"))
+    return {_local(r.path) for r in lines.groupBy("path").agg(F.max("odd").alias("odd")).where("odd = 1").collect()}
+
+
+def read_delimited(spark: SparkSession, paths: list[str], sep: str, fields: list[str],
+                   multiline: bool = False) -> DataFrame:
     """All-string scan of files sharing one delimiter and one header
-    layout; the schema is the header's own order (CSV is positional)."""
-    return (spark.read.schema(all_string(fields))
+    layout; the schema is the header's own order (CSV is positional). A
+    quote inside a quoted field is doubled. Records with more or fewer fields
+    than the header carry their text in ``_corrupt_record``."""
+    schema = T.StructType(all_string(fields).fields + [T.StructField(CORRUPT, T.StringType())])
+    return (spark.read.schema(schema)
             .option("header", True).option("sep", sep).option("encoding", "UTF-8")
-            .option("mode", "PERMISSIVE").option("multiLine", False)
+            .option("quote", '"').option("escape", '"')
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .option("multiLine", multiline)
             .csv(paths)
             .withColumn("source_file", F.col("_metadata.file_name")))
 
 
+def split_malformed(raw: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(well-formed rows, malformed rows as source_file, first_field,
+    record, reject_reason); None for formats that have none."""
+    if CORRUPT not in raw.columns:
+        return raw, None
+    # the reader counts the fields it is asked for: both sides ask for all
+    fields = [c for c in raw.columns if c not in (CORRUPT, "source_file")]
+    whole = F.length(F.concat_ws("", *fields)) >= 0
+    bad = raw.where(whole & F.col(CORRUPT).isNotNull()).select(
+        "source_file", F.col(raw.columns[0]).alias("first_field"), F.col(CORRUPT).alias("record"),
+        F.lit("field_count").alias("reject_reason"))
+    return raw.where(whole & F.col(CORRUPT).isNull()).drop(CORRUPT), bad
+
+
 def read_xlsx(spark: SparkSession, paths: list[str], spec: SourceSpec) -> DataFrame:
     """Spreadsheets of one source: one file per task, first sheet, header
     row, columns of the source map as strings (absent ones NULL)."""
@@ -127,14 +174,17 @@ def read_xlsx(spark: SparkSession, paths: list[str], spec: SourceSpec) -> DataFr
             for path in pdf["path"]:
                 header, rows = read_rows(fs.read_bytes(path), dates)
                 pos = {h: i for i, h in enumerate(header)}
-                cols = {f: [(r[pos[f]] if f in pos and pos[f] < len(r) else None) for r in rows] for f in fields}
-                cols["source_file"] = [path.rsplit("/", 1)[-1]] * len(rows)
-                yield pd.DataFrame(cols, columns=fields + ["source_file"])
+                for i in range(0, len(rows), SHEET_CHUNK):
+                    part = rows[i:i + SHEET_CHUNK]
+                    cols = {f: [(r[pos[f]] if f in pos and pos[f] < len(r) else None) for r in part] for f in fields}
+                    cols["source_file"] = [path.rsplit("/", 1)[-1]] * len(part)
+                    yield pd.DataFrame(cols, columns=fields + ["source_file"])
 
     # Only the paths are shuffled (one file per partition); each task
     # reads its workbook itself, so file bodies never cross the network.
-    raw = spark.createDataFrame([(p,) for p in paths], "path string")
-    raw = raw.repartition(max(1, len(paths)), "path")
+    # A range over the file's number deals exactly one file to a task.
+    raw = spark.createDataFrame(list(enumerate(paths)), "n int, path string")
+    raw = raw.repartitionByRange(max(1, len(paths)), "n").select("path")
     return raw.mapInPandas(parse, schema)
 
 
@@ -143,17 +193,21 @@ def read_sources(spark: SparkSession, paths_df: DataFrame, strict: bool = True)
     lazy raw scan per group."""
     specs = {s.key: s for s in source_specs()}
     groups: dict[tuple, list[str]] = defaultdict(list)
-    for f in plan_files(spark, paths_df):
-        key = (f["source_key"], f["fmt"], f["sep"], tuple(f["fields"]) if f["fields"] else None)
+    found = plan_files(spark, paths_df)
+    delimited = [f["path"] for f in found if f["fmt"] == "csv"]
+    spanning = spanning_paths(spark, delimited) if delimited else set()
+    for f in found:
+        key = (f["source_key"], f["fmt"], f["sep"], tuple(f["fields"]) if f["fields"] else None,
+               _local(f["path"]) in spanning)
         groups[key].append(f["path"])
     out = []
-    for (source_key, fmt, sep, fields), paths in sorted(groups.items(), key=lambda kv: str(kv[0])):
+    for (source_key, fmt, sep, fields, multiline), paths in sorted(groups.items(), key=lambda kv: str(kv[0])):
         spec = specs[source_key]
         if fmt == "csv":
             unknown = set(fields) - set(spec.column_map)
             if unknown and strict:
                 raise ValueError(f"{source_key}: unknown columns {sorted(unknown)} in {paths[:3]}")
-            out.append((spec, read_delimited(spark, paths, sep, list(fields))))
+            out.append((spec, read_delimited(spark, paths, sep, list(fields), multiline)))
         elif fmt == "xlsx":
             out.append((spec, read_xlsx(spark, paths, spec)))
         else:
@@ -162,28 +216,32 @@ def read_sources(spark: SparkSession, paths_df: DataFrame, strict: bool = True)
 
 
 # -------------------------------------------------------------------- bronze
-def ingest_bronze(spark: SparkSession, input_dir: str, bronze_dir: str, ingest_date: str) -> DataFrame:
-    """Verbatim copy of every discovered file to
-    ``bronze_dir/ingest_date=<date>/<name>``; copies are made by tasks
-    (distributed, idempotent on retry). Returns the manifest with the raw
-    copy's path; any copy error fails the job."""
-    target = f"{bronze_dir.rstrip('/')}/ingest_date={ingest_date}"
+def copy_raw(files: DataFrame, target: str) -> DataFrame:
+    """Verbatim copies under ``target`` of the files of a manifest, made by
+    tasks (distributed, idempotent on retry); the manifest with
+    ``bronze_path``. Any copy error fails the job."""
+    spark = files.sparkSession
 
     def copy(batches):
         for pdf in batches:
             dst = []
-            for p, name in zip(pdf["path"], pdf["file_name"]):
-                d = f"{target}/{name}"
+            for p in pdf["path"]:
+                d = f"{target}/{p.rsplit('/', 1)[-1]}"
                 fs.copy_file(p, d)
                 dst.append(d)
             yield pdf.assign(bronze_path=dst)
 
-    files = manifest(spark, input_dir)
     schema = T.StructType(files.schema.fields + [T.StructField("bronze_path", T.StringType())])
     copied = files.mapInPandas(copy, schema).collect()  # one row per file
     return spark.createDataFrame(copied, schema)
 
 
+def ingest_bronze(spark: SparkSession, input_dir: str, bronze_dir: str, ingest_date: str) -> DataFrame:
+    """Raw copies of every discovered file, under
+    ``bronze_dir/ingest_date=<date>/<name>``."""
+    return copy_raw(manifest(spark, input_dir), f"{bronze_dir.rstrip('/')}/ingest_date={ingest_date}")
+
+
 def bronze_files(spark: SparkSession, bronze_dir: str, ingest_date: str | None = None) -> DataFrame:
     """Raw copies (optionally one ingest date, pruned by directory)."""
     base = bronze_dir.rstrip("/")
@@ -192,7 +250,3 @@ def bronze_files(spark: SparkSession, bronze_dir: str, ingest_date: str | None =
     if not ingest_date:
         reader = reader.option("recursiveFileLookup", True)
     return reader.load(path).select("path", "length", "modificationTime")
-
-
-def resolve_key_py(name: str) -> str:
-    return resolve_source_key(name)

@@ -3,6 +3,10 @@ and pyarrow.fs (inside tasks). Paths may be any Hadoop/Arrow URL."""
 
 from __future__ import annotations
 
+import re
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -56,6 +60,27 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a complete file at ``path`` unless one is there: written beside
+    it, then renamed without overwriting. False if another was first."""
+    jvm = spark.sparkContext._jvm
+    tmp = f"{path}.{uuid.uuid4().hex}.tmp"
+    write_text(spark, tmp, text)
+    src, dst = jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(path)
+    _, qualified = _hfs(spark, path)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        qualified.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri(),
+        spark.sparkContext._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(src, dst, none)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" not in str(e.java_exception.getClass().getName()):
+            raise
+        return False
+    return True
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _hfs(spark, path)
     if not fs.exists(p):
@@ -69,22 +94,50 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 # ----------------------------------------------------------------- in tasks
+#: URL schemes of Hadoop connectors under the name Arrow knows them by.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "s3": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs",
+                 "abfs": "abfs", "abfss": "abfss"}
+
+
+def arrow_url(path: str) -> str:
+    """A Hadoop-style URL as Arrow spells it; local paths lose their
+    scheme. A scheme Arrow cannot read raises here, by name, instead of
+    being taken for a local path."""
+    m = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):(/.*)", path)
+    if not m:
+        return path
+    scheme, rest = m[1].lower(), m[2]
+    if scheme == "file":
+        return "/" + rest.lstrip("/")
+    if scheme not in ARROW_SCHEMES:
+        raise ValueError(f"tasks cannot read {scheme}: URLs ({path}); copy the files to a supported store")
+    return f"{ARROW_SCHEMES[scheme]}:{rest}"
+
+
 def arrow_fs(path: str):
     """(pyarrow FileSystem, path) for a Hadoop-style URL; ``file:/x`` is local."""
     from pyarrow import fs as pafs
 
-    if path.startswith("file:"):
-        local = "/" + path[len("file:"):].lstrip("/")
-        return pafs.LocalFileSystem(), local
-    if "://" not in path:
-        return pafs.LocalFileSystem(), path
-    return pafs.FileSystem.from_uri(path)
+    url = arrow_url(path)
+    return pafs.FileSystem.from_uri(url) if "://" in url else (pafs.LocalFileSystem(), url)
 
 
-def read_head(path: str, nbytes: int = 65536) -> bytes:
+def read_record(path: str, chunk: int = 65536) -> bytes:
+    """The first delimited record of a file, however long: up to the first
+    line end outside double quotes."""
     fs, p = arrow_fs(path)
     with fs.open_input_stream(p) as f:
-        return f.read(nbytes)
+        head, start, quoted = b"", 0, False
+        while more := f.read(chunk):
+            head += more
+            for i in range(start, len(head)):
+                c = head[i]
+                if c == 0x22:
+                    quoted = not quoted
+                elif not quoted and c in (0x0A, 0x0D):
+                    return head[:i]
+            start = len(head)
+        return head
 
 
 def read_bytes(path: str) -> bytes:

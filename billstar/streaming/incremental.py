@@ -23,13 +23,13 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, cont
 
 
 def start_incremental(spark: SparkSession, input_dir: str, warehouse_dir: str, checkpoint_dir: str,
-                      opts: RunOptions = RunOptions(), available_now: bool = True,
+                      opts: RunOptions, available_now: bool = True,
                       max_files_per_trigger: int | None = None) -> StreamingQuery:
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", GLOB))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    new_files = reader.load(input_dir).select("path")
+    new_files = reader.load(input_dir).select("path", "length", "modificationTime")
 
     stream_tag = hashlib.sha1(checkpoint_dir.encode("utf-8")).hexdigest()[:10]
 
@@ -45,7 +45,7 @@ def start_incremental(spark: SparkSession, input_dir: str, warehouse_dir: str, c
 
 
 def run_available(spark: SparkSession, input_dir: str, warehouse_dir: str, checkpoint_dir: str,
-                  opts: RunOptions = RunOptions()) -> None:
+                  opts: RunOptions) -> None:
     q = start_incremental(spark, input_dir, warehouse_dir, checkpoint_dir, opts)
     q.awaitTermination()
     if q.exception() is not None:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from billstar.config import RunOptions
 from billstar.plans import runner
 from billstar.plans import warehouse as W
-from billstar.sources import files, fs
+from billstar.sources import files
 from billstar.operators import constraints as K
 from tests.conftest import write_text
 from tests.test_sources import make_inputs
@@ -33,18 +33,18 @@ def test_rerun_after_failure_is_idempotent(spark, workdir, monkeypatch):
     make_inputs(inputs)
     root = os.path.join(workdir, "wh")
 
-    # crash right before the commit marker: every table was written
-    real = fs.write_text
+    # crash right before the commit: every table was written
+    real = W.commit
 
-    def crash(spark_, path, text):
-        if "/_batches/" in path:
-            raise RuntimeError("executor lost")
-        return real(spark_, path, text)
+    def crash(*args, **kw):
+        raise RuntimeError("executor lost")
 
-    monkeypatch.setattr(fs, "write_text", crash)
+    monkeypatch.setattr(W, "commit", crash)
     with pytest.raises(RuntimeError):
         runner.run_batch(spark, _paths(spark, inputs), root, OPTS, "b1")
-    monkeypatch.setattr(fs, "write_text", real)
+    assert runner.read_fact(spark, root) is None and runner.read_dims(spark, root) is None
+    assert W.read_staging(spark, root) is None
+    monkeypatch.setattr(W, "commit", real)
 
     first = runner.run_batch(spark, _paths(spark, inputs), root, OPTS, "b1")
     assert not first.skipped
@@ -60,7 +60,7 @@ def test_rerun_after_failure_is_idempotent(spark, workdir, monkeypatch):
     n_null = staged.count() - n_keyed
     assert n_null == 1
     assert fact.count() == n_keyed
-    assert first.inserted_facts == 0                             # the crashed run already inserted them
+    assert first.inserted_facts == n_keyed                       # the crashed run left nothing visible
     assert first.quarantined_facts == n_null
     assert staged.select("staging_id").distinct().count() == staged.count()
 

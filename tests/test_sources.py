@@ -74,8 +74,7 @@ def test_five_dialects_standardise(spark, workdir):
     assert rows["S1"]["date_facturation"] == dt.datetime(2025, 4, 1, 10)
 
 
-def test_resolution_longest_key_and_unknown():
-    assert resolve_source_key("etablissement10_x.csv") == "etablissement1"  # only key present
+def test_resolution_and_unknown():
     assert resolve_source_key("/a/b/ETABLISSEMENT2_billing.csv") == "etablissement2"
     with pytest.raises(ValueError):
         resolve_source_key("other.csv")
