@@ -63,3 +63,13 @@ def scratch_dir(spark: SparkSession, tag: str = "scratch") -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors of a cluster on which it is not
+    installed: the functions that run in tasks import it there."""
+    import shutil
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="billstar-ship-"), "billstar")
+    spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(root), os.path.basename(root)))
