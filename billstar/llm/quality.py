@@ -31,7 +31,7 @@ from billstar.llm.common import fold, label_sample, logistic_fit, logistic_predi
 WINDOW = 1024
 #: Windows of one sample document, spread evenly over it.
 WINDOWS_PER_DOC = 8
-DICT_BYTES = 1 << 16
+DICT_BYTES = 1 << 17
 LEVEL = 3
 #: Bytes added to the divisor so that very short texts stay undecided.
 DAMPING = 24
