@@ -44,12 +44,13 @@ def taux_service(fact: DataFrame, dims: Dims) -> DataFrame:
 
 
 def _described(top: DataFrame, dims: Dims) -> DataFrame:
-    """A few fact rows with patient, facility and date; the rows are the
-    small side of every join."""
-    top = F.broadcast(top)
-    return (dims.patient.select("patient_key", "nom", "prenom").join(top, "patient_key")
-            .join(dims.etablissement.select("etablissement_key", "nom_etablissement"), "etablissement_key")
-            .join(dims.date.select("date_key", "date_complete"), "date_key"))
+    """A bounded number of fact rows (a report's k) with patient, facility
+    and date; they are the broadcast side of every join, so no dimension is shuffled."""
+    for dim, key, *columns in ((dims.patient, "patient_key", "nom", "prenom"),
+                               (dims.etablissement, "etablissement_key", "nom_etablissement"),
+                               (dims.date, "date_key", "date_complete")):
+        top = dim.select(key, *columns).join(F.broadcast(top), key)
+    return top
 
 
 def top_delays(fact: DataFrame, dims: Dims, k: int = 10) -> DataFrame:
