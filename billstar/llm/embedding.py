@@ -141,3 +141,27 @@ def link(spark: SparkSession, embeddings: DataFrame, threshold: float = 0.93) ->
     return out.selectExpr(
         "vec_id", "if(vec_id is null, 0, coalesce(n_links, 0)) as n_links", f"{component} as component_id",
         f"coalesce(vec_id = {component}, true) as kept")
+
+
+def oracle(threshold: float = 0.93) -> str:
+    """The same rows in DuckDB SQL over a view embeddings, by all pairs."""
+    return f"""
+        WITH RECURSIVE e AS (
+            SELECT DISTINCT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL),
+        good AS (
+            SELECT *, list_dot_product(v, v) AS vv FROM e
+            WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                  AND len(list_filter(v, lambda x: x <> 0)) > 0),
+        link AS (
+            SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+            WHERE list_dot_product(a.v, b.v) / sqrt(a.vv * b.vv) >= {threshold}),
+        reach AS (
+            SELECT DISTINCT vec_id AS x, vec_id AS y FROM embeddings WHERE vec_id IS NOT NULL
+            UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
+        low AS (SELECT x, min(y) AS component FROM reach GROUP BY x),
+        degree AS (SELECT x, count(DISTINCT y) AS n FROM link GROUP BY x)
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component AS component_id,
+               coalesce(vec_id = component, TRUE) AS kept
+        FROM embeddings LEFT JOIN low ON vec_id = low.x LEFT JOIN degree ON vec_id = degree.x"""

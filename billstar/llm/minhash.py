@@ -311,3 +311,34 @@ def keep_one(spark: SparkSession, documents: DataFrame, p: Params) -> DataFrame:
     kept = link(spark, documents, p).where("kept and doc_id is not null").select("doc_id").distinct()
     known = documents.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return known.select(*documents.columns).union(documents.where("doc_id is null"))
+
+
+def oracle(p: Params = Params()) -> str:
+    """The same rows as :func:`link` in DuckDB SQL over a view documents,
+    from the shingles that documents share."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    shingle = " || ' ' || ".join(f"w[i + {k}]" for k in range(p.words))
+    return rf"""
+        WITH RECURSIVE d AS (
+            SELECT DISTINCT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, w, list_distinct(CASE
+                WHEN len(w) = 0 THEN [] WHEN len(w) < {p.words} THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - {p.words} + 2), lambda i: {shingle}) END) AS g
+            FROM d),
+        shingles AS (SELECT doc_id, len(g) AS n, unnest(g) AS h FROM sets WHERE doc_id IS NOT NULL),
+        link AS (
+            SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.h = b.h AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n
+            HAVING 100 * count(*) >= {p.percent} * (a.n + b.n - count(*))),
+        reach AS (
+            SELECT doc_id AS x, doc_id AS y FROM d WHERE doc_id IS NOT NULL
+            UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
+        low AS (SELECT x, min(y) AS component FROM reach GROUP BY x)
+        SELECT documents.doc_id, len(g)::BIGINT AS n_shingles, component AS component_id,
+               coalesce(documents.doc_id = component, TRUE) AS kept
+        FROM documents JOIN sets ON documents.doc_id IS NOT DISTINCT FROM sets.doc_id
+             AND regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') = w
+             LEFT JOIN low ON documents.doc_id = low.x"""

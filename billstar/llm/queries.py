@@ -115,10 +115,12 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from billstar.llm import decontaminate, mixing, urlrules
+    from billstar.llm import decontaminate, embedding, minhash, mixing, urlrules
 
     return {
+        "op2_embedding_dedup": embedding.oracle(),
         "op3_decontamination": decontaminate.oracle(),
+        "op5_minhash_dedup": minhash.oracle(minhash.Params(words=3, percent=85)),
         "op8_url_filters": urlrules.oracle(URL_RULES),
         "op9_mixing": mixing.oracle(),
     }
