@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import duckdb
 import pytest
+import regex
 
 import corpus_pipeline
-from billstar.llm.common import table, written
+from billstar.llm import minhash, quality, toxicity
+from billstar.llm.common import logistic_predict, table, written
 from billstar.llm.queries import oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
@@ -34,6 +38,54 @@ def test_stages_keep_columns_and_only_remove(spark):
     assert queries()["pipeline"](spark, SF).count() == docs.count()
 
 
+def test_run_equals_a_brute_force_pipeline(spark):
+    """Every stage again in plain Python over the rows the one before kept:
+    scores row by row, all pairs, all alignments, one queue."""
+    from test_minhash import brute as all_pairs
+    from test_mixing import brute as one_queue
+
+    docs = [(r.doc_id, r.text, r.source) for r in table(spark, SF, "documents").collect()]
+    labels = table(spark, SF, "labels")
+
+    def frame(rows):
+        return spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    model = quality.fit(frame(docs), labels)
+    measure = quality.measurer(model.good, model.bad)
+    docs = [d for d in docs if logistic_predict(model.calibration, [measure(d[1])])[0] >= 0.5]
+
+    model = toxicity.fit(frame(docs), labels)
+    reader, machine = toxicity.Reader(model.lexicon), toxicity.grammar()
+    docs = [d for d in docs if logistic_predict(
+        model.calibration, [toxicity.features(d[1], reader, machine)])[0] < 0.3]
+
+    groups = all_pairs(docs, minhash.Params(words=5, percent=80))
+    docs = [d for d in docs if groups[d[0]][1] == d[0]]
+
+    def tokens(text):
+        return regex.findall(r"[\p{L}\p{N}]+", text.lower())
+
+    items = [tokens(r.text) for r in table(spark, SF, "benchmark").collect()]
+
+    def overlaps(text):
+        w = tokens(text)
+        for b in items:
+            if len(b) < 11:
+                continue
+            stretch = min(13, len(b))
+            for d in range(stretch - len(b), len(w) - stretch + 1):
+                same = [w[i] == b[i - d] for i in range(max(d, 0), min(len(w), len(b) + d))]
+                if any(sum(same[i:i + stretch]) >= 0.8 * stretch for i in range(len(same) - stretch + 1)):
+                    return True
+        return False
+
+    docs = [d for d in docs if not overlaps(d[1])]
+    mix = one_queue(docs)
+    want = Counter({row[0]: taken // row[1] for row, (_, _, taken) in mix.items() if row[1] and taken})
+    got = Counter(r.doc_id for r in corpus_pipeline.run(spark, SF).select("doc_id").collect())
+    assert got == want
+
+
 def test_stages_take_empty_documents(spark):
     docs = table(spark, SF, "documents").where("doc_id < 0")
     for name, stage in corpus_pipeline.STAGES:
