@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from billstar.functions.parse import lenient_count, lenient_decimal, lenient_timestamp
 from billstar.operators import constraints as K
 from billstar.operators import quality
 from billstar.operators.dimensions import build_dims
 from billstar.operators.fact import build_fact, lookup_keys
 from billstar.operators.loading import drop_null_billing_date, split_rejects, to_staging
-from billstar.plans.catalog import query
+from billstar.plans.catalog import present, query
 from billstar.plans.model import from_driver_tables, two_batches
 from billstar.sources.driver_tables import spoiled_silver
 
@@ -191,6 +192,23 @@ def q_bad_chk_balance(spark, sf):
     return K.violations(build_fact(staging, dims, m.opts.timestamp), K.fact_rules(), "fact_id")
 
 
+@query("bad_std_lenient")
+def q_bad_std_lenient(spark, sf):
+    """Lenient parsing (B3-B5) of raw fields that are spoiled by remainder."""
+    raw = from_driver_tables(spark, sf).silver.selectExpr(
+        "staging_id",
+        """CASE staging_id % 8 WHEN 1 THEN '31/02/2001' WHEN 2 THEN 'n/a' WHEN 3 THEN '' WHEN 4 THEN '2001-99-99'
+           WHEN 5 THEN concat('  ', date_format(date_facturation, 'dd/MM/yyyy'), ' ')
+           ELSE date_format(date_facturation, 'dd/MM/yyyy') END AS d""",
+        """CASE staging_id % 7 WHEN 1 THEN 'abc' WHEN 2 THEN '' WHEN 3 THEN concat(' ', montant_facture, ' ')
+           WHEN 4 THEN '99999999999999' WHEN 5 THEN 'NaN' ELSE cast(montant_facture AS STRING) END AS a""",
+        """CASE staging_id % 6 WHEN 1 THEN concat(nombre_lignes, '.7') WHEN 2 THEN 'x' WHEN 3 THEN ''
+           WHEN 4 THEN '-2' ELSE cast(nombre_lignes AS STRING) END AS n""")
+    return present(raw.select(
+        "staging_id", lenient_timestamp("d", ("dd/MM/yyyy",)).alias("date_facturation"),
+        lenient_decimal("a").alias("montant_facture"), lenient_count("n").alias("nombre_lignes")))
+
+
 @query("bad_chk_unique")
 def q_bad_chk_unique(spark, sf):
     """UNIQUE over the natural keys of the staging rows, which repeat."""

@@ -227,6 +227,13 @@ ORACLE["bad_dim_patient"] = bad("SELECT patient_key, patient_id_naturel, nom, pr
 ORACLE["bad_fact_key_lookup"] = bad(
     "SELECT staging_id, patient_key, etablissement_key, date_key, service_key FROM fact_keys")
 ORACLE["bad_chk_balance"] = bad(_violations(FACT_NOT_NULL + AMOUNTS + BALANCE, "fact", "fact_id"))
+ORACLE["bad_std_lenient"] = q("""
+SELECT staging_id,
+       CASE WHEN staging_id % 8 NOT IN (1, 2, 3, 4) THEN date_facturation END AS date_facturation,
+       CASE WHEN staging_id % 7 NOT IN (1, 2, 4, 5) THEN CAST(montant_facture AS DOUBLE) END AS montant_facture,
+       CAST(CASE staging_id % 6 WHEN 2 THEN 1 WHEN 3 THEN 1 WHEN 4 THEN -2 ELSE nombre_lignes END AS INTEGER)
+         AS nombre_lignes
+FROM silver""")
 ORACLE["bad_chk_unique"] = bad(
     _dups("stg", "service", "staging_facturation") + " AND service IS NOT NULL\nUNION ALL\n"
     + _dups("stg", "staging_id", "staging_facturation"))
