@@ -18,7 +18,6 @@ TOKEN = r"[\p{L}\p{N}]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rules up to which the index is broadcast; beyond it the join shuffles.
 BROADCAST_RULES = 50_000
-RULE_SCHEMA = "rule string, verdict string, regex string, literals array<string>, rank int"
 
 #: Host words of the method's own rules; a URL whose host has one as a
 #: whole word, set off by dots or hyphens, is blocked.
@@ -49,10 +48,18 @@ def _quote(text: str) -> str:
 
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
-    """Rules as a table: (rule text, verdict) pairs by host and path, and the
-    method's. A rule without literals is filed under '', which every URL fetches."""
+    """Rules as a table (rule, verdict, regex, literals, rank): (rule text,
+    verdict) pairs by host and path, rank 1, and the method's, rank 0. A
+    rule without literals is filed under '', which every URL fetches.
+    ``judge`` takes any table of these columns, so long lists can be read from files."""
     rows = [host_path_rule(r, v) for r, v in rules] + [word_rule(w) for w in METHOD_WORDS]
-    return spark.createDataFrame(rows, RULE_SCHEMA)
+    literal = [
+        F.struct(
+            F.lit(rule).alias("rule"), F.lit(verdict).alias("verdict"), F.lit(regex).alias("regex"),
+            F.array(*map(F.lit, literals)).cast("array<string>").alias("literals"), F.lit(rank).alias("rank"))
+        for rule, verdict, regex, literals, rank in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*literal)))
 
 
 def split_url(pages: DataFrame, id_col: str = "page_id") -> DataFrame:

@@ -57,7 +57,7 @@ def test_url_index_equals_trying_every_rule(spark):
 
 def test_url_plan_is_native(spark):
     plan = queries()["op8_url_filters"](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert not any(w in plan for w in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+    assert not any(w in plan for w in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop", "ExistingRDD"))
 
 
 def test_url_empty_table(spark):
