@@ -5,7 +5,7 @@ a fixed rotation, which spreads the distance evenly, the dimensions are split in
 m blocks; if all blocks differed by more than D / m, so would the whole by more
 than D. So every linked pair is within D / m in some block. Each block's
 range join runs over a grid on its first axes, with cells as wide as the
-block's radius; the union of the blocks' pairs is then verified exactly.
+block's radius and more axes the more vectors a label has; the union of the blocks' pairs is then verified exactly.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import cache
 from itertools import product
-from math import sqrt
+from math import floor, log, sqrt
 
 import numpy as np
 import pandas as pd
@@ -22,8 +22,11 @@ from pyspark.sql import functions as F
 
 from billstar.llm.common import components, written
 
-#: Dimensions of a block, and those of them that the grid divides.
-BLOCK, AXES = 8, 2
+#: Dimensions of a block.
+BLOCK = 8
+#: Vectors of a label for which a grid on two axes is best, and the factor
+#: from which one more axis (three times the look-ups) pays.
+TWO_AXES, NEXT_AXIS = 4_000, 4
 #: Slack of the block budgets for rounding.
 SLACK = 1e-6
 
@@ -35,6 +38,13 @@ def rotation(dim: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def axes_for(vectors: int) -> int:
+    """Axes of a block that the grid divides when the largest label has so
+    many distinct vectors. Any number gives the same pairs."""
+    more = log(max(1, vectors / TWO_AXES)) / log(NEXT_AXIS)
+    return min(BLOCK, 2 + floor(more))
+
+
 def distinct_vectors(embeddings: DataFrame) -> DataFrame:
     """(rid, label, embedding, dim, copies): equal vectors of a label as one,
     named by their smallest vec_id. Unusable vectors are left out."""
@@ -49,9 +59,9 @@ def distinct_vectors(embeddings: DataFrame) -> DataFrame:
     return reps.withColumn("dim", F.size("embedding"))
 
 
-def blocks(reps: DataFrame, threshold: float) -> DataFrame:
+def blocks(reps: DataFrame, threshold: float, axes: int) -> DataFrame:
     """A row per vector and block: rid, label, dim, block, budget, the grid
-    cell g0, g1 and the block's coordinates x0..x7 (padded with 0)."""
+    cell g0, g1, ... and the block's coordinates x0..x7 (padded with 0)."""
     squared = 2 - 2 * threshold
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -68,34 +78,34 @@ def blocks(reps: DataFrame, threshold: float) -> DataFrame:
                 side = sqrt(budget)
                 for b in range(m):
                     x = v[:, b * BLOCK:(b + 1) * BLOCK]
-                    cell = np.floor(x[:, :AXES] / side).astype(np.int32)
+                    cell = np.floor(x[:, :axes] / side).astype(np.int32)
                     yield pd.DataFrame({
                         "rid": part.rid.to_numpy(), "label": part.label.to_numpy(), "dim": int(dim), "block": b,
-                        "budget": budget, **{f"g{i}": cell[:, i] for i in range(AXES)},
+                        "budget": budget, **{f"g{i}": cell[:, i] for i in range(axes)},
                         **{f"x{i}": x[:, i] for i in range(BLOCK)}})
 
     columns = "rid long, label {}, dim int, block int, budget double, ".format(
         reps.schema["label"].dataType.simpleString())
-    columns += ", ".join([f"g{i} int" for i in range(AXES)] + [f"x{i} double" for i in range(BLOCK)])
+    columns += ", ".join([f"g{i} int" for i in range(axes)] + [f"x{i} double" for i in range(BLOCK)])
     return reps.select("rid", "label", "embedding", "dim").mapInPandas(split, columns)
 
 
-def candidates(parts: DataFrame) -> DataFrame:
+def candidates(parts: DataFrame, axes: int) -> DataFrame:
     """(a, b): pairs within some block's budget, a row per block that has them.
 
     Each vector looks into its own cell and the half of its neighbours
     that follow, so a pair is met once a block. The distance is part of
     the join, so only pairs within the budget leave it.
     """
-    ahead = [o for o in product((-1, 0, 1), repeat=AXES) if o >= (0,) * AXES]
+    ahead = [o for o in product((-1, 0, 1), repeat=axes) if o >= (0,) * axes]
     offsets = ", ".join(
         "named_struct({})".format(", ".join(f"'o{i}', {v}" for i, v in enumerate(o))) for o in ahead)
     probe = parts.withColumn("o", F.explode(F.expr(f"array({offsets})")))
-    for i in range(AXES):
+    for i in range(axes):
         probe = probe.withColumn(f"g{i}", F.col(f"g{i}") + F.col(f"o.o{i}"))
-    own = " and ".join(f"o.o{i} = 0" for i in range(AXES))
+    own = " and ".join(f"o.o{i} = 0" for i in range(axes))
     probe = probe.withColumn("own", F.expr(own)).drop("o")
-    keys = ["label", "dim", "block"] + [f"g{i}" for i in range(AXES)]
+    keys = ["label", "dim", "block"] + [f"g{i}" for i in range(axes)]
     same = " and ".join(f"p.{k} = q.{k}" for k in keys)
     near = " + ".join(f"(p.x{i} - q.x{i}) * (p.x{i} - q.x{i})" for i in range(BLOCK))
     met = probe.alias("p").join(
@@ -113,8 +123,10 @@ def link(spark: SparkSession, embeddings: DataFrame, threshold: float = 0.93) ->
     nothing. Other columns are not read.
     """
     reps = written(spark, distinct_vectors(embeddings), "vectors")
-    parts = written(spark, blocks(reps, threshold), "blocks")
-    pairs = written(spark, candidates(parts), "candidates")
+    largest = reps.groupBy("label", "dim").count().agg(F.max("count").alias("n")).first().n
+    axes = axes_for(largest or 0)
+    parts = written(spark, blocks(reps, threshold, axes), "blocks")
+    pairs = written(spark, candidates(parts, axes), "candidates")
     # scaled by the largest component once a vector, so that no product
     # over- or underflows; the squared norm goes along
     vector = reps.withColumn("top", F.expr("aggregate(embedding, 0D, (s, x) -> greatest(s, abs(x)))")).selectExpr(

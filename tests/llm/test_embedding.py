@@ -57,6 +57,20 @@ def test_matches_all_pairs(spark, dim):
     check(spark, rows)
 
 
+@pytest.mark.parametrize("axes", [1, 3, 4])
+def test_any_number_of_axes_finds_the_same(spark, monkeypatch, axes):
+    monkeypatch.setattr(embedding, "axes_for", lambda n: axes)
+    rng = np.random.default_rng(axes)
+    base = rng.standard_normal((5, 20))
+    rows = [(i, [float(x) for x in base[i % 5] + rng.standard_normal(20) * 0.25], 0) for i in range(100)]
+    check(spark, rows)
+
+
+def test_axes_grow_with_the_label():
+    got = [embedding.axes_for(n) for n in (0, 10, 4_000, 15_999, 16_000, 64_000, 10**12)]
+    assert got == [2, 2, 2, 2, 3, 4, 8]
+
+
 def test_awkward_rows(spark):
     one = [1.0, 2.0, 3.0]
     rows = [(1, one, 0), (2, one, 0), (3, [2.0, 4.0, 6.0], 0), (4, one, 1), (5, one, None), (6, None, 0), (7, [], 0),
