@@ -15,8 +15,9 @@ from billstar.operators.standardize import build_silver, rename
 from billstar.plans.catalog import present, query
 from billstar.plans.model import from_driver_tables
 from billstar.session import scratch_dir
-from billstar.sources import dialects, files, fs
+from billstar.sources import files, fs
 from billstar.sources.driver_tables import region_of_facility
+from producers import dialects
 
 STD_COLS = ["patient_id", "patient_nom", "patient_prenom", "etablissement_id", "etablissement_nom", "service",
             "date_facturation", "montant_facture", "statut_paiement", "montant_paye", "date_paiement",

@@ -14,6 +14,7 @@ from __future__ import annotations
 import csv
 import re
 from collections import defaultdict
+from itertools import islice
 from urllib.parse import unquote
 
 import pandas as pd
@@ -174,8 +175,7 @@ def read_xlsx(spark: SparkSession, paths: list[str], spec: SourceSpec) -> DataFr
             for path in pdf["path"]:
                 header, rows = read_rows(fs.read_bytes(path), dates)
                 pos = {h: i for i, h in enumerate(header)}
-                for i in range(0, len(rows), SHEET_CHUNK):
-                    part = rows[i:i + SHEET_CHUNK]
+                while part := list(islice(rows, SHEET_CHUNK)):
                     cols = {f: [(r[pos[f]] if f in pos and pos[f] < len(r) else None) for r in part] for f in fields}
                     cols["source_file"] = [path.rsplit("/", 1)[-1]] * len(part)
                     yield pd.DataFrame(cols, columns=fields + ["source_file"])

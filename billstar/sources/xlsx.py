@@ -1,7 +1,5 @@
-"""Minimal Office Open XML spreadsheet (.xlsx) reading and writing with the
-standard library only (zipfile + ElementTree), used inside Spark tasks.
-
-Reading: first sheet, first row is the header, cell types shared string,
+"""Minimal Office Open XML spreadsheet (.xlsx) reading with the standard
+library only (zipfile + ElementTree), used inside Spark tasks: first sheet, first row is the header, cell types shared string,
 inline string, formula string, number, boolean; sparse rows are placed by
 cell reference. Numbers in date columns are Excel serial days (epoch
 1899-12-30) and become ISO timestamps.
@@ -14,7 +12,6 @@ import io
 import re
 import zipfile
 from xml.etree import ElementTree as ET
-from xml.sax.saxutils import escape
 
 NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 RNS = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
@@ -40,15 +37,6 @@ def col_index(ref: str) -> int:
     return i
 
 
-def col_letters(i: int) -> str:
-    s = ""
-    i += 1
-    while i:
-        i, r = divmod(i - 1, 26)
-        s = chr(65 + r) + s
-    return s
-
-
 def serial_to_iso(v: str) -> str | None:
     try:
         days = float(v)
@@ -80,111 +68,51 @@ def _shared_strings(z: zipfile.ZipFile) -> list[str]:
     return out
 
 
-def read_rows(data: bytes, date_columns: set[str] = frozenset()):
-    """Yield (header, rows) where rows is a list of string lists."""
-    z = zipfile.ZipFile(io.BytesIO(data))
+def _cells(row, shared: list[str]) -> list[str | None]:
+    """Values of a row element, placed by cell reference."""
+    cells: dict[int, str | None] = {}
+    for pos, c in enumerate(row.iter(f"{NS}c")):
+        kind = c.get("t", "n")
+        if kind == "inlineStr":
+            val = "".join(x.text or "" for x in c.iter(f"{NS}t"))
+        else:
+            v = c.find(f"{NS}v")
+            val = v.text if v is not None else None
+            if val is not None and kind == "s":
+                val = shared[int(val)]
+            elif val is not None and kind == "b":
+                val = "True" if val == "1" else "False"
+        cells[col_index(c.get("r")) if c.get("r") else pos] = val
+    return [cells.get(i) for i in range(max(cells) + 1 if cells else 0)]
+
+
+def _lines(z: zipfile.ZipFile):
+    """Rows of the first sheet one after another; a parsed row is dropped
+    from the tree before the next is read."""
     shared = _shared_strings(z)
-    header: list[str] | None = None
-    rows: list[list[str | None]] = []
     with z.open(_first_sheet_path(z)) as f:
-        for _, el in ET.iterparse(f, events=("end",)):
-            if el.tag != f"{NS}row":
-                continue
-            cells: dict[int, str | None] = {}
-            for pos, c in enumerate(el.iter(f"{NS}c")):
-                idx = col_index(c.get("r")) if c.get("r") else pos
-                t = c.get("t", "n")
-                if t == "inlineStr":
-                    val = "".join(x.text or "" for x in c.iter(f"{NS}t"))
-                else:
-                    v = c.find(f"{NS}v")
-                    val = v.text if v is not None else None
-                    if val is not None and t == "s":
-                        val = shared[int(val)]
-                    elif val is not None and t == "b":
-                        val = "True" if val == "1" else "False"
-                cells[idx] = val
-            el.clear()
-            width = max(cells) + 1 if cells else 0
-            line = [cells.get(i) for i in range(width)]
-            if header is None:
-                header = [x or "" for x in line]
-                continue
-            rows.append(line)
-    header = header or []
-    date_idx = {i for i, h in enumerate(header) if h in date_columns}
-    for r in rows:
-        for i in date_idx:
-            if i < len(r) and r[i] not in (None, ""):
-                r[i] = serial_to_iso(r[i])
-    return header, rows
-
-
-# ------------------------------------------------------------------ writing
-def _iso_to_serial(v) -> float:
-    ts = v if isinstance(v, dt.datetime) else dt.datetime.combine(v, dt.time())
-    delta = ts - EXCEL_EPOCH
-    return delta.days + delta.seconds / 86400.0
-
-
-def write_workbook(header: list[str], rows, date_columns: set[str] = frozenset(),
-                   number_columns: set[str] = frozenset()) -> bytes:
-    """One-sheet workbook; dates as serial numbers with a date style,
-    numbers as numeric cells, everything else as inline strings."""
-    out = io.StringIO()
-    out.write('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-              '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>')
-
-    def cell(ref, name, v):
-        if v is None or (isinstance(v, float) and v != v):
-            return ""
-        if name in date_columns:
-            return f'<c r="{ref}" s="1"><v>{_iso_to_serial(v)!r}</v></c>'
-        if name in number_columns:
-            return f'<c r="{ref}"><v>{v}</v></c>'
-        return f'<c r="{ref}" t="inlineStr"><is><t>{escape(str(v))}</t></is></c>'
-
-    out.write('<row r="1">' + "".join(
-        f'<c r="{col_letters(i)}1" t="inlineStr"><is><t>{escape(h)}</t></is></c>' for i, h in enumerate(header))
-        + "</row>")
-    for n, r in enumerate(rows, start=2):
-        out.write(f'<row r="{n}">' + "".join(
-            cell(f"{col_letters(i)}{n}", header[i], v) for i, v in enumerate(r)) + "</row>")
-    out.write("</sheetData></worksheet>")
-
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr("[Content_Types].xml",
-                   '<?xml version="1.0" encoding="UTF-8"?>'
-                   '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
-                   '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
-                   '<Default Extension="xml" ContentType="application/xml"/>'
-                   '<Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
-                   '<Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
-                   '<Override PartName="/xl/styles.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/>'
-                   '</Types>')
-        z.writestr("_rels/.rels",
-                   '<?xml version="1.0" encoding="UTF-8"?>'
-                   '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
-                   '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/>'
-                   '</Relationships>')
-        z.writestr("xl/workbook.xml",
-                   '<?xml version="1.0" encoding="UTF-8"?>'
-                   '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" '
-                   'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships">'
-                   '<sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>')
-        z.writestr("xl/_rels/workbook.xml.rels",
-                   '<?xml version="1.0" encoding="UTF-8"?>'
-                   '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
-                   '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/>'
-                   '<Relationship Id="rId2" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/styles" Target="styles.xml"/>'
-                   '</Relationships>')
-        z.writestr("xl/styles.xml",
-                   '<?xml version="1.0" encoding="UTF-8"?>'
-                   '<styleSheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
-                   '<fonts count="1"><font/></fonts><fills count="1"><fill/></fills>'
-                   '<borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs>'
-                   '<cellXfs count="2"><xf/><xf numFmtId="22" applyNumberFormat="1"/></cellXfs>'
-                   '</styleSheet>')
-        z.writestr("xl/worksheets/sheet1.xml", out.getvalue())
-    return buf.getvalue()
+        parent = None
+        for event, el in ET.iterparse(f, events=("start", "end")):
+            if event == "start" and el.tag == f"{NS}sheetData":
+                parent = el
+            elif event == "end" and el.tag == f"{NS}row":
+                yield _cells(el, shared)
+                if parent is not None:
+                    parent.clear()
+
+
+def read_rows(data: bytes, date_columns: set[str] = frozenset()):
+    """(header, iterator over the rows as lists of strings); the sheet is
+    parsed as the rows are taken."""
+    lines = _lines(zipfile.ZipFile(io.BytesIO(data)))
+    header = [x or "" for x in next(lines, [])]
+    dates = {i for i, h in enumerate(header) if h in date_columns}
+
+    def rows():
+        for r in lines:
+            for i in dates:
+                if i < len(r) and r[i] not in (None, ""):
+                    r[i] = serial_to_iso(r[i])
+            yield r
+
+    return header, rows()

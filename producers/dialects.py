@@ -69,7 +69,7 @@ def export_xlsx(spark: SparkSession, rows: DataFrame, key: str, out_dir: str) ->
     def write(batches):
         from pyspark import TaskContext
 
-        from billstar.sources.xlsx import write_workbook
+        from producers.workbook import write_workbook
         frames = list(batches)
         pid = TaskContext.get().partitionId()
         if not frames or sum(len(f) for f in frames) == 0:
