@@ -137,7 +137,8 @@ def two_batches(m: Model) -> TwoBatches:
     dims_b = Dims(dims_a.patient.unionByName(new_b.patient),
                   dims_a.etablissement.unionByName(new_b.etablissement),
                   dims_a.date.unionByName(new_b.date), dims_a.service.unionByName(new_b.service))
-    new_fact_b = keep(build_fact(m.staging, dims_b, ts, fact_snapshot=fact_a), "new_fact_b")
+    # not written: reading it runs the anti-join against batch A's fact
+    new_fact_b = build_fact(m.staging, dims_b, ts, fact_snapshot=fact_a)
     tb = TwoBatches(dims_a, fact_a, dims_b, new_b, new_fact_b)
     if m.root:
         _BATCHES[id(m)] = tb
