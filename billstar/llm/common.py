@@ -17,6 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, with underscores added until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def quoted(columns: list[str]) -> list[str]:
+    """Column names as they can be selected whatever characters they hold."""
+    return ["`" + c.replace("`", "``") + "`" for c in columns]
+
+
 def fold(doc_id: str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus`` (0 for a NULL id)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus, F.lit(0))

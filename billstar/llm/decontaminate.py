@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billstar.llm.common import written
+from billstar.llm.common import fresh, written
 
 TOKENS = r"[\p{L}\p{N}]+"
 #: Benchmark window hashes up to which they are broadcast (24 bytes each);
@@ -117,12 +117,13 @@ def remove(
     spark: SparkSession, documents: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds()
 ) -> DataFrame:
     """The rows of ``documents`` that overlap with no benchmark item, unchanged."""
+    own, other = (fresh(n, documents.columns) for n in ("_id", "_alt"))
     found = written(
         spark, contaminated(spark, documents, benchmark, seeds).select(
-            F.col("doc_id").alias("_id"), F.col("alt").alias("_alt")).distinct(), "contaminated")
+            F.col("doc_id").alias(own), F.col("alt").alias(other)).distinct(), "contaminated")
     alt = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0))
     return documents.join(
-        found, F.col("doc_id").eqNullSafe(F.col("_id")) & alt.eqNullSafe(F.col("_alt")), "left_anti")
+        found, F.col("doc_id").eqNullSafe(F.col(own)) & alt.eqNullSafe(F.col(other)), "left_anti")
 
 
 def oracle(seeds: Seeds = Seeds()) -> str:

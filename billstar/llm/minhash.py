@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billstar.llm.common import components, written
+from billstar.llm.common import components, quoted, written
 
 SKETCH_BITS = 128
 #: Words that one block of a star compares, and the number of leaves from
@@ -310,7 +310,7 @@ def keep_one(spark: SparkSession, documents: DataFrame, p: Params) -> DataFrame:
     a doc_id one stays."""
     kept = link(spark, documents, p).where("kept and doc_id is not null").select("doc_id").distinct()
     known = documents.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.select(*documents.columns).union(documents.where("doc_id is null"))
+    return known.select(*quoted(documents.columns)).union(documents.where("doc_id is null"))
 
 
 def oracle(p: Params = Params()) -> str:

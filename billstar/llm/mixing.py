@@ -168,12 +168,14 @@ def plan(spark: SparkSession, documents: DataFrame, mix: Mix = Mix()) -> DataFra
 
 def mixed(spark: SparkSession, documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The mix itself: a row for each (document, pass) taken, with the
-    columns of ``documents`` and mix_pass and mix_finish, range-sorted by finish time."""
+    columns of ``documents`` and mix_pass and mix_finish (in place of
+    columns of these names), range-sorted by finish time."""
+    documents = documents.drop("mix_pass", "mix_finish")
     p = written(spark, plan(spark, documents, mix).where("passes > 0").selectExpr(
         "doc_id as i", "size as n", "sk as s", "key as k", "passes", "source_size", "target", "used"
     ).distinct(), "plan")
     d = documents.select(
-        F.struct(*documents.columns).alias("row"), *[c.alias(f"d_{n}") for n, c in _measured().items()])
+        F.struct("*").alias("row"), *[c.alias(f"d_{n}") for n, c in _measured().items()])
     met = d.join(p, F.expr("d_key = k and d_size = n and d_sk = s and d_doc_id <=> i"))
     sent = met.select(
         "row", "k", "source_size", "target", "used", F.explode(F.expr("sequence(0, passes - 1)")).alias("pass")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from billstar.llm.common import fold, label_sample, logistic_fit, logistic_predict
+from billstar.llm.common import fold, fresh, label_sample, logistic_fit, logistic_predict
 
 #: Bytes of a window: short enough that the dictionary, not the window's
 #: own repetitions, explains most matches.
@@ -182,9 +182,7 @@ def classify(documents: DataFrame, model: QualityModel, threshold: float = 0.5)
 
 def keep_good(documents: DataFrame, model: QualityModel, threshold: float = 0.5) -> DataFrame:
     """The rows of ``documents`` that score at least ``threshold``, unchanged."""
-    name = "_quality_score"
-    while name in documents.columns:
-        name += "_"
+    name = fresh("_quality_score", documents.columns)
     return (
         documents.withColumn(name, score(F.col("text"), model)["score"])
         .where(F.col(name) >= threshold).drop(name)

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billstar.llm.common import fold, label_sample, logistic_fit, logistic_predict
+from billstar.llm.common import fold, fresh, label_sample, logistic_fit, logistic_predict
 
 HOLDOUT_MOD, HOLDOUT_AT = 4, 2
 
@@ -320,9 +320,7 @@ def classify(documents: DataFrame, model: ToxicityModel, threshold: float = 0.3)
 
 def keep_clean(documents: DataFrame, model: ToxicityModel, threshold: float = 0.3) -> DataFrame:
     """The rows of ``documents`` that score under ``threshold``, unchanged."""
-    name = "_toxicity_score"
-    while name in documents.columns:
-        name += "_"
+    name = fresh("_toxicity_score", documents.columns)
     return (
         documents.withColumn(name, score(F.col("text"), model)["score"])
         .where(F.col(name) < threshold).drop(name)

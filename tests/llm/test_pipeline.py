@@ -86,6 +86,17 @@ def test_run_equals_a_brute_force_pipeline(spark):
     assert got == want
 
 
+def test_stages_take_clashing_columns(spark):
+    extra = ["_id", "_alt", "_quality_score", "_toxicity_score", "alt", "component_id", "size", "row", "a.b", "mix_pass"]
+    docs = table(spark, SF, "documents").selectExpr("*", *[f"doc_id as `{c}`" for c in extra])
+    for name, stage in corpus_pipeline.STAGES:
+        columns = docs.columns
+        docs = written(spark, stage(spark, docs, SF), f"clash-{name}")
+        assert [c for c in docs.columns if c != "mix_finish"] == columns
+        if name != "mixing":
+            assert docs.where("`a.b` <> doc_id or _id <> doc_id").count() == 0
+
+
 def test_stages_take_empty_documents(spark):
     docs = table(spark, SF, "documents").where("doc_id < 0")
     for name, stage in corpus_pipeline.STAGES:
