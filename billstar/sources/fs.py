@@ -53,6 +53,11 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _hfs(spark, path)
+    fs.delete(p, True)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, p = _hfs(spark, path)
     out = fs.create(p, True)
