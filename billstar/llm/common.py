@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billstar.session import scratch_dir
+from billstar.sources import fs
 
 #: A word is a run of anything but space and the control blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,7 +42,15 @@ def written(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
     reads only the columns it needs."""
     path = scratch_dir(spark, f"llm-{tag}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`written` that nothing reads any more."""
+    for df in tables:
+        fs.delete(df.sparkSession, df.written_to)
 
 
 def label_sample(
@@ -102,7 +111,9 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
             small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(low.select("u", F.col("m").alias("v"))).distinct()
         )
-        e = written(spark, small, "edges")
+        shorter = written(spark, small, "edges")
+        discard(e)
+        e = shorter
     members = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return members.union(roots)

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billstar.llm.common import components, written
+from billstar.llm.common import components, discard, written
 
 #: Dimensions of a block.
 BLOCK = 8
@@ -127,6 +127,7 @@ def link(spark: SparkSession, embeddings: DataFrame, threshold: float = 0.93) ->
     axes = axes_for(largest or 0)
     parts = written(spark, blocks(reps, threshold, axes), "blocks")
     pairs = written(spark, candidates(parts, axes), "candidates")
+    discard(parts)
     # scaled by the largest component once a vector, so that no product
     # over- or underflows; the squared norm goes along
     vector = reps.withColumn("top", F.expr("aggregate(embedding, 0D, (s, x) -> greatest(s, abs(x)))")).selectExpr(
@@ -140,6 +141,7 @@ def link(spark: SparkSession, embeddings: DataFrame, threshold: float = 0.93) ->
     cosine = f"{dot.format('a_v', 'b_v')} / sqrt(a_vv * b_vv)"
     met = met.where(f"{cosine} >= {threshold}D").select("a", "b", "a_copies", "b_copies")
     links = written(spark, met, "links")
+    discard(pairs, vector)
 
     ends = links.selectExpr("a as rid", "b_copies as n").union(links.selectExpr("b", "a_copies"))
     degree = ends.groupBy("rid").agg(F.sum("n").alias("n"))

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billstar.llm.common import components, quoted, written
+from billstar.llm.common import components, discard, quoted, written
 
 SKETCH_BITS = 128
 #: Words that one block of a star compares, and the number of leaves from
@@ -249,7 +249,9 @@ def link(spark: SparkSession, documents: DataFrame, p: Params = Params()) -> Dat
     centres = rows.select("bk", "rid", "n", "s1", "s2").join(degree, "rid").groupBy("bk").agg(
         F.max_by(F.struct("rid", "n", "s1", "s2"), F.struct("degree", -F.col("rid"))).alias("top")
     ).select("bk", F.col("top.rid").alias("c"), F.struct("top.n", "top.s1", "top.s2").alias("t"))
-    rows = written(spark, rows.join(centres, "bk"), "centred")
+    centred = written(spark, rows.join(centres, "bk"), "centred")
+    discard(rows)
+    rows = centred
     pairs = rows.alias("a").where("rid <> c and " + _possible(p, "a", "t")).select(
         "c", F.col("rid").alias("x"), "n").distinct()
     pairs = written(spark, pairs, "pairs")

@@ -21,7 +21,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from billstar.llm.common import WORD, written
+from billstar.llm.common import WORD, discard, written
 
 #: Hex digits of the hash that name a bucket: 16**3 of them for each source.
 BUCKET_DIGITS = 3
@@ -110,11 +110,12 @@ def plan(spark: SparkSession, documents: DataFrame, mix: Mix = Mix()) -> DataFra
     budget = goal.agg(F.sum("target").alias("t")).first().t or 0.0
 
     upto = Window.partitionBy("sk").orderBy("bucket")
-    parts = parts.select("sk", "bucket", (F.sum("part").over(upto) - F.col("part")).alias("before"))
+    before_part = parts.select("sk", "bucket", (F.sum("part").over(upto) - F.col("part")).alias("before"))
     order = Window.partitionBy("sk", "bucket").orderBy("key", "size", "doc_id")
-    queued = rows.join(parts.join(goal, "sk"), ["sk", "bucket"]).withColumn(
+    queued = rows.join(before_part.join(goal, "sk"), ["sk", "bucket"]).withColumn(
         "used", F.col("before") + F.sum("size").over(order))
     queued = written(spark, queued.drop("before", "bucket"), "queued")
+    discard(rows, parts, goal)
     sent = queued.where("size > 0").select(
         "sk", "key", "doc_id", "size", F.explode(F.sequence(F.lit(0), F.lit(mix.passes - 1))).alias("pass"),
         "source_size", "target", "used",
