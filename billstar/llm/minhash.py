@@ -33,7 +33,7 @@ from billstar.llm.common import components, discard, quoted, written
 SKETCH_BITS = 128
 #: Words that one block of a star compares, and the number of leaves from
 #: which a star also reports how its leaves differ from it.
-BLOCK_WORDS, MANY_LEAVES = 200_000, 8
+BLOCK_WORDS, MANY_LEAVES = 50_000, 8
 
 
 @dataclass(frozen=True)
