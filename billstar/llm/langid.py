@@ -97,7 +97,8 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE, k: int = CENTROI
     The sample is a hash threshold for each language, from its document
     count; the languages and centroids that reach the driver are bounded
     by the number of languages. Each language is clustered in a task of
-    its own, over count vectors, not texts.
+    its own, over count vectors, not texts. Centroids that draw mostly
+    another language's sample are left out; each language keeps one.
     """
     known = documents.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", mod) != at))
@@ -144,7 +145,24 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE, k: int = CENTROI
         counted.groupBy("lang").applyInPandas(cluster, "lang string, c binary").collect())
     owner = np.array([languages.index(lang) for lang, _ in found], dtype=int)
     centroids = np.stack([np.frombuffer(c) for _, c in found]) if found else np.zeros((0, DIM))
-    return LanguageModel(languages, idf, owner, centroids)
+
+    # a cluster that draws more sample documents of another language holds
+    # passages in that language, not its own
+    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            v = np.stack([np.frombuffer(b, dtype=np.float32) for b in pdf.v]) * idf
+            yield pd.DataFrame({"lang": pdf.lang, "j": np.argmax(v @ centroids.T, axis=1)})
+
+    drawn = np.zeros((len(found), len(languages)))
+    if found:
+        for r in counted.mapInPandas(nearest, "lang string, j int").groupBy("lang", "j").count().collect():
+            drawn[r.j, languages.index(r.lang)] = r["count"]
+    own = drawn[np.arange(len(found)), owner]
+    pure = own >= drawn.max(axis=1, initial=0)
+    for k in set(owner):
+        if not pure[owner == k].any():
+            pure[np.flatnonzero(owner == k)[np.argmax(own[owner == k])]] = True
+    return LanguageModel(languages, idf, owner[pure], centroids[pure])
 
 
 def predict(text: Column, model: LanguageModel) -> Column:
