@@ -25,13 +25,19 @@ BROADCAST_ROWS = 1_000_000
 
 @dataclass(frozen=True)
 class Seeds:
-    masks: tuple[str, ...] = ("11101001011", "11010110011", "10110011101")
+    """``masks`` hit every overlap of CHECK tokens with at most TOLERANCE of
+    them substituted, wherever those lie; ``short``, together with ``masks``,
+    does so for items of SPAN to CHECK - 1 tokens, and is used where the
+    benchmark has such items. The tests try all substitutions."""
+
+    masks: tuple[str, ...] = ("11101001011", "11010110011", "10110011101", "10011111001")
+    short: tuple[str, ...] = ("01101110100", "00011101110", "01110011010", "10001010111", "11100100101")
     check: int = 13
     tolerance: float = 0.2
 
     @property
     def span(self) -> int:
-        return max(map(len, self.masks))
+        return max(map(len, self.masks + self.short))
 
 
 def tokens(text: str) -> Column:
@@ -41,16 +47,16 @@ def tokens(text: str) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def windows(df: DataFrame, keys: list[str], seeds: Seeds) -> DataFrame:
+def windows(df: DataFrame, keys: list[str], seeds: Seeds, masks: tuple[str, ...]) -> DataFrame:
     """(keys, at, h): a row for each window of the token array ``w`` and
-    each mask. The second generator keeps the hash expressions to one copy
+    each of the masks, numbered from 0. The second generator keeps the hash expressions to one copy
     (a filter on them would make another), so that the generated method
     stays small enough for the JIT."""
     count = f"size(w) - {seeds.span - 1}"
     spread = df.where(f"{count} > 0").select(*keys, "w", F.explode(F.expr(f"sequence(0, {count} - 1)")).alias("at"))
     under = [
         f"xxhash64({k}L, " + ", ".join(f"w[at + {i}]" for i, bit in enumerate(mask) if bit == "1") + ")"
-        for k, mask in enumerate(seeds.masks)
+        for k, mask in enumerate(masks)
     ]
     return spread.select(*keys, "at", F.explode(F.expr(f"array({', '.join(under)})")).alias("h"))
 
@@ -73,11 +79,15 @@ def contaminated(
     items = benchmark.where("item_id is not null").select(
         "item_id", tokens("text").alias("w")).distinct()
     items = written(spark, items, "items")
-    probes = written(
-        spark, windows(items, ["item_id"], seeds).withColumnRenamed("at", "q").distinct(), "probes")
+    probes, masks = windows(items, ["item_id"], seeds, seeds.masks), seeds.masks
+    low = items.where(f"size(w) between {seeds.span} and {seeds.check - 1}")
+    if not low.isEmpty():
+        masks = seeds.masks + seeds.short
+        probes = probes.union(windows(low, ["item_id"], seeds, masks))
+    probes = written(spark, probes.withColumnRenamed("at", "q").distinct(), "probes")
     if probes.count() <= BROADCAST_ROWS:
         probes = F.broadcast(probes)
-    spread = windows(docs.select("doc_id", "alt", tokens("text").alias("w")), ["doc_id", "alt"], seeds)
+    spread = windows(docs.select("doc_id", "alt", tokens("text").alias("w")), ["doc_id", "alt"], seeds, masks)
     hits = spread.join(probes, "h").select(
         "doc_id", "alt", "item_id", (F.col("at") - F.col("q")).alias("diagonal")).distinct()
     hits = written(

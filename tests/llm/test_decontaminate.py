@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 import random
 
+import pytest
+
 from billstar.llm import decontaminate as D
 
 RNG = random.Random(8)
@@ -61,3 +65,44 @@ def test_without_broadcast(spark, documents, monkeypatch):
     docs = documents([(i, " ".join(noise(20) + (ITEM if i % 2 else []))) for i in range(20)])
     got = D.contaminated(spark, docs, bench(spark, [(1, " ".join(ITEM))])).collect()
     assert sorted(r.doc_id for r in got) == list(range(1, 20, 2))
+
+
+def accepted(a, b, seeds):
+    """The verifier's rule on two token lists, over all diagonals, without masks."""
+    stretch = min(len(b), seeds.check)
+    need = math.ceil(stretch * (1 - seeds.tolerance))
+    for d in range(-len(b) + 1, len(a)):
+        same = [a[i] == b[i - d] for i in range(max(d, 0), min(len(a), len(b) + d))]
+        if any(sum(same[i:i + stretch]) >= need for i in range(len(same) - stretch + 1)):
+            return True
+    return False
+
+
+@pytest.mark.parametrize("n", [11, 12, 13, 14, 15])
+def test_masks_hit_every_accepted_substitution(n):
+    seeds = D.Seeds()
+    masks = seeds.masks + (seeds.short if n < seeds.check else ())
+    placed = [{at + i for i, bit in enumerate(m) if bit == "1"} for m in masks for at in range(n - seeds.span + 1)]
+    assert [pair for pair in itertools.combinations(range(n), 2) if all(s & set(pair) for s in placed)] == []
+
+
+def test_substitutions_against_all_alignments(spark, documents):
+    """Every pair of substituted tokens, and chance substitutions in longer
+    overlaps and in items cut by the document's ends."""
+    rng, items, docs = random.Random(31), {}, {}
+    for n in (11, 12, 13):
+        items[n] = [f"short{n}x{i}" for i in range(n)]
+        for pair in itertools.combinations(range(n), 2):
+            docs[len(docs)] = noise(4) + ["other" if i in pair else w for i, w in enumerate(items[n])] + noise(4)
+    for n in (16, 30):
+        items[n] = [f"long{n}x{i}" for i in range(n)]
+        for _ in range(60):
+            low = rng.randrange(n - 12)
+            part = items[n][low:rng.randrange(low + 13, n + 1)]
+            docs[len(docs)] = noise(3) + ["other" if rng.random() < 0.18 else w for w in part] + noise(3)
+    seeds = D.Seeds()
+    want = {(d, n) for d, a in docs.items() for n, b in items.items() if accepted(a, b, seeds)}
+    got = D.contaminated(
+        spark, documents([(d, " ".join(a)) for d, a in docs.items()]),
+        bench(spark, [(n, " ".join(b)) for n, b in items.items()]))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want and len(want) > 200
