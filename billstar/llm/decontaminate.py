@@ -5,7 +5,8 @@ takes only the tokens under the mask's ones, so substitutions under its zeros do
 not disturb it. Window hashes of documents meet those of benchmark items
 in an equi-join. Each (document, item, diagonal) that a seed hits is then
 verified on the tokens: some stretch of CHECK aligned tokens (the whole
-item, if shorter) must agree but for TOLERANCE of its tokens.
+item, if shorter) must agree but for TOLERANCE of its tokens. Items
+of fewer than SPAN tokens are hashed whole and must occur verbatim, as tokens.
 """
 
 from __future__ import annotations
@@ -61,44 +62,70 @@ def windows(df: DataFrame, keys: list[str], seeds: Seeds, masks: tuple[str, ...]
     return spread.select(*keys, "at", F.explode(F.expr(f"array({', '.join(under)})")).alias("h"))
 
 
+def sequences(df: DataFrame, keys: list[str], lengths: list[int]) -> DataFrame:
+    """(keys, at, h): a row for each run of ``n`` tokens of the array ``w``,
+    for each n of the lengths."""
+    runs = df.select(*keys, "w", F.explode(F.array(*map(F.lit, lengths))).alias("n")).where("size(w) >= n")
+    runs = runs.select(*keys, "w", "n", F.explode(F.expr("sequence(0, size(w) - n)")).alias("at"))
+    return runs.select(*keys, "at", F.expr("xxhash64('whole', n, slice(w, at + 1, n))").alias("h"))
+
+
 def contaminated(
     spark: SparkSession, documents: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds()
 ) -> DataFrame:
     """(doc_id, alt, item_id, matched, item_tokens, coverage, at): a row
-    for each document and item that overlap, with the best diagonal's
-    agreeing tokens and the smallest token offset of one.
+    for each document and identified item that overlap, with the best
+    diagonal's agreeing tokens and the smallest token offset of one.
 
     ``alt`` is 0, or a hash of the text where doc_id is NULL, so that rows
-    without an id are told apart by text. Empty and NULL texts and items of
-    fewer than SPAN tokens match nothing; repeated rows count once; other
-    columns of either table are not read.
+    without an id are told apart by text. Empty and NULL texts match nothing;
+    repeated rows count once; other columns of either table are not read.
+    Items without an item_id cannot be named in a row and are left out here;
+    :func:`remove` searches them too.
     """
+    return _overlaps(spark, documents, benchmark.where("item_id is not null"), seeds).drop("item_alt")
+
+
+def _overlaps(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, seeds: Seeds) -> DataFrame:
+    """The rows of :func:`contaminated` for all items, with ``item_alt``: 0,
+    or a hash of the item's text where item_id is NULL."""
     docs = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0)).alias("alt"), "text")
-    items = benchmark.where("item_id is not null").select(
-        "item_id", tokens("text").alias("w")).distinct()
+    item = ["item_id", "item_alt"]
+    items = benchmark.select(
+        "item_id", F.when(F.col("item_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0)).alias("item_alt"),
+        tokens("text").alias("w")).distinct()
     items = written(spark, items, "items")
-    probes, masks = windows(items, ["item_id"], seeds, seeds.masks), seeds.masks
+    probes, masks = windows(items, item, seeds, seeds.masks), seeds.masks
     low = items.where(f"size(w) between {seeds.span} and {seeds.check - 1}")
     if not low.isEmpty():
         masks = seeds.masks + seeds.short
-        probes = probes.union(windows(low, ["item_id"], seeds, masks))
+        probes = probes.union(windows(low, item, seeds, masks))
+    brief = items.where(f"size(w) between 1 and {seeds.span - 1}")
+    lengths = sorted(r.n for r in brief.selectExpr("size(w) as n").distinct().collect())
+    if lengths:
+        whole = brief.select(*item, F.lit(0).alias("at"), F.expr("xxhash64('whole', size(w), w)").alias("h"))
+        probes = probes.union(whole)
     probes = written(spark, probes.withColumnRenamed("at", "q").distinct(), "probes")
     if probes.count() <= BROADCAST_ROWS:
         probes = F.broadcast(probes)
-    spread = windows(docs.select("doc_id", "alt", tokens("text").alias("w")), ["doc_id", "alt"], seeds, masks)
+    split = docs.select("doc_id", "alt", tokens("text").alias("w"))
+    spread = windows(split, ["doc_id", "alt"], seeds, masks)
+    if lengths:
+        spread = spread.union(sequences(split, ["doc_id", "alt"], lengths))
     hits = spread.join(probes, "h").select(
-        "doc_id", "alt", "item_id", (F.col("at") - F.col("q")).alias("diagonal")).distinct()
+        "doc_id", "alt", *item, (F.col("at") - F.col("q")).alias("diagonal")).distinct()
     hits = written(
-        spark, hits.groupBy("doc_id", "alt", "item_id").agg(F.collect_list("diagonal").alias("diagonals")),
+        spark, hits.groupBy("doc_id", "alt", *item).agg(F.collect_list("diagonal").alias("diagonals")),
         "hits")
 
     # only documents with a hit are read again, and only their own diagonals
     met = docs.join(
         hits, docs.doc_id.eqNullSafe(hits.doc_id) & docs.alt.eqNullSafe(hits.alt)
-    ).select(hits.doc_id, hits.alt, "item_id", "diagonals", tokens("text").alias("a"))
-    met = met.join(items.withColumnRenamed("w", "b"), "item_id")
+    ).select(hits.doc_id, hits.alt, *item, "diagonals", tokens("text").alias("a"))
+    text = items.select(F.col("item_id").alias("i"), F.col("item_alt").alias("j"), F.col("w").alias("b"))
+    met = met.join(text, F.expr("item_id <=> i and item_alt <=> j"))
     # one diagonal after another inside the row, so that a long text with
     # many of them is held once
     aligned = """transform(diagonals, d -> struct(
@@ -109,16 +136,17 @@ def contaminated(
     passes = f"""size(m.same) >= stretch and {total.format("m.same")} >= need and exists(
         sequence(1, size(m.same) - stretch + 1), i -> {total.format("slice(m.same, i, stretch)")} >= need)"""
     met = met.selectExpr(
-        "doc_id", "alt", "item_id", "size(b) as item_tokens", f"{aligned} as met",
+        "doc_id", "alt", *item, "size(b) as item_tokens", f"{aligned} as met",
         f"least(size(b), {seeds.check}) as stretch",
     ).withColumn(
-        "need", F.expr(f"cast(ceil(stretch * (1 - {seeds.tolerance}D)) as int)")
+        "need", F.expr(
+            f"if(item_tokens < {seeds.span}, item_tokens, cast(ceil(stretch * (1 - {seeds.tolerance}D)) as int))")
     ).withColumn("met", F.expr(f"filter(met, m -> {passes})")).where("size(met) > 0")
     met = met.selectExpr(
-        "doc_id", "alt", "item_id", "item_tokens",
+        "doc_id", "alt", *item, "item_tokens",
         f"array_max(transform(met, m -> {total.format('m.same')})) as matched",
         "array_min(transform(met, m -> m.at)) as at")
-    return met.groupBy("doc_id", "alt", "item_id").agg(
+    return met.groupBy("doc_id", "alt", *item).agg(
         F.max("matched").alias("matched"), F.max("item_tokens").alias("item_tokens"), F.min("at").alias("at"),
     ).withColumn("coverage", F.col("matched") / F.col("item_tokens"))
 
@@ -126,10 +154,11 @@ def contaminated(
 def remove(
     spark: SparkSession, documents: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds()
 ) -> DataFrame:
-    """The rows of ``documents`` that overlap with no benchmark item, unchanged."""
+    """The rows of ``documents`` that overlap with no benchmark item, whether
+    or not it has an id, unchanged."""
     own, other = (fresh(n, documents.columns) for n in ("_id", "_alt"))
     found = written(
-        spark, contaminated(spark, documents, benchmark, seeds).select(
+        spark, _overlaps(spark, documents, benchmark, seeds).select(
             F.col("doc_id").alias(own), F.col("alt").alias(other)).distinct(), "contaminated")
     alt = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0))
     return documents.join(

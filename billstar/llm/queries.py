@@ -31,6 +31,9 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps by doc_id and item_id. Rows without a doc_id, or items without
+    an item_id, cannot be named and are left out, as in the SQL;
+    ``decontaminate.remove`` takes both into account."""
     from billstar.llm import decontaminate
 
     found = decontaminate.contaminated(

@@ -106,3 +106,22 @@ def test_substitutions_against_all_alignments(spark, documents):
         spark, documents([(d, " ".join(a)) for d, a in docs.items()]),
         bench(spark, [(n, " ".join(b)) for n, b in items.items()]))
     assert {(r.doc_id, r.item_id) for r in got.collect()} == want and len(want) > 200
+
+
+def test_short_items_match_verbatim(spark, documents):
+    docs = documents([
+        (1, "say Open, sesame now"), (2, "open the sesame"), (3, "reopen sesame"), (4, "yes"),
+        (5, " ".join(noise(20) + ITEM[:9])), (6, " ".join([*ITEM[:4], "other", *ITEM[5:9]])), (7, None), (8, "")])
+    items = [(1, "open sesame"), (2, "Yes!"), (3, " ".join(ITEM[:9])), (4, ""), (5, None)]
+    got = D.contaminated(spark, docs, bench(spark, items)).collect()
+    assert sorted((r.doc_id, r.item_id, r.matched, r["at"], r.coverage) for r in got) == [
+        (1, 1, 2, 1, 1.0), (4, 2, 1, 0, 1.0), (5, 3, 9, 20, 1.0)]
+    kept = D.remove(spark, docs, bench(spark, items)).collect()
+    assert sorted(r.doc_id for r in kept) == [2, 3, 6, 7, 8]
+
+
+def test_items_without_an_id_are_removed(spark, documents):
+    docs = documents([(1, " ".join(noise(9) + ITEM)), (2, "clean " * 30), (None, "brief text"), (3, " ".join(ITEM[::-1]))])
+    items = bench(spark, [(None, " ".join(ITEM)), (None, " ".join(ITEM[::-1])), (None, "brief text"), (None, None)])
+    assert [r.doc_id for r in D.remove(spark, docs, items).collect()] == [2]
+    assert D.contaminated(spark, docs, items).count() == 0
