@@ -59,21 +59,25 @@ def label_sample(
     """(doc_id, text, label) of at most ``per_class[k]`` labelled documents of
     class k (0 or 1): those with the lowest hash of their id, so reruns agree.
 
-    The bound makes the id list safe to broadcast; the documents are not
+    Only ids that ``documents`` has with a text count towards the bound, which
+    makes the id list safe to broadcast; of the documents only ids are
     shuffled. NULL labels, ids and texts are left out; a doc_id labelled
-    twice counts once, with its lowest label.
+    twice counts once, with its lowest label, and one that ``documents``
+    repeats comes once, with its first text by code point.
     """
+    texts = documents.select("doc_id", "text").where("doc_id is not null and text is not null")
     ids = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
         .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & keep)
         .groupBy("doc_id").agg(F.min("label").alias("label"))
+        .join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
     )
     order = F.xxhash64(F.lit("sample"), "doc_id")
     some = [
         ids.where(F.col("label") == k).orderBy(order, "doc_id").limit(per_class[k]) for k in (0, 1)
     ]
-    texts = documents.select("doc_id", "text").where("text is not null")
-    return texts.join(F.broadcast(some[0].union(some[1])), "doc_id")
+    sample = texts.join(F.broadcast(some[0].union(some[1])), "doc_id")
+    return sample.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:

@@ -7,9 +7,10 @@ import random
 from zlib import crc32
 
 import pytest
+from pyspark.sql import functions as F
 
 from billstar.llm import langid, quality, toxicity
-from billstar.llm.common import table
+from billstar.llm.common import label_sample, table
 from billstar.llm.queries import queries
 
 SF = "/root/testdata/sf0.01"
@@ -93,6 +94,18 @@ def test_no_labels_and_empty_tables(spark, documents):
     assert langid.identify(docs, langid.fit(empty)).first().lang_pred == "und"
 
 
+def test_label_sample_fills_its_bound_from_the_documents(spark, documents):
+    """Labels of absent or textless documents use up no quota, and an id
+    that repeats comes once."""
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    docs = documents([(i, f"text {i}") for i in range(360, 400)] + [(i, f"again {i}") for i in range(360, 400)]
+                     + [(i, None) for i in range(100)])
+    got = label_sample(docs, labels, "toxic", F.lit(True), {0: 15, 1: 50}).collect()
+    assert len({r.doc_id for r in got}) == len(got)
+    assert sorted(r.label for r in got) == [0] * 15 + [1] * 20
+    assert all(r.text == f"again {r.doc_id}" and r.label == r.doc_id % 2 for r in got)
+
+
 def test_language_awkward_rows(spark, documents):
     en, de = "the quick brown fox and the dog", "der schnelle braune fuchs und die hunde"
     docs = documents([(i, (en, de)[i % 2], ("en", "de")[i % 2]) for i in range(40)])
