@@ -83,15 +83,17 @@ def contaminated(
     Items without an item_id cannot be named in a row and are left out here;
     :func:`remove` searches them too.
     """
-    return _overlaps(spark, documents, benchmark.where("item_id is not null"), seeds).drop("item_alt")
+    alt = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0))
+    return _overlaps(spark, documents, benchmark.where("item_id is not null"), seeds, alt).drop("item_alt")
 
 
-def _overlaps(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, seeds: Seeds) -> DataFrame:
-    """The rows of :func:`contaminated` for all items, with ``item_alt``: 0,
-    or a hash of the item's text where item_id is NULL."""
-    docs = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0)).alias("alt"), "text")
+def _overlaps(
+    spark: SparkSession, documents: DataFrame, benchmark: DataFrame, seeds: Seeds, alt: Column
+) -> DataFrame:
+    """The rows of :func:`contaminated` for all items and documents told
+    apart by (doc_id, alt), with ``item_alt``: 0, or a hash of the item's
+    text where item_id is NULL."""
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), alt.alias("alt"), "text")
     item = ["item_id", "item_alt"]
     items = benchmark.select(
         "item_id", F.when(F.col("item_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0)).alias("item_alt"),
@@ -155,14 +157,14 @@ def remove(
     spark: SparkSession, documents: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds()
 ) -> DataFrame:
     """The rows of ``documents`` that overlap with no benchmark item, whether
-    or not it has an id, unchanged."""
+    or not it has an id, unchanged. Rows that share a doc_id are judged each
+    by its own text."""
     own, other = (fresh(n, documents.columns) for n in ("_id", "_alt"))
     found = written(
-        spark, _overlaps(spark, documents, benchmark, seeds).select(
+        spark, _overlaps(spark, documents, benchmark, seeds, F.xxhash64("text")).select(
             F.col("doc_id").alias(own), F.col("alt").alias(other)).distinct(), "contaminated")
-    alt = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0))
     return documents.join(
-        found, F.col("doc_id").eqNullSafe(F.col(own)) & alt.eqNullSafe(F.col(other)), "left_anti")
+        found, F.col("doc_id").eqNullSafe(F.col(own)) & F.xxhash64("text").eqNullSafe(F.col(other)), "left_anti")
 
 
 def oracle(seeds: Seeds = Seeds()) -> str:

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billstar.llm.common import components, discard, quoted, written
+from billstar.llm.common import components, discard, fresh, quoted, written
 
 SKETCH_BITS = 128
 #: Words that one block of a star compares, and the number of leaves from
@@ -308,11 +308,29 @@ def link(spark: SparkSession, documents: DataFrame, p: Params = Params()) -> Dat
 
 def keep_one(spark: SparkSession, documents: DataFrame, p: Params) -> DataFrame:
     """``documents`` with one row for each group of near-duplicates: that
-    of the smallest doc_id. Rows with a NULL id stay; of rows that repeat
-    a doc_id one stays."""
-    kept = link(spark, documents, p).where("kept and doc_id is not null").select("doc_id").distinct()
-    known = documents.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.select(*quoted(documents.columns)).union(documents.where("doc_id is null"))
+    of the smallest doc_id, then of the lowest hash of its text. Rows with a
+    NULL id stay. A document is a (doc_id, text): of rows equal in both the
+    one with the lowest hash of its columns stays, while different texts
+    under one doc_id are linked and kept each on its own."""
+    rid = fresh("_rid", documents.columns)
+    own = documents.where("doc_id is not null")
+    texts = own.select("doc_id", F.xxhash64("text").alias("h")).groupBy("doc_id").agg(
+        F.min("h").alias("lo"), F.max("h").alias("hi"))
+    if texts.where("lo <> hi").isEmpty():
+        own = own.withColumn(rid, F.col("doc_id"))
+        kept = link(spark, own, p).where("kept").select(F.col("doc_id").alias(rid)).distinct()
+    else:
+        own = own.withColumn(rid, F.xxhash64("doc_id", "text"))
+        linked = link(spark, own.select(F.col(rid).alias("doc_id"), "text"), p)
+        groups = linked.select(F.col("doc_id").alias(rid), "component_id").distinct()
+        names = own.select(rid, "doc_id", F.xxhash64("text").alias("h")).distinct()
+        kept = groups.join(names, rid).groupBy("component_id").agg(
+            F.min(F.struct("doc_id", "h", rid)).alias("first")).select(F.col(f"first.{rid}"))
+    columns = quoted(documents.columns)
+    plain = [c for c, f in zip(columns, documents.schema) if "map<" not in f.dataType.simpleString()]
+    known = own.join(kept, rid, "left_semi").groupBy(rid).agg(
+        F.min_by(F.struct(*columns), F.xxhash64(*plain)).alias("row"))
+    return known.select("row.*").union(documents.where("doc_id is null"))
 
 
 def oracle(p: Params = Params()) -> str:

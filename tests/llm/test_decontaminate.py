@@ -125,3 +125,9 @@ def test_items_without_an_id_are_removed(spark, documents):
     items = bench(spark, [(None, " ".join(ITEM)), (None, " ".join(ITEM[::-1])), (None, "brief text"), (None, None)])
     assert [r.doc_id for r in D.remove(spark, docs, items).collect()] == [2]
     assert D.contaminated(spark, docs, items).count() == 0
+
+
+def test_removal_judges_each_text_of_a_repeated_id(spark, documents):
+    docs = documents([(1, " ".join(ITEM)), (1, "clean words"), (1, "clean words"), (2, " ".join(ITEM))])
+    kept = D.remove(spark, docs, bench(spark, [(1, " ".join(ITEM))])).collect()
+    assert [(r.doc_id, r.text) for r in kept] == [(1, "clean words")] * 2

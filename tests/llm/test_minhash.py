@@ -85,6 +85,20 @@ def test_keep_one(spark, documents):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 2, 9]
 
 
+def test_keep_one_keeps_different_texts_of_one_id(spark, documents):
+    same = "a b c d e f g h i j"
+    rows = [(7, same, "en"), (7, "quite another text without any link", "en"), (7, "a third text under the same id", "en"),
+            (7, "a third text under the same id", "de"), (3, same, "en"), (7, None, "en"), (8, "only once here", "en")]
+    p = minhash.Params(words=5, percent=80, rows=5, bands=32)
+    got = [
+        sorted((r.doc_id, r.text or "", r.lang) for r in minhash.keep_one(spark, documents(order), p).collect())
+        for order in (rows, rows[::-1])]
+    assert got[0] == got[1]
+    assert [r[:2] for r in got[0]] == [
+        (3, same), (7, ""), (7, "a third text under the same id"), (7, "quite another text without any link"),
+        (8, "only once here")]
+
+
 def test_empty_table(spark, documents):
     assert minhash.link(spark, documents([]), minhash.Params()).count() == 0
 
