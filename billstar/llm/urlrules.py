@@ -39,8 +39,10 @@ def host_path_rule(rule: str, verdict: str) -> tuple:
 
 
 def word_rule(word: str) -> tuple:
-    """A rule of the method: the host has the word."""
-    return f"host word {word}", "block", f"^(?:[^/]*[.-])?{_quote(word)}[.-]", [word], 0
+    """A rule of the method: the host has the word, before a dot, a hyphen,
+    a port or its end."""
+    ends = "(?=[.-]|(?::[0-9]*)?(?:/|$))"
+    return f"host word {word}", "block", f"^(?:[^/]*[.-])?{_quote(word)}{ends}", [word], 0
 
 
 def _quote(text: str) -> str:

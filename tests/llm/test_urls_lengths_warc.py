@@ -39,6 +39,14 @@ def test_url_contract_cases(spark):
     assert (r[12].rule, r[12].verdict, r[12].method_rule) == (None, "block", "host word casino")
 
 
+def test_url_method_word_ends_the_host(spark):
+    blocked = ["http://example.xxx", "http://example.xxx/a", "http://casino", "http://casino:8080/x", "http://a-poker?q",
+               "http://www.Casino#top", "http://casino.example.com/"]
+    allowed = ["http://casinos", "http://xcasino/", "http://example.com/casino", "http://casino:pw@example.com/"]
+    r = judged(spark, blocked + allowed)
+    assert [r[i].verdict for i in range(len(r))] == ["block"] * len(blocked) + ["allow"] * len(allowed)
+
+
 def test_url_index_equals_trying_every_rule(spark):
     rng = random.Random(6)
     hosts = ["a.b.com", "b.com", "x-y.com", "c", "sub.c", "ads.b.com"]
