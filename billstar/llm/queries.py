@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from billstar.llm.common import table
 
@@ -12,6 +13,8 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 #: Vocabulary of the token counts; a parameter of the operator.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: The vocabulary of the packing, and the same vocabulary as ranks.
+TOKENIZER, RANKS = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The capture date of the pages, which the table does not have.
 WARC_DATE = "2024-01-01T00:00:00Z"
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -95,6 +98,29 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from billstar.llm import packing
+
+    made = packing.pack(spark, table(spark, sf_dir, "documents"), TOKENIZER, RANKS)
+    return made.selectExpr(
+        "doc_id", "start", "length", "crc32(ids) as ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from billstar.llm import hardneg
+
+    rows = hardneg.usable(table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")))
+    return hardneg.mine(spark, rows, "vec_id % 100 = 0")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from billstar.llm import conversations
+
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair(spark, conversations.damaged(rows), rows)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -113,12 +139,15 @@ def queries() -> dict[str, QueryFn]:
         "op8_url_filters": op8_url_filters,
         "op9_mixing": op9_mixing,
         "op10_toxicity": op10_toxicity,
+        "op11_packing": op11_packing,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_conversation_repair": op13_conversation_repair,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from billstar.llm import decontaminate, embedding, minhash, mixing, urlrules
+    from billstar.llm import decontaminate, embedding, hardneg, minhash, mixing, urlrules
 
     return {
         "op2_embedding_dedup": embedding.oracle(),
@@ -126,4 +155,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_minhash_dedup": minhash.oracle(minhash.Params(words=3, percent=85)),
         "op8_url_filters": urlrules.oracle(URL_RULES),
         "op9_mixing": mixing.oracle(),
+        "op12_hard_negatives": hardneg.oracle(),
     }
