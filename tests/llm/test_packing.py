@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import random
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 import pytest
@@ -16,10 +17,15 @@ from billstar.llm.queries import RANKS, TOKENIZER
 EXOTIC = ["naïve  Ünïcödé  \u0085 x²½ it's ", "日本語 текст  ok", "a <|endoftext|> b", "  \n\n\t x\x1c y ", "'S's 12ab"]
 
 
-def encode(text):
+@cache
+def library():
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(TOKENIZER).encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(TOKENIZER)
+
+
+def encode(text):
+    return library().encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("ranks", [None, RANKS])
