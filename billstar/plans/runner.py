@@ -94,12 +94,12 @@ def run_batch(spark: SparkSession, paths: DataFrame, root: str, opts: RunOptions
     ts = opts.timestamp
     ingest_date = opts.as_of.strftime("%Y%m%d")
 
-    # bronze: verbatim copies of this batch's files
-    copies = files.copy_raw(paths, f"{root}/bronze/ingest_date={ingest_date}/batch={batch_id}")
+    # bronze: verbatim copies of this batch's files, a folder for each layout
+    copies = files.lay_out(paths, f"{root}/bronze/ingest_date={ingest_date}/batch={batch_id}")
 
     # silver: standardised, one partition per (ingest date, batch)
     silver_root = f"{root}/silver"
-    rows, malformed = read_and_standardize(spark, copies.select(F.col("bronze_path").alias("path")), ts, opts.strict)
+    rows, malformed = read_and_standardize(spark, copies, ts, opts.strict)
     W.write_silver(rows, silver_root, ingest_date, batch_id)
     silver = W.read_silver(spark, silver_root, ingest_date).where(F.col("run_id") == batch_id)
     n_malformed = 0

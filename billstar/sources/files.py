@@ -2,21 +2,24 @@
 (A3), delimited scan with delimiter detection (A4), spreadsheet scan (A5),
 provenance (A6).
 
-Design: file metadata (one row per file) is the only thing that reaches
-the driver; record data is always read by Spark tasks. Delimited files
-are read by Spark's CSV source (splittable, parallel across and inside
-files); spreadsheets, which are not splittable, are parsed one file per
-task in ``mapInPandas``.
+Design: the raw copy reads every byte anyway, so that pass also works out
+each file's layout (source, format, header record) and lays its copy in a
+folder of that layout. Readers are given folders: the driver sees one row
+per layout, however many files there are. Delimited files are read by
+Spark's CSV source, parallel across and inside files; those in which a
+quoted field goes over a line end lie apart and are read in splits of
+their own (:mod:`billstar.sources.splits`); spreadsheets, which are not
+splittable, are parsed one file per task.
 """
 
 from __future__ import annotations
 
 import csv
-import re
-from collections import defaultdict
+from dataclasses import dataclass
+from hashlib import sha1
 from itertools import islice
-from urllib.parse import unquote
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +27,9 @@ from pyspark.sql import types as T
 
 from billstar.config import COLUMN_MAPS, DELIMITERS, SourceSpec, source_specs
 from billstar.schema import all_string
+from billstar.session import scratch_dir
 from billstar.sources import fs
+from billstar.sources.splits import read_spanning
 
 GLOB = "*.{csv,xlsx}"
 #: Spreadsheet rows handed to Spark at a time.
@@ -58,26 +63,7 @@ def file_format(file_name: Column) -> Column:
     return F.lower(F.regexp_extract(file_name, r"\.([^.]+)$", 1))
 
 
-# ------------------------------------------------------------- header pass
-def _sniff(batches):
-    for pdf in batches:
-        heads = []
-        for p, fmt in zip(pdf["path"], pdf["fmt"]):
-            if fmt == "csv":
-                heads.append(fs.read_record(p).decode("utf-8", errors="replace").lstrip("\ufeff"))
-            else:
-                heads.append(None)
-        yield pdf.assign(header=heads)
-
-
-def sniff_headers(files: DataFrame) -> DataFrame:
-    """Adds the first record of every delimited file (NULL for other
-    formats), read by tasks up to the end of that record; the file rows
-    pass through, so no join is needed."""
-    schema = T.StructType(files.schema.fields + [T.StructField("header", T.StringType())])
-    return files.mapInPandas(_sniff, schema)
-
-
+# ---------------------------------------------------------------- layouts
 def header_fields(header: str, sep: str) -> list[str]:
     """Field names of a header record; quoted names may hold the delimiter."""
     return [h.strip() for h in next(csv.reader([header], delimiter=sep), [])]
@@ -96,55 +82,116 @@ def choose_delimiter(header: str, expected: set[str]) -> str:
     return best
 
 
-def plan_files(spark: SparkSession, paths_df: DataFrame) -> list[dict]:
-    """One small driver-side list: per file its source, format, delimiter
-    and header fields (metadata only, bounded by the number of files)."""
-    files = paths_df.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"))
-    files = files.withColumn("source_key", resolve_source(F.col("file_name"))) \
-                 .withColumn("fmt", file_format(F.col("file_name")))
-    info = sniff_headers(files).collect()  # one row per file
-    out = []
-    for r in info:
-        spec_cols = set(COLUMN_MAPS[r.source_key])
-        d = choose_delimiter(r.header, spec_cols) if r.fmt == "csv" and r.header is not None else None
-        fields = header_fields(r.header, d) if d else None
-        out.append({"path": r.path, "file_name": r.file_name, "source_key": r.source_key,
-                    "fmt": r.fmt, "sep": d, "fields": fields})
-    return out
+@dataclass(frozen=True)
+class Layout:
+    """Files of one source, format and header record, in one folder."""
+
+    source_key: str
+    fmt: str
+    header: str | None
+    #: lines: a line is a record; spans: some quoted field goes over a line end.
+    kind: str
+    folder: str
+    files: int
+    sample: str
+
+    @property
+    def sep(self) -> str:
+        return choose_delimiter(self.header, set(COLUMN_MAPS[self.source_key]))
+
+    @property
+    def fields(self) -> list[str]:
+        return header_fields(self.header, self.sep)
+
+
+MANIFEST = "_manifest"
+#: Bytes copied at a time.
+CHUNK = 8 << 20
+
+
+class LineQuotes:
+    """Whether some line of a text has an odd number of quotes, by chunks."""
+
+    def __init__(self):
+        self.odd, self.carried = False, 0
+
+    def add(self, data: bytes) -> None:
+        if self.odd or not (self.carried or b'"' in data):
+            return
+        raw = np.frombuffer(data, dtype=np.uint8)
+        quotes = np.flatnonzero(raw == 0x22)
+        upto = np.searchsorted(quotes, np.flatnonzero((raw == 0x0A) | (raw == 0x0D))) + self.carried
+        self.odd = bool((np.diff(upto, prepend=0) % 2).any())
+        self.carried = int(len(quotes) + self.carried - (upto[-1] if len(upto) else 0))
+
+    def any(self) -> bool:
+        return self.odd or self.carried % 2 == 1
+
+
+def _lay_out(path: str, source_key: str, fmt: str, target: str) -> dict:
+    """Copy one file into its layout's folder. A rerun writes the same bytes to the same place."""
+    name, header, quotes = path.rsplit("/", 1)[-1], None, LineQuotes()
+    folder, kind = f"{source_key}-{fmt}", "lines"
+    if fmt == "csv":
+        header = fs.read_record(path).decode("utf-8", errors="replace").lstrip("\ufeff")
+        folder += "-" + sha1(header.encode()).hexdigest()[:12]
+    place = f"{target}/{folder}/{kind}/{name}"
+    copied = fs.copy_file(path, place, CHUNK, quotes.add if fmt == "csv" else None)
+    if quotes.any():
+        kind = "spans"
+        fs.move_file(place, place := f"{target}/{folder}/{kind}/{name}")
+    return {"source_key": source_key, "fmt": fmt, "header": header, "kind": kind,
+            "folder": f"{target}/{folder}/{kind}", "bytes": copied, "bronze_path": place}
+
+
+def lay_out(files: DataFrame, target: str) -> DataFrame:
+    """Verbatim copies under ``target`` of the files of a manifest (any
+    DataFrame with ``path``), made by tasks, a folder for each layout. The manifest
+    with source_key, fmt, header, kind, folder, bytes and bronze_path,
+    which is kept beside the copies. A file that no source matches, and any
+    copy error, fails the job."""
+    name = F.element_at(F.split("path", "/"), -1)
+    files = files.withColumns({"source_key": resolve_source(name), "fmt": file_format(name)})
+    schema = T.StructType([f for f in files.schema.fields if f.name not in ("source_key", "fmt")] + [
+        T.StructField(c, T.LongType() if c == "bytes" else T.StringType())
+        for c in ("source_key", "fmt", "header", "kind", "folder", "bytes", "bronze_path")])
+    target = target.rstrip("/")
 
+    def copy(batches):
+        for pdf in batches:
+            done = [_lay_out(*one, target) for one in zip(pdf["path"], pdf["source_key"], pdf["fmt"])]
+            laid = pd.DataFrame(done, columns=schema.fieldNames()[-7:], index=pdf.index)
+            yield pd.concat([pdf.drop(columns=["source_key", "fmt"]), laid], axis=1)
+
+    files.mapInPandas(copy, schema).write.mode("overwrite").parquet(f"{target}/{MANIFEST}")
+    return files.sparkSession.read.schema(schema).parquet(f"{target}/{MANIFEST}")
 
-# -------------------------------------------------------------------- scans
-CORRUPT = "_corrupt_record"
 
+def layouts(copies: DataFrame) -> list[Layout]:
+    """The layouts of a manifest of copies: one driver row for each."""
+    found = copies.groupBy("source_key", "fmt", "header", "kind", "folder").agg(
+        F.count("*").alias("files"), F.min("path").alias("sample")).collect()
+    return sorted((Layout(**r.asDict()) for r in found), key=lambda x: (x.folder, x.kind))
 
-def _local(path: str) -> str:
-    """One spelling of a path: metadata columns percent-encode it."""
-    return re.sub(r"^file:/+", "/", unquote(path))
+
+# -------------------------------------------------------------------- scans
+CORRUPT = "_corrupt_record"
 
 
-def spanning_paths(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Files in which some line has an odd number of quotes: a quoted field
-    goes over a line end there, so the file can't be split by lines. One
-    distributed scan with one flag per file."""
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
-        ((F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2).alias("odd"))
-    return {_local(r.path) for r in lines.groupBy("path").agg(F.max("odd").alias("odd")).where("odd = 1").collect()}
+def record_schema(fields: list[str]) -> T.StructType:
+    return T.StructType(all_string(fields).fields + [T.StructField(CORRUPT, T.StringType())])
 
 
-def read_delimited(spark: SparkSession, paths: list[str], sep: str, fields: list[str],
-                   multiline: bool = False) -> DataFrame:
-    """All-string scan of files sharing one delimiter and one header
-    layout; the schema is the header's own order (CSV is positional). A
+def read_delimited(spark: SparkSession, folder: str, sep: str, fields: list[str]) -> DataFrame:
+    """All-string scan of a folder of files sharing one delimiter and one
+    header layout; the schema is the header's own order (CSV is positional). A
     quote inside a quoted field is doubled. Records with more or fewer fields
     than the header carry their text in ``_corrupt_record``."""
-    schema = T.StructType(all_string(fields).fields + [T.StructField(CORRUPT, T.StringType())])
-    return (spark.read.schema(schema)
+    return (spark.read.schema(record_schema(fields))
             .option("header", True).option("sep", sep).option("encoding", "UTF-8")
             .option("quote", '"').option("escape", '"')
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-            .option("multiLine", multiline)
-            .csv(paths)
+            .csv(folder)
             .withColumn("source_file", F.col("_metadata.file_name")))
 
 
@@ -162,8 +209,8 @@ def split_malformed(raw: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return raw.where(whole & F.col(CORRUPT).isNull()).drop(CORRUPT), bad
 
 
-def read_xlsx(spark: SparkSession, paths: list[str], spec: SourceSpec) -> DataFrame:
-    """Spreadsheets of one source: one file per task, first sheet, header
+def read_xlsx(paths: DataFrame, files: int, spec: SourceSpec) -> DataFrame:
+    """Spreadsheets of one source (path): one file per task, first sheet, header
     row, columns of the source map as strings (absent ones NULL)."""
     fields = list(spec.column_map)
     dates = set(spec.date_source_columns)
@@ -180,73 +227,43 @@ def read_xlsx(spark: SparkSession, paths: list[str], spec: SourceSpec) -> DataFr
                     cols["source_file"] = [path.rsplit("/", 1)[-1]] * len(part)
                     yield pd.DataFrame(cols, columns=fields + ["source_file"])
 
-    # Only the paths are shuffled (one file per partition); each task
-    # reads its workbook itself, so file bodies never cross the network.
-    # A range over the file's number deals exactly one file to a task.
-    raw = spark.createDataFrame(list(enumerate(paths)), "n int, path string")
-    raw = raw.repartitionByRange(max(1, len(paths)), "n").select("path")
-    return raw.mapInPandas(parse, schema)
+    # Only the paths are shuffled; each task reads its workbook itself, so
+    # file bodies never cross the network. A range over the names deals one file to a task.
+    return paths.repartitionByRange(max(1, files), "path").mapInPandas(parse, schema)
 
 
-def read_sources(spark: SparkSession, paths_df: DataFrame, strict: bool = True) -> list[tuple[SourceSpec, DataFrame]]:
-    """Group files by (source, format, delimiter, header) and return one
-    lazy raw scan per group."""
+def read_sources(spark: SparkSession, files: DataFrame, strict: bool = True) -> list[tuple[SourceSpec, DataFrame]]:
+    """One lazy raw scan per layout. ``files`` is a manifest of laid-out
+    copies; any other DataFrame with ``path`` is laid out in the shared
+    scratch folder first."""
+    if "bronze_path" not in files.columns:
+        files = lay_out(files, scratch_dir(spark, "laid-out"))
     specs = {s.key: s for s in source_specs()}
-    groups: dict[tuple, list[str]] = defaultdict(list)
-    found = plan_files(spark, paths_df)
-    delimited = [f["path"] for f in found if f["fmt"] == "csv"]
-    spanning = spanning_paths(spark, delimited) if delimited else set()
-    for f in found:
-        key = (f["source_key"], f["fmt"], f["sep"], tuple(f["fields"]) if f["fields"] else None,
-               _local(f["path"]) in spanning)
-        groups[key].append(f["path"])
     out = []
-    for (source_key, fmt, sep, fields, multiline), paths in sorted(groups.items(), key=lambda kv: str(kv[0])):
-        spec = specs[source_key]
-        if fmt == "csv":
-            unknown = set(fields) - set(spec.column_map)
-            if unknown and strict:
-                raise ValueError(f"{source_key}: unknown columns {sorted(unknown)} in {paths[:3]}")
-            out.append((spec, read_delimited(spark, paths, sep, list(fields), multiline)))
-        elif fmt == "xlsx":
-            out.append((spec, read_xlsx(spark, paths, spec)))
+    for x in layouts(files):
+        spec = specs[x.source_key]
+        own = files.where((F.col("folder") == x.folder) & (F.col("kind") == x.kind)).select(
+            F.col("bronze_path").alias("path"), "bytes")
+        if x.fmt == "xlsx":
+            out.append((spec, read_xlsx(own.select("path"), x.files, spec)))
+            continue
+        unknown = set(x.fields) - set(spec.column_map)
+        if unknown and strict:
+            raise ValueError(f"{x.source_key}: unknown columns {sorted(unknown)} in {x.files} files such as {x.sample}")
+        if x.kind == "spans":
+            out.append((spec, read_spanning(spark, own, x.sep, record_schema(x.fields), CORRUPT)))
         else:
-            raise ValueError(f"unsupported format {fmt}")
+            out.append((spec, read_delimited(spark, x.folder, x.sep, x.fields)))
     return out
 
 
 # -------------------------------------------------------------------- bronze
-def copy_raw(files: DataFrame, target: str) -> DataFrame:
-    """Verbatim copies under ``target`` of the files of a manifest, made by
-    tasks (distributed, idempotent on retry); the manifest with
-    ``bronze_path``. Any copy error fails the job."""
-    spark = files.sparkSession
-
-    def copy(batches):
-        for pdf in batches:
-            dst = []
-            for p in pdf["path"]:
-                d = f"{target}/{p.rsplit('/', 1)[-1]}"
-                fs.copy_file(p, d)
-                dst.append(d)
-            yield pdf.assign(bronze_path=dst)
-
-    schema = T.StructType(files.schema.fields + [T.StructField("bronze_path", T.StringType())])
-    copied = files.mapInPandas(copy, schema).collect()  # one row per file
-    return spark.createDataFrame(copied, schema)
-
-
 def ingest_bronze(spark: SparkSession, input_dir: str, bronze_dir: str, ingest_date: str) -> DataFrame:
     """Raw copies of every discovered file, under
-    ``bronze_dir/ingest_date=<date>/<name>``."""
-    return copy_raw(manifest(spark, input_dir), f"{bronze_dir.rstrip('/')}/ingest_date={ingest_date}")
-
-
-def bronze_files(spark: SparkSession, bronze_dir: str, ingest_date: str | None = None) -> DataFrame:
-    """Raw copies (optionally one ingest date, pruned by directory)."""
-    base = bronze_dir.rstrip("/")
-    path = f"{base}/ingest_date={ingest_date}" if ingest_date else base
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", GLOB)
-    if not ingest_date:
-        reader = reader.option("recursiveFileLookup", True)
-    return reader.load(path).select("path", "length", "modificationTime")
+    ``bronze_dir/ingest_date=<date>/<layout>/<kind>/<name>``."""
+    return lay_out(manifest(spark, input_dir), f"{bronze_dir.rstrip('/')}/ingest_date={ingest_date}")
+
+
+def bronze_files(spark: SparkSession, bronze_dir: str, ingest_date: str) -> DataFrame:
+    """The manifest of an ingest date's raw copies, as :func:`lay_out` left it."""
+    return spark.read.parquet(f"{bronze_dir.rstrip('/')}/ingest_date={ingest_date}/{MANIFEST}")

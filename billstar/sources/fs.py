@@ -159,13 +159,23 @@ def write_bytes(path: str, data: bytes) -> None:
         f.write(data)
 
 
-def copy_file(src: str, dst: str) -> None:
+def copy_file(src: str, dst: str, chunk: int = 8 << 20, seen=None) -> int:
+    """Copy a file; ``seen`` is shown every chunk. The bytes copied."""
     sfs, s = arrow_fs(src)
     dfs, d = arrow_fs(dst)
     dfs.create_dir(d.rsplit("/", 1)[0], recursive=True)
+    copied = 0
     with sfs.open_input_stream(s) as fin, dfs.open_output_stream(d) as fout:
-        while True:
-            chunk = fin.read(8 << 20)
-            if not chunk:
-                break
-            fout.write(chunk)
+        while data := fin.read(chunk):
+            fout.write(data)
+            copied += len(data)
+            if seen:
+                seen(data)
+    return copied
+
+
+def move_file(src: str, dst: str) -> None:
+    filesystem, s = arrow_fs(src)
+    _, d = arrow_fs(dst)
+    filesystem.create_dir(d.rsplit("/", 1)[0], recursive=True)
+    filesystem.move(s, d)

@@ -30,11 +30,22 @@ def test_quoted_fields(spark, workdir):
     assert rows["A2"].nombre_lignes == 3
 
 
-def test_line_breaks_need_no_whole_file_read_elsewhere(spark, workdir):
-    write_text(os.path.join(workdir, "a b.csv"), 'h\n"x\ny"\n')
-    write_text(os.path.join(workdir, "c.csv"), 'h\n"x ""y"""\n')
-    paths = [f"file:{workdir}/a b.csv", f"file:{workdir}/c.csv"]
-    assert files.spanning_paths(spark, paths) == {f"{workdir}/a b.csv"}
+def test_files_with_line_breaks_in_quotes_lie_apart(spark, workdir):
+    write_text(os.path.join(workdir, "etablissement1 b.csv"), f'{HEADER}\n"x\ny"\n')
+    write_text(os.path.join(workdir, "etablissement1_c.csv"), f'{HEADER}\n"x ""y"""\n')
+    copies = files.lay_out(files.manifest(spark, workdir), f"{workdir}/bronze")
+    assert {r.bronze_path.rsplit("/", 1)[-1]: r.kind for r in copies.collect()} == {
+        "etablissement1 b.csv": "spans", "etablissement1_c.csv": "lines"}
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 5, 1000])
+def test_odd_lines_are_seen_in_any_chunks(chunk):
+    for text, odd in ((b'a,"b"\n"c""d"\n', False), (b'a\n"b\nc"\n', True), (b'x"\r\n"y\r\n', True), (b'"x', True),
+                      (b"", False), (b"a\nb", False), (b'"a"', False)):
+        q = files.LineQuotes()
+        for i in range(0, len(text), chunk):
+            q.add(text[i:i + chunk])
+        assert q.any() == odd, text
 
 
 def test_header_longer_than_a_chunk_and_quoted(workdir):
