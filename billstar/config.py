@@ -207,6 +207,8 @@ class RunOptions:
     contamination: float = 0.05
     seed: int = 42
     min_rows_for_scoring: int = 10
+    #: How often a load is tried while other writers commit in between.
+    commit_attempts: int = 3
 
     @classmethod
     def today(cls, **options) -> RunOptions:

@@ -11,7 +11,8 @@ is a no-op, and says so in its result.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -73,19 +74,27 @@ def read_dims(spark: SparkSession, root: str, at: W.State | None = None, extra:
     return Dims(patient, etablissement, date, service)
 
 
-def read_fact(spark: SparkSession, root: str) -> DataFrame | None:
-    """Fact rows with the current anomaly labels laid over them. Fact and
-    labels are stored by billing month and joined on it too, so a filter on months
-    prunes both."""
-    at = W.state(spark, root)
-    fact = W.read_table(spark, root, "fact_facturation", at)
+def read_fact(spark: SparkSession, root: str, at: W.State | None = None,
+              months: list[int] | None = None) -> DataFrame | None:
+    """Fact rows with the current anomaly labels laid over them, of all or
+    some billing months. Both are bucketed by fact_id, so the join
+    exchanges no row of either."""
+    at = at or W.state(spark, root)
+    fact, labels = (W.read_table(spark, root, t, at) for t in ("fact_facturation", "anomaly_scores"))
     if fact is None:
         return None
-    return apply_scores(fact, W.read_table(spark, root, "anomaly_scores", at), [W.MONTH.name])
+    if months is not None:
+        fact, labels = (t if t is None else t.where(F.col(W.MONTH.name).isin(months)) for t in (fact, labels))
+    return apply_scores(fact, labels)
 
 
 def run_batch(spark: SparkSession, paths: DataFrame, root: str, opts: RunOptions, batch_id: str) -> BatchResult:
-    """Files of one batch (a manifest, or any DataFrame with ``path``) -> warehouse."""
+    """Files of one batch (a manifest, or any DataFrame with ``path``) -> warehouse.
+
+    If another writer commits in the meantime, staging, dimensions and fact
+    are worked out again from the new state, up to ``opts.commit_attempts``
+    times; bronze and silver are kept.
+    """
     base = W.state(spark, root)
     if batch_id in base.batches:
         return BatchResult(batch_id, skipped=True)
@@ -121,12 +130,30 @@ def run_batch(spark: SparkSession, paths: DataFrame, root: str, opts: RunOptions
     if rejected:
         rejects.write.mode("overwrite").parquet(f"{root}/rejects/batch={batch_id}")
 
+    result = BatchResult(batch_id, False, silver_rows=int(report["total_rows"]), rejected_rows=rejected,
+                         malformed_rows=n_malformed, report=report)
+    for left in range(opts.commit_attempts - 1, -1, -1):
+        try:
+            return _load(spark, valid, paths, root, opts, base, result)
+        except W.ConflictError:
+            base = W.state(spark, root)
+            if batch_id in base.batches:
+                return BatchResult(batch_id, skipped=True)
+            if not left:
+                raise
+
+
+def _load(spark: SparkSession, valid: DataFrame, paths: DataFrame, root: str, opts: RunOptions, base: W.State,
+          result: BatchResult) -> BatchResult:
+    """Staging, dimensions and fact of a batch on top of ``base``, and the commit."""
+    batch_id, ts, attempt = result.batch_id, opts.timestamp, uuid4().hex[:8]
+
     # staging: ids continue after the largest committed id; written once,
     # read back, so later steps see fixed ids
     add = {"staging_facturation": W.new_path(root, "staging_facturation", batch_id)}
     staged = to_staging(valid).withColumn(
         "staging_id", F.lit(base.max_staging_id + 1) + F.monotonically_increasing_id())
-    seen = Observation(f"staging_{batch_id}")
+    seen = Observation(f"staging_{batch_id}_{attempt}")
     W.write_part(staged.observe(seen, F.count(F.lit(1)).alias("rows"), F.max("staging_id").alias("top")),
                  root, add["staging_facturation"])
     batch = W.read_paths(spark, root, "staging_facturation", [add["staging_facturation"]])
@@ -148,8 +175,9 @@ def run_batch(spark: SparkSession, paths: DataFrame, root: str, opts: RunOptions
         months = [r[0] for r in batch.select(F.expr("cast(date_format(date_facturation, 'yyyyMM') as int)")).distinct()
                   .collect()]
         snapshot = snapshot.where(F.col(W.MONTH.name).isin(months))
-    checked = build_fact(batch, dims, ts, snapshot).withColumn("_broken", K.broken_rules(K.fact_rules()))
-    fact_obs = Observation(f"fact_{batch_id}")
+    rows = W.by_bucket(build_fact(batch, dims, ts, snapshot), root)
+    checked = rows.withColumn("_broken", K.broken_rules(K.fact_rules()))
+    fact_obs = Observation(f"fact_{batch_id}_{attempt}")
     observed = checked.observe(fact_obs, F.count(F.lit(1)).alias("rows"),
                                F.count_if(F.size("_broken") > 0).alias("broken"))
     add["fact_facturation"] = W.new_path(root, "fact_facturation", batch_id)
@@ -168,10 +196,8 @@ def run_batch(spark: SparkSession, paths: DataFrame, root: str, opts: RunOptions
         add["loaded_files"] = W.write_part(paths.select(*FILE_KEY), root, W.new_path(root, "loaded_files", batch_id))
     top = seen.get["top"]
     W.commit(spark, root, base, batch=batch_id, add=add, max_staging_id=None if top is None else int(top))
-    return BatchResult(batch_id, False, silver_rows=int(report["total_rows"]),
-                       rejected_rows=rejected, malformed_rows=n_malformed, staged_rows=int(seen.get["rows"]),
-                       inserted_facts=int(fact_obs.get["rows"]) - broken, quarantined_facts=broken,
-                       report=report)
+    return replace(result, staged_rows=int(seen.get["rows"]), inserted_facts=int(fact_obs.get["rows"]) - broken,
+                   quarantined_facts=broken)
 
 
 FILE_KEY = ("path", "length", "modificationTime")
@@ -193,47 +219,65 @@ def delivery_id(delivery: DataFrame) -> str | None:
     return f"d{row.n}-{int(row.h) % (1 << 64):016x}" if row.n else None
 
 
-def score_and_publish(spark: SparkSession, root: str, opts: RunOptions):
-    """Anomaly step: score the unpaid invoices of the whole fact and
-    publish the labels as a new version laid over older ones."""
+def _digests(labels: DataFrame) -> DataFrame:
+    """One row per month: a digest of its labels."""
+    return labels.groupBy(W.MONTH.name).agg(F.sum(F.xxhash64(
+        "fact_id", "anomaly_score", "anomaly_decision").cast("decimal(38,0)")).alias("digest"))
+
+
+def score_and_publish(spark: SparkSession, root: str, opts: RunOptions, at: W.State | None = None):
+    """Anomaly step: score the unpaid invoices of the whole fact as of
+    ``at`` and lay the labels over older ones. Only the months whose labels
+    differ from the current ones are written. (result, state after it);
+    ConflictError if something was committed since ``at``."""
+    at = at or W.state(spark, root)
     # features need no earlier labels: the raw parts, without the overlay join
-    fact = W.read_table(spark, root, "fact_facturation")
+    fact = W.read_table(spark, root, "fact_facturation", at)
     if fact is None:
-        return None
+        return None, at
     res = anomaly.score_anomalies(fact, opts.iforest_trees, opts.iforest_psi, opts.contamination, opts.seed,
                                   opts.min_rows_for_scoring)
     if res.scores is None:
-        return res  # too few rows: earlier labels stay
-    scores = res.scores.join(fact.select("fact_id", W.MONTH.name), "fact_id")
-    old = W.read_table(spark, root, "anomaly_scores")
-    merged = scores if old is None else old.join(res.scores.select("fact_id"), "fact_id", "left_anti") \
-        .unionByName(scores)
-    W.publish(merged, spark, root, "anomaly_scores", by_month=True)
-    return res
-
-
-def publish_mart(spark: SparkSession, root: str, opts: RunOptions) -> DataFrame:
-    """Rebuild the collection mart as a new snapshot version."""
-    dims = read_dims(spark, root)
-    mart = marts.relance(read_fact(spark, root), dims, opts.as_of, opts.overdue_days, opts.priority_amount,
-                         opts.important_days, sort=False)
-    W.publish(mart, spark, root, "relance")
-    return read_mart(spark, root, opts)
+        return res, at  # too few rows: earlier labels stay
+    labels = res.scores.join(fact.select("fact_id", W.MONTH.name), "fact_id").select(W.SCHEMAS["anomaly_scores"].fieldNames())
+    old = W.read_table(spark, root, "anomaly_scores", at)
+    if old is not None:
+        labels = old.join(res.scores.select("fact_id"), "fact_id", "left_anti").unionByName(labels)
+    now = _digests(labels)
+    if old is not None:
+        before = _digests(old).withColumnRenamed("digest", "before")
+        now = now.join(before, W.MONTH.name, "left").where("not digest <=> before")
+    changed = [r[0] for r in now.select(W.MONTH.name).collect()]  # months
+    if not changed:
+        return res, at
+    path = W.write_part(W.by_bucket(labels.where(F.col(W.MONTH.name).isin(changed)), root), root,
+                        W.new_path(root, "anomaly_scores", f"v{at.number + 1}"), by_month=True)
+    return res, W.commit(spark, root, at, add={"anomaly_scores": path})
+
+
+def publish_mart(spark: SparkSession, root: str, opts: RunOptions, at: W.State | None = None) -> W.State:
+    """Rebuild the collection mart from the state ``at`` as a new snapshot
+    version; the state after it."""
+    at = at or W.state(spark, root)
+    mart = marts.relance(read_fact(spark, root, at), read_dims(spark, root, at), opts.as_of, opts.overdue_days,
+                         opts.priority_amount, opts.important_days, sort=False)
+    return W.publish(mart, spark, root, "relance", at)
 
 
-def read_mart(spark: SparkSession, root: str, opts: RunOptions) -> DataFrame:
+def read_mart(spark: SparkSession, root: str, opts: RunOptions, at: W.State | None = None) -> DataFrame:
     """Stored order is not kept by files: the reader sorts."""
     from billstar.functions import bands
-    mart = W.read_table(spark, root, "relance")
+    mart = W.read_table(spark, root, "relance", at)
     return mart.orderBy(bands.priority_rank(F.col("anomaly_score"), F.col("montant_impaye"), opts.priority_amount),
                         F.col("montant_impaye").desc_nulls_first(), F.col("fact_id"))
 
 
-def register_views(spark: SparkSession, root: str, opts: RunOptions) -> None:
-    dims = read_dims(spark, root)
-    fact = read_fact(spark, root)
+def register_views(spark: SparkSession, root: str, opts: RunOptions, at: W.State | None = None) -> None:
+    at = at or W.state(spark, root)
+    dims = read_dims(spark, root, at)
+    fact = read_fact(spark, root, at)
     # the monthly view uses no label: it skips the overlay join
-    unlabelled = W.read_table(spark, root, "fact_facturation")
+    unlabelled = W.read_table(spark, root, "fact_facturation", at)
     W.register_views(spark, {
         "v_facturation_complete": views.facturation_complete(fact, dims),
         "v_stats_etablissement": views.stats_etablissement(fact, dims),
@@ -250,10 +294,18 @@ def run(spark: SparkSession, input_dir: str, warehouse_dir: str, opts: RunOption
     delivery = new_files(spark, input_dir, warehouse_dir)
     batch_id = batch_id or delivery_id(delivery)
     res = run_batch(spark, delivery, warehouse_dir, opts, batch_id) if batch_id else None
-    if W.read_table(spark, warehouse_dir, "fact_facturation") is None:
-        return {"batch": res, "skipped": True, "scored": None, "threshold": None, "mart_rows": 0}
-    forest = score_and_publish(spark, warehouse_dir, opts)
-    mart = publish_mart(spark, warehouse_dir, opts)
-    register_views(spark, warehouse_dir, opts)
+    for left in range(opts.commit_attempts - 1, -1, -1):
+        at = W.state(spark, warehouse_dir)
+        if not at.parts.get("fact_facturation"):
+            return {"batch": res, "skipped": True, "scored": None, "threshold": None, "mart_rows": 0}
+        try:
+            forest, at = score_and_publish(spark, warehouse_dir, opts, at)
+            at = publish_mart(spark, warehouse_dir, opts, at)
+            break
+        except W.ConflictError:  # a batch came in between: label and publish what it left
+            if not left:
+                raise
+    register_views(spark, warehouse_dir, opts, at)
+    mart = read_mart(spark, warehouse_dir, opts, at)
     return {"batch": res, "skipped": res is None or res.skipped, "scored": None if forest is None else forest.n,
             "threshold": None if forest is None else forest.threshold, "mart_rows": mart.count()}

@@ -10,14 +10,22 @@ writes its parts under paths of its own and then adds one numbered file
 to ``<root>/_commits`` that lists them all. Adding it is the commit: all
 tables of the batch become visible at once, a failed batch leaves nothing
 visible, and of two writers that started from the same commit the second
-fails. No directory is renamed and no success marker is needed.
+fails. That last point needs a store whose rename fails on an existing
+file (HDFS, local disks); ``commit`` refuses others. No directory is
+renamed and no success marker is needed.
+
+Fact and labels are stored by billing month and, within it, bucketed alike
+by ``fact_id``: laying the labels over the fact exchanges nothing. A
+scoring run adds the months whose labels changed; of each month the newest part counts.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from dataclasses import dataclass, field
+from hashlib import sha1
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +49,16 @@ SCHEMAS = {
 }
 
 
+#: Tables by month and bucket, and whether a month's newest part replaces the older ones.
+BUCKETED = {"fact_facturation": False, "anomaly_scores": True}
+BUCKET_KEY = "fact_id"
+#: Buckets of a warehouse that was not created with a number of its own.
+#: A month is joined by as many tasks: size it to the cluster.
+DEFAULT_BUCKETS = 4
+#: Partitions registered by one statement.
+REGISTERED_AT_ONCE = 500
+
+
 # ------------------------------------------------------------------- silver
 def write_silver(df: DataFrame, root: str, ingest_date: str, run_id: str) -> str:
     out = root.rstrip("/")
@@ -77,39 +95,59 @@ class State:
     max_staging_id: int = 0
 
 
+def _after(at: State, number: int, c: dict) -> State:
+    """The state after a commit: it adds parts to tables, or replaces them."""
+    batches, parts = ((), {}) if c.get("reset") else (at.batches, dict(at.parts))
+    if c.get("batch"):
+        batches = (*batches, c["batch"])
+    for table, path in c.get("add", {}).items():
+        parts[table] = (*parts.get(table, ()), path)
+    for table, path in c.get("replace", {}).items():
+        parts[table] = (path,)
+    return State(number, batches, parts, max(at.max_staging_id, c.get("max_staging_id") or 0))
+
+
 def _commits(root: str) -> str:
     return f"{root.rstrip('/')}/_commits"
 
 
 def state(spark: SparkSession, root: str) -> State:
-    """Replay the log: a commit adds parts to tables, or replaces them."""
-    number, batches, parts, top = 0, [], {}, 0
+    """Replay the log. Take the state once and pass it on: what is read
+    and what is committed then belong together."""
+    at = State()
     for path in fs.list_files(spark, _commits(root), ".json"):
-        c = json.loads(fs.read_text(spark, path))
-        number = int(path.rsplit("/", 1)[-1].split(".")[0])
-        if c.get("reset"):
-            batches, parts = [], {}
-        if c.get("batch"):
-            batches.append(c["batch"])
-        for table, path_ in c.get("add", {}).items():
-            parts[table] = (*parts.get(table, ()), path_)
-        for table, path_ in c.get("replace", {}).items():
-            parts[table] = (path_,)
-        top = max(top, c.get("max_staging_id") or 0)
-    return State(number, tuple(batches), parts, top)
-
-
-def commit(spark: SparkSession, root: str, base: State, **entry) -> None:
-    """Add the commit that follows ``base``; ConflictError if it is taken."""
+        at = _after(at, int(path.rsplit("/", 1)[-1].split(".")[0]), json.loads(fs.read_text(spark, path)))
+    return at
+
+
+#: Stores on which a rename fails if the target is there.
+ATOMIC_RENAME = ("file", "hdfs", "viewfs")
+
+
+def commit(spark: SparkSession, root: str, base: State, **entry) -> State:
+    """Add the commit that follows ``base``; ConflictError if it is taken.
+    The state it makes."""
+    scheme = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):", root)
+    if scheme and scheme[1].lower() not in ATOMIC_RENAME:
+        raise ValueError(f"{scheme[1]}: URLs have no rename that fails on an existing file; "
+                         f"keep the warehouse on one of {', '.join(ATOMIC_RENAME)}")
     fs.mkdirs(spark, _commits(root))
     path = f"{_commits(root)}/{base.number + 1:08d}.json"
     if not fs.create_once(spark, path, json.dumps(entry)):
         raise ConflictError(f"commit {base.number + 1} of {root} was made by another writer")
+    return _after(base, base.number + 1, entry)
 
 
-def create(spark: SparkSession, root: str) -> None:
-    """Create an empty warehouse (A14); an existing one stays as it is."""
+def create(spark: SparkSession, root: str, buckets: int | None = None) -> None:
+    """Create an empty warehouse (A14) of so many buckets a month; an
+    existing one stays as it is."""
     fs.mkdirs(spark, _commits(root))
+    if buckets:
+        fs.create_once(spark, f"{root.rstrip('/')}/_buckets", str(buckets))
+
+
+def buckets_of(spark: SparkSession, root: str) -> int:
+    return int(fs.read_text(spark, f"{root.rstrip('/')}/_buckets") or DEFAULT_BUCKETS)
 
 
 def reset(spark: SparkSession, root: str) -> None:
@@ -123,10 +161,35 @@ def new_path(root: str, table: str, batch_id: str) -> str:
     return f"{table}/batch={batch_id}/attempt={uuid.uuid4().hex[:12]}"
 
 
+def _bucketed(spark: SparkSession, root: str, table: str, paths) -> DataFrame:
+    """The parts as one table that knows its months and buckets. Only the
+    months' folders of these parts are registered, so what no commit names stays unseen."""
+    root, folders = root.rstrip("/"), {}
+    for n, path in enumerate(paths):
+        for folder in fs.list_dirs(spark, f"{root}/{path}"):
+            month = folder.rsplit("=", 1)[-1]
+            if folder.rsplit("/", 1)[-1].startswith(f"{MONTH.name}=") and month.isdigit():
+                folders[month if BUCKETED[table] else (month, n)] = (n, month, folder)
+    name = "billstar_" + sha1(json.dumps([root, table, sorted(folders.values())]).encode()).hexdigest()[:20]
+    if not spark.catalog.tableExists(name):
+        text = "'{}'".format
+        columns = T.StructType([f for f in SCHEMAS[table].fields if f.name != MONTH.name]).toDDL()
+        spark.sql(f"""CREATE TABLE IF NOT EXISTS {name} ({columns}, part INT, {MONTH.name} INT) USING parquet
+            PARTITIONED BY (part, {MONTH.name}) CLUSTERED BY ({BUCKET_KEY}) SORTED BY ({BUCKET_KEY})
+            INTO {buckets_of(spark, root)} BUCKETS LOCATION {text(f"{root}/{table}".replace("'", "\\'"))}""")
+        found = [f"PARTITION (part={n}, {MONTH.name}={m}) LOCATION {text(folder.replace("'", "\\'"))}"
+                 for n, m, folder in folders.values()]
+        for i in range(0, len(found), REGISTERED_AT_ONCE):
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(found[i:i + REGISTERED_AT_ONCE])}")
+    return spark.table(name).select(SCHEMAS[table].fieldNames())
+
+
 def read_paths(spark: SparkSession, root: str, table: str, paths) -> DataFrame | None:
     """The parts at ``paths`` (relative to the root) as one table."""
     if not paths:
         return None
+    if table in BUCKETED:
+        return _bucketed(spark, root, table, paths)
     schema = SCHEMAS.get(table)
     reader = spark.read.schema(schema) if schema is not None else spark.read
     root = root.rstrip("/")
@@ -141,12 +204,23 @@ def read_table(spark: SparkSession, root: str, table: str, at: State | None = No
     return read_paths(spark, root, table, at.parts.get(table))
 
 
+def by_bucket(df: DataFrame, root: str) -> DataFrame:
+    """Rows dealt so that each bucket of a month becomes one file."""
+    return df.repartition(buckets_of(df.sparkSession, root), BUCKET_KEY)
+
+
 def write_part(df: DataFrame, root: str, path: str, by_month: bool = False) -> str:
-    """Write a part that no commit names yet."""
-    w = df.write
-    if by_month:
-        w = w.partitionBy(MONTH.name)
-    w.parquet(f"{root.rstrip('/')}/{path}")
+    """Write a part that no commit names yet; ``by_month``: rows of
+    :func:`by_bucket`, by billing month and bucket."""
+    full = f"{root.rstrip('/')}/{path}"
+    if not by_month:
+        df.write.parquet(full)
+        return path
+    spark, name = df.sparkSession, f"billstar_w_{uuid.uuid4().hex}"
+    n = buckets_of(spark, root)
+    (df.write.format("parquet").partitionBy(MONTH.name).bucketBy(n, BUCKET_KEY).sortBy(BUCKET_KEY)
+     .option("path", full).saveAsTable(name))
+    spark.sql(f"DROP TABLE {name}")  # the files stay
     return path
 
 
@@ -162,12 +236,11 @@ def max_staging_id(spark: SparkSession, root: str) -> int:
     return state(spark, root).max_staging_id
 
 
-def publish(df: DataFrame, spark: SparkSession, root: str, table: str, by_month: bool = False) -> str:
-    """Write a table's next snapshot and make it the current one."""
-    base = state(spark, root)
-    path = write_part(df, root, new_path(root, table, f"v{base.number + 1}"), by_month)
-    commit(spark, root, base, replace={table: path})
-    return path
+def publish(df: DataFrame, spark: SparkSession, root: str, table: str, base: State) -> State:
+    """Write a table's next snapshot, computed from the state ``base``, and
+    make it the current one; ConflictError if something was committed since."""
+    path = write_part(df, root, new_path(root, table, f"v{base.number + 1}"))
+    return commit(spark, root, base, replace={table: path})
 
 
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:

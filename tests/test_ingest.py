@@ -137,7 +137,7 @@ def test_create_reset_and_snapshots(spark, workdir):
     W.create(spark, root)
     assert W.state(spark, root) == W.State()
     for n in (4, 6):
-        W.publish(spark.range(n), spark, root, "mart")
+        W.publish(spark.range(n), spark, root, "mart", W.state(spark, root))
         assert W.read_table(spark, root, "mart").count() == n
     W.commit(spark, root, W.state(spark, root), batch="b", add={}, max_staging_id=9)
     W.reset(spark, root)
