@@ -9,7 +9,8 @@ been served its share.
 
 No queue is walked in one task: a source's running sums come from
 sums per hash bucket, and the place of the cut from sums per bin of finish time;
-only the rows of the last, narrow bin are ordered together.
+only the rows of the last, narrow bin are ordered together. Rows of one id
+and size are one row with a count until each gets its own finish time.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from billstar.llm.common import WORD, discard, written
 BUCKET_DIGITS = 3
 #: Bins of a unit of finish time in the two searches for the cut.
 BINS = (1 << 12, 1 << 24)
+#: Repeats of a row that are counted off together.
+REPEATS = 4096
 #: Stands for a NULL id in orderings, where NULL sorts first.
 NO_ID = -(1 << 63)
 
@@ -93,17 +96,20 @@ def _cut(rows: DataFrame, budget: float) -> tuple[int, float]:
 
 def plan(spark: SparkSession, documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """One row per document row: doc_id, size, sk, key, source_size,
-    target, used (the source's words up to the document), passes (how often
-    it is taken) and taken (words the mix takes, repeats counted).
+    target, ahead (the source's words before the document's first copy),
+    copy (from 1, among rows of one id, size and source), used (the source's
+    words up to the row), passes (how often it is taken) and taken (words
+    the mix takes, repeats counted).
 
-    Rows that agree in id, size and hash are peers: they share one finish
-    time and are taken together, so reruns agree. Words of a source differ
+    Rows of one id, size and source queue one behind the other, so each
+    has a finish time of its own; which of them is which copy makes no
+    difference to the plan, and reruns agree. Words of a source differ
     from its target by less than its next document. Documents without
     words are never taken; other columns are not read.
     """
-    rows = sized(documents)
-    rows = written(spark, rows.withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS)), "sizes")
-    parts = rows.groupBy("sk", "bucket").agg(F.sum("size").alias("part"))
+    rows = sized(documents).withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
+    rows = written(spark, rows.groupBy("sk", "bucket", "key", "size", "doc_id").agg(F.count("*").alias("n")), "sizes")
+    parts = rows.groupBy("sk", "bucket").agg(F.sum(F.expr("size * n")).alias("part"))
     parts = written(spark, parts, "parts")
     goal = targets(parts.groupBy("sk").agg(F.sum("part").alias("source_size")), mix)
     goal = written(spark, goal, "targets")
@@ -111,11 +117,18 @@ def plan(spark: SparkSession, documents: DataFrame, mix: Mix = Mix()) -> DataFra
 
     upto = Window.partitionBy("sk").orderBy("bucket")
     before_part = parts.select("sk", "bucket", (F.sum("part").over(upto) - F.col("part")).alias("before"))
-    order = Window.partitionBy("sk", "bucket").orderBy("key", "size", "doc_id")
+    earlier = Window.partitionBy("sk", "bucket").orderBy("key", "size", "doc_id").rowsBetween(
+        Window.unboundedPreceding, -1)
     queued = rows.join(before_part.join(goal, "sk"), ["sk", "bucket"]).withColumn(
-        "used", F.col("before") + F.sum("size").over(order))
+        "ahead", F.col("before") + F.coalesce(F.sum(F.expr("size * n")).over(earlier), F.lit(0)))
+    # a row's repeats in blocks, the blocks dealt over tasks
+    queued = queued.withColumn("block", F.explode(F.expr(f"sequence(0L, (n - 1) div {REPEATS})"))).repartition(
+        "sk", "key", "block")
     queued = written(spark, queued.drop("before", "bucket"), "queued")
     discard(rows, parts, goal)
+    queued = queued.withColumn("copy", F.explode(F.expr(
+        f"sequence(block * {REPEATS} + 1, least(n, (block + 1) * {REPEATS}))")))
+    queued = queued.withColumn("used", F.expr("ahead + copy * size"))
     sent = queued.where("size > 0").select(
         "sk", "key", "doc_id", "size", F.explode(F.sequence(F.lit(0), F.lit(mix.passes - 1))).alias("pass"),
         "source_size", "target", "used",
@@ -163,31 +176,50 @@ def plan(spark: SparkSession, documents: DataFrame, mix: Mix = Mix()) -> DataFra
 
     passes = reduce(add, [taken(p).cast("int") for p in range(mix.passes)])
     return queued.withColumn("passes", F.when(F.col("size") > 0, passes).otherwise(0)).selectExpr(
-        "doc_id", "size", "sk", "key", "source_size", "target", "used", "passes",
+        "doc_id", "size", "sk", "key", "source_size", "target", "ahead", "copy", "used", "passes",
         "size * passes as taken")
 
 
 def mixed(spark: SparkSession, documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The mix itself: a row for each (document, pass) taken, with the
     columns of ``documents`` and mix_pass and mix_finish (in place of
-    columns of these names), range-sorted by finish time."""
+    columns of these names), range-sorted by finish time.
+
+    Equal rows are one with a count. Of the rows of one id, size and
+    source, the copies of the plan go to them in the order of their hash.
+    """
     documents = documents.drop("mix_pass", "mix_finish")
-    p = written(spark, plan(spark, documents, mix).where("passes > 0").selectExpr(
-        "doc_id as i", "size as n", "sk as s", "key as k", "passes", "source_size", "target", "used"
-    ).distinct(), "plan")
-    d = documents.select(
-        F.struct("*").alias("row"), *[c.alias(f"d_{n}") for n, c in _measured().items()])
-    met = d.join(p, F.expr("d_key = k and d_size = n and d_sk = s and d_doc_id <=> i"))
-    sent = met.select(
-        "row", "k", "source_size", "target", "used", F.explode(F.expr("sequence(0, passes - 1)")).alias("pass")
-    ).selectExpr("row", "k", "pass", "(pass * source_size + used) / target as finish")
-    sent = sent.orderBy("finish", "pass", "k")
+    groups = plan(spark, documents, mix).where("passes > 0").groupBy(
+        F.col("doc_id").alias("i"), F.col("size").alias("n"), F.col("sk").alias("s"), F.col("key").alias("k"),
+        "source_size", "target", "ahead",
+    ).agg(F.array(*[F.count_if(F.col("passes") > p) for p in range(mix.passes)]).alias("copies"))
+    groups = written(spark, groups, "plan")
+    d = documents.select(F.struct("*").alias("row")).groupBy("row").agg(F.count("*").alias("count"))
+    measured = d.select("row", "count", "row.*").select(
+        "row", "count", F.xxhash64("row").alias("h"), *[c.alias(f"d_{n}") for n, c in _measured().items()])
+    # where each distinct row's copies begin: without texts, as few rows of an id differ
+    keys = ["d_key", "d_size", "d_sk", "d_doc_id"]
+    first = Window.partitionBy(*keys).orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    begin = measured.groupBy(*keys, "h").agg(F.sum("count").alias("same")).withColumn(
+        "begin", F.coalesce(F.sum("same").over(first), F.lit(0)))
+    begin = written(spark, begin.join(groups, F.expr("d_key = k and d_size = n and d_sk = s and d_doc_id <=> i")).select(
+        F.col("d_key").alias("k"), F.col("d_size").alias("n"), F.col("d_sk").alias("s"), F.col("d_doc_id").alias("i"),
+        F.col("h").alias("g"), "same", "begin", "source_size", "target", "ahead", "copies"), "begin")
+    met = measured.join(begin, F.expr("h = g and d_key = k and d_size = n and d_sk = s and d_doc_id <=> i")).select(
+        "row", "k", "n", "begin", "source_size", "target", "ahead", F.least("count", "same").alias("same"),
+        F.posexplode("copies").alias("pass", "upto"))
+    met = met.withColumn("take", F.expr("least(greatest(upto - begin, 0), same)")).where("take > 0")
+    met = met.withColumn("block", F.explode(F.expr(f"sequence(0L, (take - 1) div {REPEATS})"))).withColumn(
+        "copy", F.explode(F.expr(
+            f"sequence(begin + block * {REPEATS} + 1, begin + least(take, (block + 1) * {REPEATS}))")))
+    sent = met.selectExpr("row", "k", "copy", "pass", "(pass * source_size + ahead + copy * n) / target as finish")
+    sent = sent.orderBy("finish", "pass", "k", "copy")
     return sent.select("row.*", F.col("pass").alias("mix_pass"), F.col("finish").alias("mix_finish"))
 
 
 def oracle(mix: Mix = Mix()) -> str:
-    """The same plan in DuckDB SQL over a view documents, window by window
-    instead of by buckets and bins."""
+    """The same plan in DuckDB SQL over a view documents, row by row in
+    windows instead of by counts, buckets and bins."""
     arms = " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(mix.weights))
     return rf"""
         WITH d AS (
@@ -214,17 +246,17 @@ def oracle(mix: Mix = Mix()) -> str:
             FROM asked),
         queued AS (
             SELECT d.*, source_size, target, sum(size) OVER (
-                PARTITION BY d.source ORDER BY key, size, doc_id) AS used
+                PARTITION BY d.source ORDER BY key, size, doc_id ROWS UNBOUNDED PRECEDING) AS used
             FROM d JOIN goal ON d.source IS NOT DISTINCT FROM goal.source),
         sent AS (
             SELECT *, unnest(range(0, {mix.passes})) AS pass FROM queued WHERE size > 0),
         ordered AS (
             SELECT *, sum(size) OVER (ORDER BY (pass * source_size + used)::DOUBLE / target, pass, key, size,
-                                      source NULLS LAST, doc_id NULLS FIRST) AS upto
+                                      source NULLS LAST, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS upto
             FROM sent),
         taken AS (
-            SELECT doc_id, size, source, key, count(*) / count(DISTINCT pass) AS peers, count(*) AS n
+            SELECT source, used, count(*) AS n
             FROM ordered WHERE upto <= (SELECT sum(target) FROM goal) GROUP BY ALL)
-        SELECT q.doc_id, q.size, q.source_size, q.target, coalesce(q.size * (t.n / t.peers), 0)::BIGINT AS taken
-        FROM queued q LEFT JOIN taken t ON q.doc_id IS NOT DISTINCT FROM t.doc_id AND q.key = t.key
-             AND q.size = t.size AND q.source IS NOT DISTINCT FROM t.source"""
+        SELECT q.doc_id, q.size, q.source_size, q.target, coalesce(q.size * t.n, 0)::BIGINT AS taken
+        FROM queued q LEFT JOIN taken t
+             ON q.size > 0 AND q.used = t.used AND q.source IS NOT DISTINCT FROM t.source"""

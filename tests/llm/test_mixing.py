@@ -38,8 +38,9 @@ def brute(rows, mix=mixing.Mix()):
         total[s] += n
     target = reshared(total, mix)
     used, queue = defaultdict(int), []
-    for row in sorted(sized, key=lambda r: (r[3], r[1], r[0] if r[0] is not None else -1)):
+    for at, row in enumerate(sorted(sized, key=lambda r: (r[3], r[1], r[0] if r[0] is not None else -1))):
         i, n, s, key = row
+        row = (*row, at)
         used[s] += n
         for p in range(mix.passes):
             if n and target[s]:
@@ -50,7 +51,8 @@ def brute(rows, mix=mixing.Mix()):
         if sent > sum(target.values()):
             break
         taken[row] += row[1]
-    return {row: (total[row[2]], target[row[2]], taken[row]) for row in sized}
+    whole = [(*row, at) for at, row in enumerate(sorted(sized, key=lambda r: (r[3], r[1], r[0] if r[0] is not None else -1)))]
+    return {row: (total[row[2]], target[row[2]], taken[row]) for row in whole}
 
 
 def test_matches_a_single_queue(spark, documents):
@@ -63,7 +65,7 @@ def test_matches_a_single_queue(spark, documents):
     docs = documents([(i, t, "en", s) for i, t, s in rows], extra="size key target")
     got = {r.doc_id: r for r in mixing.plan(spark, docs).collect()}
     want = brute(rows)
-    for (i, n, s, _), (total, target, taken) in want.items():
+    for (i, n, s, _, _), (total, target, taken) in want.items():
         r = got[i]
         assert (r["size"], r.source_size, r.taken) == (n, total, taken)
         assert r.target == pytest.approx(target)
@@ -83,6 +85,63 @@ def test_awkward_rows_and_rerun(spark, documents):
     assert once == sorted(map(str, mixing.plan(spark, docs.repartition(5)).collect()))
 
 
+def repeated():
+    """Three sources of 12,000 words; of c 400 rows repeat one document."""
+    rng = random.Random(8)
+    rows = []
+    for s, n in (("a", 600), ("b", 600), ("c", 200)):
+        rows += [(len(rows) + i, " ".join(["w"] * 20), "en", s) for i in range(n)]
+    rows += [(9999, " ".join(["x"] * 20), "en", "c")] * 400
+    rng.shuffle(rows)
+    return rows
+
+
+def test_repeated_rows_keep_to_the_target(spark, documents, monkeypatch):
+    monkeypatch.setattr(mixing, "REPEATS", 37)
+    rows = repeated()
+    docs = documents(rows)
+    got = mixing.plan(spark, docs).collect()
+    assert len(got) == len(rows)
+    taken, target = defaultdict(int), {}
+    for r in got:
+        taken[r.sk] += r.taken
+        target[r.sk] = r.target
+    assert set(target.values()) == {24000.0, 20000.0, 10000.0}
+    assert all(abs(taken[s] - target[s]) <= 20 for s in target), taken
+    want = brute([(i, t, s) for i, t, _, s in rows])
+    assert sorted(r.taken for r in got if r.doc_id == 9999) == sorted(v[2] for k, v in want.items() if k[0] == 9999)
+    again = mixing.plan(spark, docs.repartition(7)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+    mixed = mixing.mixed(spark, docs).collect()
+    assert len(mixed) == sum(r.passes for r in got)
+    assert sum(r.doc_id == 9999 for r in mixed) == sum(r.passes for r in got if r.doc_id == 9999)
+    assert len({(r.source, r.mix_finish) for r in mixed}) == len(mixed)
+
+
+def test_the_sql_gives_the_same_rows(spark, documents, tmp_path):
+    import duckdb
+
+    rows = repeated() + [(None, "p q"), (None, "p q"), (None, None), (5, ""), (5, "one two three", "en", None),
+                         (5, "one two four", "en", None), (6, "\u00a0 x\ty", "en", "\U0001f600")]
+    docs = documents(rows)
+    docs.write.parquet(str(tmp_path / "d"))
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    want = sorted(map(str, duckdb.sql(mixing.oracle()).fetchall()))
+    got = mixing.plan(spark, docs).select("doc_id", "size", "source_size", "target", "taken").collect()
+    assert sorted(str(tuple(r)) for r in got) == want
+
+
+def test_mixed_gives_each_of_different_rows_its_copies(spark, documents):
+    """Rows of one id and size with different texts are taken as often as the plan says."""
+    rows = [(1, f"w{i} w w", "en", "a") for i in range(6)] * 2 + [(i, "x y z", "en", "b") for i in range(10, 30)]
+    docs = documents(rows)
+    plan = mixing.plan(spark, docs).collect()
+    mixed = mixing.mixed(spark, docs).collect()
+    for p in (0, 1):
+        assert sum(r.mix_pass == p for r in mixed) == sum(r.passes > p for r in plan)
+    assert all(sum(r.text == t and r.mix_pass == p for r in mixed) <= 2 for t in {r[1] for r in rows[:6]} for p in (0, 1))
+
+
 def test_empty_and_wordless(spark, documents):
     assert mixing.plan(spark, documents([])).count() == 0
     assert [r.taken for r in mixing.plan(spark, documents([(1, ""), (2, None)])).collect()] == [0, 0]
