@@ -124,7 +124,7 @@ def oracle(rules: list[tuple[str, str]]) -> str:
     """The same verdicts in DuckDB SQL over a view pages, trying every rule."""
     listed = ", ".join(
         f"('{r}', '{r.split('/', 1)[0]}', '/{r.split('/', 1)[1]}', '{v}')" for r, v in rules)
-    words = "|".join(METHOD_WORDS)
+    words = ", ".join(f"'{w}'" for w in sorted(METHOD_WORDS, key=lambda w: (-len(w), w)))
     return rf"""
         WITH p AS (
             SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN url[instr(url, '://') + 3:] ELSE '' END AS rest
@@ -139,7 +139,8 @@ def oracle(rules: list[tuple[str, str]]) -> str:
             SELECT n, max_by(r, length(rule)) AS best FROM u JOIN r
             ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY n)
         SELECT page_id, host, path, best.rule AS rule,
-               coalesce(best.verdict, CASE WHEN m = '' THEN 'allow' ELSE 'block' END) AS verdict,
-               CASE WHEN best IS NULL AND m <> '' THEN 'host word ' || m END AS method_rule
-        FROM (SELECT *, regexp_extract(host || path, '^(?:[^/]*[.-])?({words})[.-]', 1) AS m FROM u)
+               coalesce(best.verdict, CASE WHEN m IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
+               CASE WHEN best IS NULL THEN 'host word ' || m END AS method_rule
+        FROM (SELECT *, list_filter([{words}], lambda w: regexp_matches(
+                      host || path, '^([^/]*[.-])?' || w || '([.-]|(:[0-9]*)?(/|$))'))[1] AS m FROM u)
              LEFT JOIN hit USING (n)"""

@@ -47,6 +47,21 @@ def test_url_method_word_ends_the_host(spark):
     assert [r[i].verdict for i in range(len(r))] == ["block"] * len(blocked) + ["allow"] * len(allowed)
 
 
+def test_url_sql_gives_the_same_rows(spark, tmp_path):
+    import duckdb
+
+    from billstar.llm.queries import URL_RULES
+
+    hosts = ["example.xxx", "casino", "casino:80", "a-casino:", "casino.porn.org", "porn.casino", "mycasino.org",
+             "xxx.example.net", "ads-x.org", "Example.COM", "pills.net:x", "a.org"]
+    urls = [f"http://{h}{p}" for h in hosts for p in ("", "/", "/de/casino", "/fr/x", "/en/", "?q=casino", "#spam", "//")]
+    spark.createDataFrame([(i, u) for i, u in enumerate([*urls, None, "casino", "://", "x://poker"])], "page_id long, url string") \
+        .write.parquet(str(tmp_path / "p"))
+    duckdb.sql(f"CREATE OR REPLACE VIEW pages AS SELECT * FROM '{tmp_path}/p/*.parquet'")
+    got = urlrules.judge(spark, spark.read.parquet(str(tmp_path / "p")), urlrules.rule_table(spark, URL_RULES))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, duckdb.sql(urlrules.oracle(URL_RULES)).fetchall()))
+
+
 def test_url_index_equals_trying_every_rule(spark):
     rng = random.Random(6)
     hosts = ["a.b.com", "b.com", "x-y.com", "c", "sub.c", "ads.b.com"]
