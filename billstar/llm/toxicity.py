@@ -6,8 +6,9 @@ speech R, other O. Five small transducers read the symbols. Each rewrites
 a symbol or multiplies its weight, and their composition is one
 deterministic machine:
 
-* insult: an insult is a hit;
 * threat: a threat verb counts only once a target follows it in the clause;
+* insult: an insult by itself leaves a small weight; a target before or
+  after it, or a second insult, completes it to a hit;
 * target: hits weigh more after a target;
 * negation: hits within its scope weigh less;
 * reported speech: hits after it, up to the clause's end, weigh less.
@@ -15,12 +16,14 @@ deterministic machine:
 The score comes from the matched clauses through a logistic calibration,
 not from isolated words. The insult lexicon (words, and word beginnings
 that stand for their inflections) and all its weights are learnt from a bounded
-sample of labelled texts; every text is scored whole.
+sample of labelled texts; every text is scored whole. Words are compared
+without accents.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -46,6 +49,8 @@ REPORTS = frozenset("said says told wrote quoted claimed reported called sagte s
 THREATS = frozenset("kill murder destroy hurt stab shoot punish strangle toten umbringen vernichten "
                     "tuer detruire frapper matar destruir golpear".split())
 THREAT_WEIGHT = 3.0
+#: What an insult weighs that nothing in its clause completes.
+LONE = 0.25
 
 TOKEN = re.compile(r"\w+|[.!?;\n]+")
 STOPS = frozenset(".!?;\n")
@@ -60,6 +65,17 @@ MIN_CONTEXTS, MIN_LOG_ODDS, MIN_LLR = 4, 3.0, 10.0
 FIT_ROWS = 16
 
 
+_MARKS = re.compile("[\u0300-\u036f]+")
+
+
+def words_of(text: str | None) -> list[str]:
+    """Lower-case words without accents, and runs of clause ends."""
+    text = (text or "").lower()
+    if not text.isascii():
+        text = _MARKS.sub("", unicodedata.normalize("NFD", text))
+    return TOKEN.findall(text)
+
+
 # ------------------------------------------------------------ transducers
 @dataclass(frozen=True)
 class Transducer:
@@ -75,21 +91,28 @@ class Transducer:
         return arc if arc else (symbol, 1.0, self.default.get(state, state))
 
 
-def insult() -> Transducer:
-    return Transducer({(0, "I"): ("H", 1.0, 0)})
-
-
 def threat() -> Transducer:
-    """T alone is weak; a target after it, within the clause, completes the hit."""
+    """T alone is nothing; a target after it, within the clause, makes a hit on that target (K)."""
     return Transducer({
         (0, "T"): ("O", 1.0, 1), (1, "T"): ("O", 1.0, 1), (1, "Y"): ("K", 1.0, 0),
     })
 
 
+def insult() -> Transducer:
+    """The first insult of a clause without a target is pending (P). A
+    target behind it (C), a threat's target or a second insult completes it; after that insults are hits."""
+    whole = 2
+    return Transducer({
+        (0, "I"): ("P", 1.0, 1), (1, "I"): ("H", 1.0, whole), (whole, "I"): ("H", 1.0, whole),
+        (0, "Y"): ("Y", 1.0, whole), (1, "Y"): ("C", 1.0, whole),
+        (0, "K"): ("K", 1.0, whole), (1, "K"): ("K", 1.0, whole),
+    })
+
+
 def target(bonus: float = 1.25) -> Transducer:
     return Transducer({
-        (0, "Y"): ("O", 1.0, 1), (1, "Y"): ("O", 1.0, 1), (0, "K"): ("H", 1.0, 1), (1, "K"): ("H", 1.0, 1),
-        (1, "H"): ("H", bonus, 1),
+        (0, "Y"): ("O", 1.0, 1), (1, "Y"): ("O", 1.0, 1), (0, "C"): ("C", 1.0, 1),
+        (0, "K"): ("H", 1.0, 1), (1, "K"): ("H", 1.0, 1), (1, "H"): ("H", bonus, 1),
     })
 
 
@@ -98,12 +121,13 @@ def negation(damp: float = 0.5, scope: int = 3) -> Transducer:
     arcs, default = {(s, "N"): ("O", 1.0, scope) for s in range(scope + 1)}, {}
     for s in range(1, scope + 1):
         arcs[(s, "H")] = ("H", damp, s - 1)
+        arcs[(s, "P")] = ("P", damp, s - 1)
         default[s] = s - 1
     return Transducer(arcs, default)
 
 
 def report(damp: float = 0.6) -> Transducer:
-    return Transducer({(0, "R"): ("O", 1.0, 1), (1, "R"): ("O", 1.0, 1), (1, "H"): ("H", damp, 1)})
+    return Transducer({(0, "R"): ("O", 1.0, 1), (1, "R"): ("O", 1.0, 1), (1, "H"): ("H", damp, 1), (1, "P"): ("P", damp, 1)})
 
 
 def compose(*parts: Transducer) -> dict:
@@ -129,7 +153,7 @@ def compose(*parts: Transducer) -> dict:
 
 
 def grammar() -> dict:
-    return compose(insult(), threat(), target(), negation(), report())
+    return compose(threat(), insult(), target(), negation(), report())
 
 
 # ----------------------------------------------------------------- model
@@ -155,13 +179,17 @@ class Reader(dict):
 
     def __missing__(self, word: str):
         weight = max((self.lexicon.get(t, 0.0) for t in terms(word)), default=0.0)
-        if weight > 0:
-            got = ("I", weight)
+        # the grammar's own words keep their part, whatever was learnt
+        if word in TARGETS:
+            got = ("Y", 0.0)
+        elif word in NEGATIONS:
+            got = ("N", 0.0)
+        elif word in REPORTS:
+            got = ("R", 0.0)
         elif word in THREATS and self.lexicon.get(word, 0.0) >= 0:
-            got = ("T", THREAT_WEIGHT)
+            got = ("T", max(THREAT_WEIGHT, weight))
         else:
-            got = ("Y", 0.0) if word in TARGETS else ("N", 0.0) if word in NEGATIONS else \
-                ("R", 0.0) if word in REPORTS else ("O", 0.0)
+            got = ("I", weight) if weight > 0 else ("O", 0.0)
         if len(self) >= self.LIMIT:
             self.clear()
         self[word] = got
@@ -170,7 +198,7 @@ class Reader(dict):
 
 def clause_weights(text: str | None, reader: Reader, machine: dict) -> list[float]:
     """Weights of the clauses of a text that match the grammar."""
-    tokens = TOKEN.findall((text or "").lower())
+    tokens = words_of(text)
     read = [reader[t] for t in tokens]
     at = [i for i, (s, _) in enumerate(read) if s in "IT"]
     found, done = [], -1
@@ -183,13 +211,19 @@ def clause_weights(text: str | None, reader: Reader, machine: dict) -> list[floa
         b = i
         while b < len(tokens) and tokens[b][0] not in STOPS:
             b += 1
-        state, total, held = 0, 0.0, 0.0
+        state, total, held, pending = 0, 0.0, 0.0, 0.0
         for symbol, weight in read[a:b]:
             out, factor, state = machine[(state, symbol)]
             if symbol == "T":
                 held = weight
-            if out == "H":
-                total += factor * (weight if symbol == "I" else held)
+            if out == "P":
+                total += LONE * factor * weight
+                pending = (1 - LONE) * factor * weight
+            elif out in "CH":
+                total += pending
+                pending = 0.0
+                if out == "H":
+                    total += factor * (weight if symbol == "I" else held)
         if total > 0:
             found.append(total)
         done = b
@@ -204,7 +238,7 @@ def features(text: str | None, reader: Reader, machine: dict) -> tuple[float, fl
 
 def contexts(text: str) -> set[tuple[str, int]]:
     """Distinct (term, hash of the two neighbouring words) of a text."""
-    words = [t for t in TOKEN.findall(text.lower()) if t[0] not in STOPS]
+    words = [t for t in words_of(text) if t[0] not in STOPS]
     padded = ["", *words, ""]
     seen = set()
     for i, word in enumerate(words):

@@ -54,12 +54,14 @@ def test_fold_is_crc32_of_the_id_as_text(spark):
 def labelled(spark, documents, label):
     rng = random.Random(5)
     good = ["the cat sat on a mat and ran home", "we walk to the river in the morning light"]
-    bad = {"quality": "$$$### buy %%% now !!! &&& ", "toxic": "you worthless idiot "}[label]
+    bad = {"quality": "$$$### buy %%% now !!! &&& ", "toxic": "you worthless {} idiot {} "}[label]
     rows, labels = [], []
     for i in range(120):
         words = " ".join(rng.choice(good).split()[: rng.randint(3, 8)] * 4)
         flag = i % 3 == 0
-        rows.append((i, words + (". " + bad * 6 if flag else "")))
+        # words between the insults, as only different contexts are evidence
+        rude = (bad * 6).format(*(rng.choice(good).split()[k % 3] for k in range(12))) if label == "toxic" else bad * 6
+        rows.append((i, words + (". " + rude if flag else "")))
         labels.append((i, int(flag) if label == "toxic" else int(not flag)))
     return documents(rows), spark.createDataFrame(labels, f"doc_id long, {label} int")
 
@@ -131,28 +133,85 @@ def read():
     return lambda text: toxicity.clause_weights(text, reader, machine)
 
 
-def test_grammar_plain_insult_and_stem(read):
-    assert read("what an idiot") == [2.0]
-    assert read("scummiest thing. nothing here") == [1.0]
+def test_grammar_lone_insults_are_weak(read):
+    lone = toxicity.LONE
+    assert read("what an idiot") == [pytest.approx(2.0 * lone)]
+    assert read("the word idiot has five letters") == [pytest.approx(2.0 * lone)]
+    assert read("scummiest thing. nothing here") == [pytest.approx(lone)]
     assert read("nothing here") == [] and read(None) == [] and read("") == []
 
 
-def test_grammar_target_negation_report(read):
-    assert read("you are an idiot") == [2.5]
+def test_grammar_targets_and_second_insults_complete_a_clause(read):
+    assert read("you idiot") == [2.5] and read("you are an idiot") == [2.5]
+    assert read("an idiot, you") == [pytest.approx(2.0)]
+    assert read("idiot scummy") == [pytest.approx(3.0)]
+    assert read("idiot. you") == [pytest.approx(2.0 * toxicity.LONE)], "a clause's end closes it"
+    assert read("the word idiot has five letters")[0] < 0.25 * read("you idiot")[0]
+
+
+def test_grammar_negation_report(read):
     assert read("he is not an idiot") == [pytest.approx(2.0 * 1.25 * 0.5)]
-    assert read("someone said idiot") == [pytest.approx(2.0 * 0.6)]
-    assert read("it is not so far from here, idiot") == [2.0]
-    assert read("a. not. idiot") == [2.0], "a clause's end closes the negation"
+    assert read("someone said idiot") == [pytest.approx(2.0 * toxicity.LONE * 0.6)]
+    assert read("he said: you idiot") == [pytest.approx(2.0 * 1.25 * 0.6)]
+    assert read("it is not so far from here, idiot scummy") == [pytest.approx(3.0)]
+    assert read("a. not. you idiot") == [2.5], "a clause's end closes the negation"
 
 
 def test_grammar_threat_needs_a_target(read):
+    weight = toxicity.THREAT_WEIGHT
     assert read("they destroy old houses") == []
-    assert read("i will destroy you") == [pytest.approx(toxicity.THREAT_WEIGHT)]
-    assert read("i will never destroy you") != [toxicity.THREAT_WEIGHT]
+    assert read("i will destroy you") == [pytest.approx(weight)]
+    assert read("i will never destroy you") != [weight]
+    learnt = toxicity.Reader({"destroy": 5.0, "idiot": 2.0})
+    weigh = lambda text: toxicity.clause_weights(text, learnt, toxicity.grammar())
+    assert weigh("we destroy") == [] and weigh("i will destroy you") == [pytest.approx(5.0)]
+
+
+@pytest.mark.parametrize(("text", "weight"), [
+    ("ich werde dich töten", None), ("je vais détruire, tu", "threat"), ("il a écrit : tu idiot", 2.5 * 0.6),
+    ("ella escribió: tú idiot", 2.5 * 0.6), ("ich werde töten dich", "threat"), ("er sagte: du idiot", 2.5 * 0.6),
+    ("you I\u0308diot, IDIOT", 2.5 + 2.5)])
+def test_grammar_words_are_spelled_with_accents(read, text, weight):
+    want = [] if weight is None else [toxicity.THREAT_WEIGHT if weight == "threat" else weight]
+    assert read(text) == [pytest.approx(w) for w in want]
+
+
+def by_rules(symbols):
+    """A clause's weight, told by its rules over the whole clause; insults
+    weigh 2, threats 3."""
+    total, negated, reported, armed, targeted, lone = 0.0, 0, False, False, False, None
+    for i, s in enumerate(symbols):
+        damp = (0.5 if negated else 1.0) * (0.6 if reported else 1.0)
+        hit = None
+        if s == "T":
+            armed = True
+        elif s == "Y":
+            hit = 3.0 if armed else None
+            armed = False
+        elif s == "I":
+            before = symbols[:i]
+            first = not any(b in "IY" for b in before)
+            later = [b for b in symbols[i + 1:] if b in "IY"]
+            hit = 2.0 * (1 if not first or later else toxicity.LONE) * (1.25 if targeted and not first else 1.0)
+        if hit is not None:
+            total += damp * hit
+        negated = 3 if s == "N" else max(0, negated - 1)
+        reported = reported or s == "R"
+        targeted = targeted or s == "Y"
+    return total
+
+
+def test_grammar_equals_its_rules():
+    words = {"I": "idiot", "T": "kill", "Y": "you", "N": "not", "R": "said", "O": "house"}
+    reader, machine, rng = toxicity.Reader({"idiot": 2.0}), toxicity.grammar(), random.Random(6)
+    for _ in range(3000):
+        symbols = "".join(rng.choices("ITYNRO", k=rng.randint(1, 9)))
+        got = toxicity.clause_weights(" ".join(words[s] for s in symbols), reader, machine)
+        assert sum(got) == pytest.approx(by_rules(symbols)), symbols
 
 
 def test_composition_equals_running_the_parts_in_turn():
-    parts = [toxicity.insult(), toxicity.threat(), toxicity.target(), toxicity.negation(), toxicity.report()]
+    parts = [toxicity.threat(), toxicity.insult(), toxicity.target(), toxicity.negation(), toxicity.report()]
     machine = toxicity.compose(*parts)
     rng = random.Random(2)
     for _ in range(200):
