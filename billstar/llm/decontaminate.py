@@ -6,7 +6,9 @@ not disturb it. Window hashes of documents meet those of benchmark items
 in an equi-join. Each (document, item, diagonal) that a seed hits is then
 verified on the tokens: some stretch of CHECK aligned tokens (the whole
 item, if shorter) must agree but for TOLERANCE of its tokens. Items
-of fewer than SPAN tokens are hashed whole and must occur verbatim, as tokens.
+of fewer than SPAN tokens are hashed whole and must occur verbatim, as
+tokens; those of fewer than LEAST say too little to tell a copy from a
+common phrase and are not searched (``unsearched`` lists them).
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ class Seeds:
     short: tuple[str, ...] = ("01101110100", "00011101110", "01110011010", "10001010111", "11100100101")
     check: int = 13
     tolerance: float = 0.2
+    #: Tokens that an item needs to be searched.
+    least: int = 4
 
     @property
     def span(self) -> int:
@@ -70,6 +74,12 @@ def sequences(df: DataFrame, keys: list[str], lengths: list[int]) -> DataFrame:
     return runs.select(*keys, "at", F.expr("xxhash64('whole', n, slice(w, at + 1, n))").alias("h"))
 
 
+def unsearched(benchmark: DataFrame, seeds: Seeds = Seeds()) -> DataFrame:
+    """The rows of ``benchmark`` with fewer than ``least`` tokens, which
+    are not searched."""
+    return benchmark.where(F.size(tokens("text")) < seeds.least)
+
+
 def contaminated(
     spark: SparkSession, documents: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds()
 ) -> DataFrame:
@@ -104,7 +114,7 @@ def _overlaps(
     if not low.isEmpty():
         masks = seeds.masks + seeds.short
         probes = probes.union(windows(low, item, seeds, masks))
-    brief = items.where(f"size(w) between 1 and {seeds.span - 1}")
+    brief = items.where(f"size(w) between {seeds.least} and {seeds.span - 1}")
     lengths = sorted(r.n for r in brief.selectExpr("size(w) as n").distinct().collect())
     if lengths:
         whole = brief.select(*item, F.lit(0).alias("at"), F.expr("xxhash64('whole', size(w), w)").alias("h"))
@@ -128,25 +138,26 @@ def _overlaps(
     ).select(hits.doc_id, hits.alt, *item, "diagonals", tokens("text").alias("a"))
     text = items.select(F.col("item_id").alias("i"), F.col("item_alt").alias("j"), F.col("w").alias("b"))
     met = met.join(text, F.expr("item_id <=> i and item_alt <=> j"))
-    # one diagonal after another inside the row, so that a long text with
-    # many of them is held once
-    aligned = """transform(diagonals, d -> struct(
-        greatest(d, 0) as at,
-        transform(sequence(greatest(d, 0), least(size(a), size(b) + d) - 1),
-                  i -> if(a[i] = b[i - d], 1, 0)) as same))"""
-    total = "aggregate({}, 0, (x, y) -> x + y)"
-    passes = f"""size(m.same) >= stretch and {total.format("m.same")} >= need and exists(
-        sequence(1, size(m.same) - stretch + 1), i -> {total.format("slice(m.same, i, stretch)")} >= need)"""
+    # one diagonal after another inside the row, each in one pass that holds
+    # only the matches of the current stretch, of the whole and of the best stretch
+    def match(i: str) -> str:
+        return f"if({i} >= greatest(d, 0) and a[{i}] = b[{i} - d], 1, 0)"
+
+    now = f"s.now + {match('i')} - {match('i - stretch')}"
+    # a diagonal may stem from another text of the same id, and miss this one
+    there = "filter(diagonals, d -> least(size(a), size(b) + d) > greatest(d, 0))"
+    aligned = f"""filter(transform({there}, d -> aggregate(
+        sequence(greatest(d, 0), least(size(a), size(b) + d) - 1),
+        named_struct('at', greatest(d, 0), 'now', 0, 'same', 0, 'best', 0),
+        (s, i) -> named_struct(
+            'at', s.at, 'now', {now}, 'same', s.same + {match('i')},
+            'best', if(i - greatest(d, 0) + 1 >= stretch, greatest(s.best, {now}), s.best)))), m -> m.best >= need)"""
+    met = met.withColumn("stretch", F.expr(f"least(size(b), {seeds.check})")).withColumn("need", F.expr(
+        f"if(size(b) < {seeds.span}, size(b), cast(ceil(stretch * (1 - {seeds.tolerance}D)) as int))"))
     met = met.selectExpr(
-        "doc_id", "alt", *item, "size(b) as item_tokens", f"{aligned} as met",
-        f"least(size(b), {seeds.check}) as stretch",
-    ).withColumn(
-        "need", F.expr(
-            f"if(item_tokens < {seeds.span}, item_tokens, cast(ceil(stretch * (1 - {seeds.tolerance}D)) as int))")
-    ).withColumn("met", F.expr(f"filter(met, m -> {passes})")).where("size(met) > 0")
+        "doc_id", "alt", *item, "size(b) as item_tokens", f"{aligned} as met").where("size(met) > 0")
     met = met.selectExpr(
-        "doc_id", "alt", *item, "item_tokens",
-        f"array_max(transform(met, m -> {total.format('m.same')})) as matched",
+        "doc_id", "alt", *item, "item_tokens", "array_max(transform(met, m -> m.same)) as matched",
         "array_min(transform(met, m -> m.at)) as at")
     return met.groupBy("doc_id", "alt", *item).agg(
         F.max("matched").alias("matched"), F.max("item_tokens").alias("item_tokens"), F.min("at").alias("at"),
@@ -168,40 +179,28 @@ def remove(
 
 
 def oracle(seeds: Seeds = Seeds()) -> str:
-    """The same matches in DuckDB SQL over views documents and benchmark."""
+    """The same rows in DuckDB SQL over views documents and benchmark, by
+    the rule over all alignments: pairs of equal tokens, counted along each
+    diagonal and in each stretch of it, without any mask."""
     words = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
-    under = ", ".join(
-        f"concat_ws(' ', '{k}', " + ", ".join(
-            f"w[i + {j + 1}]" for j, bit in enumerate(mask) if bit == "1") + ")"
-        for k, mask in enumerate(seeds.masks))
-
-    def spread(name: str, key: str) -> str:
-        return f"""{name}_at AS (
-            SELECT {key}, w, unnest(range(0, len(w) - {seeds.span - 1})) AS i FROM {name}
-            WHERE len(w) >= {seeds.span}),
-        {name}_seed AS (SELECT {key}, i, unnest([{under}]) AS h FROM {name}_at)"""
-
     return f"""
         WITH d AS (SELECT DISTINCT doc_id, {words} AS w FROM documents WHERE doc_id IS NOT NULL),
-        b AS (SELECT DISTINCT item_id, {words} AS w FROM benchmark WHERE item_id IS NOT NULL),
-        {spread("d", "doc_id")},
-        {spread("b", "item_id")},
-        hit AS (
-            SELECT DISTINCT doc_id, item_id, d_seed.i - b_seed.i AS diagonal
-            FROM d_seed JOIN b_seed USING (h)),
-        aligned AS (
-            SELECT doc_id, item_id, diagonal, len(b.w) AS item_tokens,
-                   least(len(b.w), {seeds.check}) AS stretch,
-                   list_transform(
-                       range(greatest(diagonal, 0), least(len(d.w), len(b.w) + diagonal)),
-                       lambda i: CASE WHEN d.w[i + 1] = b.w[i - diagonal + 1] THEN 1 ELSE 0 END) AS same
-            FROM hit JOIN d USING (doc_id) JOIN b USING (item_id)),
-        judged AS (
-            SELECT *, list_sum(same) AS matched FROM aligned
-            WHERE len(same) >= stretch AND len(list_filter(
-                range(1, len(same) - stretch + 2),
-                lambda i: list_sum(same[i:i + stretch - 1]) >= ceil(stretch * (1 - {seeds.tolerance}))
-            )) > 0)
-        SELECT doc_id, item_id, max(matched)::BIGINT AS matched, max(item_tokens)::BIGINT AS item_tokens,
-               min(greatest(diagonal, 0))::BIGINT AS at, max(matched) / max(item_tokens) AS coverage
-        FROM judged GROUP BY doc_id, item_id"""
+        b AS (
+            SELECT item_id, w, least(len(w), {seeds.check}) AS stretch, CASE WHEN len(w) < {seeds.span} THEN len(w)
+                   ELSE ceil(least(len(w), {seeds.check}) * (1 - {seeds.tolerance})) END AS need
+            FROM (SELECT DISTINCT item_id, {words} AS w FROM benchmark WHERE item_id IS NOT NULL)
+            WHERE len(w) >= {seeds.least}),
+        dt AS (SELECT doc_id, w AS whole, len(w) AS n, unnest(w) AS t, generate_subscripts(w, 1) AS i FROM d),
+        bt AS (SELECT *, unnest(w) AS t, generate_subscripts(w, 1) AS j FROM b),
+        equal AS (
+            SELECT doc_id, item_id, whole, w, n, len(w) AS item_tokens, stretch, need, i, i - j AS diagonal
+            FROM dt JOIN bt USING (t)),
+        counted AS (
+            SELECT *, count(*) OVER along AS same, count(*) OVER (along ORDER BY i
+                       RANGE BETWEEN CURRENT ROW AND stretch - 1 FOLLOWING) AS near
+            FROM equal WINDOW along AS (PARTITION BY doc_id, item_id, whole, w, diagonal))
+        SELECT doc_id, item_id, max(same)::BIGINT AS matched, max(item_tokens)::BIGINT AS item_tokens,
+               min(greatest(diagonal, 0))::BIGINT AS at, max(same) / max(item_tokens) AS coverage
+        FROM counted
+        WHERE near >= need AND least(n, item_tokens + diagonal) - greatest(diagonal, 0) >= stretch
+        GROUP BY doc_id, item_id"""

@@ -113,16 +113,58 @@ def test_short_items_match_verbatim(spark, documents):
         (1, "say Open, sesame now"), (2, "open the sesame"), (3, "reopen sesame"), (4, "yes"),
         (5, " ".join(noise(20) + ITEM[:9])), (6, " ".join([*ITEM[:4], "other", *ITEM[5:9]])), (7, None), (8, "")])
     items = [(1, "open sesame"), (2, "Yes!"), (3, " ".join(ITEM[:9])), (4, ""), (5, None)]
-    got = D.contaminated(spark, docs, bench(spark, items)).collect()
+    each = D.Seeds(least=1)
+    got = D.contaminated(spark, docs, bench(spark, items), each).collect()
     assert sorted((r.doc_id, r.item_id, r.matched, r["at"], r.coverage) for r in got) == [
         (1, 1, 2, 1, 1.0), (4, 2, 1, 0, 1.0), (5, 3, 9, 20, 1.0)]
-    kept = D.remove(spark, docs, bench(spark, items)).collect()
+    kept = D.remove(spark, docs, bench(spark, items), each).collect()
     assert sorted(r.doc_id for r in kept) == [2, 3, 6, 7, 8]
 
 
+def test_a_word_alone_is_no_benchmark_item(spark, documents):
+    docs = documents([(i, f"The {w} went home. The end of the day") for i, w in enumerate(["cat", "dog", "cow"])]
+                     + [(9, "we say: the end of the day")])
+    items = bench(spark, [(1, "The"), (2, "the end of"), (3, "END of the Day!"), (4, "a cow went home"), (None, "dog")])
+    assert sorted(r.text for r in D.unsearched(items).collect()) == ["The", "dog", "the end of"]
+    assert {r.item_id for r in D.contaminated(spark, docs, items).collect()} == {3}
+    few = bench(spark, [(1, "The"), (2, "the end of"), (4, "a cow went home"), (None, "dog")])
+    assert D.remove(spark, docs, few).count() == 4
+
+
+def test_a_long_repetitive_text(spark, documents):
+    """60,000 equal tokens against an item of 300: as many diagonals, each in one pass."""
+    docs = documents([(1, "la " * 60_000), (2, "la " * 12), (3, "la " * 13)])
+    got = {r.doc_id: (r.matched, r["at"]) for r in D.contaminated(spark, docs, bench(spark, [(1, "la " * 300)])).collect()}
+    assert got == {1: (300, 0), 3: (13, 0)}
+
+
+def test_the_sql_sees_what_masks_could_miss(spark, documents, tmp_path):
+    """The SQL tries all alignments: substituted and cut overlaps, and short items."""
+    import duckdb
+
+    rng, rows, items = random.Random(12), [], []
+    for n in (4, 7, 10, 11, 12, 13, 20, 40):
+        words = [f"q{n}x{i % 9}" for i in range(n)]
+        items.append((n, " ".join(words)))
+        for _ in range(25):
+            low = rng.randrange(max(1, n - 12))
+            part = ["other" if rng.random() < 0.13 else w for w in words[low:]]
+            rows.append((len(rows), " ".join(noise(rng.randint(0, 5)) + part + noise(rng.randint(0, 5)))))
+    rows += [(len(rows), None), (len(rows) + 1, ""), (0, "la " * 50), (None, items[-1][1])]
+    items += [(50, "la " * 20), (50, "la " * 14), (None, "x y z w"), (60, "one two"), (61, None)]
+    documents(rows).write.parquet(str(tmp_path / "d"))
+    bench(spark, items).write.parquet(str(tmp_path / "b"))
+    for name, f in (("documents", "d"), ("benchmark", "b")):
+        duckdb.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM '{tmp_path}/{f}/*.parquet'")
+    want = sorted(duckdb.sql(D.oracle()).fetchall())
+    got = D.contaminated(spark, documents(rows), bench(spark, items)).where("doc_id is not null").select(
+        "doc_id", "item_id", "matched", "item_tokens", "at", "coverage")
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 100
+
+
 def test_items_without_an_id_are_removed(spark, documents):
-    docs = documents([(1, " ".join(noise(9) + ITEM)), (2, "clean " * 30), (None, "brief text"), (3, " ".join(ITEM[::-1]))])
-    items = bench(spark, [(None, " ".join(ITEM)), (None, " ".join(ITEM[::-1])), (None, "brief text"), (None, None)])
+    docs = documents([(1, " ".join(noise(9) + ITEM)), (2, "clean " * 30), (None, "a brief text here"), (3, " ".join(ITEM[::-1]))])
+    items = bench(spark, [(None, " ".join(ITEM)), (None, " ".join(ITEM[::-1])), (None, "a brief text here"), (None, None)])
     assert [r.doc_id for r in D.remove(spark, docs, items).collect()] == [2]
     assert D.contaminated(spark, docs, items).count() == 0
 
