@@ -308,29 +308,34 @@ def link(spark: SparkSession, documents: DataFrame, p: Params = Params()) -> Dat
 
 def keep_one(spark: SparkSession, documents: DataFrame, p: Params) -> DataFrame:
     """``documents`` with one row for each group of near-duplicates: that
-    of the smallest doc_id, then of the lowest hash of its text. Rows with a
-    NULL id stay. A document is a (doc_id, text): of rows equal in both the
-    one with the lowest hash of its columns stays, while different texts
-    under one doc_id are linked and kept each on its own."""
-    rid = fresh("_rid", documents.columns)
-    own = documents.where("doc_id is not null")
-    texts = own.select("doc_id", F.xxhash64("text").alias("h")).groupBy("doc_id").agg(
+    of the smallest doc_id (NULL last), then of the lowest hash of its text.
+    A document is a (doc_id, text), told apart by the text's md5: of rows
+    equal in both the one with the lowest hash of its columns stays, while
+    different texts under one doc_id, or without one, are linked and kept
+    each on its own."""
+    rid, digest, name = (fresh(n, documents.columns) for n in ("_rid", "_digest", "_doc"))
+    texts = documents.select("doc_id", F.xxhash64("text").alias("h")).groupBy("doc_id").agg(
         F.min("h").alias("lo"), F.max("h").alias("hi"))
-    if texts.where("lo <> hi").isEmpty():
-        own = own.withColumn(rid, F.col("doc_id"))
+    if texts.where("doc_id is null or lo <> hi").isEmpty():
+        own = documents.withColumn(rid, F.col("doc_id"))
         kept = link(spark, own, p).where("kept").select(F.col("doc_id").alias(rid)).distinct()
     else:
-        own = own.withColumn(rid, F.xxhash64("doc_id", "text"))
+        # each distinct (doc_id, text) gets a number of its own, fixed by writing it
+        names = written(spark, documents.select(
+            F.col("doc_id").alias(name), F.md5("text").alias(digest)).distinct().withColumn(
+                rid, F.monotonically_increasing_id()), "names")
+        own = documents.join(
+            names, F.col("doc_id").eqNullSafe(F.col(name)) & F.md5("text").eqNullSafe(F.col(digest))).drop(name, digest)
         linked = link(spark, own.select(F.col(rid).alias("doc_id"), "text"), p)
         groups = linked.select(F.col("doc_id").alias(rid), "component_id").distinct()
-        names = own.select(rid, "doc_id", F.xxhash64("text").alias("h")).distinct()
-        kept = groups.join(names, rid).groupBy("component_id").agg(
-            F.min(F.struct("doc_id", "h", rid)).alias("first")).select(F.col(f"first.{rid}"))
+        first = F.struct(F.col(name).isNull(), name, digest, rid)
+        kept = groups.join(names, rid).groupBy("component_id").agg(F.min(first).alias("first")).select(
+            F.col(f"first.{rid}").alias(rid))
     columns = quoted(documents.columns)
     plain = [c for c, f in zip(columns, documents.schema) if "map<" not in f.dataType.simpleString()]
-    known = own.join(kept, rid, "left_semi").groupBy(rid).agg(
+    rows = own.join(kept, rid, "left_semi").groupBy(rid).agg(
         F.min_by(F.struct(*columns), F.xxhash64(*plain)).alias("row"))
-    return known.select("row.*").union(documents.where("doc_id is null"))
+    return rows.select("row.*")
 
 
 def oracle(p: Params = Params()) -> str:

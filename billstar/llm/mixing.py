@@ -194,9 +194,9 @@ def mixed(spark: SparkSession, documents: DataFrame, mix: Mix = Mix()) -> DataFr
         "source_size", "target", "ahead",
     ).agg(F.array(*[F.count_if(F.col("passes") > p) for p in range(mix.passes)]).alias("copies"))
     groups = written(spark, groups, "plan")
-    d = documents.select(F.struct("*").alias("row")).groupBy("row").agg(F.count("*").alias("count"))
-    measured = d.select("row", "count", "row.*").select(
-        "row", "count", F.xxhash64("row").alias("h"), *[c.alias(f"d_{n}") for n, c in _measured().items()])
+    own = {f"d_{n}": c for n, c in _measured().items()}
+    measured = documents.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in own.items()]).groupBy(
+        "row", *own).agg(F.count("*").alias("count")).withColumn("h", F.xxhash64("row"))
     # where each distinct row's copies begin: without texts, as few rows of an id differ
     keys = ["d_key", "d_size", "d_sk", "d_doc_id"]
     first = Window.partitionBy(*keys).orderBy("h").rowsBetween(Window.unboundedPreceding, -1)

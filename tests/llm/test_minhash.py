@@ -82,7 +82,18 @@ def test_keep_one(spark, documents):
     docs = documents(rows, extra="component_id")
     kept = minhash.keep_one(spark, docs, minhash.Params(words=5, percent=80, rows=5, bands=32))
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 2, 9]
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [2, 9]
+
+
+def test_keep_one_links_rows_without_an_id(spark, documents):
+    same, alone = "a b c d e f g h i j", "no other row has these words at all"
+    rows = [(None, same)] * 5 + [(4, same), (6, same), (None, alone), (None, alone), (None, None), (None, None),
+                                 (None, alone + " but one"), (8, None), (8, None), (None, "")]
+    p = minhash.Params(words=5, percent=60, rows=5, bands=32)
+    kept = [(r.doc_id, r.text) for r in minhash.keep_one(spark, documents(rows), p).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [(4, same), (None, None), (8, None), (None, "")] + [
+        k for k in kept if (k[1] or "").startswith(alone)]))
+    assert sum((k[1] or "").startswith(alone) for k in kept) == 1
 
 
 def test_keep_one_keeps_different_texts_of_one_id(spark, documents):
