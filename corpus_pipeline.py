@@ -54,8 +54,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``. The files of the last stage are
+    range-sorted by mix_finish."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(spark, stage(spark, docs, sf_dir), f"stage-{name}")
-    return docs.orderBy("mix_finish", "mix_pass")
+    return docs
