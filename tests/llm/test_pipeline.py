@@ -19,7 +19,7 @@ TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 def test_registry():
     keys = queries()
-    assert [sum(k.startswith(f"op{n}_") for k in keys) for n in range(1, 11)] == [1] * 10
+    assert [sum(k.startswith(f"op{n}_") for k in keys) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in keys and set(oracle_sql()) <= set(keys)
     assert len(corpus_pipeline.STAGES) == 5
 
