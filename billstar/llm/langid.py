@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billstar.llm.common import fold
+from billstar.llm.common import fold, written
 
 DIM = 4096
 #: Documents of a language that feed its centroids, and their number.
@@ -94,21 +94,25 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE, k: int = CENTROI
     """Learn from about ``per_language`` documents of each non-NULL lang whose id's fold
     is not ``at``.
 
-    The sample is a hash threshold for each language, from its document
-    count; the languages and centroids that reach the driver are bounded
+    The sample is a hash threshold on the ids of each language, from their
+    number: an id that repeats counts once and comes once, with its first
+    text by code point, so the ids picked are few enough to broadcast. The
+    languages and centroids that reach the driver are bounded
     by the number of languages. Each language is clustered in a task of
     its own, over count vectors, not texts. Centroids that draw mostly
     another language's sample are left out; each language keeps one.
     """
     known = documents.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", mod) != at))
-    sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    languages = sorted(sizes)
+    ids = written(documents.sparkSession, known.select("lang", "doc_id").distinct(), "language-ids")
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("n"))
+    share = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1_000_000)) / 1_000_000.0
+    picked = ids.join(sizes, "lang").where(share < per_language / F.col("n")).select("lang", "doc_id")
+    sample = known.join(F.broadcast(picked), ["lang", "doc_id"]).groupBy("lang", "doc_id").agg(
+        F.min("text").alias("text"))
+    languages = sorted(r.lang for r in sizes.select("lang").collect())
     if not languages:
         return LanguageModel([], np.ones(DIM), np.zeros(0, int), np.zeros((0, DIM)))
-    share = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1_000_000)) / 1_000_000.0
-    quota = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_language / n))])
-    sample = known.where(share < quota[F.col("lang")])
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

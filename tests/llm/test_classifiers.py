@@ -224,3 +224,15 @@ def test_composition_equals_running_the_parts_in_turn():
                 factor *= by
             got, weight, one = machine[(one, symbol)]
             assert (got, weight) == (out, factor)
+
+
+def test_an_id_that_repeats_fills_no_sample(spark, documents):
+    """A third of all rows under one id: one text of it is learnt."""
+    rows = [(7, "the cat and the dog " + str(i), "en") for i in range(400)]
+    rows += [(i, f"das ist ein haus und der hund {i}", "de") for i in range(1000, 1400)]
+    rows += [(i, f"the house of the dog and a cat {i}", "en") for i in range(2000, 2400)]
+    model = langid.fit(documents(rows), per_language=10_000)
+    assert sorted(model.languages) == ["de", "en"]
+    once = langid.fit(documents([(7, min(r[1] for r in rows if r[0] == 7), "en")] + [r for r in rows if r[0] != 7]),
+                      per_language=10_000)
+    assert (model.idf == once.idf).all() and (model.centroids == once.centroids).all()
