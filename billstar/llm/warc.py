@@ -1,9 +1,9 @@
 """WARC derivatives: response records become linked metadata and
 plain-text conversion records.
 
-Archive files are read and written by Spark's text source with the
-record separator as line separator; records are rows with their header
-fields as a map. A derived record refers to its response by record id,
+Archive files are written by Spark's text source and read by one task
+each, record by record, by the length that each record states; records are rows
+with their header fields as a map. A derived record refers to its response by record id,
 keeps the target URI and date, and carries digests of its own block; the
 metadata record lists the source's headers and digests. The page's text
 is the conversion record's block.
@@ -11,27 +11,34 @@ is the conversion record's block.
 
 from __future__ import annotations
 
+import gzip
+import io
 import re
+import zlib
 from base64 import b32encode
 from collections.abc import Iterator
 from hashlib import sha1
 from html import unescape
+from typing import BinaryIO
 from uuid import NAMESPACE_URL, uuid5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from billstar.sources import fs
+
 VERSION = "WARC/1.0"
 EOL = "\r\n"
-#: What stands between two records of a file, the next one's version included.
-BETWEEN = EOL * 2 + VERSION + EOL
+#: Octets of the longest record that fits a row, of the longest header line, and of the rows handed on together.
+LARGEST, LINE, BATCH = 1 << 30, 1 << 20, 16 << 20
+_NEXT = re.compile(rb"\r\n\r\n(?=WARC/1\.[01]\r\n)")
 RECORD = "record_id string, record_type string, headers map<string,string>, block string"
 
 _DROP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _BREAK = re.compile(
     r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr"
-    r"|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>", re.I)
+    r"|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^<>]*>", re.I)
 _TAG = re.compile(r"<[!/?a-zA-Z][^>]*>?")
 
 
@@ -66,8 +73,9 @@ def http_parts(block: str) -> tuple[str, dict[str, str], str]:
 
 def responses(pages: DataFrame, date: str, id_col: str = "page_id") -> DataFrame:
     """(id, record_id, record_type, headers, block): pages as WARC response
-    records. Ids derive from page id and url, so reruns agree; a NULL url
-    gives no target URI, a NULL page an empty payload."""
+    records. Ids derive from page id, url and payload, so reruns agree and
+    only equal pages share one; a NULL url gives no target URI, a NULL page
+    an empty payload."""
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -78,7 +86,8 @@ def responses(pages: DataFrame, date: str, id_col: str = "page_id") -> DataFrame
                 block = EOL.join(["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8",
                                   f"Content-Length: {size}", "", payload])
                 headers = {
-                    "WARC-Record-ID": urn("response", key or "", url or ""), "WARC-Type": "response",
+                    "WARC-Record-ID": urn("response", repr(key), repr(url), digest(payload)),
+                    "WARC-Type": "response",
                     "WARC-Date": date, "Content-Type": "application/http; msgtype=response",
                     "WARC-Payload-Digest": digest(payload), "WARC-Block-Digest": digest(block),
                     "Content-Length": str(len(block.encode("utf-8", "replace"))),
@@ -95,8 +104,9 @@ def responses(pages: DataFrame, date: str, id_col: str = "page_id") -> DataFrame
 
 
 def derive(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Two records, metadata and conversion, for each response record; other types
-    and NULL ids give none. ``keep`` names columns carried along.
+    """Two records, metadata and conversion, for each response record; other types,
+    NULL ids and records that :func:`read` found damaged (see :func:`damaged`)
+    give none. ``keep`` names columns carried along.
 
     The metadata block lists the source's HTTP status and header fields,
     and its payload and block digests: those it states and, under
@@ -131,6 +141,8 @@ def derive(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
             yield pd.DataFrame(rows, columns=[*keep, "record_id", "record_type", "headers", "block"])
 
     wanted = records.where("record_type = 'response' and record_id is not null")
+    if "intact" in records.columns:
+        wanted = wanted.where("intact")
     return wanted.select("record_id", "headers", "block", *keep).mapInPandas(
         build, f"{kept}, {RECORD}" if kept else RECORD)
 
@@ -152,23 +164,108 @@ def write(records: DataFrame, path: str, compression: str = "gzip") -> None:
         "compression", compression).text(path)
 
 
+class _Octets:
+    """A stream that takes octets back. A damaged gzip member ends it."""
+
+    def __init__(self, stream: BinaryIO):
+        self.stream, self.back = stream, io.BytesIO()
+
+    def _take(self, n: int, ask: str) -> bytes:
+        out = getattr(self.back, ask)(n)
+        if len(out) < n and not (ask == "readline" and out.endswith(b"\n")):
+            try:
+                out += getattr(self.stream, ask)(n - len(out))
+            except (EOFError, zlib.error, gzip.BadGzipFile):
+                pass
+        return out
+
+    def read(self, n: int) -> bytes:
+        return self._take(n, "read")
+
+    def line(self) -> bytes:
+        return self._take(LINE, "readline")
+
+    def give_back(self, octets: bytes) -> None:
+        self.back = io.BytesIO(octets + self.back.read())
+
+
+def records_of(stream: BinaryIO, largest: int = LARGEST) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
+    """(headers, block, fault) of the records of an uncompressed archive.
+
+    A block has the octets that Content-Length states, whatever they hold. What is
+    not so is told by its fault: ``no length``, ``too long`` (over
+    ``largest``), ``cut off`` (the file ends first) or ``wrong length`` (no
+    two line ends follow). Reading goes on at the next version line, also
+    where that lies within a block that states too much.
+    """
+    src = _Octets(stream)
+    while line := src.line():
+        if not line.startswith(b"WARC/1."):
+            continue  # line ends between records, or what a damaged one left
+        headers, name = {}, None
+        while (line := src.line()).strip():
+            text = line.decode("utf-8", "replace")
+            if text[0] in " \t" and name:
+                headers[name] += " " + text.strip()
+                continue
+            key, _, value = text.partition(":")
+            name = key.strip()
+            headers.setdefault(name, value.strip())
+        length = next((v for k, v in headers.items() if k.lower() == "content-length"), "")
+        if not re.fullmatch("[0-9]{1,18}", length):
+            yield headers, b"", "no length"
+            continue
+        if int(length) > largest:
+            yield headers, b"", "too long"
+            continue
+        block, fault = src.read(int(length)), None
+        if len(block) < int(length):
+            fault = "cut off"
+        else:
+            after = src.read(4)
+            if not b"\r\n\r\n".startswith(after):
+                fault = "wrong length"
+                src.give_back(after)
+        if fault and (found := _NEXT.search(block)):
+            src.give_back(block[found.end():])
+            block, fault = block[:found.start()], "wrong length"
+        yield headers, block, fault
+
+
+def _archive(path: str) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
+    store, p = fs.arrow_fs(path)
+    with store.open_input_stream(p, compression=None) as f:
+        plain = io.BufferedReader(f, 1 << 20)
+        packed = plain.peek(2)[:2] == b"\x1f\x8b"
+        yield from records_of(gzip.GzipFile(fileobj=plain) if packed else plain)
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """(record_id, record_type, headers, block, intact) of WARC files of
-    UTF-8 records. ``intact``: the block has the octets that Content-Length
-    states; a record whose block holds the separator itself is cut there, and its parts
-    are not intact."""
-    raw = spark.read.option("lineSep", BETWEEN).text(path)
-    value = F.regexp_replace("value", f"^{VERSION}{EOL}", "")
-    value = F.regexp_replace(value, f"(?s){EOL}{EOL}\\z", "")
-    parts = raw.select(value.alias("value")).where("value <> ''").select(
-        F.split("value", EOL * 2, 2).alias("p"))
-    field = F.transform(F.split(F.col("p")[0], EOL), lambda line: F.struct(
-        F.trim(F.substring_index(line, ":", 1)).alias("k"),
-        F.trim(F.regexp_replace(line, "^[^:]*:", "")).alias("v")))
-    rows = parts.select(
-        F.map_from_entries(F.filter(field, lambda e: e["k"] != "")).alias("headers"),
-        F.coalesce(F.get("p", F.lit(1)), F.lit("")).alias("block"))
-    return rows.select(
-        F.col("headers")["WARC-Record-ID"].alias("record_id"), F.col("headers")["WARC-Type"].alias("record_type"),
-        "headers", "block",
-        F.expr("coalesce(octet_length(block) = try_cast(headers['Content-Length'] as bigint), false)").alias("intact"))
+    """(record_id, record_type, headers, block, intact, fault) of WARC 1.0
+    and 1.1 files, plain or gzip, as UTF-8. ``intact`` records have no
+    ``fault``, see :func:`records_of`. Each file is read by one task, which
+    holds one batch of records at a time; an empty folder gives no row."""
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["record_id", "record_type", "headers", "block", "intact", "fault"]
+        rows, size = [], 0
+        for pdf in batches:
+            for file in pdf.path:
+                for headers, block, fault in _archive(file):
+                    known = {k.lower(): v for k, v in headers.items()}
+                    rows.append((known.get("warc-record-id"), known.get("warc-type"), headers,
+                                 block.decode("utf-8", "replace"), fault is None, fault))
+                    size += len(block) + 1000
+                    if size >= BATCH:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows, size = [], 0
+        yield pd.DataFrame(rows, columns=columns)
+
+    files = spark.read.format("binaryFile").load(path).select("path")
+    return files.repartitionByRange(max(1, files.count()), "path").mapInPandas(
+        parse, RECORD + ", intact boolean, fault string")
+
+
+def damaged(records: DataFrame) -> DataFrame:
+    """(record_id, record_type, fault) of the records that :func:`derive` leaves out."""
+    return records.where("not intact").select("record_id", "record_type", "fault")

@@ -5,8 +5,11 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import os
 import random
+import time
+from html.parser import HTMLParser
 
 import pytest
 
@@ -114,6 +117,18 @@ def test_histogram_of_nothing(spark):
     assert hist.count() == 0
     got = lengths.truncated_totals(hist, spark.createDataFrame([(8,)], "context long")).first()
     assert got.total == 0
+    asked = [(None,), (-3,), (5,), (5,)]
+    hist = lengths.histogram(spark.createDataFrame([(3,), (9,)], "n_tokens long"))
+    got = lengths.truncated_totals(hist, spark.createDataFrame(asked, "context long")).collect()
+    assert sorted((r.context or 0, r.total) for r in got if r.context is not None) == [(-3, 0), (5, 8), (5, 8)]
+    assert [r.total for r in got if r.context is None] == [None]
+
+
+def test_each_text_is_encoded_once(spark, workdir):
+    df = spark.createDataFrame([("a b",), ("c",), (None,)], "text string")
+    hist = lengths.histogram(df.select(lengths.encoded_length(spark, df.text, VOCABULARY).alias("n_tokens")))
+    assert "ArrowEvalPython" not in hist._jdf.queryExecution().executedPlan().toString()
+    assert {r.n_tokens: r.documents for r in hist.collect()} == {0: 1, 1: 1, 2: 1}
 
 
 def test_encoded_lengths(spark):
@@ -180,6 +195,106 @@ def test_warc_files_round_trip(spark, workdir):
     assert data.startswith(b"WARC/1.0\r\n") and data.endswith(b"\r\n\r\n")
 
 
+def record(rid: str, block: bytes, length: int | None = -1, version: str = "1.0") -> bytes:
+    head = f"WARC/{version}\r\nWARC-Type: response\r\nWARC-Record-ID: {rid}\r\n"
+    if length is not None:
+        head += f"content-length: {len(block) if length < 0 else length}\r\n"
+    return head.encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+INNER = b"x\r\n\r\nWARC/1.0\r\nWARC-Type: response\r\n\r\ny"
+GOOD = [("<1>", b"one", None), ("<2>", INNER, None), ("<3>", b"", None), ("<4>", b"\r\n\r\n" * 3, None)]
+
+
+def whole(extra: dict[int, bytes] | None = None, version: str = "1.1") -> bytes:
+    return b"".join(record(rid, b, version=version) + (extra or {}).get(i, b"") for i, (rid, b, _) in enumerate(GOOD))
+
+
+@pytest.mark.parametrize("bad, found", [
+    (record("<b>", b"none", None), ("<b>", b"", "no length")),
+    (record("<b>", b"short", 2), ("<b>", b"sh", "wrong length")),
+    (record("<b>", b"long", 30), ("<b>", b"long", "wrong length")),
+    (record("<b>", b"long", 10 ** 6), ("<b>", b"long", "wrong length")),
+    (record("<b>", b"huge", 10 ** 12), ("<b>", b"", "too long")),
+    (b"\r\nstray line\r\n", None)])
+def test_damaged_records_are_told_and_spoil_no_other(bad, found):
+    for at in range(len(GOOD)):
+        for version in ("1.0", "1.1"):
+            want = [*GOOD[:at + 1], *([found] if found else []), *GOOD[at + 1:]]
+            got = [(h["WARC-Record-ID"], b, f) for h, b, f in
+                   warc.records_of(io.BytesIO(whole({at: bad}, version)))]
+            if found and found[1] == b"long" and at == len(GOOD) - 1:  # nothing follows that shows the block's end
+                want[-1] = ("<b>", b"long\r\n\r\n", "cut off")
+            assert got == want
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_archives_are_read_by_their_lengths(spark, workdir, packed):
+    body = whole({3: record("<b>", b"cut here")[:-8]})
+    if packed:  # a member for each record, the last one damaged
+        body = b"".join(gzip.compress(record(r, b)) for r, b, _ in GOOD) + gzip.compress(record("<b>", b"x" * 9))[:-12]
+    with open(os.path.join(workdir, "a.warc.gz" if packed else "a.warc"), "wb") as f:
+        f.write(body)
+    back = warc.read(spark, workdir)
+    assert {r.record_id: r.block.encode() for r in back.where("intact").collect()} == {r: b for r, b, _ in GOOD}
+    made = warc.derive(back).collect()
+    assert {r.headers["WARC-Refers-To"] for r in made} == {r for r, _, _ in GOOD}
+    assert packed or [tuple(r) for r in warc.damaged(back).collect()] == [("<b>", "response", "cut off")]
+
+
+def test_pages_that_differ_have_ids_of_their_own(spark):
+    rows = [(1, "u", "a"), (1, "u", "b"), (None, "u", "a"), (None, "u", "b"), (None, None, "a"), (1, "u", "a")]
+    source = warc.responses(spark.createDataFrame(rows, "page_id long, url string, html string"), "d")
+    assert source.select("record_id").distinct().count() == 5
+    assert warc.derive(source).select("record_id").distinct().count() == 10
+
+
+def test_hostile_pages_take_linear_time():
+    for unit in ("<p ", "<", "<!--", "<script ", "</p", "<div <", "&", "<style>"):
+        begin = time.monotonic()
+        warc.plain_text(unit * 400_000)
+        assert time.monotonic() - begin < 5, unit
+
+
+class Reader(HTMLParser):
+    """Brute force of the page text: a parser's events instead of patterns."""
+
+    SKIP = {"script", "style", "noscript", "template"}
+    LINE = set("address article aside blockquote br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
+               " header hr li main nav ol p pre section table td th title tr ul".split())
+
+    def __init__(self, html: str):
+        super().__init__(convert_charrefs=True)
+        self.out, self.skip = [], 0
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        self.skip += tag in self.SKIP
+        self.out.append("\n" if tag in self.LINE else "")
+
+    def handle_endtag(self, tag):
+        self.skip -= tag in self.SKIP
+        self.out.append("\n" if tag in self.LINE else "")
+
+    def handle_data(self, data):
+        self.out.append("" if self.skip else data)
+
+    def text(self) -> str:
+        lines = (" ".join(line.split()) for line in "".join(self.out).split("\n"))
+        return "\n".join(filter(None, lines))
+
+
+def test_the_query_against_a_parser(spark):
+    html = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    rows = queries()["op4_warc_derivatives"](spark, SF).where("record_type = 'conversion'").collect()
+    assert sorted(r.page_id for r in rows) == sorted(html)
+    source = warc.responses(spark.read.parquet(f"{SF}/pages.parquet"), "d")
+    made = warc.derive(source, keep=["page_id"]).where("record_type = 'conversion'").collect()
+    for r in made:
+        assert r.block == Reader(html[r.page_id]).text()
+
+
 def test_other_records_derive_nothing(spark):
     rows = [("<a>", "request", {"WARC-Type": "request"}, "x"), (None, "response", {}, "y"),
             ("<b>", "response", None, None)]
