@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from billstar.llm.common import written
+
 #: How byte-level BPE cuts a text before merging: a fixed value of the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Lengths of a block of the two-level sums.
@@ -48,10 +50,16 @@ def histogram(lengths: DataFrame, column: str = "n_tokens") -> DataFrame:
     on, truncated_total (the tokens left when every text is cut to it) and
     quantile (the share of documents up to it). An empty table gives no row.
 
-    The sums run per block of lengths, over the block totals and inside
-    each block, so no task holds all distinct lengths.
+    The counts are written once, so each text is encoded once. The sums run
+    per block of lengths, over the block totals and inside each block, so no
+    task holds all distinct lengths.
     """
-    h = lengths.groupBy(F.col(column).alias("n_tokens")).agg(F.count("*").alias("documents"))
+    counts = lengths.groupBy(F.col(column).alias("n_tokens")).agg(F.count("*").alias("documents"))
+    return _summed(written(lengths.sparkSession, counts, "lengths"))
+
+
+def _summed(h: DataFrame) -> DataFrame:
+    """The running and suffix sums of (n_tokens, documents), one row a length."""
     h = h.withColumn("tokens", F.col("n_tokens") * F.col("documents"))
     h = h.withColumn("block", F.floor(F.col("n_tokens") / BLOCK))
     blocks = h.groupBy("block").agg(F.sum("documents").alias("d"), F.sum("tokens").alias("t"))
@@ -70,25 +78,20 @@ def histogram(lengths: DataFrame, column: str = "n_tokens") -> DataFrame:
         "n_tokens", "documents", "documents_le", "tokens_le",
         "d_all - documents_le + documents as documents_ge", "t_all - tokens_le + tokens as tokens_ge",
         "tokens_le - tokens + n_tokens * (d_all - documents_le + documents) as truncated_total",
-        "documents_le / d_all as quantile")
+        "documents_le / nullif(d_all, 0) as quantile")
 
 
 def truncated_totals(hist: DataFrame, limits: DataFrame) -> DataFrame:
-    """(context, total): for each ``limits.context`` the tokens left when
-    texts are cut to it. The next length at or above the limit has all that is
-    needed; above the longest text nothing is cut."""
-    longest = hist.agg(F.max("tokens_le").alias("all"), F.max("n_tokens").alias("top")).first()
-    if longest.top is None:
-        return limits.select("context", F.lit(0).cast("long").alias("total"))
-    steps = hist.select(
-        (F.coalesce(F.lag("n_tokens").over(Window.orderBy("n_tokens")), F.lit(-1))).alias("lo"),
-        F.col("n_tokens").alias("hi"), "documents_ge",
-        (F.col("tokens_le") - F.col("n_tokens") * F.col("documents")).alias("shorter"))
-    met = limits.select("context").join(
-        F.broadcast(steps), (F.col("context") > F.col("lo")) & (F.col("context") <= F.col("hi")), "left")
-    return met.select("context", F.when(
-        F.col("hi").isNull(), F.lit(longest["all"])
-    ).otherwise(F.col("shorter") + F.col("context") * F.col("documents_ge")).alias("total"))
+    """(context, total): for each row of ``limits`` the tokens left when texts
+    are cut to its ``context``. Limits enter the sums as lengths that no
+    document has. One under 0 counts as 0; a NULL limit gives a NULL total."""
+    asked = limits.select(F.col("context").cast("long").alias("context"))
+    steps = hist.select("n_tokens", "documents").union(
+        asked.where("context is not null").select(F.greatest("context", F.lit(0)), F.lit(0).cast("long")))
+    totals = _summed(steps.groupBy("n_tokens").agg(F.sum("documents").alias("documents"))).select(
+        "n_tokens", F.col("truncated_total").alias("total"))
+    at = F.when(F.col("context").isNotNull(), F.greatest("context", F.lit(0)))
+    return asked.join(totals, at == totals.n_tokens, "left").select("context", "total")
 
 
 def quantiles(hist: DataFrame, shares: list[float]) -> DataFrame:
