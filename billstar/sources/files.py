@@ -220,12 +220,13 @@ def read_xlsx(paths: DataFrame, files: int, spec: SourceSpec) -> DataFrame:
         from billstar.sources.xlsx import read_rows
         for pdf in batches:
             for path in pdf["path"]:
-                header, rows = read_rows(fs.read_bytes(path), dates)
-                pos = {h: i for i, h in enumerate(header)}
-                while part := list(islice(rows, SHEET_CHUNK)):
-                    cols = {f: [(r[pos[f]] if f in pos and pos[f] < len(r) else None) for r in part] for f in fields}
-                    cols["source_file"] = [path.rsplit("/", 1)[-1]] * len(part)
-                    yield pd.DataFrame(cols, columns=fields + ["source_file"])
+                with fs.open_seekable(path) as book:
+                    header, rows = read_rows(book, dates)
+                    pos = {h: i for i, h in enumerate(header)}
+                    while part := list(islice(rows, SHEET_CHUNK)):
+                        cols = {f: [(r[pos[f]] if f in pos and pos[f] < len(r) else None) for r in part] for f in fields}
+                        cols["source_file"] = [path.rsplit("/", 1)[-1]] * len(part)
+                        yield pd.DataFrame(cols, columns=fields + ["source_file"])
 
     # Only the paths are shuffled; each task reads its workbook itself, so
     # file bodies never cross the network. A range over the names deals one file to a task.

@@ -3,6 +3,7 @@ and pyarrow.fs (inside tasks). Paths may be any Hadoop/Arrow URL."""
 
 from __future__ import annotations
 
+import io
 import re
 import uuid
 
@@ -151,6 +152,12 @@ def read_bytes(path: str) -> bytes:
         return f.read()
 
 
+def open_seekable(path: str, buffer: int = 1 << 20) -> io.BufferedReader:
+    """A file for random access, read from the store in pieces."""
+    fs, p = arrow_fs(path)
+    return io.BufferedReader(fs.open_input_file(p), buffer)
+
+
 def write_bytes(path: str, data: bytes) -> None:
     fs, p = arrow_fs(path)
     parent = p.rsplit("/", 1)[0]

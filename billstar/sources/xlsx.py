@@ -3,14 +3,24 @@ library only (zipfile + ElementTree), used inside Spark tasks: first sheet, firs
 inline string, formula string, number, boolean; sparse rows are placed by
 cell reference. Numbers in date columns are Excel serial days (epoch
 1899-12-30) and become ISO timestamps.
+
+A workbook is read from a seekable stream, row by row; its shared strings go
+to a file of the task in Spark's spill folder, so memory does not grow with it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import io
+import marshal
+import os
 import re
+import tempfile
 import zipfile
+from array import array
+from functools import lru_cache
+from itertools import islice
+from typing import BinaryIO
 from xml.etree import ElementTree as ET
 
 NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -59,16 +69,45 @@ def _first_sheet_path(z: zipfile.ZipFile) -> str:
     raise ValueError("first sheet not found")
 
 
-def _shared_strings(z: zipfile.ZipFile) -> list[str]:
+def _string_items(z: zipfile.ZipFile):
+    """The shared strings in order; a parsed one is dropped from the tree."""
     if "xl/sharedStrings.xml" not in z.namelist():
-        return []
-    out = []
-    for si in ET.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{NS}si"):
-        out.append("".join(t.text or "" for t in si.iter(f"{NS}t")))
-    return out
+        return
+    with z.open("xl/sharedStrings.xml") as f:
+        root = None
+        for event, el in ET.iterparse(f, events=("start", "end")):
+            if event == "start":
+                root = el if root is None else root
+            elif el.tag == f"{NS}si":
+                yield "".join(t.text or "" for t in el.iter(f"{NS}t"))
+                root.clear()
+
+
+class SharedStrings:
+    """The shared strings of a workbook by number: blocks in a file, the
+    last ones used in memory. The file is nameless and ends with the task."""
+
+    BLOCK, KEPT = 256, 64
+
+    def __init__(self, z: zipfile.ZipFile):
+        spill = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0]
+        self._file = tempfile.TemporaryFile(dir=spill if os.path.isdir(spill) else None)
+        self._ends = array("Q", [0])
+        items = _string_items(z)
+        while block := list(islice(items, self.BLOCK)):
+            self._file.write(marshal.dumps(block))
+            self._ends.append(self._file.tell())
+        self._block = lru_cache(self.KEPT)(self._read)
+
+    def _read(self, i: int) -> list[str]:
+        self._file.seek(self._ends[i])
+        return marshal.loads(self._file.read(self._ends[i + 1] - self._ends[i]))
+
+    def __getitem__(self, i: int) -> str:
+        return self._block(i // self.BLOCK)[i % self.BLOCK]
 
 
-def _cells(row, shared: list[str]) -> list[str | None]:
+def _cells(row, shared: SharedStrings) -> list[str | None]:
     """Values of a row element, placed by cell reference."""
     cells: dict[int, str | None] = {}
     for pos, c in enumerate(row.iter(f"{NS}c")):
@@ -89,7 +128,7 @@ def _cells(row, shared: list[str]) -> list[str | None]:
 def _lines(z: zipfile.ZipFile):
     """Rows of the first sheet one after another; a parsed row is dropped
     from the tree before the next is read."""
-    shared = _shared_strings(z)
+    shared = SharedStrings(z)
     with z.open(_first_sheet_path(z)) as f:
         parent = None
         for event, el in ET.iterparse(f, events=("start", "end")):
@@ -101,10 +140,10 @@ def _lines(z: zipfile.ZipFile):
                     parent.clear()
 
 
-def read_rows(data: bytes, date_columns: set[str] = frozenset()):
-    """(header, iterator over the rows as lists of strings); the sheet is
-    parsed as the rows are taken."""
-    lines = _lines(zipfile.ZipFile(io.BytesIO(data)))
+def read_rows(book: bytes | BinaryIO, date_columns: set[str] = frozenset()):
+    """(header, iterator over the rows as lists of strings) of a workbook or
+    a seekable stream of one; the sheet is parsed as the rows are taken."""
+    lines = _lines(zipfile.ZipFile(io.BytesIO(book) if isinstance(book, bytes) else book))
     header = [x or "" for x in next(lines, [])]
     dates = {i for i, h in enumerate(header) if h in date_columns}
 

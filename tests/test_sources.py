@@ -125,3 +125,40 @@ def test_xlsx_column_refs_multi_letter_and_cached():
         assert col_index(ref) == i
         assert col_index(ref) == i          # second lookup served by the cache
     assert [col_index(r) for r in ("A1", "Z9", "AA10", "AB3")] == [0, 25, 26, 27]
+
+
+def test_a_workbook_larger_than_the_memory_it_is_read_in(workdir):
+    """30 MB of shared strings and 100,000 rows within a few MB."""
+    import tracemalloc
+    import zipfile
+
+    from billstar.sources import fs
+
+    n, path = 100_000, os.path.join(workdir, "large.xlsx")
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("xl/workbook.xml", f'<workbook {main} xmlns:r="{rel}"><sheets><sheet r:id="r1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels",
+                   '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                   '<Relationship Id="r1" Target="worksheets/sheet1.xml"/></Relationships>')
+        with z.open("xl/sharedStrings.xml", "w") as f:
+            f.write(f"<sst {main}>".encode())
+            for i in range(n):
+                f.write(f"<si><t>{i:0300d}</t></si>".encode())
+            f.write(b"</sst>")
+        with z.open("xl/worksheets/sheet1.xml", "w") as f:
+            f.write(f'<worksheet {main}><sheetData><row><c t="inlineStr"><is><t>h</t></is></c></row>'.encode())
+            for i in range(n):
+                f.write(f'<row><c t="s"><v>{(i * 7) % n if i % 2 else n - 1 - i}</v></c></row>'.encode())
+            f.write(b"</sheetData></worksheet>")
+    tracemalloc.start()
+    with fs.open_seekable(path) as book:
+        header, rows = read_rows(book)
+        assert header == ["h"]
+        for i, row in enumerate(rows):
+            if i < 5_000 or i % 1_000 == 0:
+                assert int(row[0]) == ((i * 7) % n if i % 2 else n - 1 - i)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert i == n - 1 and peak < 16 << 20
