@@ -65,9 +65,10 @@ def features(fact: DataFrame) -> DataFrame:
         "fact_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in FEATURES])
 
 
-def scaler_stats(feat: DataFrame) -> DataFrame:
-    """One row: mean_<f>, std_<f> (population; a zero std becomes 1)."""
-    aggs = []
+def scaler_stats(feat: DataFrame, *also: F.Column) -> DataFrame:
+    """One row: mean_<f>, std_<f> (population; a zero std becomes 1), and
+    what else the same pass is to aggregate."""
+    aggs = list(also)
     for c in FEATURES:
         sd = F.stddev_pop(c)
         aggs += [F.avg(c).alias(f"mean_{c}"),
@@ -200,10 +201,10 @@ def score_anomalies(fact: DataFrame, trees: int = 100, psi: int = 256, contamina
     """Fit and label. Returns scores=None when fewer than ``min_rows``
     unpaid invoices exist (earlier labels then stay in place)."""
     feat = features(fact)
-    n = feat.count()
+    stats = scaler_stats(feat, F.count(F.lit(1)).alias("n")).first().asDict()
+    n = stats.pop("n")
     if n < min_rows:
         return ForestResult(None, None, n, None, None)
-    stats = scaler_stats(feat).first().asDict()
     scaled = scale(feat, stats)
     nodes = fit_trees(tree_samples(scaled, n, trees, psi, seed), seed, min(psi, n)).toPandas()
     # Scores are read by several quantile passes and the labelling pass:

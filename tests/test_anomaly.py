@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -67,3 +68,33 @@ def test_exact_quantile_narrowing_path(spark):
     df = spark.range(0, 300_000).select((F.col("id") * 7 % 300_000).cast("double").alias("x"))
     got = exact_quantile(df, "x", 0.05, max_collect=5_000, accuracy=1_000)
     assert abs(got - np.percentile(np.arange(300_000, dtype=float), 5)) < 1e-9
+
+
+@pytest.mark.parametrize("values", [
+    [0.0] * 500 + [1.0] * 500, [float("inf"), 1.0, -1.0, float("-inf")] * 50, [3.5], [-0.0, 0.0, 5.0],
+    [float(i % 7) for i in range(5_000)], [10.0 ** (i % 300 - 150) for i in range(5_000)]])
+def test_quantiles_of_hostile_columns(spark, values):
+    """Ties, infinities, signed zeros and uneven scales, with brackets too
+    narrow for the driver's bound."""
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "x double")
+    ordered = sorted(values)
+    for q in (0.0, 0.05, 0.5, 1.0):
+        at = q * (len(values) - 1)
+        k = int(at)
+        up = ordered[min(k + 1, len(values) - 1)] if at > k else ordered[k]
+        want = ordered[k] if up == ordered[k] else ordered[k] + (up - ordered[k]) * (at - k)
+        got = exact_quantile(df, "x", q, max_collect=3, accuracy=20)
+        assert got == pytest.approx(want) or (want != want and got != got), q
+
+
+def test_a_quantile_reads_its_column_twice(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            reads.add(len(pdf))
+            yield pdf
+
+    df = spark.range(0, 40_000, 1, 4).selectExpr("cast(hash(id) as double) as x").mapInPandas(count, "x double")
+    exact_quantile(df, "x", 0.05, max_collect=10)
+    assert reads.value == 2 * 40_000
