@@ -33,22 +33,30 @@ def lookup_keys(staging: DataFrame, dims: Dims) -> DataFrame:
             .join(s, "service", "left"))
 
 
-def not_already_loaded(candidates: DataFrame, fact_snapshot: DataFrame | None) -> DataFrame:
+def not_already_loaded(candidates: DataFrame, fact_snapshot: DataFrame | None, buckets: int | None = None) -> DataFrame:
     """NOT EXISTS against the fact as it was before this insert, on
     (patient_key, date_key, montant_facture): duplicates inside one batch
-    all pass, a later batch is suppressed against them."""
+    all pass, a later batch is suppressed against them. ``buckets``: the
+    snapshot is stored in so many buckets of these keys; the candidates are
+    dealt alike and the snapshot is read in place."""
     if fact_snapshot is None:
         return candidates
     # distinct keys: a key repeated many times in the fact is reduced
     # map-side, and the aggregate's hash partitioning on the three keys is
     # reused by the join (no extra shuffle)
     seen = fact_snapshot.select(*FACT_DEDUP_KEYS).distinct()
+    if buckets:
+        # an anti-join would be moved below the repartition, and then shuffle both sides
+        found = candidates.repartition(buckets, *FACT_DEDUP_KEYS).join(
+            seen.withColumn("_loaded", F.lit(True)), FACT_DEDUP_KEYS, "left")
+        return found.where(F.col("_loaded").isNull()).drop("_loaded")
     return candidates.join(seen, FACT_DEDUP_KEYS, "left_anti")
 
 
-def build_fact(staging: DataFrame, dims: Dims, run_ts, fact_snapshot: DataFrame | None = None) -> DataFrame:
+def build_fact(staging: DataFrame, dims: Dims, run_ts, fact_snapshot: DataFrame | None = None,
+               buckets: int | None = None) -> DataFrame:
     """New fact rows of one batch."""
-    rows = not_already_loaded(lookup_keys(staging, dims), fact_snapshot)
+    rows = not_already_loaded(lookup_keys(staging, dims), fact_snapshot, buckets)
     ts = F.lit(run_ts).cast("timestamp")
     return rows.select(
         F.col("staging_id").cast("bigint").alias("fact_id"),

@@ -18,10 +18,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from billstar.config import RunOptions
-from billstar.operators import anomaly, marts, quality, views
+from billstar.operators import anomaly, marts, quality, totals, views
 from billstar.operators import constraints as K
 from billstar.operators.dimensions import Dims, new_dates, new_etablissements, new_patients, new_services
-from billstar.operators.fact import apply_scores, build_fact
+from billstar.operators.fact import FACT_DEDUP_KEYS, apply_scores, build_fact
 from billstar.operators.loading import split_rejects, to_staging
 from billstar.operators.standardize import read_and_standardize
 from billstar.plans import warehouse as W
@@ -88,6 +88,14 @@ def read_fact(spark: SparkSession, root: str, at: W.State | None = None,
     return apply_scores(fact, labels)
 
 
+def loaded_keys(spark: SparkSession, root: str, at: W.State) -> tuple[DataFrame | None, int | None]:
+    """The keys of the loaded invoices, and their number of buckets; of a
+    warehouse that has no table of them the fact itself, in none of its keys' buckets."""
+    if W.keeps(at, "fact_keys"):
+        return W.read_table(spark, root, "fact_keys", at), W.buckets_of(spark, root)
+    return W.read_table(spark, root, "fact_facturation", at), None
+
+
 def run_batch(spark: SparkSession, paths: DataFrame, root: str, opts: RunOptions, batch_id: str) -> BatchResult:
     """Files of one batch (a manifest, or any DataFrame with ``path``) -> warehouse.
 
@@ -170,19 +178,19 @@ def _load(spark: SparkSession, valid: DataFrame, paths: DataFrame, root: str, op
     # The fact's constraints (T8) are checked in the pass that writes the rows: only conforming rows are
     # written, the others are counted; strict mode then raises (like the
     # rejected INSERT) before the commit, lenient mode quarantines them.
-    snapshot = W.read_table(spark, root, "fact_facturation", base)
+    snapshot, buckets = loaded_keys(spark, root, base)
     if snapshot is not None:
         months = [r[0] for r in batch.select(F.expr("cast(date_format(date_facturation, 'yyyyMM') as int)")).distinct()
                   .collect()]
         snapshot = snapshot.where(F.col(W.MONTH.name).isin(months))
-    rows = W.by_bucket(build_fact(batch, dims, ts, snapshot), root)
+    rows = W.by_bucket(build_fact(batch, dims, ts, snapshot, buckets), root, "fact_facturation")
     checked = rows.withColumn("_broken", K.broken_rules(K.fact_rules()))
     fact_obs = Observation(f"fact_{batch_id}_{attempt}")
     observed = checked.observe(fact_obs, F.count(F.lit(1)).alias("rows"),
                                F.count_if(F.size("_broken") > 0).alias("broken"))
     add["fact_facturation"] = W.new_path(root, "fact_facturation", batch_id)
     W.write_part(observed.where(F.size("_broken") == 0).drop("_broken").select("*", billing_month(F.col("date_key"))),
-                 root, add["fact_facturation"], by_month=True)
+                 root, add["fact_facturation"], "fact_facturation")
     broken = int(fact_obs.get["broken"])
     if broken and opts.strict:
         raise K.ConstraintError(f"batch {batch_id}: {broken} fact rows break the fact constraints "
@@ -192,6 +200,13 @@ def _load(spark: SparkSession, valid: DataFrame, paths: DataFrame, root: str, op
         (checked.where(F.size("_broken") > 0)
          .write.mode("overwrite").parquet(f"{root}/quarantine/fact_facturation/batch={batch_id}"))
 
+    # what later batches and the totals views read instead of the fact
+    inserted = W.read_part(spark, root, "fact_facturation", add["fact_facturation"])
+    add |= {table: W.new_path(root, table, batch_id) for table in ("fact_keys", "fact_totals")}
+    keys = inserted.select(*FACT_DEDUP_KEYS, W.MONTH.name).distinct()
+    concurrently([(W.write_part, (W.by_bucket(keys, root, "fact_keys"), root, add["fact_keys"], "fact_keys")),
+                  (W.write_part, (totals.fact_totals(inserted), root, add["fact_totals"]))])
+
     if "length" in paths.columns:
         add["loaded_files"] = W.write_part(paths.select(*FILE_KEY), root, W.new_path(root, "loaded_files", batch_id))
     top = seen.get["top"]
@@ -250,9 +265,22 @@ def score_and_publish(spark: SparkSession, root: str, opts: RunOptions, at: W.St
     changed = [r[0] for r in now.select(W.MONTH.name).collect()]  # months
     if not changed:
         return res, at
-    path = W.write_part(W.by_bucket(labels.where(F.col(W.MONTH.name).isin(changed)), root), root,
-                        W.new_path(root, "anomaly_scores", f"v{at.number + 1}"), by_month=True)
-    return res, W.commit(spark, root, at, add={"anomaly_scores": path})
+    path = W.write_part(W.by_bucket(labels.where(F.col(W.MONTH.name).isin(changed)), root, "anomaly_scores"), root,
+                        W.new_path(root, "anomaly_scores", f"v{at.number + 1}"), "anomaly_scores")
+    return res, W.commit(spark, root, at, add={"anomaly_scores": path},
+                         replace={"label_totals": _count_anomalies(spark, root, at, path, changed)})
+
+
+def _count_anomalies(spark: SparkSession, root: str, at: W.State, path: str, changed: list[int]) -> str:
+    """Write the anomalies by month and facility once the labels at ``path``
+    count: new counts of the changed months, the others as they were."""
+    after = replace(at, parts=at.parts | {"anomaly_scores": (*at.parts.get("anomaly_scores", ()), path)})
+    old = W.read_table(spark, root, "label_totals", at)
+    whole = old is None and "anomaly_scores" in at.parts  # labels from before this table
+    now = totals.anomaly_totals(read_fact(spark, root, after, None if whole else changed))
+    if old is not None:
+        now = now.unionByName(old.where(~F.col(W.MONTH.name).isin(changed)))
+    return W.write_part(now, root, W.new_path(root, "label_totals", f"v{at.number + 1}"))
 
 
 def publish_mart(spark: SparkSession, root: str, opts: RunOptions, at: W.State | None = None) -> W.State:
@@ -276,13 +304,21 @@ def register_views(spark: SparkSession, root: str, opts: RunOptions, at: W.State
     at = at or W.state(spark, root)
     dims = read_dims(spark, root, at)
     fact = read_fact(spark, root, at)
-    # the monthly view uses no label: it skips the overlay join
-    unlabelled = W.read_table(spark, root, "fact_facturation", at)
-    W.register_views(spark, {
-        "v_facturation_complete": views.facturation_complete(fact, dims),
-        "v_stats_etablissement": views.stats_etablissement(fact, dims),
-        "v_ca_mensuel": views.ca_mensuel(unlabelled, dims),
-    })
+    stats, monthly = totals_views(spark, root, at, dims) or (
+        views.stats_etablissement(fact, dims),
+        # the monthly view uses no label: it skips the overlay join
+        views.ca_mensuel(W.read_table(spark, root, "fact_facturation", at), dims))
+    W.register_views(spark, {"v_facturation_complete": views.facturation_complete(fact, dims),
+                             "v_stats_etablissement": stats, "v_ca_mensuel": monthly})
+
+
+def totals_views(spark: SparkSession, root: str, at: W.State, dims: Dims) -> tuple[DataFrame, DataFrame] | None:
+    """(facility statistics, monthly revenue) from the kept totals; None
+    for a warehouse that has rows or labels from before they were kept."""
+    if not W.keeps(at, "fact_totals") or ("anomaly_scores" in at.parts and "label_totals" not in at.parts):
+        return None
+    sums, anomalies = (W.read_table(spark, root, t, at) for t in ("fact_totals", "label_totals"))
+    return totals.stats_etablissement(sums, anomalies, dims), totals.ca_mensuel(sums, dims)
 
 
 def run(spark: SparkSession, input_dir: str, warehouse_dir: str, opts: RunOptions | None = None,

@@ -17,6 +17,11 @@ renamed and no success marker is needed.
 Fact and labels are stored by billing month and, within it, bucketed alike
 by ``fact_id``: laying the labels over the fact exchanges nothing. A
 scoring run adds the months whose labels changed; of each month the newest part counts.
+``fact_keys`` holds the keys of loaded invoices, by month and bucketed by the
+whole key, so a batch is compared with them without an exchange of theirs,
+and a patient with a third of all rows is dealt over all buckets.
+``fact_totals`` holds each batch's sums by month and facility, and
+``label_totals`` the anomalies: what the two totals views add up.
 """
 
 from __future__ import annotations
@@ -33,10 +38,10 @@ from pyspark.sql import types as T
 
 from billstar.schema import (DIM_DATE, DIM_ETABLISSEMENT, DIM_PATIENT, DIM_SERVICE, FACT, SCORES, SILVER,
                              STAGING)
+from billstar.operators.fact import FACT_DEDUP_KEYS
+from billstar.operators.totals import ANOMALY_TOTALS, FACT_TOTALS, MONTH
 from billstar.sources import fs
 
-MONTH = T.StructField("mois_facturation", T.IntegerType())
-
 SCHEMAS = {
     "dim_patient": DIM_PATIENT,
     "dim_etablissement": DIM_ETABLISSEMENT,
@@ -46,12 +51,16 @@ SCHEMAS = {
     "fact_facturation": T.StructType(FACT.fields + [MONTH]),
     "anomaly_scores": T.StructType(SCORES.fields + [MONTH]),
     "staging_facturation": STAGING,
+    "fact_keys": T.StructType([FACT[c] for c in FACT_DEDUP_KEYS] + [MONTH]),
+    "fact_totals": FACT_TOTALS,
+    "label_totals": ANOMALY_TOTALS,
 }
 
 
-#: Tables by month and bucket, and whether a month's newest part replaces the older ones.
-BUCKETED = {"fact_facturation": False, "anomaly_scores": True}
-BUCKET_KEY = "fact_id"
+#: Tables by month and bucket: the columns of their buckets.
+BUCKETED = {"fact_facturation": ["fact_id"], "anomaly_scores": ["fact_id"], "fact_keys": FACT_DEDUP_KEYS}
+#: Those of which a month's newest part replaces the older ones.
+NEWEST_COUNTS = ("anomaly_scores",)
 #: Buckets of a warehouse that was not created with a number of its own.
 #: A month is joined by as many tasks: size it to the cluster.
 DEFAULT_BUCKETS = 4
@@ -169,13 +178,13 @@ def _bucketed(spark: SparkSession, root: str, table: str, paths) -> DataFrame:
         for folder in fs.list_dirs(spark, f"{root}/{path}"):
             month = folder.rsplit("=", 1)[-1]
             if folder.rsplit("/", 1)[-1].startswith(f"{MONTH.name}=") and month.isdigit():
-                folders[month if BUCKETED[table] else (month, n)] = (n, month, folder)
+                folders[month if table in NEWEST_COUNTS else (month, n)] = (n, month, folder)
     name = "billstar_" + sha1(json.dumps([root, table, sorted(folders.values())]).encode()).hexdigest()[:20]
     if not spark.catalog.tableExists(name):
-        text = "'{}'".format
+        text, keys = "'{}'".format, ", ".join(BUCKETED[table])
         columns = T.StructType([f for f in SCHEMAS[table].fields if f.name != MONTH.name]).toDDL()
         spark.sql(f"""CREATE TABLE IF NOT EXISTS {name} ({columns}, part INT, {MONTH.name} INT) USING parquet
-            PARTITIONED BY (part, {MONTH.name}) CLUSTERED BY ({BUCKET_KEY}) SORTED BY ({BUCKET_KEY})
+            PARTITIONED BY (part, {MONTH.name}) CLUSTERED BY ({keys}) SORTED BY ({keys})
             INTO {buckets_of(spark, root)} BUCKETS LOCATION {text(f"{root}/{table}".replace("'", "\\'"))}""")
         found = [f"PARTITION (part={n}, {MONTH.name}={m}) LOCATION {text(folder.replace("'", "\\'"))}"
                  for n, m, folder in folders.values()]
@@ -204,26 +213,37 @@ def read_table(spark: SparkSession, root: str, table: str, at: State | None = No
     return read_paths(spark, root, table, at.parts.get(table))
 
 
-def by_bucket(df: DataFrame, root: str) -> DataFrame:
+def by_bucket(df: DataFrame, root: str, table: str) -> DataFrame:
     """Rows dealt so that each bucket of a month becomes one file."""
-    return df.repartition(buckets_of(df.sparkSession, root), BUCKET_KEY)
+    return df.repartition(buckets_of(df.sparkSession, root), *BUCKETED[table])
 
 
-def write_part(df: DataFrame, root: str, path: str, by_month: bool = False) -> str:
-    """Write a part that no commit names yet; ``by_month``: rows of
-    :func:`by_bucket`, by billing month and bucket."""
+def write_part(df: DataFrame, root: str, path: str, bucketed: str | None = None) -> str:
+    """Write a part that no commit names yet; ``bucketed``: rows that
+    :func:`by_bucket` dealt for that table, by billing month and bucket."""
     full = f"{root.rstrip('/')}/{path}"
-    if not by_month:
+    if not bucketed:
         df.write.parquet(full)
         return path
     spark, name = df.sparkSession, f"billstar_w_{uuid.uuid4().hex}"
-    n = buckets_of(spark, root)
-    (df.write.format("parquet").partitionBy(MONTH.name).bucketBy(n, BUCKET_KEY).sortBy(BUCKET_KEY)
+    n, keys = buckets_of(spark, root), BUCKETED[bucketed]
+    (df.write.format("parquet").partitionBy(MONTH.name).bucketBy(n, *keys).sortBy(*keys)
      .option("path", full).saveAsTable(name))
     spark.sql(f"DROP TABLE {name}")  # the files stay
     return path
 
 
+def read_part(spark: SparkSession, root: str, table: str, path: str) -> DataFrame:
+    """One part as plain files, committed or not."""
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{root.rstrip('/')}/{path}")
+
+
+def keeps(at: State, table: str) -> bool:
+    """Whether each part of the fact has its part of ``table``; a warehouse
+    begun before that table was there has not."""
+    return len(at.parts.get(table, ())) == len(at.parts.get("fact_facturation", ()))
+
+
 def read_staging(spark: SparkSession, root: str, batch_id: str | None = None) -> DataFrame | None:
     """Committed staging rows: one batch's, or all."""
     paths = state(spark, root).parts.get("staging_facturation", ())
