@@ -119,7 +119,9 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE, k: int = CENTROI
             yield pd.DataFrame({
                 "lang": pdf.lang, "v": [np.log1p(counts(t)).astype(np.float32).tobytes() for t in pdf.text]})
 
-    counted = sample.select("lang", "text").mapInPandas(vectors, "lang string, v binary")
+    # written once: the three passes below read vectors, not the documents again
+    counted = written(documents.sparkSession, sample.select("lang", "text").mapInPandas(
+        vectors, "lang string, v binary"), "language-sample")
 
     def presence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         df, n = np.zeros(DIM), 0
