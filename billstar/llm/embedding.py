@@ -3,9 +3,17 @@
 Unit vectors within cosine t lie within squared distance D = 2 - 2t. After
 a fixed rotation, which spreads the distance evenly, the dimensions are split into
 m blocks; if all blocks differed by more than D / m, so would the whole by more
-than D. So every linked pair is within D / m in some block. Each block's
-range join runs over a grid on its first axes, with cells as wide as the
-block's radius and more axes the more vectors a label has; the union of the blocks' pairs is then verified exactly.
+than D. So every linked pair is within D / m in some block. Taken as a ring, some
+such block is also within 2 D / m together with its successor (start behind the
+block at which the sum of all differences so far exceeds its share the most), so
+a pair is met where both hold. Each block's range join runs over a grid on its
+first axes, with cells as wide as the block's radius; the union of the blocks'
+pairs is then verified exactly.
+
+A row holds an id and the coordinates of two blocks. A vector goes to 5 or 14
+cells a block, by the size of its label. Crowded cells are cut
+into slices on both sides, and every slice meets every other: the work of a
+join key is bounded, and rows grow with the fullest cell by its slices only.
 """
 
 from __future__ import annotations
@@ -13,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import cache
 from itertools import product
-from math import floor, log, sqrt
+from math import sqrt
 
 import numpy as np
 import pandas as pd
@@ -24,11 +32,15 @@ from billstar.llm.common import components, discard, written
 
 #: Dimensions of a block.
 BLOCK = 8
-#: Vectors of a label for which a grid on two axes is best, and the factor
-#: from which one more axis (three times the look-ups) pays.
-TWO_AXES, NEXT_AXIS = 4_000, 4
-#: Slack of the block budgets for rounding.
-SLACK = 1e-6
+#: Distinct vectors of a label from which the grid divides a third axis; the
+#: most axes it divides. Another axis would cost three times the look-ups and,
+#: where the block's radius is about the spread of a coordinate, spare a quarter
+#: of the comparisons.
+THIRD_AXIS, MOST_AXES = 16_000, 3
+#: Vectors of a cell from which it is cut into slices.
+CELL = 20_000
+#: Slack of the budgets for coordinates in single precision.
+SLACK = 1e-5
 
 
 @cache
@@ -39,10 +51,9 @@ def rotation(dim: int) -> np.ndarray:
 
 
 def axes_for(vectors: int) -> int:
-    """Axes of a block that the grid divides when the largest label has so
-    many distinct vectors. Any number gives the same pairs."""
-    more = log(max(1, vectors / TWO_AXES)) / log(NEXT_AXIS)
-    return min(BLOCK, 2 + floor(more))
+    """Axes of a block that the grid divides in a label of so many distinct
+    vectors. Any number gives the same pairs."""
+    return 2 if vectors < THIRD_AXIS else MOST_AXES
 
 
 def distinct_vectors(embeddings: DataFrame) -> DataFrame:
@@ -59,14 +70,17 @@ def distinct_vectors(embeddings: DataFrame) -> DataFrame:
     return reps.withColumn("dim", F.size("embedding"))
 
 
-def blocks(reps: DataFrame, threshold: float, axes: int) -> DataFrame:
-    """A row per vector and block: rid, label, dim, block, budget, the grid
-    cell g0, g1, ... and the block's coordinates x0..x7 (padded with 0)."""
+def blocks(reps: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
+    """A row per vector and block: rid, label, dim, block, budget, axes, the
+    grid cell g0, g1, ... (0 beyond the axes), the block's coordinates x0..x7
+    and its successor's y0..y7 (padded with 0). ``sizes`` has the distinct
+    vectors n of each label and dim."""
     squared = 2 - 2 * threshold
+    axes_of = axes_for
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for dim, part in pdf.groupby("dim"):
+            for (dim, n), part in pdf.groupby(["dim", "n"]):
                 v = np.stack(part.embedding.to_list()).astype(float)
                 # scaled before the norm is taken, so that no square overflows
                 v /= np.abs(v).max(axis=1, keepdims=True)
@@ -74,42 +88,78 @@ def blocks(reps: DataFrame, threshold: float, axes: int) -> DataFrame:
                 v = v @ rotation(int(dim))
                 m = -(-int(dim) // BLOCK)
                 v = np.pad(v, ((0, 0), (0, m * BLOCK - int(dim))))
+                axes = min(MOST_AXES, axes_of(int(n)))
                 budget = squared / m + SLACK
-                side = sqrt(budget)
                 for b in range(m):
-                    x = v[:, b * BLOCK:(b + 1) * BLOCK]
-                    cell = np.floor(x[:, :axes] / side).astype(np.int32)
+                    x, after = v[:, b * BLOCK:(b + 1) * BLOCK], (b + 1) % m
+                    y = v[:, after * BLOCK:(after + 1) * BLOCK] if m > 1 else np.zeros_like(x)
+                    cell = np.floor(x[:, :axes] / sqrt(budget)).astype(np.int32)
                     yield pd.DataFrame({
                         "rid": part.rid.to_numpy(), "label": part.label.to_numpy(), "dim": int(dim), "block": b,
-                        "budget": budget, **{f"g{i}": cell[:, i] for i in range(axes)},
-                        **{f"x{i}": x[:, i] for i in range(BLOCK)}})
+                        "budget": budget, "axes": axes,
+                        **{f"g{i}": cell[:, i] if i < axes else 0 for i in range(MOST_AXES)},
+                        **{f"x{i}": x[:, i] for i in range(BLOCK)}, **{f"y{i}": y[:, i] for i in range(BLOCK)}})
 
-    columns = "rid long, label {}, dim int, block int, budget double, ".format(
+    columns = "rid long, label {}, dim int, block int, budget double, axes int, ".format(
         reps.schema["label"].dataType.simpleString())
-    columns += ", ".join([f"g{i} int" for i in range(axes)] + [f"x{i} double" for i in range(BLOCK)])
-    return reps.select("rid", "label", "embedding", "dim").mapInPandas(split, columns)
+    columns += ", ".join([f"g{i} int" for i in range(MOST_AXES)] + [f"{c}{i} float" for c in "xy" for i in range(BLOCK)])
+    return reps.join(sizes, ["label", "dim"]).select("rid", "label", "embedding", "dim", "n").mapInPandas(split, columns)
 
 
-def candidates(parts: DataFrame, axes: int) -> DataFrame:
-    """(a, b): pairs within some block's budget, a row per block that has them.
+KEYS = ["label", "dim", "block", *[f"g{i}" for i in range(MOST_AXES)]]
 
-    Each vector looks into its own cell and the half of its neighbours
-    that follow, so a pair is met once a block. The distance is part of
-    the join, so only pairs within the budget leave it.
-    """
-    ahead = [o for o in product((-1, 0, 1), repeat=axes) if o >= (0,) * axes]
-    offsets = ", ".join(
-        "named_struct({})".format(", ".join(f"'o{i}', {v}" for i, v in enumerate(o))) for o in ahead)
-    probe = parts.withColumn("o", F.explode(F.expr(f"array({offsets})")))
-    for i in range(axes):
+
+def crowded(parts: DataFrame) -> DataFrame:
+    """The cells of more than CELL vectors and the slices each is cut into:
+    at most one row for CELL rows of ``parts``."""
+    return parts.groupBy(*KEYS).count().where(F.col("count") > CELL).select(
+        *KEYS, F.ceil(F.col("count") / CELL).cast("int").alias("slices"))
+
+
+def probes(parts: DataFrame, cells: DataFrame) -> DataFrame:
+    """A row for each cell that a vector looks into, its own and the half of
+    the neighbours that follow, and each slice of it; own tells the first."""
+    def ahead(axes: int) -> str:
+        steps = [o + (0,) * (MOST_AXES - axes) for o in product((-1, 0, 1), repeat=axes) if o >= (0,) * axes]
+        return "array({})".format(", ".join(
+            "named_struct({})".format(", ".join(f"'o{i}', {v}" for i, v in enumerate(o))) for o in steps))
+
+    cases = " ".join(f"when {a} then {ahead(a)}" for a in range(MOST_AXES + 1))
+    probe = parts.withColumn("o", F.explode(F.expr(f"case axes {cases} end")))
+    own = " and ".join(f"o.o{i} = 0" for i in range(MOST_AXES))
+    probe = probe.withColumn("own", F.expr(own))
+    for i in range(MOST_AXES):
         probe = probe.withColumn(f"g{i}", F.col(f"g{i}") + F.col(f"o.o{i}"))
-    own = " and ".join(f"o.o{i} = 0" for i in range(axes))
-    probe = probe.withColumn("own", F.expr(own)).drop("o")
-    keys = ["label", "dim", "block"] + [f"g{i}" for i in range(axes)]
-    same = " and ".join(f"p.{k} = q.{k}" for k in keys)
-    near = " + ".join(f"(p.x{i} - q.x{i}) * (p.x{i} - q.x{i})" for i in range(BLOCK))
-    met = probe.alias("p").join(
-        parts.alias("q"), F.expr(f"{same} and (not p.own or p.rid < q.rid) and {near} <= p.budget"))
+    return _sliced(probe.drop("o"), cells, "p_slice", "q_slice")
+
+
+def homes(parts: DataFrame, cells: DataFrame) -> DataFrame:
+    """A row for each vector in its cell and each slice that looks into it."""
+    return _sliced(parts, cells, "q_slice", "p_slice")
+
+
+def _sliced(rows: DataFrame, cells: DataFrame, mine: str, others: str) -> DataFrame:
+    slices = F.coalesce("slices", F.lit(1))
+    return rows.join(cells, KEYS, "left").withColumn(mine, F.expr(
+        "cast(pmod(xxhash64(rid), coalesce(slices, 1)) as int)")).withColumn(
+        others, F.explode(F.sequence(F.lit(0), slices - 1))).drop("slices")
+
+
+def candidates(parts: DataFrame, cells: DataFrame) -> DataFrame:
+    """(a, b): pairs within some block's budget, and within twice the budget
+    together with its successor; a row for each pair.
+
+    A pair is met once a block. The distances are part of the join, so only
+    pairs within the budgets leave it.
+    """
+    same = " and ".join(f"p.{k} = q.{k}" for k in [*KEYS, "p_slice", "q_slice"])
+
+    def square(c: str) -> str:
+        return " + ".join("({0}) * ({0})".format(f"double(p.{c}{i}) - q.{c}{i}") for i in range(BLOCK))
+
+    first, second = square("x"), square("y")
+    met = probes(parts, cells).alias("p").join(homes(parts, cells).alias("q"), F.expr(
+        f"{same} and (not p.own or p.rid < q.rid) and {first} <= p.budget and {first} + {second} <= 2 * p.budget"))
     return met.selectExpr("least(p.rid, q.rid) as a", "greatest(p.rid, q.rid) as b").distinct()
 
 
@@ -123,11 +173,12 @@ def link(spark: SparkSession, embeddings: DataFrame, threshold: float = 0.93) ->
     nothing. Other columns are not read.
     """
     reps = written(spark, distinct_vectors(embeddings), "vectors")
-    largest = reps.groupBy("label", "dim").count().agg(F.max("count").alias("n")).first().n
-    axes = axes_for(largest or 0)
-    parts = written(spark, blocks(reps, threshold, axes), "blocks")
-    pairs = written(spark, candidates(parts, axes), "candidates")
-    discard(parts)
+    # written, so that the joins with them know their size
+    sizes = written(spark, reps.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    parts = written(spark, blocks(reps, sizes, threshold), "blocks")
+    cells = written(spark, crowded(parts), "crowded")
+    pairs = written(spark, candidates(parts, cells), "candidates")
+    discard(parts, sizes, cells)
     # scaled by the largest component once a vector, so that no product
     # over- or underflows; the squared norm goes along
     vector = reps.withColumn("top", F.expr("aggregate(embedding, 0D, (s, x) -> greatest(s, abs(x)))")).selectExpr(

@@ -68,7 +68,69 @@ def test_any_number_of_axes_finds_the_same(spark, monkeypatch, axes):
 
 def test_axes_grow_with_the_label():
     got = [embedding.axes_for(n) for n in (0, 10, 4_000, 15_999, 16_000, 64_000, 10**12)]
-    assert got == [2, 2, 2, 2, 3, 4, 8]
+    assert got == [2, 2, 2, 2, 3, 3, 3]
+
+
+def test_slices_of_crowded_cells_find_the_same(spark, monkeypatch):
+    monkeypatch.setattr(embedding, "CELL", 4)
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((4, 20))
+    rows = [(i, [float(x) for x in base[i % 4] + rng.standard_normal(20) * 0.25], 0) for i in range(120)]
+    check(spark, rows)
+
+
+def test_candidates_are_the_ring_of_two_blocks(spark):
+    """The pairs that leave the join, worked out for all pairs."""
+    rng = np.random.default_rng(11)
+    base = rng.standard_normal((8, 24))
+    v = np.array([base[i % 8] + rng.standard_normal(24) * 0.35 for i in range(120)])
+    rows = [(i, [float(x) for x in v[i]], 0) for i in range(120)]
+    reps = embedding.distinct_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    sizes = reps.groupBy("label", "dim").count().withColumnRenamed("count", "n")
+    parts = embedding.blocks(reps, sizes, 0.93)
+    got = {(r.a, r.b) for r in embedding.candidates(parts, embedding.crowded(parts)).collect()}
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    turned = (u @ embedding.rotation(24)).reshape(120, 3, 8)
+    share = (2 - 2 * 0.93) / 3
+    sure, maybe = set(), set()
+    for a in range(120):
+        for b in range(a + 1, 120):
+            d = ((turned[a] - turned[b]) ** 2).sum(axis=1)
+            for found, slack in ((sure, 0), (maybe, 2e-5)):
+                if any(d[k] <= share + slack and d[k] + d[(k + 1) % 3] <= 2 * share + 2 * slack for k in range(3)):
+                    found.add((a, b))
+            assert u[a] @ u[b] < 0.93 or (a, b) in sure
+    assert sure <= got <= maybe and len(sure) > 100
+
+
+def test_rows_of_the_join_stay_bounded_as_a_label_grows(spark, monkeypatch):
+    """A model at a hundredth: 500 and 10,000 vectors for 50,000 and 1,000,000."""
+    monkeypatch.setattr(embedding, "CELL", embedding.CELL // 100)
+    monkeypatch.setattr(embedding, "THIRD_AXIS", embedding.THIRD_AXIS // 100)
+    rng = np.random.default_rng(2)
+
+    def rows_each(n):
+        rows = [(i, [float(x) for x in v], 0) for i, v in enumerate(rng.standard_normal((n, 64)))]
+        reps = embedding.distinct_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+        sizes = reps.groupBy("label", "dim").count().withColumnRenamed("count", "n")
+        parts = embedding.blocks(reps, sizes, 0.93).cache()
+        cells = embedding.crowded(parts)
+        met = embedding.probes(parts, cells).count() + embedding.homes(parts, cells).count()
+        parts.unpersist()
+        return met / n / 8
+
+    few, many = rows_each(500), rows_each(10_000)
+    assert few <= 15 and many <= 6 * few
+
+
+def test_plan_holds_no_cross_join_and_reads_two_blocks_a_row(spark):
+    rows = [(i, [1.0, float(i), 2.0], 0) for i in range(5)]
+    reps = embedding.distinct_vectors(spark.createDataFrame(rows, SCHEMA))
+    sizes = reps.groupBy("label", "dim").count().withColumnRenamed("count", "n")
+    parts = embedding.blocks(reps, sizes, 0.93)
+    plan = embedding.candidates(parts, embedding.crowded(parts))._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    assert [f.dataType.simpleString() for f in parts.schema if f.name[0] in "xy"] == ["float"] * 16
 
 
 def test_awkward_rows(spark):
