@@ -10,9 +10,10 @@ a pair is met where both hold. Each block's range join runs over a grid on its
 first axes, with cells as wide as the block's radius; the union of the blocks'
 pairs is then verified exactly.
 
-A row holds an id and the coordinates of two blocks. A vector goes to 5 or 14
-cells a block, by the size of its label. Crowded cells are cut
-into slices on both sides, and every slice meets every other: the work of a
+A row of the join holds an id, a 64-bit hash of its cell and the coordinates of
+two blocks; pairs that only a collision brings together fail the exact check. A
+vector goes to 5 or 14 cells a block, by the size of its label. Crowded cells are
+cut into slices on both sides, and every slice meets every other: the work of a
 join key is bounded, and rows grow with the fullest cell by its slices only.
 """
 
@@ -39,7 +40,7 @@ BLOCK = 8
 THIRD_AXIS, MOST_AXES = 16_000, 3
 #: Vectors of a cell from which it is cut into slices.
 CELL = 20_000
-#: Slack of the budgets for coordinates in single precision.
+#: Slack of the budgets, relative and absolute, for sums in single precision.
 SLACK = 1e-5
 
 
@@ -73,7 +74,7 @@ def distinct_vectors(embeddings: DataFrame) -> DataFrame:
 def blocks(reps: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
     """A row per vector and block: rid, label, dim, block, budget, axes, the
     grid cell g0, g1, ... (0 beyond the axes), the block's coordinates x0..x7
-    and its successor's y0..y7 (padded with 0). ``sizes`` has the distinct
+    and its successor's, y (padded with 0). ``sizes`` has the distinct
     vectors n of each label and dim."""
     squared = 2 - 2 * threshold
     axes_of = axes_for
@@ -89,7 +90,7 @@ def blocks(reps: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
                 m = -(-int(dim) // BLOCK)
                 v = np.pad(v, ((0, 0), (0, m * BLOCK - int(dim))))
                 axes = min(MOST_AXES, axes_of(int(n)))
-                budget = squared / m + SLACK
+                budget = squared / m * (1 + SLACK) + SLACK
                 for b in range(m):
                     x, after = v[:, b * BLOCK:(b + 1) * BLOCK], (b + 1) % m
                     y = v[:, after * BLOCK:(after + 1) * BLOCK] if m > 1 else np.zeros_like(x)
@@ -98,11 +99,12 @@ def blocks(reps: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
                         "rid": part.rid.to_numpy(), "label": part.label.to_numpy(), "dim": int(dim), "block": b,
                         "budget": budget, "axes": axes,
                         **{f"g{i}": cell[:, i] if i < axes else 0 for i in range(MOST_AXES)},
-                        **{f"x{i}": x[:, i] for i in range(BLOCK)}, **{f"y{i}": y[:, i] for i in range(BLOCK)}})
+                        **{f"x{i}": x[:, i] for i in range(BLOCK)}, "y": list(y.astype(np.float32))})
 
     columns = "rid long, label {}, dim int, block int, budget double, axes int, ".format(
         reps.schema["label"].dataType.simpleString())
-    columns += ", ".join([f"g{i} int" for i in range(MOST_AXES)] + [f"{c}{i} float" for c in "xy" for i in range(BLOCK)])
+    columns += ", ".join(
+        [f"g{i} int" for i in range(MOST_AXES)] + [f"x{i} float" for i in range(BLOCK)] + ["y array<float>"])
     return reps.join(sizes, ["label", "dim"]).select("rid", "label", "embedding", "dim", "n").mapInPandas(split, columns)
 
 
@@ -126,41 +128,42 @@ def probes(parts: DataFrame, cells: DataFrame) -> DataFrame:
 
     cases = " ".join(f"when {a} then {ahead(a)}" for a in range(MOST_AXES + 1))
     probe = parts.withColumn("o", F.explode(F.expr(f"case axes {cases} end")))
-    own = " and ".join(f"o.o{i} = 0" for i in range(MOST_AXES))
-    probe = probe.withColumn("own", F.expr(own))
+    probe = probe.withColumn("own", F.expr(" and ".join(f"o.o{i} = 0" for i in range(MOST_AXES))))
     for i in range(MOST_AXES):
         probe = probe.withColumn(f"g{i}", F.col(f"g{i}") + F.col(f"o.o{i}"))
-    return _sliced(probe.drop("o"), cells, "p_slice", "q_slice")
+    return _celled(probe, cells, "own", "budget", order="mine, other")
 
 
 def homes(parts: DataFrame, cells: DataFrame) -> DataFrame:
     """A row for each vector in its cell and each slice that looks into it."""
-    return _sliced(parts, cells, "q_slice", "p_slice")
+    return _celled(parts, cells, order="other, mine")
 
 
-def _sliced(rows: DataFrame, cells: DataFrame, mine: str, others: str) -> DataFrame:
-    slices = F.coalesce("slices", F.lit(1))
-    return rows.join(cells, KEYS, "left").withColumn(mine, F.expr(
-        "cast(pmod(xxhash64(rid), coalesce(slices, 1)) as int)")).withColumn(
-        others, F.explode(F.sequence(F.lit(0), slices - 1))).drop("slices")
+def _celled(rows: DataFrame, cells: DataFrame, *columns: str, order: str) -> DataFrame:
+    """The rows of the join: cell (label, dim, block, grid cell, slice of
+    the probe, slice of the home), rid, the coordinates and ``columns``."""
+    met = rows.join(cells, KEYS, "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
+    met = met.withColumn("mine", F.expr("cast(pmod(xxhash64(rid), slices) as int)")).withColumn(
+        "other", F.explode(F.expr("sequence(0, slices - 1)")))
+    return met.selectExpr(
+        f"xxhash64({', '.join(KEYS)}, {order}) as cell", "rid", *columns, *[f"x{i}" for i in range(BLOCK)], "y")
 
 
 def candidates(parts: DataFrame, cells: DataFrame) -> DataFrame:
     """(a, b): pairs within some block's budget, and within twice the budget
     together with its successor; a row for each pair.
 
-    A pair is met once a block. The distances are part of the join, so only
-    pairs within the budgets leave it.
+    A pair is met once a block. The block's distance is part of the join,
+    which compares the most; that with the successor is worked out for the
+    pairs that leave it, and the least over their blocks decides.
     """
-    same = " and ".join(f"p.{k} = q.{k}" for k in [*KEYS, "p_slice", "q_slice"])
-
-    def square(c: str) -> str:
-        return " + ".join("({0}) * ({0})".format(f"double(p.{c}{i}) - q.{c}{i}") for i in range(BLOCK))
-
-    first, second = square("x"), square("y")
+    first = " + ".join("({0}) * ({0})".format(f"p.x{i} - q.x{i}") for i in range(BLOCK))
+    second = " + ".join("({0}) * ({0})".format(f"p.y[{i}] - q.y[{i}]") for i in range(BLOCK))
     met = probes(parts, cells).alias("p").join(homes(parts, cells).alias("q"), F.expr(
-        f"{same} and (not p.own or p.rid < q.rid) and {first} <= p.budget and {first} + {second} <= 2 * p.budget"))
-    return met.selectExpr("least(p.rid, q.rid) as a", "greatest(p.rid, q.rid) as b").distinct()
+        f"p.cell = q.cell and p.rid <> q.rid and (not p.own or p.rid < q.rid) and {first} <= p.budget"))
+    met = met.selectExpr("least(p.rid, q.rid) as a", "greatest(p.rid, q.rid) as b",
+                         f"{first} + {second} - 2 * p.budget as excess")
+    return met.groupBy("a", "b").agg(F.min("excess").alias("excess")).where("excess <= 0").select("a", "b")
 
 
 def link(spark: SparkSession, embeddings: DataFrame, threshold: float = 0.93) -> DataFrame:
@@ -182,15 +185,15 @@ def link(spark: SparkSession, embeddings: DataFrame, threshold: float = 0.93) ->
     # scaled by the largest component once a vector, so that no product
     # over- or underflows; the squared norm goes along
     vector = reps.withColumn("top", F.expr("aggregate(embedding, 0D, (s, x) -> greatest(s, abs(x)))")).selectExpr(
-        "rid", "copies", "transform(embedding, x -> x / top) as v")
+        "rid", "label", "copies", "transform(embedding, x -> x / top) as v")
     dot = "aggregate(zip_with({0}, {1}, (x, y) -> x * y), 0D, (s, x) -> s + x)"
     vector = written(spark, vector.withColumn("vv", F.expr(dot.format("v", "v"))), "scaled")
     met = pairs
     for side in "ab":
         met = met.join(vector.selectExpr(
-            f"rid as {side}", f"copies as {side}_copies", f"v as {side}_v", f"vv as {side}_vv"), side)
+            f"rid as {side}", f"label as {side}_label", f"copies as {side}_copies", f"v as {side}_v", f"vv as {side}_vv"), side)
     cosine = f"{dot.format('a_v', 'b_v')} / sqrt(a_vv * b_vv)"
-    met = met.where(f"{cosine} >= {threshold}D").select("a", "b", "a_copies", "b_copies")
+    met = met.where(f"a_label = b_label and size(a_v) = size(b_v) and {cosine} >= {threshold}D").select("a", "b", "a_copies", "b_copies")
     links = written(spark, met, "links")
     discard(pairs, vector)
 
