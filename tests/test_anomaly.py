@@ -98,3 +98,13 @@ def test_a_quantile_reads_its_column_twice(spark):
     df = spark.range(0, 40_000, 1, 4).selectExpr("cast(hash(id) as double) as x").mapInPandas(count, "x double")
     exact_quantile(df, "x", 0.05, max_collect=10)
     assert reads.value == 2 * 40_000
+
+
+def test_samples_are_cut_to_size_before_their_exchange(spark):
+    """Each task keeps at most psi rows of a tree, so the exchange carries
+    the samples and not their surplus, and the features are read once."""
+    scaled = anomaly.scale(anomaly.features(fact_frame(spark, 400)), {
+        f"{k}_{c}": v for c in anomaly.FEATURES for k, v in (("mean", 0.0), ("std", 1.0))})
+    plan = anomaly.tree_samples(scaled, 400, 10, 64, 1)._jdf.queryExecution().executedPlan().toString()
+    partial, exchange = plan.rindex("WindowGroupLimit"), plan.index("Exchange hashpartitioning")
+    assert exchange < partial and plan.count("Exchange") == 1      # a plan is printed from its top
